@@ -6,17 +6,25 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from netquarry.llm import langid
+from netquarry.llm import decontaminate, langid, linededup
 from netquarry.llm.common import table
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.op5_decontamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.op9_language_id(table(spark, sf_dir, "documents"))
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linededup.op2_line_dedup(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op9_language_id,)}
+    return {f.__name__: f for f in (op2_line_dedup, op5_decontamination, op9_language_id)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op2_line_dedup": linededup.OP2_SQL}
