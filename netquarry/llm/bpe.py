@@ -4,7 +4,8 @@ A word is first cut greedily into the longest tokens that the vocabulary has. Th
 of neighbours is compatible, i.e. merging the two tokens' letters alone gives just these two tokens. The test of a pair
 walks down the right edge of the left token and the left edge of the right token in the order in which merging would
 have built them, and fails where a merge across the seam would have come first; it is done in numpy for all pairs of all
-words of a batch at once. Only words with a pair that fails are merged exactly, one merge after the other.
+words of a batch at once. Only words with a pair that fails are merged exactly, one merge after the
+other, all such words of a batch side by side.
 
 Files: the JSON format of the tokenizers library, BPE with a word-end suffix, NFC, white space and lower-case
 normalizers, a word pattern and the byte-level alphabet, no decoder (tokens joined by a space).
@@ -85,10 +86,14 @@ class Bpe:
                 self.left[c], self.right[c] = self._last(self.symbols(self.tokens[c]))
                 self.rank[c] = self.merge[self.left[c], self.right[c]][0]
                 self.reachable[c] = True
-        self.longest = max(map(len, self.ids))
+        self.made = made
         # the walk in compatible() needs halves that were built before the whole; words with other tokens are merged exactly
         early = (self.rank > self.rank[self.left]) & (self.rank > self.rank[self.right]) | (self.rank < 0)
         self.usable = {t: i for t, i in self.ids.items() if self.reachable[i] and early[i]}
+        # the longest token that starts with these three letters
+        self.reach: dict[str, int] = {}
+        for t in self.usable:
+            self.reach[t[:3]] = max(self.reach.get(t[:3], 0), len(t))
         self.cache: dict[str, tuple[int, ...]] = {}
 
     def symbols(self, word: str) -> list[int]:
@@ -151,12 +156,12 @@ class Bpe:
         return ok
 
     def greedy(self, word: str) -> list[int]:
-        """The longest token at each place; a letter that is no token is left to exact()."""
-        out, i, n, ids, longest = [], 0, len(word), self.usable, self.longest
+        """The longest token at each place."""
+        out, i, n, ids, reach, end = [], 0, len(word), self.usable, self.reach, len(self.end)
         while i < n:
-            for j in range(min(n, i + longest), i, -1):
+            for j in range(min(n, i + reach.get(word[i : i + 3], 2)), i, -1):
                 t = ids.get(word[i:j])
-                if t is not None and (j == n or n - j > len(self.end)):
+                if t is not None and (j == n or n - j > end):
                     out.append(t)
                     i = j
                     break
@@ -164,6 +169,31 @@ class Bpe:
                 raise ValueError(f"{word[i]!r} is not in the vocabulary")
         return out
 
+    def merge_all(self, words: list[list[int]]) -> list[tuple[int, ...]]:
+        """exact() of many words at once: in each round every word makes its merge of lowest rank, the leftmost of equals."""
+        size = np.fromiter(map(len, words), np.int64, len(words))
+        flat = np.fromiter(chain.from_iterable(words), np.int64, int(size.sum()))
+        word = np.repeat(np.arange(len(words)), size)
+        done: list[tuple[np.ndarray, np.ndarray]] = []
+        while len(flat):
+            r = np.append(self.pair_rank(flat[:-1], flat[1:]), _NONE)
+            first = np.concatenate([[True], word[1:] != word[:-1]])
+            r[:-1][first[1:]] = _NONE
+            starts = np.flatnonzero(first)
+            lowest = np.repeat(np.minimum.reduceat(r, starts), np.diff(np.append(starts, len(flat))))
+            over = lowest == _NONE
+            done.append((word[over], flat[over]))
+            at = np.flatnonzero((r == lowest) & ~over)
+            at = at[np.concatenate([[True], word[at[1:]] != word[at[:-1]]])] if len(at) else at
+            flat[at] = self.made[r[at]]
+            keep = ~over
+            keep[at + 1] = False
+            flat, word = flat[keep], word[keep]
+        word, flat = (np.concatenate(x) for x in zip(*done, strict=True)) if done else (np.zeros(0, np.int64),) * 2
+        order = np.argsort(word, kind="stable")
+        parts = np.split(flat[order], np.searchsorted(word[order], np.arange(1, len(words))))
+        return [tuple(x.tolist()) for x in parts] if words else []
+
     def learn(self, pieces: list[str]) -> None:
         """Encode byte-letter words without end marks into the cache."""
         if len(self.cache) + len(pieces) > REMEMBERED:
@@ -177,8 +207,9 @@ class Bpe:
             at = np.flatnonzero(seam)
             pair, back = np.unique(flat[at] * self.size + flat[at + 1], return_inverse=True)
             fine = self.compatible(pair // self.size, pair % self.size)[back]
-            for k in set(np.repeat(np.arange(len(guess)), size)[at[~fine]].tolist()):
-                guess[k] = self.exact(self.symbols(pieces[k] + self.end))
+            failed = np.unique(np.repeat(np.arange(len(guess)), size)[at[~fine]]).tolist()
+            for k, ids in zip(failed, self.merge_all([self.symbols(pieces[k] + self.end) for k in failed]), strict=True):
+                guess[k] = ids
         self.cache.update(zip(pieces, map(tuple, guess), strict=True))
 
     # ------------------------------------------------------------ texts
@@ -199,8 +230,15 @@ class Bpe:
 
     def pieces(self, chunk: str) -> list[str]:
         """The words of a chunk, in byte letters."""
+        # all letters, or letters and a sign: what the pattern finds is plain
+        if chunk.isalpha():
+            found = [chunk]
+        elif chunk[:-1].isalpha() and chunk[-1] in ".,;:!?":
+            found = [chunk[:-1], chunk[-1]]
+        else:
+            found = self.pattern.findall(chunk)
         letters = self.letters
-        return [p if p.isascii() and p.isprintable() else "".join([letters[b] for b in p.encode()]) for p in self.pattern.findall(chunk)]
+        return [p if p.isascii() and p.isprintable() else "".join([letters[b] for b in p.encode()]) for p in found]
 
     def encode_chunks(self, chunks: list[str]) -> list[tuple[int, ...]]:
         """Ids of each of these distinct chunks."""
@@ -240,14 +278,14 @@ class ChunkTable:
         if len(self.slot) > REMEMBERED:
             self.reset()
         slot = self.slot
-        new = list({c for cs in chunks for c in cs if c not in slot})
+        new = list(set().union(*chunks).difference(slot))
         if new:
             got = self.encode(new)
             slot.update(zip(new, range(len(slot), len(slot) + len(new)), strict=True))
             self.size = np.concatenate([self.size, np.fromiter(map(len, got), np.int64, len(got))])
             self.flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(got), np.int32)])
             self.start = np.concatenate([[0], np.cumsum(self.size)])
-        which = np.fromiter((slot[c] for cs in chunks for c in cs), np.int64)
+        which = np.array(list(map(slot.__getitem__, chain.from_iterable(chunks))), np.int64)
         n = self.size[which]
         total = np.concatenate([[0], np.cumsum(n)])
         flat = self.flat[np.arange(total[-1]) - np.repeat(total[:-1] - self.start[which], n)]

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from netquarry.llm import decontaminate, langid, linededup
+from netquarry.llm import bpe, decontaminate, langid, linededup
 from netquarry.llm.common import table
 
 
@@ -18,12 +18,23 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.op9_language_id(table(spark, sf_dir, "documents"))
 
 
+def tokenizer_path() -> str:
+    """The tokenizer file of the numbered queries; it stays where the installed package has it."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digests(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.op2_line_dedup(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_line_dedup, op5_decontamination, op9_language_id)}
+    return {f.__name__: f for f in (op1_bpe, op2_line_dedup, op5_decontamination, op9_language_id)}
 
 
 def oracle_sql() -> dict[str, str]:
