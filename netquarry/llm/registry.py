@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from netquarry.llm import bpe, decontaminate, langid, linededup
+from netquarry.llm import bpe, decontaminate, langid, linededup, neardup
 from netquarry.llm.common import table
 
 
@@ -33,8 +33,12 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.op2_line_dedup(table(spark, sf_dir, "documents"))
 
 
+def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.op10_near_dedup(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_bpe, op2_line_dedup, op5_decontamination, op9_language_id)}
+    return {f.__name__: f for f in (op1_bpe, op2_line_dedup, op5_decontamination, op9_language_id, op10_near_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
