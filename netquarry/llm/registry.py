@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from netquarry.llm import bpe, decontaminate, langid, linededup, neardup
+from netquarry.llm import bpe, decontaminate, langid, linededup, neardup, urlfilter
 from netquarry.llm.common import table
 
 
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urlfilter.op4_url_filter(table(spark, sf_dir, "pages"))
+
+
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.op5_decontamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -38,8 +42,8 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_bpe, op2_line_dedup, op5_decontamination, op9_language_id, op10_near_dedup)}
+    return {f.__name__: f for f in (op1_bpe, op2_line_dedup, op4_url_filter, op5_decontamination, op9_language_id, op10_near_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_line_dedup": linededup.OP2_SQL}
+    return {"op2_line_dedup": linededup.OP2_SQL, "op4_url_filter": urlfilter.oracle()}
