@@ -24,8 +24,8 @@ from pyspark.sql import functions as F
 #: Fixed values: (host, path, verdict).
 RULES = (("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"), ("com", "/fr/", "allow"), ("com", "/de/", "block"))
 #: Terms that reject alone, and terms of which SOFT_HITS distinct ones reject.
-STRICT = ("ads-track", "adserver", "casino", "doubleclick", "malware", "phishing", "porn", "torrent", "warez", "xxx")
-SOFT = ("ads", "affiliate", "banner", "bet", "bonus", "cheap", "click", "deal", "free", "popup", "promo", "sale", "sponsor", "track", "win")
+STRICT = ("ads-track", "adserver", "adult", "casino", "doubleclick", "malware", "phishing", "porn", "spam", "torrent", "warez", "xxx")
+SOFT = ("ads", "affiliate", "banner", "bet", "bonus", "cheap", "click", "deal", "free", "pills", "popup", "promo", "sale", "sponsor", "track", "win")
 SOFT_HITS = 2
 
 
