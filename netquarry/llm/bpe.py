@@ -31,8 +31,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Pieces of a task that are remembered: bounds a worker's memory.
-REMEMBERED = 400_000
+#: Words, and chunks, that a worker remembers: bounds its memory (about 150 bytes each).
+REMEMBERED = 1_000_000
 _NONE = np.int64(1 << 40)
 
 
@@ -95,6 +95,7 @@ class Bpe:
         for t in self.usable:
             self.reach[t[:3]] = max(self.reach.get(t[:3], 0), len(t))
         self.cache: dict[str, tuple[int, ...]] = {}
+        self.table: ChunkTable | None = None
 
     def symbols(self, word: str) -> list[int]:
         """Ids of the letters of a word in byte letters with its end mark, if it has one."""
@@ -269,26 +270,40 @@ class ChunkTable:
 
     def reset(self) -> None:
         self.slot: dict[str, int] = {}
-        self.size = np.zeros(0, np.int64)
-        self.start = np.zeros(1, np.int64)
-        self.flat = np.zeros(0, np.int32)
+        self.size, self.start = np.zeros(1 << 12, np.int64), np.zeros(1 << 12, np.int64)
+        self.flat = np.zeros(1 << 14, np.int32)
+        self.end = 0
+
+    def add(self, chunks: list[str]) -> None:
+        got = self.encode(chunks)
+        lo, n = len(self.slot), len(chunks)
+        self.slot.update(zip(chunks, range(lo, lo + n), strict=True))
+        size = np.fromiter(map(len, got), np.int64, n)
+        flat = np.fromiter(chain.from_iterable(got), np.int32, int(size.sum()))
+        while lo + n > len(self.size):
+            self.size, self.start = np.resize(self.size, 2 * len(self.size)), np.resize(self.start, 2 * len(self.start))
+        while self.end + len(flat) > len(self.flat):
+            self.flat = np.resize(self.flat, 2 * len(self.flat))
+        self.size[lo : lo + n] = size
+        self.start[lo : lo + n] = self.end + np.cumsum(size) - size
+        self.flat[self.end : self.end + len(flat)] = flat
+        self.end += len(flat)
 
     def ids(self, chunks: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, number of ids of each text); chunks: those of each text."""
         if len(self.slot) > REMEMBERED:
             self.reset()
-        slot = self.slot
-        new = list(set().union(*chunks).difference(slot))
-        if new:
-            got = self.encode(new)
-            slot.update(zip(new, range(len(slot), len(slot) + len(new)), strict=True))
-            self.size = np.concatenate([self.size, np.fromiter(map(len, got), np.int64, len(got))])
-            self.flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(got), np.int32)])
-            self.start = np.concatenate([[0], np.cumsum(self.size)])
-        which = np.array(list(map(slot.__getitem__, chain.from_iterable(chunks))), np.int64)
+        every = list(chain.from_iterable(chunks))
+        found = list(map(self.slot.get, every))
+        missing = [i for i, x in enumerate(found) if x is None]
+        if missing:
+            self.add(list({every[i] for i in missing}))
+            for i in missing:
+                found[i] = self.slot[every[i]]
+        which = np.array(found, np.int64)
         n = self.size[which]
         total = np.concatenate([[0], np.cumsum(n)])
-        flat = self.flat[np.arange(total[-1]) - np.repeat(total[:-1] - self.start[which], n)]
+        flat = self.flat[np.arange(total[-1]) + np.repeat(self.start[which] - total[:-1], n)]
         ends = np.concatenate([[0], np.cumsum(list(map(len, chunks)))]).astype(np.int64)
         return flat, total[ends[1:]] - total[ends[:-1]]
 
@@ -322,12 +337,13 @@ def _apply(docs: DataFrame, path: str, text: str | None, ids: str, decoded: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = sent.value
-        chunk_table = ChunkTable(bpe.encode_chunks)
+        if bpe.table is None:  # kept by the worker from task to task
+            bpe.table = ChunkTable(bpe.encode_chunks)
         for whole in batches:
             for batch in (whole.slice(i, 256) for i in range(0, whole.num_rows, 256)):
                 columns = [batch.column(f.name) for f in fields]
                 if text:
-                    flat, n = chunk_table.ids([bpe.chunks(x or "") for x in batch.column(text).to_pylist()])
+                    flat, n = bpe.table.ids([bpe.chunks(x or "") for x in batch.column(text).to_pylist()])
                     bounds = np.concatenate([[0], np.cumsum(n)])
                     columns.append(pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(flat, pa.int32())))
                 else:

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from netquarry.llm import bpe, decontaminate, langid, linededup, neardup, urlfilter
-from netquarry.llm.common import table
+from netquarry.llm import bpe, decontaminate, fingerprint, langid, linededup, neardup, store, urlfilter
+from netquarry.llm.common import shared_dir, table
 
 
 def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -18,6 +19,14 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.op5_decontamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.op6_fingerprints(table(spark, sf_dir, "documents"))
+
+
+def op7_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return store.op7_token_store(table(spark, sf_dir, "documents"), tokenizer_path(), f"{shared_dir(spark)}/store-{uuid.uuid4().hex}")
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.op9_language_id(table(spark, sf_dir, "documents"))
 
@@ -42,7 +51,7 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_bpe, op2_line_dedup, op4_url_filter, op5_decontamination, op9_language_id, op10_near_dedup)}
+    return {f.__name__: f for f in (op1_bpe, op2_line_dedup, op4_url_filter, op5_decontamination, op6_fingerprints, op7_token_store, op9_language_id, op10_near_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
