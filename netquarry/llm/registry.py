@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from netquarry.llm import bpe, decontaminate, fingerprint, langid, linededup, neardup, store, urlfilter
+from netquarry.llm import bpe, decontaminate, fingerprint, langid, linededup, neardup, store, substrings, urlfilter
 from netquarry.llm.common import shared_dir, table
 
 
@@ -27,6 +27,10 @@ def op7_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.op7_token_store(table(spark, sf_dir, "documents"), tokenizer_path(), f"{shared_dir(spark)}/store-{uuid.uuid4().hex}")
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.op8_substring_dedup(table(spark, sf_dir, "documents"))
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.op9_language_id(table(spark, sf_dir, "documents"))
 
@@ -51,8 +55,8 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_bpe, op2_line_dedup, op4_url_filter, op5_decontamination, op6_fingerprints, op7_token_store, op9_language_id, op10_near_dedup)}
+    return {f.__name__: f for f in (op1_bpe, op2_line_dedup, op4_url_filter, op5_decontamination, op6_fingerprints, op7_token_store, op8_substring_dedup, op9_language_id, op10_near_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_line_dedup": linededup.OP2_SQL, "op4_url_filter": urlfilter.oracle()}
+    return {"op2_line_dedup": linededup.OP2_SQL, "op4_url_filter": urlfilter.oracle(), "op8_substring_dedup": substrings.OP8_SQL}
