@@ -7,10 +7,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from netquarry.llm import bpe, decontaminate, fingerprint, langid, linededup, neardup, store, substrings, urlfilter
+from netquarry.llm import bpe, decontaminate, fingerprint, langid, linededup, lmscore, neardup, store, substrings, urlfilter
 from netquarry.llm.common import shared_dir, table
 
 
+def op3_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lmscore.op3_lm_score(table(spark, sf_dir, "documents"))
+
+
 def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlfilter.op4_url_filter(table(spark, sf_dir, "pages"))
 
@@ -55,7 +59,7 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_bpe, op2_line_dedup, op4_url_filter, op5_decontamination, op6_fingerprints, op7_token_store, op8_substring_dedup, op9_language_id, op10_near_dedup)}
+    return {f.__name__: f for f in (op1_bpe, op2_line_dedup, op3_lm_score, op4_url_filter, op5_decontamination, op6_fingerprints, op7_token_store, op8_substring_dedup, op9_language_id, op10_near_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
