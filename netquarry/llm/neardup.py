@@ -8,8 +8,9 @@ none is left. Bands of registers give candidate groups.
 
 From candidates to classes, without all pairs of a group:
 1. Texts with equal shingles form one class from the start; one representative of each goes on.
-2. In each group every member is compared with the group's leader (the same in most of its bands) by the exact Jaccard
-   similarity of the shingle sets; those at MIN_SIMILARITY or more are linked. Those that fail elect a second leader.
+2. In each group every member is compared with the group's leader by the exact Jaccard similarity of the shingle sets;
+   those at MIN_SIMILARITY or more are linked. The leader is the most central member: the one that meets most others over
+   all bands, as a text does that the others were made from. Those that fail elect another leader, ELECTIONS times in all.
 3. Groups whose members are then still in several classes are compared pair by pair across classes, except for pairs that
    the distances to the leader rule out (Jaccard distance is a metric). So no link between different texts of a group is lost.
 Classes are the connected components of the links, found by rounds of large-star and small-star steps on tables.
@@ -36,6 +37,8 @@ WIDTH = 5
 MIN_SIMILARITY = 0.8
 #: 20 bands of 5 registers find a pair at similarity 0.8 with probability 0.9996.
 BANDS, ROWS = 20, 5
+#: How often the members of a group that aren't near their leader elect another one.
+ELECTIONS = 3
 
 SIGNATURES = "doc_id long, content binary, bands array<long>"
 
@@ -140,7 +143,8 @@ def similarity(pairs: DataFrame, shingles: DataFrame) -> DataFrame:
                 got[i] = same / max(len(x) + len(y) - same, 1)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(got)], names=["a", "b", "similarity"])
 
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long, similarity double")
+    # shingles grow with the data, so neither side is for broadcasting
+    return pairs.hint("merge").join(left, "a").hint("merge").join(right, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long, similarity double")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -176,40 +180,45 @@ def classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", min_sim
     copies = made.groupBy("content").agg(F.min("doc_id").alias("rep"))
     member = stored(made.select("doc_id", "content").join(copies, "content").select("doc_id", "rep"))
     keyed = made.join(member.where("doc_id = rep").select("doc_id").distinct(), "doc_id").select("doc_id", F.posexplode("bands").alias("band", "key"))
-    # the groups of several representatives, and each group's leader: the smallest by a hash of the id
-    order = F.struct(F.xxhash64("doc_id").alias("h"), "doc_id")
-    electing = [F.min(order).getField("doc_id").alias("leader"), F.max(order).getField("doc_id").alias("other")]
-    groups = keyed.groupBy("band", "key").agg(*electing).where("leader <> other").drop("other")
-    grouped = stored(keyed.join(groups, ["band", "key"]))
+    # the groups of several representatives
+    several = keyed.groupBy("band", "key").agg(F.count("*").alias("n")).where("n > 1")
+    grouped = stored(keyed.join(several, ["band", "key"]))
+    # a text that the others were made from shares more of its groups with more of them: it leads
+    central = grouped.groupBy("doc_id").agg(F.sum("n").alias("central"))
+    told = stored(grouped.drop("n").join(central, "doc_id").withColumn("rank", F.struct(-F.col("central"), F.xxhash64("doc_id"), "doc_id")).drop("central"))
     candidates = grouped.select("doc_id").distinct()
-    shingles = stored(shingle_sets(docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).join(candidates, "doc_id", "left_semi")))
-    pair = in_pairs(F.col("doc_id"), F.col("leader"))
+    shingles = stored(shingle_sets(docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).join(candidates.hint("merge"), "doc_id", "left_semi")))
     near = F.col("similarity") >= min_similarity
-    first = stored(similarity(grouped.where("doc_id <> leader").select(*pair).distinct(), shingles))
     is_pair = (F.least("doc_id", "leader") == F.col("a")) & (F.greatest("doc_id", "leader") == F.col("b"))
-    told = stored(grouped.join(first, is_pair, "left").select("band", "key", "doc_id", "leader", F.coalesce("similarity", F.lit(1.0)).alias("s1")))
-    failed = told.where(F.col("s1") < min_similarity).drop("leader")
-    second = failed.groupBy("band", "key").agg(*electing).where("leader <> other").drop("other")
-    retried = failed.join(second, ["band", "key"]).where("doc_id <> leader").select(*pair).distinct().join(first, ["a", "b"], "left_anti")
-    again = stored(similarity(retried, shingles))
-    roots = stored(components(first.where(near).unionByName(again.where(near)).select("a", "b")))
+    waiting, done, rest = told, None, [grouped]
+    for turn in range(ELECTIONS):
+        leaders = waiting.groupBy("band", "key").agg(F.min("rank").getField("doc_id").alias("leader"), F.count("*").alias("n")).where("n > 1").drop("n")
+        led = waiting.join(leaders, ["band", "key"])
+        pairs = led.where("doc_id <> leader").select(*in_pairs(F.col("doc_id"), F.col("leader"))).distinct()
+        found = stored(similarity(pairs if done is None else pairs.join(done, ["a", "b"], "left_anti"), shingles))
+        done = found if done is None else done.unionByName(found)
+        compared = stored(led.join(done, is_pair, "left").select("band", "key", "doc_id", "rank", "leader", F.coalesce("similarity", F.lit(1.0)).alias("s1")))
+        rest += [found, compared]
+        if turn == 0:
+            first = compared
+        waiting = compared.where(F.col("s1") < min_similarity).drop("leader", "s1")
+    roots = stored(components(done.where(near).select("a", "b")))
     # groups that still hold several classes: pairs across them that the leader's distances allow; as most members are of
     # the leader's class, one of a pair is of another
-    placed = told.join(roots, F.col("doc_id") == F.col("node"), "left").select("band", "key", "doc_id", "leader", "s1", F.coalesce("root", "doc_id").alias("root"))
+    placed = first.join(roots, F.col("doc_id") == F.col("node"), "left").select("band", "key", "doc_id", "leader", "s1", F.coalesce("root", "doc_id").alias("root"))
     main = F.min(F.when(F.col("doc_id") == F.col("leader"), F.col("root"))).alias("main")
     mixed = placed.groupBy("band", "key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), main).where("lo <> hi").select("band", "key", "main")
-    rest = stored(placed.join(mixed, ["band", "key"]))
-    x, y = rest.where("root <> main").alias("x"), rest.alias("y")
+    several = stored(placed.join(mixed, ["band", "key"]))
+    x, y = several.where("root <> main").alias("x"), several.alias("y")
     gap = F.abs(F.col("x.s1") - F.col("y.s1")) <= 1 - min_similarity + 1e-9
     once = (F.col("y.root") == F.col("y.main")) | (F.col("x.doc_id") < F.col("y.doc_id"))
     cross = x.join(y, (F.col("x.band") == F.col("y.band")) & (F.col("x.key") == F.col("y.key")) & (F.col("x.root") != F.col("y.root")) & once & gap)
-    done = first.select("a", "b").unionByName(again.select("a", "b"))
     untold = cross.select(*in_pairs(F.col("x.doc_id"), F.col("y.doc_id"))).distinct().join(done, ["a", "b"], "left_anti")
     last = stored(similarity(untold, shingles))
     # copies are linked with their text's representative
-    links = first.unionByName(again).unionByName(last).where(near).select("a", "b").unionByName(member.where("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b")))
+    links = done.unionByName(last).where(near).select("a", "b").unionByName(member.where("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b")))
     final = stored(components(links))
-    dropped(made, shingles, grouped, told, rest, member, first, again, last)
+    dropped(made, member, told, shingles, *rest, roots, several, last)
     return ids.join(final, F.col("doc_id") == F.col("node"), "left").select("doc_id", F.when(F.col("doc_id").isNotNull(), F.coalesce("root", "doc_id")).alias("class_id"))
 
 
