@@ -70,10 +70,13 @@ def dropped(*tables: DataFrame) -> None:
         path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def blocks_for(df: DataFrame, text: str, target: int = 24 << 20) -> int:
-    """Number of blocks of at most about `target` bytes of text, at least the session's shuffle partitions."""
+def blocks_for(df: DataFrame, text: str, target: int = 16 << 20) -> int:
+    """Number of blocks of about `target` bytes of text, one for each core at least.
+
+    Blocks follow the data, not the shuffle partitions: many small ones would each repeat what they have in common.
+    """
     total = df.agg(F.sum(F.octet_length(text))).first()[0] or 0
-    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // target))
+    return max(df.sparkSession.sparkContext.defaultParallelism, -(-total // target))
 
 
 def on(left: DataFrame, right: DataFrame, key: str, how: str) -> DataFrame:
