@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from netquarry.llm.common import BYTES, blocks_for, crc_mod5, rolled, spans, steps, stored, texts
+from netquarry.llm.common import BYTES, blocks_for, crc_mod5, dropped, rolled, spans, steps, stored, texts
 
 ORDER = 5
 START, END = 0xFE, 0xFF
@@ -222,7 +222,8 @@ def pretrained(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", orde
     counts = stored(sent.groupBy("word", "key").agg(F.sum("n").alias("n")))
     train_tokens, distinct = counts.where("word and n > 0").agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     values = gram_values(counts, low_orders(counts), order).unionByName(counts.where("word").select("word", "key", F.col("n").cast("double").alias("value")))
-    own = sent.select("block", "word", "key").join(values, ["word", "key"]).select("block", "word", "key", "value")
+    own = stored(sent.select("block", "word", "key").join(values, ["word", "key"]).select("block", "word", "key", "value"))
+    dropped(sent, counts)
     return scored(blocks, own, train_tokens, distinct, order)
 
 
