@@ -1,11 +1,242 @@
-"""All queries of the flow library and their oracles, by name."""
+"""All queries of the flow library and their oracles, by name.
+
+Every query reads the `events` table through the adapter. Results are flat: times and lists as text, doubles rounded to
+six digits, so that both engines' rows compare.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from datetime import datetime
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from netquarry.functions import network as N
+from netquarry.operators import contract, detections, facts, hosts, ocsf, quality, serving, zones
+from netquarry.plans import adapter, contract_cases, oracles
+from netquarry.sources.reference import SITE_ZONES, reference_table
+
+LOADED_AT = datetime(2024, 3, 1)
+T = detections.Thresholds.of(
+    port_scan_min_distinct_ports=3, port_scan_min_failed_ratio=0.6, beaconing_min_connections=8, beaconing_max_cv=0.8, beaconing_max_interval_seconds=86_400,
+    exfiltration_min_bytes_out=300_000, exfiltration_min_upload_ratio=0.7, dns_tunneling_min_distinct_names=2, dns_tunneling_min_avg_label_length=6,
+)
+
+
+class Lake:
+    """The tables of one run, each built from the ones before it."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str) -> None:
+        self.spark, self.sf_dir = spark, sf_dir
+
+    def ref(self, name: str) -> DataFrame:
+        return reference_table(self.spark, name, SITE_ZONES if name == "network_zones" else None)
+
+    @property
+    def bronze(self) -> DataFrame:
+        return adapter.bronze(self.spark, self.sf_dir)
+
+    @property
+    def quarantine(self) -> DataFrame:
+        return adapter.quarantine(self.spark, self.sf_dir)
+
+    @property
+    def staged(self) -> DataFrame:
+        return facts.stage_flows(self.bronze)
+
+    @property
+    def facts(self) -> DataFrame:
+        return facts.fct_flows(self.staged, self.ref("network_zones"), self.ref("service_ports"), LOADED_AT)
+
+    @property
+    def hourly(self) -> DataFrame:
+        return facts.agg_traffic_hourly(self.facts)
+
+    @property
+    def hosts(self) -> DataFrame:
+        return hosts.dim_hosts(self.facts)
+
+    @property
+    def versions(self) -> DataFrame:
+        return hosts.host_names_scd2(self.facts)
+
+    @property
+    def batches(self) -> DataFrame:
+        return quality.dq_batches(self.staged, self.quarantine)
+
+    @property
+    def scans(self) -> DataFrame:
+        return detections.det_port_scan(self.facts, T)
+
+    @property
+    def beacons(self) -> DataFrame:
+        return detections.det_beaconing(self.facts, self.ref("detection_allowlist"), T)
+
+    @property
+    def uploads(self) -> DataFrame:
+        return detections.det_exfiltration(self.facts, T)
+
+    @property
+    def tunnels(self) -> DataFrame:
+        return detections.det_dns_tunneling(self.facts, T)
+
+    @property
+    def alerts(self) -> DataFrame:
+        return detections.fct_alerts(self.scans, self.beacons, self.uploads, self.tunnels, self.ref("detection_rules"), self.ref("mitre_techniques"), self.ref("detection_allowlist"))
+
+    @property
+    def incidents(self) -> DataFrame:
+        """Labelled incidents: every third event of `error` type, with a window of an hour."""
+        events = self.spark.read.parquet(f"{self.sf_dir}/events.parquet")
+        return events.where("event_id % 40 = 3").select(*[F.expr(e).alias(c) for c, e in oracles.INCIDENTS])
+
+
+def flat(df: DataFrame) -> DataFrame:
+    """Times, dates, lists and maps as text, doubles rounded, whole numbers as BIGINT."""
+    out = []
+    for name, kind in df.dtypes:
+        c = F.col(f"`{name}`")
+        if kind in ("timestamp", "date", "timestamp_ntz"):
+            c = c.cast("string")
+        elif kind.startswith("array<struct") or kind.startswith("map"):
+            c = F.to_json(c)
+        elif kind.startswith("array"):
+            c = F.array_join(c.cast("array<string>"), ",")
+        elif kind in ("double", "float") or kind.startswith("decimal"):
+            c = F.round(c.cast("double"), 6)
+        elif kind in ("tinyint", "smallint", "int"):
+            c = c.cast("bigint")
+        out.append(c.alias(name))
+    return df.select(*out)
+
+
+def _cols(df: DataFrame, names: str) -> DataFrame:
+    return df.select(*names.split())
+
+
+Q: dict[str, Callable[[Lake], DataFrame]] = {
+    # projections
+    "stg_flows": lambda x: _cols(x.staged, oracles.STAGED),
+    "protocol_name": lambda x: x.staged.groupBy("protocol", "protocol_name").agg(F.count("*").alias("flows")),
+    "flow_hour": lambda x: x.staged.groupBy("flow_hour").agg(F.count("*").alias("flows")),
+    "event_date": lambda x: x.staged.groupBy("event_date").agg(F.count("*").alias("flows")),
+    "app_protocol": lambda x: x.staged.groupBy("app_protocol").agg(F.count("*").alias("flows")),
+    "responder_name": lambda x: x.staged.groupBy("responder_name").agg(F.count("*").alias("flows")),
+    "has_warnings": lambda x: x.staged.groupBy("has_warnings").agg(F.count("*").alias("flows")),
+    "stg_quarantine": lambda x: facts.stage_quarantine(x.quarantine).drop("raw_record"),
+    "stg_network_zones": lambda x: _zones_in_use(x),
+    "ipv4_to_int": lambda x: facts.addresses(x.bronze).select("ip", N.ipv4_to_int(F.col("ip")).alias("n")),
+    "is_private_ipv6": lambda x: facts.addresses(x.bronze).select("ip", N.is_private_ipv6(F.col("ip")).alias("private")),
+    "parent_domain": lambda x: x.bronze.select(F.explode("dns_queries").alias("name")).select(N.parent_domain(F.lower("name")).alias("domain")).groupBy("domain").agg(F.count("*").alias("n")),
+    "direction": lambda x: x.facts.groupBy("direction", "initiator_is_internal", "responder_is_internal").agg(F.count("*").alias("flows")),
+    "service": lambda x: x.facts.groupBy("service", "protocol").agg(F.count("*").alias("flows")),
+    "payload_bytes": lambda x: x.facts.select("record_id", "payload_bytes"),
+    "ocsf_network_activity": lambda x: ocsf.flattened(ocsf.network_activity(x.facts)),
+    "alert_evidence": lambda x: x.scans.select("src_ip", "dst_ip", "window_start", "distinct_ports", F.round("failed_ratio", 3).alias("failed_ratio"), "sample_ports"),
+    # joins
+    "zone_lookup": lambda x: zones.zone_lookup(facts.addresses(x.bronze), x.ref("network_zones")),
+    "zone_attach": lambda x: facts.attach_zones(facts.dedupe_latest(x.staged).select("record_id", "initiator_ip", "responder_ip"), zones.zone_lookup(facts.addresses(x.bronze), x.ref("network_zones"))).select("record_id", "initiator_zone", "responder_zone"),
+    "service_attach": lambda x: facts.attach_services(facts.dedupe_latest(x.staged), x.ref("service_ports")).select("record_id", "service"),
+    "alert_rules": lambda x: x.alerts.groupBy("rule_id", "rule_name", "severity", "mitre_technique_id", "mitre_technique_name", "mitre_tactic").agg(F.count("*").alias("alerts")),
+    "allowlist_anti": lambda x: detections.allowed(x.uploads.select(F.lit("exfiltration").alias("rule_id"), "src_ip", "dst_ip", F.lit(None).cast("int").alias("dst_port"), "event_date"), oracles.allowlist(x.spark)).select("src_ip", "dst_ip", "event_date"),
+    "dq_full_outer": lambda x: _cols(x.batches, "batch_id records_accepted records_quarantined"),
+    "changed_hours_semi": lambda x: x.facts.join(_changed(x), "flow_hour", "left_semi").groupBy("flow_hour").agg(F.count("*").alias("flows")),
+    "incident_overlap": lambda x: serving.incident_overlap(x.alerts, x.incidents).select("alert_id", "incident_id", "rule_id"),
+    "renamed_hosts_semi": lambda x: x.versions.join(x.versions.groupBy("ip").count().where("count > 1").select("ip"), "ip", "left_semi").select("ip", "hostname", "version"),
+    "relationships": lambda x: quality.check_relationships(x.facts.select("record_id", "service"), "service", x.ref("service_ports"), "service").select("record_id", "service"),
+    "reconcile_cross": lambda x: x.facts.agg(F.count("*").alias("fact_flows")).join(x.hourly.agg(F.sum("flows").alias("hourly_flows")), F.lit(True)),
+    "dns_unnest": lambda x: detections.dns_queries(x.facts).groupBy("src_ip", "query").agg(F.count("*").alias("n")),
+    # aggregations
+    "agg_traffic_hourly": lambda x: x.hourly,
+    "dim_hosts": lambda x: x.hosts,
+    "det_port_scan": lambda x: x.scans,
+    "det_beaconing": lambda x: x.beacons,
+    "det_exfiltration": lambda x: x.uploads,
+    "det_dns_tunneling": lambda x: x.tunnels,
+    "dq_accepted": lambda x: quality.dq_accepted(x.staged),
+    "dq_rejected": lambda x: quality.dq_rejected(x.quarantine).drop("quarantine_reasons"),
+    "dq_batches": lambda x: x.batches.drop("quarantine_reasons"),
+    "quarantine_reasons": lambda x: quality.dq_rejected(x.quarantine).select("batch_id", F.explode("quarantine_reasons").alias("reason", "n")),
+    "scd2_named": lambda x: hosts.named_hours(x.facts),
+    "scd2_versions": lambda x: hosts.name_versions(hosts.islands(hosts.name_changes(hosts.dominant_names(hosts.named_hours(x.facts))))),
+    "rule_scores": lambda x: serving.rule_scores(x.alerts, x.incidents),
+    "missed_incidents": lambda x: serving.missed_incidents(x.alerts, x.incidents).select("incident_id"),
+    "false_alerts": lambda x: serving.false_alerts(x.alerts, x.incidents).select("alert_id"),
+    "quarantine_by_type": lambda x: serving.quarantine_by_type(x.quarantine),
+    "kpis": lambda x: serving.kpis(x.facts),
+    "host_counts": lambda x: serving.host_counts(x.hosts),
+    "hourly_by_direction": lambda x: serving.hourly_by_direction(x.hourly),
+    "batch_totals": lambda x: serving.batch_totals(x.batches),
+    "alerts_by_severity": lambda x: serving.alerts_by_severity(x.alerts),
+    "lake_quarantine_rate": lambda x: serving.lake_quarantine_rate(x.bronze, x.quarantine),
+    "upload_peak_median": lambda x: serving.upload_peak_median(x.hourly),
+    "source_freshness": lambda x: serving.source_freshness(x.bronze, LOADED_AT),
+    # windows
+    "dedupe_latest": lambda x: facts.dedupe_latest(x.staged).select("record_id", "ingested_at", "batch_id"),
+    "longest_prefix": lambda x: zones.zone_lookup_range(facts.addresses(x.bronze), x.ref("network_zones")),
+    "dominant_name": lambda x: hosts.dominant_names(hosts.named_hours(x.facts)),
+    "name_change_flag": lambda x: hosts.name_changes(hosts.dominant_names(hosts.named_hours(x.facts))),
+    "islands": lambda x: hosts.islands(hosts.name_changes(hosts.dominant_names(hosts.named_hours(x.facts)))),
+    "scd2": lambda x: x.versions,
+    "scd2_validity": lambda x: x.versions.select("ip", "version", "valid_from", "valid_to", "is_current"),
+    "connection_gaps": lambda x: detections.connection_gaps(x.facts),
+    "contiguity_check": lambda x: quality.check_scd2(x.versions.withColumn("valid_to", F.when(F.col("version") != 1, F.col("valid_to")))).select("ip", "problem"),
+    # sort, limit, top-k
+    "top_talkers": lambda x: serving.top_talkers(x.hosts),
+    "alerts_ranked": lambda x: serving.alerts_ranked(x.alerts).select("alert_id", "severity", "window_start"),
+    "renames": lambda x: serving.renamed_hosts(x.versions),
+    "quarantine_ranked": lambda x: serving.quarantine_by_type(x.quarantine),
+    "sample_ports": lambda x: x.scans.select("src_ip", "dst_ip", "window_start", "sample_ports"),
+    "alerts_by_time": lambda x: serving.alerts_by_time(x.alerts).select("window_start", "rule_id", "alert_id"),
+    # set operations
+    "addresses": lambda x: facts.addresses(x.bronze),
+    "endpoints": lambda x: hosts.endpoints(x.facts).groupBy("ip", "initiated").agg(F.count("*").alias("n"), F.sum("bytes_sent").alias("bytes_sent")),
+    "fct_flows": lambda x: _cols(x.facts, oracles.FACT),
+    "fct_alerts": lambda x: x.alerts.drop("evidence"),
+    "scd2_problems": lambda x: quality.check_scd2(x.versions).select("ip", "problem"),
+    "distinct_hours": lambda x: x.facts.select("flow_hour").distinct(),
+    "snapshot_equal": lambda x: serving.snapshot_difference(x.facts.select("record_id", "direction"), x.facts.where("direction <> 'inbound'").select("record_id", "direction")),
+    "dense_hour_axis": lambda x: serving.dense_hour_axis(x.hourly),
+    "hourly_windows": lambda x: x.facts.groupBy(F.window("first_seen", "1 hour").alias("w")).agg(F.count("*").alias("flows")).select("w.start", "w.end", "flows"),
+    "daily_windows": lambda x: x.facts.groupBy(F.window("first_seen", "1 day").alias("w")).agg(F.count("*").alias("flows")).select("w.start", "w.end", "flows"),
+    # checks
+    "check_not_null": lambda x: quality.check_not_null(x.facts.select("record_id", "responder_name"), "responder_name", "warn"),
+    "check_unique": lambda x: quality.check_unique(x.bronze, "record_id"),
+    "check_accepted_values": lambda x: quality.check_accepted_values(x.facts.select("record_id", "direction"), "direction", ["internal", "outbound", "inbound"]),
+    "check_relationships": lambda x: quality.check_relationships(x.facts.select("record_id", "service"), "service", x.ref("service_ports"), "service"),
+    "check_expression": lambda x: quality.check_expression(x.facts.select("record_id", "bytes_total", "packets_total"), "bytes_total > 1000 * packets_total", "warn"),
+    "check_reconciliation": lambda x: quality.check_reconciliation(x.facts, x.hourly.where("direction <> 'inbound'")),
+    "check_scd2": lambda x: quality.check_scd2(x.versions.where("version <> 2")),
+    "validate_zones": lambda x: quality.validate_zones(_event_zones(x)).select("zone", "cidr", "problem"),
+    # contract
+    "contract": lambda x: contract_cases.told(x.spark, x.sf_dir),
+    "contract_first_error": lambda x: contract_cases.told(x.spark, x.sf_dir).groupBy("error_type").agg(F.count("*").alias("records")),
+    "contract_bronze": lambda x: contract_cases.valid(x.spark, x.sf_dir).select("record_id", "flow_id", "initiator_ip", "first_seen", "bytes_total", "dns_queries", "tcp_state"),
+    "envelope_check": lambda x: contract_cases.envelopes(x.spark, x.sf_dir),
+}
+
+
+def _zones_in_use(x: Lake) -> DataFrame:
+    """Parsed zones with the number of distinct addresses in each range."""
+    found = zones.parse_zones(x.ref("network_zones"))
+    n = facts.addresses(x.bronze).select(N.ipv4_to_int(F.col("ip")).alias("n"))
+    return found.join(n, F.col("n").between(F.col("range_start"), F.col("range_end"))).groupBy("zone", "cidr", "is_internal", "prefix_length", "range_start", "range_end").agg(F.count("*").alias("addresses"))
+
+
+def _changed(x: Lake) -> DataFrame:
+    return x.bronze.where("batch_id like 'r-%'").select(F.date_trunc("hour", "first_seen").alias("flow_hour")).distinct()
+
+
+def _event_zones(x: Lake) -> DataFrame:
+    """A zone table of one row for each user of the events, some of them wrong."""
+    users = x.spark.read.parquet(f"{x.sf_dir}/events.parquet").select("user_id").distinct()
+    return users.select(*[F.expr(e).alias(c) for c, e in oracles.EVENT_ZONES])
+
 
-def queries() -> dict:
-    return {}
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return {name: (lambda spark, sf_dir, f=f: flat(f(Lake(spark, sf_dir)))) for name, f in Q.items()}
 
 
-def oracle_sql() -> dict:
-    return {}
+def oracle_sql() -> dict[str, str]:
+    return oracles.sql()
