@@ -11,9 +11,9 @@ From candidates to classes, without all pairs of a group:
 2. In each group every member is compared with the group's leader by the exact Jaccard similarity of the shingle sets;
    those at MIN_SIMILARITY or more are linked. The leader is the most central member: the one that meets most others over
    all bands, as a text does that the others were made from. Those that fail elect another leader, ELECTIONS times in all.
-3. Groups whose members are then still in several classes are compared pair by pair across classes, but for pairs that
-   the distances to the leader rule out (Jaccard distance is a metric) and pairs of which too few registers agree. No group
-   is cut, so a link can only be missed by the sketch (four pairs in 10,000 at similarity 0.8, fewer above).
+3. In groups whose members are then still in several classes, pairs across classes are found by prefix filtering on how
+   the members differ from the leader (see likely_pairs) and compared. No group is cut and no pair is ruled out that could
+   be at MIN_SIMILARITY, so a link can only be missed by the bands (four pairs in 10,000 at similarity 0.8, fewer above).
 Classes are the connected components of the links, found by rounds of large-star and small-star steps on tables.
 
 Words: runs of anything but white space, ASCII punctuation and controls; A-Z are lower-cased. Results for special rows:
@@ -38,12 +38,10 @@ WIDTH = 5
 MIN_SIMILARITY = 0.8
 #: 20 bands of 5 registers find a pair at similarity 0.8 with probability 0.9996.
 BANDS, ROWS = 20, 5
-#: Of BANDS * ROWS registers so many agree in a pair at similarity 0.8 but for one pair in a million.
-LIKELY = 60
 #: How often the members of a group that aren't near their leader elect another one.
 ELECTIONS = 3
 
-SIGNATURES = "doc_id long, content binary, bands array<long>, registers array<tinyint>"
+SIGNATURES = "doc_id long, content binary, bands array<long>"
 
 
 def weighted_shingles(values: list[bytes], width: int = WIDTH) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -84,10 +82,9 @@ def prob_min_hash(text: np.ndarray, shingle: np.ndarray, weight: np.ndarray, n:
 
 
 def signatures(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """(doc_id, content, bands, registers) of the documents that have words and an id.
+    """(doc_id, content, bands) of the documents that have words and an id.
 
-    content: 128-bit hash of the weighted shingles, equal for equal ones; bands: a hash of each band's registers;
-    registers: eight bits of each.
+    content: 128-bit hash of the weighted shingles, equal for equal ones; bands: a hash of each band's registers.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -111,9 +108,8 @@ def signatures(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", band
                     [
                         batch.column(0).slice(lo, n).take(pa.array(has)), pa.array([x.tobytes() for x in both], pa.binary()),
                         pa.ListArray.from_arrays(pa.array(np.arange(0, len(keys) + 1, bands), pa.int32()), pa.array(keys)),
-                        pa.ListArray.from_arrays(pa.array(np.arange(0, len(flat) + 1, bands * rows), pa.int32()), pa.array((mix(flat) & np.uint64(255)).astype(np.uint8).view(np.int8))),
                     ],
-                    names=["doc_id", "content", "bands", "registers"],
+                    names=["doc_id", "content", "bands"],
                 )
 
     return docs.where(F.col(doc_id).isNotNull()).select(F.col(doc_id).cast("long").alias("doc_id"), text).mapInArrow(run, SIGNATURES)
@@ -152,6 +148,57 @@ def similarity(pairs: DataFrame, shingles: DataFrame) -> DataFrame:
     return pairs.hint("merge").join(left, "a").hint("merge").join(right, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long, similarity double")
 
 
+def differences(members: DataFrame, shingles: DataFrame, min_similarity: float) -> DataFrame:
+    """(leader, e, at, n_differ, size, doc_id, root, main): how members (doc_id, leader, root, main) differ from their leader.
+
+    e: a shingle that only the member has, or one that only the leader has; those come after all of the first kind. Of the
+    sorted differences so many are told that a partner at min_similarity must share one of them: it shares all but a
+    quarter (at 0.8) of the member's size at least.
+    """
+    own = shingles.select(F.col("doc_id"), F.col("shingles").alias("x"))
+    lead = shingles.select(F.col("doc_id").alias("leader"), F.col("shingles").alias("y"))
+    spare = (1 - min_similarity) / min_similarity
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in (whole.slice(i, 256) for i in range(0, whole.num_rows, 256)):
+                told, n, size = [], [], []
+                for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist(), strict=True):
+                    x, y = np.unique(np.frombuffer(x, "<u4")), np.unique(np.frombuffer(y, "<u4"))
+                    only = np.concatenate([np.setdiff1d(x, y, True).astype(np.int64), np.setdiff1d(y, x, True).astype(np.int64) | (1 << 32)])
+                    told.append(only[: int(spare * len(x)) + 2])
+                    n.append(len(only))
+                    size.append(len(x))
+                k = np.array(list(map(len, told)), np.int64)
+                row = np.repeat(np.arange(len(told)), k)
+                at = np.arange(int(k.sum())) - np.repeat(np.cumsum(k) - k, k)
+                columns = {c: batch.column(c).take(pa.array(row)) for c in ("leader", "doc_id", "root", "main")}
+                columns |= {"e": pa.array(np.concatenate([*told, np.zeros(0, np.int64)])), "at": pa.array(at, pa.int32()), "n_differ": pa.array(np.array(n, np.int32)[row]), "size": pa.array(np.array(size, np.int32)[row])}
+                yield pa.RecordBatch.from_arrays([columns[c] for c in names], names=names)
+
+    names = ["leader", "e", "at", "n_differ", "size", "doc_id", "root", "main"]
+    both = members.hint("merge").join(own, "doc_id").hint("merge").join(lead, "leader").select("leader", "doc_id", "root", "main", "x", "y")
+    return both.mapInArrow(run, "leader long, e long, at int, n_differ int, size int, doc_id long, root long, main long")
+
+
+def likely_pairs(parts: DataFrame, min_similarity: float) -> DataFrame:
+    """Pairs (a, b) of different classes that may be at min_similarity; one of each is not of the leader's class.
+
+    x and y are at s or more iff their symmetric difference is at most (1-s)/(1+s) of the sum of their sizes. It is the
+    sum of both differences to the leader less twice what these share, so the sizes tell how much they must share, and of
+    two sorted lists that share m items the lists without their last m-1 items share one (prefix filtering). As x isn't
+    near the leader, m is above 0 for every y: no pair is lost.
+    """
+    x, y = parts.where("root <> main").alias("x"), parts.alias("y")
+    share = (1 - min_similarity) / (1 + min_similarity)
+    c = F.col
+    need = F.greatest((c("x.n_differ") + c("y.n_differ") - share * (c("x.size") + c("y.size"))) / 2 - 1e-6, F.lit(1.0))
+    fits = (c("x.at") <= c("x.n_differ") - need) & (c("y.at") <= c("y.n_differ") - need)
+    once = (c("y.root") == c("y.main")) | (c("x.doc_id") < c("y.doc_id"))
+    found = x.join(y, (c("x.leader") == c("y.leader")) & (c("x.e") == c("y.e")) & (c("x.root") != c("y.root")) & once & fits)
+    return found.select(*in_pairs(c("x.doc_id"), c("y.doc_id"))).distinct()
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, root) of every node of the links (a, b); root: the smallest node of its connected component.
 
@@ -208,23 +255,18 @@ def classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", min_sim
             first = compared
         waiting = compared.where(F.col("s1") < min_similarity).drop("leader", "s1")
     roots = stored(components(done.where(near).select("a", "b")))
-    # groups that still hold several classes: pairs across them that the leader's distances allow; as most members are of
-    # the leader's class, one of a pair is of another
-    placed = first.join(roots, F.col("doc_id") == F.col("node"), "left").select("band", "key", "doc_id", "leader", "s1", F.coalesce("root", "doc_id").alias("root"))
+    # groups that still hold several classes: pairs across them whose differences to the leader may agree enough
+    placed = first.join(roots, F.col("doc_id") == F.col("node"), "left").select("band", "key", "doc_id", "leader", F.coalesce("root", "doc_id").alias("root"))
     main = F.min(F.when(F.col("doc_id") == F.col("leader"), F.col("root"))).alias("main")
     mixed = placed.groupBy("band", "key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), main).where("lo <> hi").select("band", "key", "main")
-    several = stored(placed.join(mixed, ["band", "key"]).join(made.select("doc_id", "registers"), "doc_id"))
-    x, y = several.where("root <> main").alias("x"), several.alias("y")
-    gap = F.abs(F.col("x.s1") - F.col("y.s1")) <= 1 - min_similarity + 1e-9
-    once = (F.col("y.root") == F.col("y.main")) | (F.col("x.doc_id") < F.col("y.doc_id"))
-    agreeing = F.size(F.filter(F.zip_with("x.registers", "y.registers", lambda a, b: a == b), lambda same: same)) >= LIKELY
-    cross = x.join(y, (F.col("x.band") == F.col("y.band")) & (F.col("x.key") == F.col("y.key")) & (F.col("x.root") != F.col("y.root")) & once & gap & agreeing)
-    untold = cross.select(*in_pairs(F.col("x.doc_id"), F.col("y.doc_id"))).distinct().join(done, ["a", "b"], "left_anti")
+    several = placed.join(mixed, ["band", "key"]).where("doc_id <> leader").select("doc_id", "leader", "root", "main").distinct()
+    parts = stored(differences(several, shingles, min_similarity))
+    untold = stored(likely_pairs(parts, min_similarity).join(done, ["a", "b"], "left_anti"))
     last = stored(similarity(untold, shingles))
     # copies are linked with their text's representative
     links = done.unionByName(last).where(near).select("a", "b").unionByName(member.where("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b")))
     final = stored(components(links))
-    dropped(made, member, told, shingles, *rest, roots, several, last)
+    dropped(made, member, told, shingles, *rest, roots, parts, untold, last)
     return ids.join(final, F.col("doc_id") == F.col("node"), "left").select("doc_id", F.when(F.col("doc_id").isNotNull(), F.coalesce("root", "doc_id")).alias("class_id"))
 
 
