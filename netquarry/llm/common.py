@@ -88,19 +88,18 @@ def on(left: DataFrame, right: DataFrame, key: str, how: str) -> DataFrame:
 # ---------------------------------------------------------------- id ranges
 
 
-def ranged(df: DataFrame, parts: int, doc_id: str = "doc_id") -> DataFrame:
-    """df with columns `part` (0 .. parts-1, ascending by id ranges of about equal rows).
+def range_bounds(df: DataFrame, parts: int, doc_id: str = "doc_id") -> list[int]:
+    """Fewer than `parts` ids that cut df into ranges of about equal rows: all that passes through the driver.
 
-    Only the range bounds (fewer than `parts` numbers) pass through the driver. Null ids go to part 0.
+    Approximate percentiles may come out differently each time, so plans that must agree share one list.
     """
     shares = [i / parts for i in range(1, parts)]
-    found = df.agg(F.percentile_approx(doc_id, shares, 20 * parts)).first()[0] if parts > 1 else None
-    bounds = sorted(set(found or []))
-    part = F.lit(0)
-    if bounds:
-        # position of the id among the bounds: those at or below it
-        part = F.size(F.filter(F.array(*map(F.lit, bounds)), lambda b: b <= F.col(doc_id))) if len(bounds) <= 64 else _bisect(F.col(doc_id), bounds)
-        part = F.when(F.col(doc_id).isNull(), 0).otherwise(part)
+    return sorted(set((df.agg(F.percentile_approx(doc_id, shares, 20 * parts)).first()[0] if parts > 1 else None) or []))
+
+
+def ranged(df: DataFrame, bounds: list[int], doc_id: str = "doc_id") -> DataFrame:
+    """df with `part`: the number of bounds at or below its id, ascending by id. Null ids go to part 0."""
+    part = F.when(F.col(doc_id).isNull(), 0).otherwise(_bisect(F.col(doc_id), bounds))
     return df.withColumn("part", part.cast("int"))
 
 

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from netquarry.llm.common import blocks_for, mix, ranged, rolled
+from netquarry.llm.common import blocks_for, mix, range_bounds, ranged, rolled
 
 SLOTS = 128
 #: Phrases of level 1 have about 4 characters, each level about 3 to 4 times as many.
@@ -151,9 +151,10 @@ def with_next(docs: DataFrame, parts: int) -> DataFrame:
 
     What passes through the driver is one id for each part.
     """
-    placed = ranged(docs.select("doc_id", "text"), parts)
+    bounds = range_bounds(docs, parts)
+    placed = ranged(docs.select("doc_id", "text"), bounds)
     # the first id of each range, found without reading the texts; ranges without rows have none
-    first = ranged(docs.select("doc_id"), parts)
+    first = ranged(docs.select("doc_id"), bounds)
     rows = first.groupBy("part").agg(F.min("doc_id").alias("id"), F.max(F.col("doc_id").isNull()).alias("null")).orderBy("part").collect()
     follows = {rows[i]["part"]: (rows[i - 1]["part"], None if rows[i]["null"] else rows[i]["id"]) for i in range(len(rows))}
     if not follows:

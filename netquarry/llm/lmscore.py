@@ -86,38 +86,41 @@ def merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.n
     return keys[new], np.add.reduceat(n, new) if len(new) else n
 
 
-def log_probabilities(code: np.ndarray, n: np.ndarray, low: np.ndarray, order: int = ORDER, group: int = 2) -> np.ndarray:
-    """log10 probability of each distinct gram, given the training counts n of all grams that share the last `group` context bytes.
+def log_probabilities(code: np.ndarray, n: np.ndarray, low: np.ndarray, order: int = ORDER) -> np.ndarray:
+    """log10 probability of each distinct gram, given the training counts n of all grams that share the last two context bytes.
 
-    low: 256 x 256 training counts of byte pairs, for the orders below `group` (which must be 2, or 0 if the grams are all there are).
+    low: 256 x 256 training counts of byte pairs, which orders 1 and 0 come from; order is 2 at least.
     """
     symbol, out = code & 255, np.zeros(len(code))
     open_ = np.ones(len(code), bool)
-    longer: tuple | None = None  # of the next longer order: its context exists, distinct bytes, grams by row
+    single = low.sum(0)
+    tables = {1: low, 0: single[None, :]}
+    longer: tuple | None = None  # of the next longer order: its context exists, distinct bytes, contexts, grams, counts
     for k in range(order, -1, -1):
         context = (code >> 8) & ((1 << (8 * k)) - 1)
-        if k >= 2 or group == 0:
-            gram, row = np.unique((context << 8) | symbol, return_inverse=True)
-            count = np.bincount(row, n, len(gram)).astype(np.int64)
-            names, of = np.unique(gram >> 8, return_inverse=True)
+        gram = (context << 8) | symbol
+        if k >= 2:
+            grams_, row = np.unique(gram, return_inverse=True)
+            count = np.bincount(row, n, len(grams_)).astype(np.int64)
+            names, of = np.unique(grams_ >> 8, return_inverse=True)
             whole = np.bincount(of, count, len(names)).astype(np.int64)[of][row]
             distinct = np.bincount(of, count > 0, len(names)).astype(np.int64)[of][row]
             c = count[row]
         else:
-            table = low if k else low.sum(0, keepdims=True)
-            context = context if k else np.zeros(len(code), np.int64)
-            c = table[context, symbol].astype(np.int64)
-            whole, distinct = table.sum(1)[context].astype(np.int64), (table > 0).sum(1)[context].astype(np.int64)
+            table = tables[k]
+            c, whole, distinct = table[context, symbol], table.sum(1)[context], (table > 0).sum(1)[context]
         exists = whole > 0
-        if longer is None:
-            escape, total = DISCOUNT * distinct, whole
-        else:
+        escape, total = DISCOUNT * distinct, whole
+        if longer is not None:
             was, was_distinct, was_context, was_gram, was_count = longer
-            # counts at this order of the bytes that the longer context has: one row for each of its grams
-            _, one = np.unique(was_gram, return_index=True)
-            seen = one[was_count[one] > 0]
-            names, at = np.unique(was_context, return_inverse=True)
-            excluded = np.bincount(at[seen], c[seen], len(names)).astype(np.int64)[at]
+            if k == 0:
+                excluded = ((low > 0) @ single)[was_context]
+            else:
+                # counts at this order of the bytes that the longer context has: one row for each of its grams
+                _, one = np.unique(was_gram, return_index=True)
+                seen = one[was_count[one] > 0]
+                names, at = np.unique(was_context, return_inverse=True)
+                excluded = np.bincount(at[seen], c[seen], len(names)).astype(np.int64)[at]
             escape = DISCOUNT * np.where(was, distinct - was_distinct, distinct)
             total = np.where(was, whole - excluded, whole)
         hit = open_ & exists & (c > 0)
@@ -125,9 +128,8 @@ def log_probabilities(code: np.ndarray, n: np.ndarray, low: np.ndarray, order: i
         miss = open_ & exists & (c == 0) & (escape > 0)
         out[miss] += np.log10(escape[miss] / total[miss])
         open_ &= ~hit
-        longer = exists, distinct, context, (context << 8) | symbol, c
-    rest = ALPHABET - int((low.sum(0) > 0).sum())
-    out[open_] -= np.log10(max(rest, 1))
+        longer = exists, distinct, context, gram, c
+    out[open_] -= np.log10(max(ALPHABET - int((single > 0).sum()), 1))
     return out
 
 

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from netquarry.llm import bpe
-from netquarry.llm.common import BASE, UNBASE, blocks_for, dropped, mix, powers, ranged, stored
+from netquarry.llm.common import BASE, UNBASE, blocks_for, dropped, mix, powers, range_bounds, ranged, stored
 
 END_ID = 2
 #: The rolling hash covers this many ids and cuts once in AVERAGE places on average; chunks have at most LONGEST ids.
@@ -143,8 +143,8 @@ def chunked(docs: DataFrame, path: str, end_id: int = END_ID) -> DataFrame:
 
 def write(docs: DataFrame, path: str, folder: str, end_id: int = END_ID) -> None:
     """Encode documents (doc_id, text) and write the three tables into `folder`, which Spark can reach."""
-    parts = blocks_for(docs, "text")
-    made = stored(chunked(ranged(docs.select("doc_id", "text"), parts), path, end_id))
+    bounds = range_bounds(docs, blocks_for(docs, "text"))
+    made = stored(chunked(ranged(docs.select("doc_id", "text"), bounds), path, end_id))
     pairs = made.select(F.explode(F.arrays_zip("hashes", "chunks")).alias("c")).select(F.col("c.hashes").alias("hash"), F.col("c.chunks").alias("ids"))
     # the aggregate keeps one of each on the map side already; equal hashes have equal ids
     pairs.groupBy("hash").agg(F.any_value("ids").alias("ids")).write.option("compression", "zstd").parquet(f"{folder}/chunks")
