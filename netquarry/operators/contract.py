@@ -81,7 +81,7 @@ def _fields(root: str, path: str, spec: list, guard: Column | None) -> list[Colu
         text = value("string")
         number = t.rlike(r"^(BIGINT|DECIMAL|DOUBLE|FLOAT)")
         if kind == "int":
-            whole = t.rlike(r"^DECIMAL\(\d+,0\)$")
+            whole = t.rlike(r"^DECIMAL\((19|[23]\d),0\)$")  # a whole number beyond BIGINT; 1.0 is a shorter one
             n = value("bigint")
             below = F.when(whole, text.startswith("-")).otherwise(n < bound[0])
             above = F.when(whole, ~text.startswith("-")).otherwise(n > bound[1])
@@ -119,7 +119,7 @@ def _first_item(root: str, loc: str, kind: str, least: int | None) -> Column:
     """The first bad item of a list."""
     items = f"try_variant_get({root}, '$.{loc}', 'array<variant>')"
     text = f"CASE WHEN coalesce(schema_of_variant(x), 'VOID') <> 'STRING' THEN 'string_type' WHEN length(try_variant_get(x, '$', 'string')) < {least or 0} THEN 'string_too_short' END"
-    count = lambda x: f"CASE WHEN schema_of_variant({x}) RLIKE '^DECIMAL[(][0-9]+,0[)]$' THEN 'less_than_equal' WHEN coalesce(schema_of_variant({x}), 'VOID') <> 'BIGINT' THEN 'int_type' WHEN try_variant_get({x}, '$', 'bigint') < 0 THEN 'greater_than_equal' END"
+    count = lambda x: f"CASE WHEN schema_of_variant({x}) RLIKE '^DECIMAL[(](19|[23][0-9]),0[)]$' THEN 'less_than_equal' WHEN coalesce(schema_of_variant({x}), 'VOID') <> 'BIGINT' THEN 'int_type' WHEN try_variant_get({x}, '$', 'bigint') < 0 THEN 'greater_than_equal' END"
     if kind == "texts":
         rule, tail = text, "''"
     elif kind == "counts":

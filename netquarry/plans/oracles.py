@@ -255,6 +255,11 @@ def sql() -> dict[str, str]:
             "(SELECT ip, 'not contiguous' AS problem FROM (SELECT *, lead(valid_from) OVER (PARTITION BY ip ORDER BY version) AS after FROM versions WHERE version <> 2) WHERE after IS NOT NULL AND valid_to IS DISTINCT FROM after UNION ALL SELECT ip, 'not exactly one current version' FROM versions WHERE version <> 2 GROUP BY ip HAVING count(*) FILTER (WHERE is_current) <> 1)"),
         "validate_zones": f"WITH z AS (SELECT {zone} FROM (SELECT DISTINCT user_id FROM events)) "
             + problem("zone = ''", "zone is empty") + " UNION ALL " + problem("cidr LIKE '%:%' OR cidr LIKE '%/33'", "cidr is not an IPv4 network") + " UNION ALL " + problem("cidr LIKE '%.1.0/16'", "cidr has host bits set"),
+        "capture_documents": "SELECT 's1' AS sensor_id, 'valid' AS status, 'complete' AS completion_state, count(DISTINCT event_id % 20) AS documents, count(*) AS flows FROM events",
+        "explode_flows": "SELECT record_index, count(*) AS n FROM (SELECT row_number() OVER (PARTITION BY event_id % 20 ORDER BY event_id) - 1 AS record_index FROM events) GROUP BY 1",
+        "fct_flows_incremental": _select("fct", "record_id direction service bytes_total batch_id", "fct"),
+        "agg_hourly_incremental": _select("hourly", "hour_start direction protocol_name service flows packets bytes distinct_initiators distinct_responders", "hourly"),
+        "stream_to_bronze": f"SELECT coalesce({kind}, 'valid') AS outcome, count(*) AS records FROM events GROUP BY 1",
         "contract": f"SELECT event_id AS record_index, {kind} AS error_type FROM events",
         "contract_first_error": f"SELECT {kind} AS error_type, count(*) AS records FROM events GROUP BY 1",
         "contract_bronze": "SELECT substr(sha256(concat('s1', chr(31), 'capture-', CAST(event_id % 20 AS VARCHAR), chr(31), CAST(event_id + 1 AS VARCHAR))), 1, 32) AS record_id, event_id + 1 AS flow_id, concat('10.20.1.', CAST(user_id % 4 AS VARCHAR)) AS initiator_ip, "
