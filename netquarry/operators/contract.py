@@ -161,15 +161,20 @@ def cross_rules() -> Column:
 
 
 def checked(raw: DataFrame) -> DataFrame:
-    """raw (with `raw`: JSON text of one flow) with v, errors (array<struct<loc, type>>), error_type and error_message."""
+    """raw (with `raw`: JSON text of one flow) with v and error_type: the first error by one coalesce, which stops at it."""
     text = lambda name: F.expr(f"try_variant_get(v, '$.{name}.ip', 'string')")
     read = raw.withColumn("v", parsed(F.col("raw"))).withColumns({f"__ip_{x}": normalized_ip(text(x)) for x in ("initiator", "responder")})
-    # the first error by one coalesce, which stops at it; the list of all is only computed where the message is read
     error = F.coalesce(_not_object("v"), *_fields("v", "", FLOW, None), cross_rules())
-    fields = violations("v", FLOW)
-    every = F.when(F.size(fields) > 0, fields).otherwise(F.array(cross_rules()))
+    return read.withColumn("error_type", error["type"])
+
+
+def with_messages(invalid: DataFrame) -> DataFrame:
+    """Checked records with errors (array<struct<loc, type>>, in field order) and error_message, which names all of them."""
+    told = invalid.withColumn("__fields", violations("v", FLOW))
+    every = F.when(F.size("__fields") > 0, F.col("__fields")).otherwise(F.array_compact(F.array(cross_rules())))
     messages = F.create_map(*[F.lit(x) for pair in MESSAGES.items() for x in pair])
-    return read.withColumns({"error_type": error["type"], "errors": every}).withColumn("error_message", summary(F.col("errors"), messages))
+    named = told.withColumn("errors", every).withColumn("error_message", summary(F.col("errors"), messages)).drop("__fields")
+    return named.withColumn("error_message", F.coalesce("envelope_error", "error_message")) if "envelope_error" in invalid.columns else named
 
 
 def summary(errors: Column, messages: Column) -> Column:
@@ -212,7 +217,7 @@ def flattened(valid: DataFrame) -> DataFrame:
 
 def quarantined(invalid: DataFrame) -> DataFrame:
     names = [x.split()[0] for x in QUARANTINE.split(", ")]
-    return invalid.withColumn("raw_record", shortened(F.col("raw"), EVIDENCE_LIMIT)).select(*names)
+    return with_messages(invalid).withColumn("raw_record", shortened(F.col("raw"), EVIDENCE_LIMIT)).select(*names)
 
 
 def validate(raw: DataFrame) -> tuple[DataFrame, DataFrame]:

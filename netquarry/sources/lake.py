@@ -51,7 +51,8 @@ def commit(told: DataFrame, batches: DataFrame, lake: str) -> DataFrame:
     spark = told.sparkSession
     work = f"{lake}/_work/{uuid.uuid4().hex}"
     context = ["batch_id", "source", "sensor_id", "capture_id", "capture_file", "completion_state", "ingested_at", "record_index", "raw"]
-    told.select(*context, "v", "__ip_initiator", "__ip_responder", "error_type", "error_message").write.parquet(work)
+    envelope = [c for c in told.columns if c == "envelope_error"]
+    told.select(*context, "v", "__ip_initiator", "__ip_responder", "error_type", *envelope).write.parquet(work)
     done = spark.read.parquet(work)
     write_partitioned(contract.flattened(done.where("error_type is null")), lake, "flows")
     write_partitioned(contract.quarantined(done.where("error_type is not null")), lake, "quarantine")

@@ -52,7 +52,7 @@ def write_batch(batch: DataFrame, batch_number: int, lake: str, name: str) -> No
     )
     told = contract.checked(raw)
     # a bad envelope is the error, whatever the text looks like as a flow
-    told = told.withColumns({"error_type": F.coalesce("envelope_error", "error_type"), "error_message": F.coalesce("envelope_error", "error_message")})
+    told = told.withColumn("error_type", F.coalesce("envelope_error", "error_type"))
     row = spark.createDataFrame([(batch_id, "stream", f"{name}/{batch_number}", None, "ingested", None)], "batch_id string, source string, input_ref string, sensor_id string, status string, reason string")
     L.commit(told, row, lake)
 
