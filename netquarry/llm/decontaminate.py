@@ -1,17 +1,19 @@
-"""Benchmark decontamination with spaced seeds.
+"""Benchmark decontamination with seeds that no allowed overlap can miss.
 
-A spaced seed is a fixed mask over consecutive words: `1` positions are hashed, `0` positions are ignored, so a word that
-was substituted at an ignored position leaves the hash as it was. Benchmark items are hashed under every mask at every
-word; the hashes, with the words around them, are a query set. Documents are hashed the same way and looked up in it.
-Each hit fixes how the item lies in the document; along that line the words are compared, and the overlap counts if at
-least `min_share` of the item's words agree (items longer than `longest` words: of any stretch of that many words).
+An item overlaps a document if, laid along some line, at least `min_share` of the item's words agree (items longer than
+`longest` words: of any stretch of that many words). If k words may differ, then of k + 1 separate pieces of the item one
+is whole in the document, wherever the substitutions are. Each item is cut into such pieces, as long as they can be (two
+to four words at 0.8; items of up to four words are one piece); items longer than `longest` are cut into pieces of equal
+length all along, so that every stretch of `longest` words holds k + 1 of them. The hashes of the pieces, with the words
+around them, are a query set. Documents' words are hashed at the same lengths and looked up in it. Each hit fixes how the
+item lies in the document; along that line the words are compared.
 
 The query set is broadcast in blocks of at most BLOCK_WORDS words (a bound on what is sent, whatever the benchmark's
 size); each block is matched against all documents.
 
 Words: runs of anything but white space, ASCII punctuation and controls; A-Z are lower-cased. Results for special rows:
-null and empty texts match nothing; items with fewer words than the shortest mask are compared as a whole run of words
-(all must agree); items without words match nothing; very long texts are matched step by step without loss at the
+null and empty texts match nothing; items of up to four words must agree as a whole (0.8 of them is all of them); items
+without words match nothing; very long texts are matched step by step without loss at the
 seams, as a step ends between documents; a document matched by many items gets each item once; repeated rows get equal
 results; a null doc_id or item_id is kept as a value; other columns and clashing names don't matter, as only doc_id and
 text (item_id and text) are read.
@@ -19,6 +21,7 @@ text (item_id and text) are read.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,95 +31,97 @@ from pyspark.sql import functions as F
 
 from netquarry.llm.common import BREAKS, rolled, steps, texts, words
 
-#: Fixed masks: 8 of 11 or 12 positions count; two substitutions in a window miss some mask but not all of them.
-MASKS = ("11101011011", "110110010111", "111100101101")
 MIN_SHARE = 0.8
 LONGEST = 50
 BLOCK_WORDS = 1 << 20
+#: Lines that are compared at once.
+LINES = 1 << 13
 
 
-def spaced(hashes: np.ndarray, mask: str) -> np.ndarray:
-    """Hash of the counted words under the mask at each start (the last len(mask)-1 starts are left out)."""
-    n = max(len(hashes) - len(mask) + 1, 0)
-    total = np.zeros(n, np.uint64)
-    factor = np.uint64(0xC2B2AE3D27D4EB4F)
-    for k, bit in enumerate(mask):
-        if bit == "1":
-            total *= factor
-            total += hashes[k : k + n]
-            total ^= total >> np.uint64(29)
-    return total
+def pieces(n: int, min_share: float, longest: int) -> tuple[int, np.ndarray]:
+    """(length, starts) of the pieces of an item of n words: any allowed overlap leaves one of them whole."""
+    need = min(n, longest)
+    spoilt = need - max(math.ceil(min_share * need), 1)
+    if n <= longest:
+        length = n // (spoilt + 1)
+        return length, np.arange(spoilt + 1) * length
+    # a stretch holds (longest + 1) // length - 1 whole pieces at least, wherever it starts
+    length = (longest + 1) // (spoilt + 2)
+    return length, np.arange(0, n - length + 1, length)
 
 
 class QuerySet:
-    """One block of benchmark items: their words, and where each seed hash lies in them."""
+    """One block of benchmark items: their words, and where each piece's hash lies in them."""
 
-    def __init__(self, items: list[tuple[object, bytes]], masks: tuple[str, ...]) -> None:
+    def __init__(self, items: list[tuple[object, bytes]], min_share: float, longest: int) -> None:
         self.ids = [i for i, _ in items]
         self.hashes, self.bounds = words([t for _, t in items], BREAKS, lower=True)
-        self.masks = masks
+        self.min_share, self.longest = min_share, longest
         size = np.diff(self.bounds)
-        item = np.repeat(np.arange(len(items)), size)
+        self.item = np.repeat(np.arange(len(items)), size)
+        by_length: dict[int, list[np.ndarray]] = {}
+        for n in np.unique(size[size > 0]).tolist():
+            length, starts = pieces(n, min_share, longest)
+            by_length.setdefault(length, []).append((self.bounds[:-1][size == n][:, None] + starts).ravel())
         self.seeds = []
-        for mask in masks:
-            h = spaced(self.hashes, mask)
-            at = np.arange(len(h))
-            ok = at + len(mask) <= self.bounds[1:][item[: len(h)]]
-            self._add(h[ok], at[ok], mask)
-        # short items: one unmasked seed of their whole length
-        for n in sorted(set(size[(size > 0) & (size < min(map(len, masks)))].tolist())):
-            at = self.bounds[:-1][size == n]
-            self._add(rolled(self.hashes, at, at + n), at, n)
-        self.item = item
-
-    def _add(self, h: np.ndarray, at: np.ndarray, how: str | int) -> None:
+        for length, places in sorted(by_length.items()):
+            at = np.concatenate(places)
+            self._add(rolled(self.hashes, at, at + length), at, length)
+
+    def _add(self, h: np.ndarray, at: np.ndarray, length: int) -> None:
         order = np.argsort(h, kind="stable")
         h, at = h[order], at[order]
-        first = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]])) if len(h) else np.zeros(0, np.int64)
+        first = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
         bits = np.zeros(1 << 20, bool)
         bits[(h & np.uint64((1 << 20) - 1)).astype(np.int64)] = True
-        self.seeds.append((how, h[first], first, np.diff(np.append(first, len(h))), at, bits))
+        self.seeds.append((length, h[first], first, np.diff(np.append(first, len(h))), at, bits))
 
-    def matches(self, hashes: np.ndarray, bounds: np.ndarray, min_share: float, longest: int) -> list[tuple[int, int, int, int]]:
+    def matches(self, hashes: np.ndarray, bounds: np.ndarray) -> list[tuple[int, int, int, int]]:
         """(document, item, first word, agreeing words) of every verified overlap; the best of each document and item."""
-        lines = []
-        for how, keys, first, count, at, bits in self.seeds:
-            if not len(keys):
-                continue
-            if isinstance(how, str):
-                h = spaced(hashes, how)
-            else:
-                start = np.arange(max(len(hashes) - how + 1, 0))
-                h = rolled(hashes, start, start + how)
+        good = []
+        for length, keys, first, count, at, bits in self.seeds:
+            start = np.arange(max(len(hashes) - length + 1, 0))
+            h = rolled(hashes, start, start + length)
             place = np.flatnonzero(bits[(h & np.uint64((1 << 20) - 1)).astype(np.int64)])
             slot = np.searchsorted(keys, h[place])
             slot[slot == len(keys)] = 0
-            ok = keys[slot] == h[place]
-            place, slot = place[ok], slot[ok]
-            n = count[slot]
-            inside = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
-            where = at[np.repeat(first[slot], n) + inside]
-            lines.append(np.stack([np.repeat(place, n) - where, self.item[where], np.repeat(place, n)]))
-        if not lines:
+            doc = np.searchsorted(bounds, place, "right") - 1
+            ok = (keys[slot] == h[place]) & (place + length <= bounds[doc + 1])
+            place, slot, doc = place[ok], slot[ok], doc[ok]
+            ends = np.cumsum(count[slot])
+            for lo in range(0, int(ends[-1]) if len(ends) else 0, LINES):
+                line = np.arange(lo, min(lo + LINES, int(ends[-1])))
+                hit = np.searchsorted(ends, line, "right")
+                where = at[first[slot[hit]] + line - (ends[hit] - count[slot[hit]])]
+                good.append(self._verified(hashes, bounds, place[hit], doc[hit], where, length))
+        if not good:
             return []
-        shift, item, place = np.concatenate(lines, axis=1).astype(np.int64)
-        doc = np.searchsorted(bounds, place, "right") - 1
-        # one comparison for each line (document, item, shift)
-        _, pick = np.unique(np.stack([doc, item, shift]), axis=1, return_index=True)
-        best: dict[tuple[int, int], tuple[int, int]] = {}
-        for d, i, s in zip(doc[pick].tolist(), item[pick].tolist(), shift[pick].tolist(), strict=True):
-            lo, hi = int(self.bounds[i]), int(self.bounds[i + 1])
-            a, b = max(lo + s, int(bounds[d])), min(hi + s, int(bounds[d + 1]))
-            same = hashes[a:b] == self.hashes[a - s : b - s]
-            need = min(hi - lo, longest)
-            agree = int(same.sum())
-            if hi - lo > longest and len(same) >= longest:
-                total = np.concatenate([[0], np.cumsum(same)])
-                agree = int((total[longest:] - total[:-longest]).max())
-            short = hi - lo < min(map(len, self.masks))
-            if agree >= (need if short else min_share * need) and agree > best.get((d, i), (0, 0))[1]:
-                best[d, i] = (a - int(bounds[d]), agree)
-        return [(d, i, at, n) for (d, i), (at, n) in best.items()]
+        d, i, shift, at, agree = np.concatenate(good, axis=1)
+        order = np.lexsort((shift, -agree, i, d))
+        d, i, at, agree = d[order], i[order], at[order], agree[order]
+        best = np.concatenate([[True], (d[1:] != d[:-1]) | (i[1:] != i[:-1])]) if len(d) else np.zeros(0, bool)
+        return list(zip(d[best].tolist(), i[best].tolist(), at[best].tolist(), agree[best].tolist(), strict=True))
+
+    def _verified(self, hashes: np.ndarray, bounds: np.ndarray, place: np.ndarray, doc: np.ndarray, where: np.ndarray, length: int) -> np.ndarray:
+        """Rows document, item, shift, first word, agreeing words of the lines on which enough words agree."""
+        item, shift = self.item[where], place - where
+        lo, hi = self.bounds[item], self.bounds[item + 1]
+        a, b = np.maximum(lo + shift, bounds[doc]), np.minimum(hi + shift, bounds[doc + 1])
+        need = self.min_share * np.minimum(hi - lo, self.longest)
+        go = np.flatnonzero(b - a >= need)
+        doc, item, shift, place, a, b, need = (x[go] for x in (doc, item, shift, place, a, b, need))
+        # every stretch that holds the piece; in items of up to `longest` words that is the whole item
+        left, right = np.maximum(a, place + length - self.longest), np.minimum(b, place + self.longest)
+        span = max(int((right - left).max(initial=0)), self.longest)
+        grid = left[:, None] + np.arange(span)
+        inside = grid < right[:, None]
+        grid = np.where(inside, grid, place[:, None])
+        same = (hashes[grid] == self.hashes[grid - shift[:, None]]) & inside
+        total = np.zeros((len(go), span + 1), np.int32)
+        np.cumsum(same, axis=1, out=total[:, 1:])
+        agree = (total[:, self.longest :] - total[:, : span + 1 - self.longest]).max(1).astype(np.int64)
+        ok = agree >= need
+        return np.stack([doc, item, shift, a - bounds[doc], agree])[:, ok]
 
 
 def blocks(items: DataFrame, item_id: str, text: str) -> Iterator[list[tuple[object, bytes]]]:
@@ -132,20 +137,20 @@ def blocks(items: DataFrame, item_id: str, text: str) -> Iterator[list[tuple[obj
     yield block
 
 
-def overlaps(docs: DataFrame, items: DataFrame, text: str = "text", doc_id: str = "doc_id", item_id: str = "item_id", masks: tuple[str, ...] = MASKS, min_share: float = MIN_SHARE, longest: int = LONGEST) -> DataFrame:
+def overlaps(docs: DataFrame, items: DataFrame, text: str = "text", doc_id: str = "doc_id", item_id: str = "item_id", min_share: float = MIN_SHARE, longest: int = LONGEST) -> DataFrame:
     """(doc_id, item_id, first_word, n_agree): every document that holds a verified overlap with a benchmark item."""
     spark = docs.sparkSession
     kinds = {f.name: f.dataType.simpleString() for f in docs.schema.fields}, {f.name: f.dataType.simpleString() for f in items.schema.fields}
     schema = f"doc_id {kinds[0][doc_id]}, item_id {kinds[1][item_id]}, first_word long, n_agree long"
     out = None
     for block in blocks(items, item_id, text):
-        sent = spark.sparkContext.broadcast(QuerySet(block, masks))
+        sent = spark.sparkContext.broadcast(QuerySet(block, min_share, longest))
 
         def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 values, ids = texts(batch.column(1)), batch.column(0)
                 for lo, hi in steps(values):
-                    found = sent.value.matches(*words(values[lo:hi], BREAKS, lower=True), min_share, longest)
+                    found = sent.value.matches(*words(values[lo:hi], BREAKS, lower=True))
                     if found:
                         d, i, at, n = zip(*found, strict=True)
                         names = pa.array([sent.value.ids[x] for x in i])

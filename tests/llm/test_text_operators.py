@@ -177,6 +177,36 @@ def test_decontamination_in_blocks(spark, monkeypatch):
     assert by_id(decontaminate.op5_decontamination(docs, bench), "item_ids") == whole == {i: ([i],) for i in range(6)}
 
 
+def test_decontamination_finds_every_allowed_overlap(spark):
+    """Random substitutions at 0.8 for items of every length; one more and the item isn't there."""
+    pick, items, texts, want = random.Random(6), [], [], {}
+    for n in range(1, 61):
+        word = [f"i{n}w{k}" for k in range(n)]
+        items.append((n, " ".join(word)))
+        need = min(n, 50)
+        spoilt = need - -(-need * 4 // 5)
+        for turn in range(8):
+            start = pick.randrange(n - need + 1)
+            gone = set(pick.sample(range(start, start + need), spoilt + turn % 2)) | set(range(n)) - set(range(start, start + need))
+            if turn % 2 == 0:
+                want[len(texts)] = ([n],)
+            texts.append(" ".join(["before"] * pick.randrange(9) + [f"x{k}" if k in gone else x for k, x in enumerate(word)] + ["after"]))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    assert by_id(decontaminate.op5_decontamination(docs, bench), "item_ids") == want
+
+
+def test_decontamination_pieces_leave_one_whole():
+    pick = random.Random(7)
+    for n in [*range(1, 61), 200]:
+        length, starts = decontaminate.pieces(n, 0.8, 50)
+        need = min(n, 50)
+        for _ in range(200):
+            lo = pick.randrange(n - need + 1)
+            gone = set(pick.sample(range(lo, lo + need), need - -(-need * 4 // 5)))
+            assert any(lo <= s and s + length <= lo + need and not gone & set(range(s, s + length)) for s in starts.tolist())
+
+
 def test_fingerprints(docs):
     found = by_id(fingerprint.op6_fingerprints(docs), "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next")
     texts = [t or "" for t in TEXTS]
