@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from netquarry.operators import incremental
@@ -17,13 +17,29 @@ from netquarry.streaming import bronze
 _RUNS = [datetime(2024, 3, 1), datetime(2024, 3, 2), datetime(2024, 3, 3)]
 
 
+#: Most flows in one capture document, about 4 MB of JSON.
+FLOWS_A_DOCUMENT = 4000
+_CAPTURES = 20
+
+
 def landing(spark: SparkSession, sf_dir: str) -> str:
-    """The contract cases of `events` as capture documents, one file for each of 20 captures; returns their folder."""
-    raw = contract_cases.raw(spark, sf_dir)
-    flows = F.array_join(F.collect_list("raw"), ",")  # a document holds its flows, as the files of a capture tool do
-    documents = raw.groupBy("batch_id").agg(F.concat(F.lit('{"capture":{"file_name":"c.pcap"},"completion_state":"complete","flows":['), flows, F.lit("]}")).alias("value"))
+    """The contract cases of `events` as capture documents, one file each; returns their folder.
+
+    A capture goes on in as many documents as it needs, as the files of a capture tool that starts a new one at a fixed
+    size; file_name tells the capture and the number of its flows in the documents before.
+    """
+    part = F.expr(f"record_index div {_CAPTURES * FLOWS_A_DOCUMENT}")
+    raw = contract_cases.raw(spark, sf_dir).withColumn("part", part)
+    # one row a document, not a flow, comes to the window
+    sizes = raw.groupBy("batch_id", "part").agg(F.count("*").alias("n"))
+    before = F.coalesce(F.sum("n").over(Window.partitionBy("batch_id").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    first = sizes.select("batch_id", "part", before.cast("string").alias("first"))
+    flows = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("record_index", "raw"))), lambda x: x.raw), ",")
+    documents = raw.groupBy("batch_id", "part").agg(flows.alias("flows")).join(first, ["batch_id", "part"])
+    head = F.concat(F.lit('{"capture":{"file_name":"'), "batch_id", F.lit("_"), "first", F.lit('.pcap"},"completion_state":"complete","flows":['))
+    value = documents.select(F.concat(head, "flows", F.lit("]}")).alias("value"), F.lit("s1").alias("sensor"), "batch_id", "part")
     path = L.work_dir(spark, "landing")
-    documents.withColumn("sensor", F.lit("s1")).repartition("batch_id").write.partitionBy("sensor", "batch_id").text(f"{path}/out")
+    value.repartition("batch_id", "part").write.partitionBy("sensor", "batch_id", "part").text(f"{path}/out")
     # text files get the suffix of captures by name only: they are read by their folder
     return f"{path}/out"
 
@@ -34,11 +50,15 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def capture_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return documents(spark, sf_dir).groupBy("sensor_id", "status", "completion_state").agg(F.count("*").alias("documents"), F.sum(F.size("flows")).cast("bigint").alias("flows"))
+    """The documents of one capture count as one."""
+    capture = F.coalesce(F.nullif(F.regexp_extract("capture_file", r"^(.*)_\d+\.pcap$", 1), F.lit("")), F.col("path"))
+    return documents(spark, sf_dir).groupBy("sensor_id", "status", "completion_state").agg(F.count_distinct(capture).alias("documents"), F.sum(F.size("flows")).cast("bigint").alias("flows"))
 
 
 def explode_flows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return captures.explode_flows(documents(spark, sf_dir)).groupBy("record_index").agg(F.count("*").alias("n"))
+    """record_index counts on through the documents of a capture."""
+    first = F.regexp_extract("capture_file", r"_(\d+)\.pcap$", 1).cast("bigint")
+    return captures.explode_flows(documents(spark, sf_dir)).groupBy((first + F.col("record_index")).alias("record_index")).agg(F.count("*").alias("n"))
 
 
 def _loads(spark: SparkSession, sf_dir: str) -> str:

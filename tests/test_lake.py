@@ -1,6 +1,7 @@
 import json
 
 from netquarry.operators.serving import batch_summary, snapshot_difference
+from netquarry.plans import stored
 from netquarry.sources import captures
 from netquarry.sources import lake as L
 from netquarry.streaming import bronze
@@ -33,6 +34,17 @@ def test_discovery_status_and_sensor(spark, tmp_path):
     assert {r["format"] for r in captures.capture_inventory(files).where("path like '%PCAP'").collect()} == {"pcapng"}
 
 
+def test_capture_documents_are_of_bounded_size(spark, monkeypatch):
+    sf = "/root/testdata/sf0.001"
+    monkeypatch.setattr(stored, "FLOWS_A_DOCUMENT", 7, raising=False)
+    ids = [r["event_id"] for r in spark.read.parquet(f"{sf}/events.parquet").select("event_id").collect()]
+    held = sorted(len(r["flows"]) for r in stored.documents(spark, sf).collect())
+    assert held[-1] <= 7 and sum(held) == len(ids) and len(held) == len({(i % 20, i // 140) for i in ids}) > 20
+    assert [tuple(r) for r in stored.capture_documents(spark, sf).collect()] == [("s1", "valid", "complete", 20, len(ids))]
+    sizes = [sum(i % 20 == k for i in ids) for k in range(20)]
+    assert {r["record_index"]: r["n"] for r in stored.explode_flows(spark, sf).collect()} == {k: sum(n > k for n in sizes) for k in range(max(sizes))}
+
+
 def test_ingest_is_idempotent(spark, tmp_path):
     path, lake = landing(tmp_path), f"{tmp_path}/lake"
     assert L.table(spark, lake, "flows").isEmpty()
