@@ -1,10 +1,12 @@
 """Near-duplicate documents by ProbMinHash, banding and verification.
 
-Shingles are runs of five words (a text of fewer words is one shingle), weighted by how often they occur. For each shingle
-arrivals of a Poisson process, whose rate is its weight, fall on the registers of the signature at random; a register
-keeps the shingle that arrived first, so two documents agree in a register with the probability Jaccard similarity of
-their weights. A shingle is dropped as soon as its next arrival would be later than every register's: after a few rounds
-none is left. Bands of registers give candidate groups.
+Shingles are runs of five words (a text of fewer words is one shingle). Each distinct one counts once, for candidates as
+for verification: how often a passage is repeated makes no difference. For each shingle arrivals of a Poisson process,
+whose rate is its weight, fall on the registers of the signature at random; a register keeps the shingle that arrived
+first, so two documents agree in a register with the probability Jaccard similarity of their weights. All weights are 1
+here, with which that is the Jaccard similarity of the shingle sets, the one that is verified. A shingle is dropped as
+soon as its next arrival would be later than every register's: after a few rounds none is left. Bands of registers give
+candidate groups.
 
 From candidates to classes, without all pairs of a group:
 1. Texts with equal shingles form one class from the start; one representative of each goes on.
@@ -84,26 +86,26 @@ def prob_min_hash(text: np.ndarray, shingle: np.ndarray, weight: np.ndarray, n:
 def signatures(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """(doc_id, content, bands) of the documents that have words and an id.
 
-    content: 128-bit hash of the weighted shingles, equal for equal ones; bands: a hash of each band's registers.
+    content: 128-bit hash of the distinct shingles, equal for equal ones; bands: a hash of each band's registers.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             values = texts(batch.column(1))
             for lo, hi in steps(values):
-                which, h, weight = weighted_shingles(values[lo:hi])
+                which, h, _ = weighted_shingles(values[lo:hi])
                 n = hi - lo
                 size = np.bincount(which, minlength=n)
                 has = np.flatnonzero(size)
                 if not len(has):
                     continue
-                found = prob_min_hash(which, h, weight, n, bands * rows)[has]
+                found = prob_min_hash(which, h, np.ones(len(h)), n, bands * rows)[has]
                 start = np.arange(0, bands * rows, rows)
                 flat = found.ravel()
                 at = (np.arange(len(has))[:, None] * (bands * rows) + start).ravel()
                 keys = rolled(flat, at, at + rows).view(np.int64)
                 ends = np.concatenate([[0], np.cumsum(size)])
-                both = np.stack([rolled(h, ends[:-1][has], ends[1:][has]), rolled(mix(h ^ (weight.astype(np.uint64) << np.uint64(40))), ends[:-1][has], ends[1:][has])], axis=1)
+                both = np.stack([rolled(h, ends[:-1][has], ends[1:][has]), rolled(mix(h), ends[:-1][has], ends[1:][has])], axis=1)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(lo, n).take(pa.array(has)), pa.array([x.tobytes() for x in both], pa.binary()),

@@ -332,6 +332,17 @@ def test_near_dedup(spark):
     assert {r["doc_id"] for r in neardup.keep_one(docs).collect()} == {c * 2 for c in want}
 
 
+def test_near_dedup_where_a_passage_is_repeated(spark):
+    texts = []
+    for k in range(24):
+        base = prose(200 + k, 200).split()
+        texts += [" ".join(base), " ".join(base[:60] + base[26:60] * (10 + k % 3 * 10) + base[60:])]
+    want = near_classes(texts)
+    assert want == [i - i % 2 for i in range(len(texts))]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert by_id(neardup.op10_near_dedup(docs), "class_id") == {i: (c,) for i, c in enumerate(want)}
+
+
 def test_pairs_across_classes_by_differences(spark):
     """Prefix filtering finds every pair at 0.8 among texts that aren't near their leader."""
     pick, base = random.Random(4), prose(70, 200).split()
