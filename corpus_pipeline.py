@@ -17,7 +17,7 @@ from netquarry.llm.registry import tokenizer_path
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps documents in a learned language; lang stays as given."""
+    """Keeps documents with a letter, whatever their language; lang stays as given."""
     return langid.keep_identified(docs, docs.select("text", "lang"))
 
 
