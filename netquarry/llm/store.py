@@ -3,14 +3,18 @@
 The ids of a document are cut into chunks where a rolling hash over the last ids says so, so an insertion moves the cuts
 near it only. Parquet tables in one folder (and `format`, with the width of an id):
 
-- chunks: (hash, ids): every distinct chunk once; ids: little-endian unsigned integers of 16 bits, or of 32 bits for
+- chunks: (hash, ids, root, at, shared): every distinct chunk once, with a document (by its root) and a place in it that
+  has the chunk; shared: other places have it too. ids: little-endian unsigned integers of 16 bits, or of 32 bits for
   vocabularies of over 65,536 ids.
 - recipes: (part, doc_id, start, n_tokens, hashes, root): for each document, ascending by doc_id, its chunk hashes and the
-  Merkle root over them; start counts the ids of all documents before it. `part` is a range of ids, one file group each.
+  Merkle root over them; start counts the ids of all documents before it. `part` is a range of ids.
 - manifest: (part, documents, n_tokens, root): for each part the Merkle root over its documents' roots.
 
-Reading joins recipes with chunks, puts the chunks in order and verifies chunk hashes, document roots and lengths; any
-difference is an error naming the document. Documents with the same recipe share its reconstruction.
+Reading sends each chunk to the place that it names; only shared chunks are joined with the recipes for their other
+places, so the ids are shuffled once. It puts the chunks of a document in order and verifies chunk hashes, document roots
+and lengths; any difference is an error naming the document. Documents with the same recipe share its reconstruction.
+
+The library encodes each distinct word once for a worker's table (see bpe.WordTable).
 
 Results for special rows: null and empty texts hold the end id alone; very long texts are many chunks; repeated rows and
 ties of doc_id are ordered by the ids' root, equal ones have places of their own; null ids come first; an empty table
@@ -21,17 +25,19 @@ from __future__ import annotations
 
 import hashlib
 import os
-import re
+import secrets
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, normalizers
 
 from netquarry.llm import bpe
-from netquarry.llm.common import BASE, UNBASE, blocks_for, dropped, mix, powers, range_bounds, ranged, stored
+from netquarry.llm.common import BASE, UNBASE, blocks_for, dropped, mix, powers, shuffles_cleaned, stored
 
 END_ID = 2
 #: The rolling hash covers this many ids and cuts once in AVERAGE places on average; chunks have at most LONGEST ids.
@@ -39,42 +45,45 @@ SPAN, AVERAGE, LONGEST = 16, 256, 2048
 HASH_BYTES = 16
 
 
+#: Bytes of text in a part of the recipes, and parts in a group whose totals are summed first.
+PART, GROUP = 256 << 20, 1024
+
+
 class Library:
-    """The tokenizers library's encoder; it gets each white-space separated chunk of a task once."""
+    """The tokenizers library as the encoder of a table of words."""
 
     def __init__(self, path: str) -> None:
         with open(path, "rb") as f:
             self.source = f.read()
+        self.splitter = bpe.vocabulary(path).splitter
         self.load()
 
     def load(self) -> None:
-        self.table: bpe.ChunkTable | None = None
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_buffer(self.source)
         self.tokenizer.no_padding()
         self.tokenizer.no_truncation()
-        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        # words come normalized as parts of their text; alone some would come out otherwise
+        self.tokenizer.normalizer = normalizers.Sequence([])
+        self.special = [self.tokenizer.token_to_id(x) for x in self.splitter.marks]
         self.width = 2 if self.tokenizer.get_vocab_size() <= 65536 else 4
+        self.table = bpe.WordTable(self.splitter, self.learn)
 
     def __getstate__(self) -> dict:
-        return {"source": self.source}
+        return {"source": self.source, "splitter": self.splitter}
 
     def __setstate__(self, state: dict) -> None:
-        self.source = state["source"]
+        self.source, self.splitter = state["source"], state["splitter"]
         self.load()
 
-    def chunks(self, text: str) -> list[str]:
-        """Parts that the library encodes apart anyway: it drops white space and never joins across it."""
-        if any(t in text for t in self.special) or _CONTROLS.search(text):
-            return [text]
-        return (text.lower() if text.isascii() else text).split()
-
-    def encode_chunks(self, chunks: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)]
-
-
-#: White space for str.split() but not for the tokenizer's pattern.
-_CONTROLS = re.compile("[\x1c-\x1f]")
+    def learn(self, buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        raw, special = buf.tobytes(), buf[starts] >= bpe.MARK
+        words = ["" if k else raw[a:b].decode() for a, b, k in zip(starts.tolist(), ends.tolist(), special.tolist(), strict=True)]
+        ids = [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+        for k in np.flatnonzero(special).tolist():
+            ids[k] = [self.special[int(buf[starts[k]]) - bpe.MARK]]
+        size = np.fromiter(map(len, ids), np.int64, len(ids))
+        return np.fromiter(chain.from_iterable(ids), np.int32, int(size.sum())), size
 
 
 def cuts(flat: np.ndarray, bounds: np.ndarray) -> np.ndarray:
@@ -100,27 +109,54 @@ def digest(data: bytes) -> bytes:
     return hashlib.blake2b(data, digest_size=HASH_BYTES).digest()
 
 
+class Merkle:
+    """Root of the binary hash tree over the leaves added, whose level and order count; of no leaves: the hash of nothing.
+
+    It holds one hash for each level, however many leaves there are.
+    """
+
+    def __init__(self) -> None:
+        self.waiting: list[bytes | None] = []
+
+    def add(self, leaf: bytes) -> None:
+        for level, left in enumerate(self.waiting):
+            if left is None:
+                self.waiting[level] = leaf
+                return
+            leaf, self.waiting[level] = digest(b"\x00" + left + leaf), None
+        self.waiting.append(leaf)
+
+    def root(self) -> bytes:
+        tail = None
+        for level, left in enumerate(self.waiting):
+            last = level == len(self.waiting) - 1
+            if left is not None and tail is not None:
+                tail = digest(b"\x00" + left + tail)
+            elif left is not None:
+                tail = left if last else digest(b"\x00" + left)
+            elif tail is not None:
+                tail = digest(b"\x00" + tail)
+        return digest(b"\x01" + (digest(b"") if tail is None else tail))
+
+
 def merkle(hashes: list[bytes]) -> bytes:
-    """Root of the binary hash tree over the leaves, whose level and order count; of no leaves: the hash of nothing."""
-    level = list(hashes) or [digest(b"")]
-    while True:
-        if len(level) == 1:
-            return digest(b"\x01" + level[0])
-        level = [digest(b"\x00" + b"".join(level[i : i + 2])) for i in range(0, len(level), 2)]
+    tree = Merkle()
+    for x in hashes:
+        tree.add(x)
+    return tree.root()
 
 
 def chunked(docs: DataFrame, path: str, end_id: int = END_ID) -> DataFrame:
-    """(part, doc_id, n_tokens, hashes, root, chunks): chunks: the ids of each chunk, aligned with hashes."""
+    """(doc_id, tie, n_tokens, hashes, root, chunks): chunks: the ids of each chunk, aligned with hashes; tie: a random number."""
     sent = docs.sparkSession.sparkContext.broadcast(Library(path))
     kind = dict(docs.dtypes)["doc_id"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = sent.value
-        if vocabulary.table is None:  # kept by the worker from task to task
-            vocabulary.table = bpe.ChunkTable(vocabulary.encode_chunks)
+        pick = np.random.default_rng(secrets.randbits(64))
         for whole in batches:
             for batch in (whole.slice(i, 256) for i in range(0, whole.num_rows, 256)):
-                flat, n = vocabulary.table.ids([vocabulary.chunks(x or "") for x in batch.column(2).to_pylist()])
+                flat, n = vocabulary.table.encode(batch.column(1).to_pylist())
                 bounds = np.concatenate([[0], np.cumsum(n)])
                 flat = np.insert(flat, bounds[1:], end_id)
                 bounds += np.arange(len(bounds))
@@ -133,39 +169,76 @@ def chunked(docs: DataFrame, path: str, end_id: int = END_ID) -> DataFrame:
                 of = np.concatenate([[0], of])
                 roots = [merkle(hashes[a:b]) for a, b in zip(of[:-1], of[1:], strict=True)]
                 offsets = pa.array(of, pa.int32())
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), batch.column(1), pa.array(np.diff(bounds), pa.int64()), pa.ListArray.from_arrays(offsets, pa.array(hashes, pa.binary())), pa.array(roots, pa.binary()), pa.ListArray.from_arrays(offsets, pa.array(pieces, pa.binary()))],
-                    names=["part", "doc_id", "n_tokens", "hashes", "root", "chunks"],
-                )
+                lists = [pa.ListArray.from_arrays(offsets, pa.array(x, pa.binary())) for x in (hashes, pieces)]
+                columns = [batch.column(0), pa.array(pick.integers(1 << 62, size=len(n))), pa.array(np.diff(bounds), pa.int64()), lists[0], pa.array(roots, pa.binary()), lists[1]]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "tie", "n_tokens", "hashes", "root", "chunks"])
 
-    return docs.select("part", "doc_id", "text").mapInArrow(run, f"part int, doc_id {kind}, n_tokens long, hashes array<binary>, root binary, chunks array<binary>")
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, tie long, n_tokens long, hashes array<binary>, root binary, chunks array<binary>")
+
+
+def placed(recipes: DataFrame, parts: int) -> DataFrame:
+    """recipes with part and upto (the part's ids up to each document, itself included); parts are ranges of doc_id, each in order."""
+    kind = dict(recipes.dtypes)["doc_id"]
+    order = [F.asc_nulls_first("doc_id"), F.asc("root"), F.asc("tie")]
+    names = ["part", "doc_id", "upto", "n_tokens", "hashes", "root"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, before = TaskContext.get().partitionId(), 0
+        for batch in batches:
+            upto = before + np.cumsum(batch.column("n_tokens").to_numpy())
+            before = int(upto[-1]) if len(upto) else before
+            columns = {"part": pa.array(np.full(len(upto), part, np.int32)), "upto": pa.array(upto, pa.int64())}
+            yield pa.RecordBatch.from_arrays([columns[c] if c in columns else batch.column(c) for c in names], names=names)
+
+    dealt = recipes.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    return dealt.mapInArrow(run, f"part int, doc_id {kind}, upto long, n_tokens long, hashes array<binary>, root binary")
 
 
 def write(docs: DataFrame, path: str, folder: str, end_id: int = END_ID) -> None:
-    """Encode documents (doc_id, text) and write the three tables into `folder`, which Spark can reach."""
-    bounds = range_bounds(docs, blocks_for(docs, "text"))
-    made = stored(chunked(ranged(docs.select("doc_id", "text"), bounds), path, end_id))
-    pairs = made.select(F.explode(F.arrays_zip("hashes", "chunks")).alias("c")).select(F.col("c.hashes").alias("hash"), F.col("c.chunks").alias("ids"))
-    # the aggregate keeps one of each on the map side already; equal hashes have equal ids
-    pairs.groupBy("hash").agg(F.any_value("ids").alias("ids")).write.option("compression", "zstd").parquet(f"{folder}/chunks")
-    recipes = made.select("part", "doc_id", "n_tokens", "hashes", "root")
-    inside = Window.partitionBy("part").orderBy(F.asc_nulls_first("doc_id"), "root")
-    totals = recipes.groupBy("part").agg(F.sum("n_tokens").alias("total"))
-    # one row for each part: as many as the parts that were asked for
-    before = totals.select("part", (F.sum("total").over(Window.orderBy("part")) - F.col("total")).alias("before"))
-    numbered = recipes.withColumn("upto", F.sum("n_tokens").over(inside.rowsBetween(Window.unboundedPreceding, 0)))
-    ordered = numbered.join(F.broadcast(before), "part").withColumn("start", F.col("before") + F.col("upto") - F.col("n_tokens"))
-    ordered.select("part", "doc_id", "start", "n_tokens", "hashes", "root").sortWithinPartitions("part", "start").write.option("compression", "zstd").parquet(f"{folder}/recipes")
-    dropped(made)
+    """Encode documents (doc_id, text) and write the tables into `folder`, which Spark can reach."""
     spark = docs.sparkSession
-    spark.createDataFrame([(Library(path).width, end_id)], "width int, end_id int").write.parquet(f"{folder}/format")
-    manifest_of(spark.read.parquet(f"{folder}/recipes")).write.parquet(f"{folder}/manifest")
+    parts = blocks_for(docs, "text", PART)
+    made = stored(chunked(docs.select("doc_id", "text"), path, end_id))
+    recipes = stored(placed(made.select("doc_id", "tie", "n_tokens", "hashes", "root"), parts))
+    pairs = made.select("root", F.posexplode(F.arrays_zip("hashes", "chunks")).alias("at", "c"))
+    place = F.struct("root", "at")
+    # the aggregate keeps one of each on the map side already; equal hashes have equal ids
+    found = pairs.groupBy(F.col("c.hashes").alias("hash")).agg(F.any_value("c.chunks").alias("ids"), F.min(place).alias("a"), F.max(place).alias("b"))
+    with shuffles_cleaned(spark):
+        found.select("hash", "ids", "a.root", "a.at", (F.col("a") != F.col("b")).alias("shared")).write.option("compression", "zstd").parquet(f"{folder}/chunks")
+        dropped(made)
+        # totals of groups of parts first: no task meets more rows than a group has parts, or than there are groups
+        totals = recipes.groupBy("part").agg(F.sum("n_tokens").alias("n")).withColumn("g", F.expr(f"part div {GROUP}"))
+        groups = totals.groupBy("g").agg(F.sum("n").alias("of_group")).withColumn("before_group", F.sum("of_group").over(Window.orderBy("g")) - F.col("of_group"))
+        inside = F.sum("n").over(Window.partitionBy("g").orderBy("part")) - F.col("n")
+        before = totals.withColumn("inside", inside).join(groups, "g").select("part", (F.col("before_group") + F.col("inside")).alias("before"))
+        ordered = recipes.join(before, "part").withColumn("start", F.col("before") + F.col("upto") - F.col("n_tokens"))
+        ordered.select("part", "doc_id", "start", "n_tokens", "hashes", "root").sortWithinPartitions("part", "start").write.option("compression", "zstd").parquet(f"{folder}/recipes")
+        dropped(recipes)
+        spark.createDataFrame([(Library(path).width, end_id)], "width int, end_id int").coalesce(1).write.parquet(f"{folder}/format")
+        manifest_of(spark.read.parquet(f"{folder}/recipes")).write.parquet(f"{folder}/manifest")
 
 
 def manifest_of(recipes: DataFrame) -> DataFrame:
-    """(part, documents, n_tokens, root) of recipes; a part's roots are a few MB."""
-    root = F.udf(lambda rows: merkle([bytes(r["root"]) for r in sorted(rows, key=lambda r: r["start"])]), "binary")
-    return recipes.groupBy("part").agg(F.count("*").alias("documents"), F.sum("n_tokens").alias("n_tokens"), root(F.collect_list(F.struct("start", "root"))).alias("root"))
+    """(part, documents, n_tokens, root) of recipes, each part read in order."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, documents, n, tree = None, 0, 0, Merkle()
+        for batch in batches:
+            told = []
+            for p, size, root in zip(*(batch.column(c).to_pylist() for c in ("part", "n_tokens", "root")), strict=True):
+                if p != part:
+                    if part is not None:
+                        told.append((part, documents, n, tree.root()))
+                    part, documents, n, tree = p, 0, 0, Merkle()
+                tree.add(root)
+                documents, n = documents + 1, n + size
+            yield rows(told)
+        yield rows([(part, documents, n, tree.root())] if part is not None else [])
+
+    kinds = [pa.int32(), pa.int64(), pa.int64(), pa.binary()]
+    rows = lambda told: pa.RecordBatch.from_arrays([pa.array([x[k] for x in told], kinds[k]) for k in range(4)], names=["part", "documents", "n_tokens", "root"])
+    return recipes.select("part", "start", "n_tokens", "root").repartition("part").sortWithinPartitions("part", "start").mapInArrow(run, "part int, documents long, n_tokens long, root binary")
 
 
 def rebuilt(spark: SparkSession, folder: str) -> DataFrame:
@@ -173,15 +246,20 @@ def rebuilt(spark: SparkSession, folder: str) -> DataFrame:
     recipes, chunks = spark.read.parquet(f"{folder}/recipes"), spark.read.parquet(f"{folder}/chunks")
     width = spark.read.parquet(f"{folder}/format").first()["width"]
     unique = recipes.groupBy("root").agg(F.any_value("hashes").alias("hashes"))
+    own = chunks.select("root", "at", "hash", "ids")
     wanted = unique.select("root", F.posexplode("hashes").alias("at", "hash"))
-    found = wanted.join(chunks, "hash", "left").groupBy("root").agg(F.array_sort(F.collect_list(F.struct("at", "hash", F.coalesce("ids", F.lit(b"")).alias("ids")))).alias("c"))
-    whole = found.select("root", F.col("c.hash").alias("hashes"), F.col("c.ids").alias("parts"))
+    named = chunks.where("shared").select("hash", "ids", F.col("root").alias("__root"), F.col("at").alias("__at"))
+    elsewhere = (F.col("root") != F.col("__root")) | (F.col("at") != F.col("__at"))
+    others = wanted.join(named, "hash").where(elsewhere).select("root", "at", "hash", "ids")
+    found = own.unionByName(others).groupBy("root").agg(F.array_sort(F.collect_list(F.struct("at", "hash", "ids"))).alias("c"))
+    # a document without any chunk left is an error as well
+    whole = unique.join(found.withColumnRenamed("root", "__root"), F.col("root") == F.col("__root"), "left").select("root", F.coalesce("c.hash", F.array().cast("array<binary>")).alias("hashes"), F.coalesce("c.ids", F.array().cast("array<binary>")).alias("parts"), F.col("hashes").alias("want"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for root, hashes, parts in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
-                if [digest(x) for x in parts] != hashes or merkle(hashes) != root:
+            for root, hashes, parts, want in zip(*(batch.column(k).to_pylist() for k in range(4)), strict=True):
+                if hashes != want or [digest(x) for x in parts] != hashes or merkle(hashes) != root:
                     raise ValueError(f"the document with root {root.hex()} can't be put together: a chunk is missing or differs")
                 out.append(np.frombuffer(b"".join(parts), f"<u{width}").astype("<u4").tobytes())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], names=["root", "ids"])
@@ -204,7 +282,8 @@ def op7_token_store(docs: DataFrame, path: str, folder: str) -> DataFrame:
     """Writes the store into `folder`, reads it back: doc_id, start, n_tokens, ids_crc32."""
     write(docs, path, folder)
     spark = docs.sparkSession
-    bad = verify_manifest(spark, folder).first()
+    with shuffles_cleaned(spark):
+        bad = verify_manifest(spark, folder).first()
     if bad:
         raise ValueError(f"part {bad[0]} differs from its manifest")
     # the checksum of equal documents is taken once

@@ -69,6 +69,50 @@ def test_bpe_pairs_by_definition():
     assert any(want) and not all(want)
 
 
+ALPHABETS = ["abcdefgh'stmdrevl", "ABCdef<|>endoftext ", "äöüßéèñ'", "αβγΣΑσς", "ЖдйЁ", "日本語テキスト", "0123456789½Ⅳ٣", " \t\n\x1c\u00a0\u3000", "!?.,;&%$#|<>'", "e\u0301H\u0331İǅ", "👍🏽😀\u200d"]
+SPELLINGS = ["<|endoftext|>", "<|ENDOFTEXT|>", "x<|EndOfText|>y", "<|startoftext|><|endoftext|>", "a <|endoftext|>'s b", "<|endoftext", "''s don't I'LL we've o'clock 'S 'tis x''re", "a" * 300, "<" * 200 + "ab" * 100, "\u00e9" * 100]
+
+
+def random_texts(n):
+    pick = random.Random(17)
+    for _ in range(n):
+        parts = pick.sample(ALPHABETS, pick.randint(1, 4))
+        yield "".join(pick.choice(pick.choice(parts)) for _ in range(pick.randint(0, 60)))
+
+
+def test_encoders_are_the_library_on_any_text():
+    library, every = Tokenizer.from_file(PATH), [*SPELLINGS, *random_texts(10_000)]
+    want = [e.ids for e in library.encode_batch(every, add_special_tokens=False)]
+    vocabulary = bpe.vocabulary(PATH)
+    for encode in (vocabulary.words().encode, store.Library(PATH).table.encode):
+        flat, n = encode(every)
+        ends = np.cumsum(n)
+        assert [flat[a:b].tolist() for a, b in zip(ends - n, ends, strict=True)] == want
+    flat, n = vocabulary.words().encode(every)
+    assert vocabulary.decode(flat.astype(np.int64), n).to_pylist() == [library.decode(x, skip_special_tokens=False) for x in want]
+
+
+def test_word_table_starts_anew(monkeypatch):
+    monkeypatch.setattr(bpe, "REMEMBERED", 50)
+    library, table = Tokenizer.from_file(PATH), bpe.vocabulary(PATH).words()
+    for i in range(20):
+        words = [f"word{i}x{k}" for k in range(10)]
+        flat, n = table.encode(words)
+        assert flat.tolist() == [x for w in words for x in library.encode(w, add_special_tokens=False).ids]
+    assert len(table.keys) < 100
+
+
+def test_merkle_by_levels():
+    def by_levels(level):
+        level = level or [store.digest(b"")]
+        while len(level) > 1:
+            level = [store.digest(b"\x00" + b"".join(level[i : i + 2])) for i in range(0, len(level), 2)]
+        return store.digest(b"\x01" + level[0])
+
+    leaves = [bytes([i]) for i in range(40)]
+    assert [store.merkle(leaves[:n]) for n in range(40)] == [by_levels(leaves[:n]) for n in range(40)]
+
+
 def test_line_dedup(docs):
     first, gone = {}, collections.defaultdict(set)
     for i, t in enumerate(TEXTS):
