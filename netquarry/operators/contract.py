@@ -2,31 +2,28 @@
 
 Types are strict: text is no number, a boolean no count. Unknown fields are ignored. The rules over several fields run only
 on records whose fields are all right, and the first that fails is told.
+
+Most records are right. One pattern over a record's schema and plain comparisons of its typed fields tell so; only the
+others are taken apart field by field.
 """
 
 from __future__ import annotations
 
-import functools
-import ipaddress
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
-from netquarry.functions.network import record_id
+from netquarry.functions.network import normalized_ip, record_id
 from netquarry.schemas import BRONZE, EVIDENCE_LIMIT, MESSAGE_LIMIT, QUARANTINE
 
 COUNT = (0, 2**63 - 1)
-# The messages of the error types.
+# The keys are fixed values: the error types.
 MESSAGES = {
-    "missing": "Field required", "int_type": "Input should be a valid integer", "float_type": "Input should be a valid number", "string_type": "Input should be a valid string",
-    "bool_type": "Input should be a valid boolean", "list_type": "Input should be a valid list", "model_type": "Input should be a valid dictionary", "dict_type": "Input should be a valid dictionary",
-    "greater_than_equal": "Input is below the least allowed value", "less_than_equal": "Input is above the largest allowed value", "finite_number": "Input should be a finite number",
-    "string_too_short": "String should have at least 1 character", "literal_error": "Input is not one of the allowed values", "invalid_ip_address": "not an IPv4 or IPv6 address",
-    "missing_event_time": "first_seen and last_seen are required: the lakehouse is organized by event time", "time_reversed": "last_seen is earlier than first_seen",
-    "totals_mismatch": "a total is not the sum of both directions", "ip_version_mismatch": "endpoint addresses do not match ip_version",
+    "missing": "the field is missing", "int_type": "not a whole number", "float_type": "not a number", "string_type": "not a text",
+    "bool_type": "neither true nor false", "list_type": "not a list", "model_type": "not an object", "dict_type": "not an object",
+    "greater_than_equal": "below the least allowed value", "less_than_equal": "above the largest allowed value", "finite_number": "not finite",
+    "string_too_short": "an empty text", "literal_error": "not one of the allowed values", "invalid_ip_address": "no address of IPv4 or IPv6",
+    "missing_event_time": "both first_seen and last_seen must be there", "time_reversed": "last_seen comes before first_seen",
+    "totals_mismatch": "the directions don't add up to the total", "ip_version_mismatch": "an address isn't of the version that ip_version tells",
 }
 
 TIMESTAMP = [("unix_seconds", "int", (0, 253_402_300_799)), ("nanos", "int", (0, 999_999_999)), ("rfc3339", "text", 1)]
@@ -46,40 +43,120 @@ FLOW = [
 ]
 ENVELOPE = [("contract_version", "one_of", (1,)), ("sensor_id", "text", 1), ("capture_id", "text", 1), ("capture_file", "text|?", 0), ("completion_state", "text", 1), ("flow", "dict", [])]
 _NOT_FINITE = "__not_finite__"
+#: All up to a bare NaN or Infinity outside texts; possessive, so that long texts need no stack.
+_BARE = r'\G((?:[^"NI-]++|"(?:[^"\\]++|\\.)*+"|-(?!Infinity))*+)(-?Infinity|NaN)'
+#: The largest finite double.
+_LARGEST = 1.7976931348623157e308
 
 
-@functools.lru_cache(maxsize=65_536)
-def _parsed(text: str) -> str | None:
-    try:
-        return str(ipaddress.ip_address(text))
-    except ValueError:
-        return None
+def marked(raw: Column, mark: str) -> Column:
+    """raw with each bare NaN or Infinity, which are no JSON, as a text: `mark`, which may name them as $2."""
+    return F.regexp_replace(raw, _BARE, f'$1"{mark}"')
 
 
-@F.pandas_udf(StringType())
-def normalized_ip(values: Iterator[pd.Series]) -> Iterator[pd.Series]:
-    """The normal form of IPv4 and IPv6 addresses, null for other texts. IPv6 has no native form in Spark."""
-    for s in values:
-        yield s.map(lambda x: _parsed(x) if x is not None else None)
+def parsed(raw: Column) -> Column:
+    """VARIANT of a JSON text. Bare NaN and Infinity are kept as a marked text; what is JSON already is left alone."""
+    return F.coalesce(F.try_parse_json(raw), F.try_parse_json(marked(raw, _NOT_FINITE)))
 
 
-def parsed(raw: Column) -> Column:
-    """VARIANT of a JSON text. Bare NaN and Infinity, which are no JSON, are kept as a marked text."""
-    marked = F.regexp_replace(raw, r"(:\s*)(-?Infinity|NaN)(?=\s*[,}\]])", f'$1"{_NOT_FINITE}"')
-    return F.coalesce(F.try_parse_json(raw), F.try_parse_json(F.when(raw.rlike(r":\s*-?(Infinity|NaN)\s*[,}\]]"), marked)))
+def _split(spec: list):
+    """(name, kind, nullable, optional, bound) of each field."""
+    return [(name, kind.rstrip("|?"), "|" in kind, "?" in kind, bound) for name, kind, bound in spec]
+
+
+# ---------------------------------------------------------------- records that are right
+
+_TYPED = {"int": "bigint", "one_of": "bigint", "float": "double", "bool": "boolean", "text": "string", "ip": "string", "texts": "array<string>", "counts": "array<bigint>", "warnings": "array<struct<code:string,count:bigint>>"}
+_SHAPES = {
+    "int": "BIGINT", "one_of": "BIGINT", "float": r"(?:BIGINT|DOUBLE|FLOAT|DECIMAL\(\d+,\d+\))", "bool": "BOOLEAN", "text": "STRING", "ip": "STRING", "texts": "ARRAY<(?:STRING|VOID)>",
+    "counts": "ARRAY<(?:BIGINT|VOID)>", "warnings": "ARRAY<(?:VOID|OBJECT<code: STRING, count: BIGINT>)>",
+}
+
+
+def typed(spec: list) -> str:
+    """The struct type of a spec's records."""
+    return "struct<" + ",".join(f"{name}:{typed(bound) if kind == 'object' else _TYPED[kind]}" for name, kind, _, _, bound in _split(spec)) + ">"
+
+
+def shape(spec: list) -> str:
+    """A pattern of the schemas of records with all fields of the right type and no other fields; fields come by name."""
+    out = []
+    for name, kind, nullable, optional, bound in sorted(_split(spec)):
+        one = shape(bound) if kind == "object" else _SHAPES[kind]
+        field = f"{name}: {f'(?:VOID|{one})' if nullable else one}(?:, |(?=>))"
+        out.append(f"(?:{field})?" if optional else field)
+    return f"OBJECT<{''.join(out)}>"
+
+
+def _long_enough(least: int):
+    return lambda x: F.coalesce(F.length(x) >= least, F.lit(False))
+
+
+def _in_bounds(at: Column, path: str, spec: list) -> Column:
+    """Whether the fields of a typed record keep their bounds."""
+    every = F.lit(True)
+    for name, kind, nullable, optional, bound in _split(spec):
+        c, ok = at[name], None
+        if kind == "object":
+            ok = _in_bounds(c, f"{path}{name}.", bound)
+        elif kind == "int":
+            ok = c.between(*bound)
+        elif kind == "one_of":
+            ok = c.isin(*bound)
+        elif kind == "float":
+            ok = c.between(0.0, _LARGEST)
+        elif kind == "ip":
+            ok = F.col(f"__ip_{path[:-1]}").isNotNull()
+        elif kind == "text" and bound:
+            ok = F.length(c) >= bound
+        elif kind == "texts":
+            ok = (F.size(c) == 0) | F.forall(c, _long_enough(bound))
+        elif kind == "counts":
+            ok = (F.size(c) == 0) | F.forall(c, lambda x: F.coalesce(x >= 0, F.lit(False)))
+        elif kind == "warnings":
+            ok = (F.size(c) == 0) | F.forall(c, lambda x: F.coalesce((F.length(x["code"]) > 0) & (x["count"] >= 0), F.lit(False)))
+        if ok is not None:
+            every = every & ((c.isNull() | ok) if nullable or optional else ok)
+    return every
+
+
+def _agrees(s: Column) -> Column:
+    """The rules over several fields, on a typed record."""
+    when = lambda name: F.struct(s[name]["unix_seconds"], s[name]["nanos"])
+    total = lambda what: F.try_add(s["initiator_to_responder"][what], s["responder_to_initiator"][what]) == s[f"{what}_total"]
+    version = lambda x: F.when(F.contains(F.col(f"__ip_{x}"), F.lit(":")), 6).otherwise(4) == s["ip_version"]
+    return s["first_seen"].isNotNull() & s["last_seen"].isNotNull() & (when("last_seen") >= when("first_seen")) & total("packets") & total("bytes") & version("initiator") & version("responder")
+
+
+# ---------------------------------------------------------------- the others, field by field
+
+
+def _type_of(loc: str) -> str:
+    return "__t_" + loc.replace(".", "_")
+
+
+def _locations(spec: list, path: str = "") -> list[str]:
+    out = []
+    for name, kind, _, _, bound in _split(spec):
+        loc = f"{path}.{name}" if path else name
+        out += [loc, *(_locations(bound, loc) if kind == "object" else [])]
+    return out
+
+
+def with_types(df: DataFrame, root: str, spec: list, only: Column | None = None) -> DataFrame:
+    """df with the schema of each field in a column of its own, each computed once; only: where they are needed."""
+    found = {_type_of(x): F.expr(f"schema_of_variant(variant_get({root}, '$.{x}', 'variant'))") for x in _locations(spec)}
+    return df.withColumns({k: c if only is None else F.when(only, c) for k, c in found.items()})
 
 
 def _fields(root: str, path: str, spec: list, guard: Column | None) -> list[Column]:
-    """struct(loc, type) or null for each rule under `path`, in order; guard: the parents are objects."""
+    """struct(loc, type) or null for each rule under `path`, in order; guard: the parents are objects. Needs with_types()."""
     out = []
-    for name, kind, bound in spec:
+    for name, kind, nullable, optional, bound in _split(spec):
         loc = f"{path}.{name}" if path else name
-        at = f"variant_get({root}, '$.{loc}', 'variant')"
-        t = F.expr(f"schema_of_variant({at})")
-        nullable, optional, kind = "|" in kind, "?" in kind, kind.rstrip("|?")
+        t = F.col(_type_of(loc))
         value = lambda as_, loc=loc: F.expr(f"try_variant_get({root}, '$.{loc}', '{as_}')")
         text = value("string")
-        number = t.rlike(r"^(BIGINT|DECIMAL|DOUBLE|FLOAT)")
         if kind == "int":
             whole = t.rlike(r"^DECIMAL\((19|[23]\d),0\)$")  # a whole number beyond BIGINT; 1.0 is a shorter one
             n = value("bigint")
@@ -89,7 +166,8 @@ def _fields(root: str, path: str, spec: list, guard: Column | None) -> list[Colu
         elif kind == "one_of":
             bad = F.when((t != "BIGINT") | ~value("bigint").isin(*bound), "literal_error")
         elif kind == "float":
-            bad = F.when((t == "STRING") & (text == _NOT_FINITE), "finite_number").when(~number, "float_type").when(value("double") < 0, "greater_than_equal")
+            n = value("double")
+            bad = F.when((t == "STRING") & (text == _NOT_FINITE), "finite_number").when(~t.rlike(r"^(BIGINT|DECIMAL|DOUBLE|FLOAT)"), "float_type").when(F.abs(n) > _LARGEST, "finite_number").when(n < 0, "greater_than_equal")
         elif kind == "bool":
             bad = F.when(t != "BOOLEAN", "bool_type")
         elif kind in ("text", "ip"):
@@ -99,8 +177,9 @@ def _fields(root: str, path: str, spec: list, guard: Column | None) -> list[Colu
             bad = F.when(~t.startswith("OBJECT"), "dict_type" if kind == "dict" else "model_type")
         else:
             bad = F.when(~t.startswith("ARRAY"), "list_type")
-        bad = F.when(t.isNull(), F.lit(None) if optional else F.lit("missing")).when(t == "VOID", F.lit(None)).otherwise(bad) if nullable else F.when(t.isNull(), F.lit(None) if optional else F.lit("missing")).otherwise(bad)
-        out.append(_found(F.lit(loc), bad, guard))
+        if nullable:
+            bad = F.when(t != "VOID", bad)
+        out.append(_found(F.lit(loc), F.when(t.isNull(), F.lit(None) if optional else F.lit("missing")).otherwise(bad), guard))
         inside = t.startswith("OBJECT") if guard is None else guard & t.startswith("OBJECT")
         if kind == "object":
             out += _fields(root, loc, bound, inside)
@@ -134,7 +213,7 @@ def _first_item(root: str, loc: str, kind: str, least: int | None) -> Column:
 
 
 def violations(root: str, spec: list) -> Column:
-    """array<struct<loc, type>> in field order."""
+    """array<struct<loc, type>> in field order. Needs with_types()."""
     return F.array_compact(F.array(_not_object(root), *_fields(root, "", spec, F.expr(f"schema_of_variant({root}) LIKE 'OBJECT%'"))))
 
 
@@ -161,19 +240,27 @@ def cross_rules() -> Column:
 
 
 def checked(raw: DataFrame) -> DataFrame:
-    """raw (with `raw`: JSON text of one flow) with v and error_type: the first error by one coalesce, which stops at it."""
-    text = lambda name: F.expr(f"try_variant_get(v, '$.{name}.ip', 'string')")
-    read = raw.withColumn("v", parsed(F.col("raw"))).withColumns({f"__ip_{x}": normalized_ip(text(x)) for x in ("initiator", "responder")})
-    error = F.coalesce(_not_object("v"), *_fields("v", "", FLOW, None), cross_rules())
-    return read.withColumn("error_type", error["type"])
+    """raw (with `raw`: JSON text of one flow) with v, the addresses in normal form and error_type: the type of the first error."""
+    plain = raw.withColumn("__plain", F.try_parse_json("raw"))
+    read = plain.withColumns({"v": F.coalesce("__plain", F.try_parse_json(marked(F.col("raw"), _NOT_FINITE))), "__bare": F.col("__plain").isNull()}).drop("__plain")
+    read = read.withColumn("__s", F.expr(f"try_variant_get(v, '$', '{typed(FLOW)}')"))
+    # a record that is no typed one as a whole may still have its addresses
+    address = lambda x: normalized_ip(F.coalesce(F.col("__s")[x]["ip"], F.expr(f"try_variant_get(v, '$.{x}.ip', 'string')")))
+    read = read.withColumns({f"__ip_{x}": address(x) for x in ("initiator", "responder")})
+    right = ~F.col("__bare") & F.expr("schema_of_variant(v)").rlike(f"^{shape(FLOW)}$") & _in_bounds(F.col("__s"), "", FLOW) & _agrees(F.col("__s"))
+    told = with_types(read.withColumn("__right", F.coalesce(right, F.lit(False))), "v", FLOW, ~F.col("__right"))
+    error = F.coalesce(_not_object("v"), *_fields("v", "", FLOW, None), cross_rules())["type"]
+    # as a generated row: a filter on error_type would else be pushed down and repeat all of the above in itself
+    found = F.inline(F.array(F.struct(F.when(~F.col("__right"), error).alias("error_type"))))
+    return told.select(*raw.columns, "v", "__ip_initiator", "__ip_responder", found)
 
 
 def with_messages(invalid: DataFrame) -> DataFrame:
     """Checked records with errors (array<struct<loc, type>>, in field order) and error_message, which names all of them."""
-    told = invalid.withColumn("__fields", violations("v", FLOW))
+    told = with_types(invalid, "v", FLOW).withColumn("__fields", violations("v", FLOW))
     every = F.when(F.size("__fields") > 0, F.col("__fields")).otherwise(F.array_compact(F.array(cross_rules())))
     messages = F.create_map(*[F.lit(x) for pair in MESSAGES.items() for x in pair])
-    named = told.withColumn("errors", every).withColumn("error_message", summary(F.col("errors"), messages)).drop("__fields")
+    named = told.withColumn("errors", every).withColumn("error_message", summary(F.col("errors"), messages)).drop("__fields", *map(_type_of, _locations(FLOW)))
     return named.withColumn("error_message", F.coalesce("envelope_error", "error_message")) if "envelope_error" in invalid.columns else named
 
 
@@ -189,30 +276,26 @@ def shortened(text: Column, limit: int) -> Column:
 
 def flattened(valid: DataFrame) -> DataFrame:
     """Bronze rows of checked records without errors. Context columns: batch_id, source, sensor_id, capture_id, capture_file, completion_state, ingested_at."""
-    g = lambda path, kind: F.expr(f"try_variant_get(v, '$.{path}', '{kind}')")
-    micros = lambda x: F.timestamp_micros(g(f"{x}.unix_seconds", "bigint") * 1_000_000 + F.expr(f"try_variant_get(v, '$.{x}.nanos', 'bigint') div 1000"))
-    lists = lambda path: F.coalesce(g(path, "array<string>"), F.array().cast("array<string>"))
+    s = F.col("__s")
+    empty = lambda c, kind: F.coalesce(c, F.array().cast(kind))
+    micros = lambda x: F.timestamp_micros(s[x]["unix_seconds"] * 1_000_000 + F.expr(f"__s.{x}.nanos div 1000"))
     columns = {
-        "record_id": record_id(F.col("sensor_id"), F.col("capture_id"), g("flow_id", "bigint")), "capture_completion_state": F.col("completion_state"), "contract_version": F.lit(1),
+        "record_id": record_id(F.col("sensor_id"), F.col("capture_id"), s["flow_id"]), "capture_completion_state": F.col("completion_state"), "contract_version": F.lit(1),
         "initiator_ip": F.col("__ip_initiator"), "responder_ip": F.col("__ip_responder"), "first_seen": micros("first_seen"), "last_seen": micros("last_seen"),
-        "flow_warnings": F.coalesce(g("warnings", "array<struct<code:string,count:bigint>>"), F.array().cast("array<struct<code:string,count:bigint>>")),
-        "upstream_alert_ids": F.coalesce(g("alert_ids", "array<bigint>"), F.array().cast("array<bigint>")), "initiator_port": g("initiator.port", "int"), "responder_port": g("responder.port", "int"),
-        "app_protocols": lists("application.protocols"), "tcp_flags_initiator": g("tcp.flags_initiator", "array<string>"), "tcp_flags_responder": g("tcp.flags_responder", "array<string>"), "tcp_state": g("tcp.state", "string"),
+        "flow_warnings": empty(s["warnings"], "array<struct<code:string,count:bigint>>"), "upstream_alert_ids": empty(s["alert_ids"], "array<bigint>"),
+        "initiator_port": s["initiator"]["port"], "responder_port": s["responder"]["port"], "app_protocols": empty(s["application"]["protocols"], "array<string>"),
     }
     for short, long in (("i2r", "initiator_to_responder"), ("r2i", "responder_to_initiator")):
-        columns |= {f"{short}_{x}": g(f"{long}.{x}", "bigint") for x in ("packets", "bytes", "payload_bytes")}
-    columns |= {f"pkt_size_{x}": g(f"packet_size.{x}", "boolean" if x == "median_exact" else "double") for x in ("min", "max", "mean", "stddev", "median", "median_exact")}
-    columns |= {f"iat_{x}": g(f"inter_arrival.{x}", "double") for x in ("min_seconds", "max_seconds", "mean_seconds", "stddev_seconds")}
-    columns |= {f"tcp_{x}": g(f"tcp.{x}", "bigint") for x in ("syn_packets", "fin_packets", "rst_packets", "duplicate_segments")}
-    columns |= {x: lists(f"application.{x}") for x in ("dns_queries", "responder_dns_names", "http_hosts", "http_paths", "tls_server_names", "tls_alpn")}
+        columns |= {f"{short}_{x}": s[long][x] for x, _, _ in DIRECTION}
+    columns |= {f"pkt_size_{x}": s["packet_size"][x] for x, _, _ in SIZES} | {f"iat_{x}": s["inter_arrival"][x] for x, _, _ in GAPS} | {f"tcp_{x}": s["tcp"][x] for x, _, _ in TCP}
+    columns |= {x: empty(s["application"][x], "array<string>") for x, _, _ in APPLICATION[1:]}
     context = {"batch_id", "source", "sensor_id", "capture_id", "capture_file", "ingested_at"}
     out = []
     for part in BRONZE.replace("array<struct<code: string, count: bigint>>", "array<struct<code:string;count:bigint>>").split(","):
         name, kind = part.split()[:2]
-        kind = kind.replace(";", ",")
-        source = F.col(name) if name in context else columns[name] if name in columns else g(name, "bigint" if kind in ("smallint", "tinyint", "int") else kind)
-        out.append(source.cast(kind).alias(name))
-    return valid.select(*out)
+        source = F.col(name) if name in context else columns[name] if name in columns else s[name]
+        out.append(source.cast(kind.replace(";", ",")).alias(name))
+    return valid.withColumn("__s", F.expr(f"try_variant_get(v, '$', '{typed(FLOW)}')")).select(*out)
 
 
 def quarantined(invalid: DataFrame) -> DataFrame:
@@ -221,7 +304,7 @@ def quarantined(invalid: DataFrame) -> DataFrame:
 
 
 def validate(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(bronze rows, quarantine rows) of raw flows: raw, record_index and the context columns. Persist `raw`'s checks by storing checked() once if both are written."""
+    """(bronze rows, quarantine rows) of raw flows: raw, record_index and the context columns. Store checked() once if both are written."""
     told = checked(raw)
     return flattened(told.where("error_type is null")), quarantined(told.where("error_type is not null"))
 
@@ -230,7 +313,7 @@ def decode_messages(messages: DataFrame) -> DataFrame:
     """Stream messages (value: JSON text or bytes) as raw flows with context; error_type is set for bad envelopes."""
     value = F.col("value").cast("string")
     read = messages.withColumn("__text", value).withColumn("e", parsed(F.when(F.expr("is_valid_utf8(CAST(value AS BINARY))"), F.col("__text"))))
-    told = read.withColumn("__errors", violations("e", ENVELOPE))
+    told = with_types(read, "e", ENVELOPE).withColumn("__errors", violations("e", ENVELOPE))
     sensor = F.expr("CASE WHEN schema_of_variant(variant_get(e, '$.sensor_id', 'variant')) = 'STRING' THEN nullif(try_variant_get(e, '$.sensor_id', 'string'), '') END")
     g = lambda x: F.expr(f"try_variant_get(e, '$.{x}', 'string')")
     kind = F.when(F.col("e").isNull(), "invalid_json").when(F.size("__errors") > 0, F.concat(F.lit("envelope_"), F.get("__errors", F.lit(0)).getField("type")))

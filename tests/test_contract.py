@@ -1,9 +1,12 @@
 import copy
+import ipaddress
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
+from netquarry.functions.network import normalized_ip
 from netquarry.operators import contract
 
 FLOW = {
@@ -53,8 +56,8 @@ def test_error_types(told):
     messages = {r["record_index"]: r["error_message"] for r in contract.with_messages(told.where("error_type is not null")).select("record_index", "error_message").collect()}
     assert [found[i][0] for i in range(len(CASES))] == [x for _, _, x in CASES]
     assert [found[len(CASES) + i][0] for i in range(4)] == ["model_type", "model_type", "model_type", "missing"]
-    assert messages[0] == "flow_id: Field required"
-    assert len(messages[len(CASES) + 3]) <= 1000 and messages[len(CASES) + 3].startswith("flow_id: Field required; ip_version: ")
+    assert messages[0] == "flow_id: the field is missing"
+    assert len(messages[len(CASES) + 3]) <= 1000 and messages[len(CASES) + 3].startswith("flow_id: the field is missing; ip_version: ")
 
 
 def test_bronze_rows(told):
@@ -70,9 +73,36 @@ def test_quarantine_rows(told):
     assert {len(r["raw_record"]) for r in bad.where("raw_record is not null").collect()} == {16_384}
 
 
-def test_ipv6_normal_form(spark):
-    df = spark.createDataFrame([("2001:DB8:0:0::A00",), ("10.1.1.1",), ("10.1.1",), (None,)], "ip string")
-    assert [r[0] for r in df.select(contract.normalized_ip("ip")).collect()] == ["2001:db8::a00", "10.1.1.1", None, None]
+def test_normal_form_of_addresses(spark):
+    pick = random.Random(3)
+    group = lambda: pick.choice(["0", "0", "0000", "1", "00ab", "FFFF", "ffff", "2001", "g", "12345", ""])
+    quad = lambda: ".".join(str(pick.choice([0, 1, 9, 10, 99, 255, 256, "01", "", "a"])) if pick.random() < 0.2 else str(pick.randrange(256)) for _ in range(pick.choice([4, 4, 4, 4, 3, 5])))
+    texts = ["2001:DB8:0:0::A00", "10.1.1.1", "10.1.1", "1.2.3.4\n", "::", ":::", "1::2::3", "::ffff:1.2.3.4", "::ffff:0:1", "fe80::1%eth0", "fe80::1%", "fe80::1%a%b", "1.2.3.4%1", "1:2:3:4:5:6:7::", "::1:2:3:4:5:6:7:8", "1:2:3:4:5:6:7:8", "0:0:0:0:0:0:0:0", "::1.2.3.4", "x", "", ":", "1:2:3:4:5:6:1.2.3.4", "1:2:3:4:5:6:7:1.2.3.4", " 1.2.3.4", "٣.1.1.1"]
+    texts += [quad() for _ in range(200)]
+    for _ in range(1500):
+        parts = [group() if pick.random() < 0.15 else pick.choice(["0", "0", "1", "ab", "0c0"]) for _ in range(pick.choice([8, 8, 8, 7, 6, 3, 9]))]
+        if pick.random() < 0.5:
+            parts[pick.randrange(len(parts))] = ""
+        texts.append(":".join(parts) + (":" + quad() if pick.random() < 0.1 else "") + ("%z" if pick.random() < 0.05 else ""))
+
+    def want(text):
+        try:
+            return str(ipaddress.ip_address(text))
+        except ValueError:
+            return None
+
+    df = spark.createDataFrame([(i, t) for i, t in enumerate([*texts, None])], "i int, ip string")
+    found = {r["i"]: r["n"] for r in df.select("i", normalized_ip(F.col("ip")).alias("n")).collect()}
+    assert [(t, found[i]) for i, t in enumerate(texts)] == [(t, want(t)) for t in texts] and found[len(texts)] is None
+
+
+def test_bare_numbers_only_outside_texts(spark):
+    texts = ['{"a": NaN, "b": "x: NaN, y", "c": [Infinity, -Infinity, -1, "\\\\"], "d": "\\": NaN"}', '{"a": "path: NaN, z"}', '{"a": NAN}', '{"b": "' + "x" * 300_000 + '", "a": NaN}']
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, raw string").withColumn("v", contract.parsed(F.col("raw")))
+    found = {r["i"]: json.loads(r["t"]) if r["t"] else None for r in df.select("i", F.to_json("v").alias("t")).collect()}
+    mark = "__not_finite__"
+    assert found[0] == {"a": mark, "b": "x: NaN, y", "c": [mark, mark, -1, "\\"], "d": '": NaN'}
+    assert found[1] == {"a": "path: NaN, z"} and found[2] is None and found[3]["a"] == mark
 
 
 def test_envelopes(spark):
