@@ -2,6 +2,10 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; the driver of the pipeline writes it as Parquet and
 reads it again for the next stage. All but the last return the columns of `documents`.
+
+Results for special rows: null, empty and letterless texts go in the first stage, as do texts in no learned language; very
+long texts pass whole; repeated rows and rows that share a doc_id pass or go together (of copies under different ids one
+stays); a null doc_id is in no class of near-duplicates and stays; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -17,7 +21,7 @@ from netquarry.llm.registry import tokenizer_path
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps documents with a letter, whatever their language; lang stays as given."""
+    """Keeps documents that a learned language's tree can read (see langid.MAX_BITS); lang stays as given."""
     return langid.keep_identified(docs, docs.select("text", "lang"))
 
 

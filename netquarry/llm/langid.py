@@ -6,7 +6,7 @@ probability comes from the longest context that the sample has; a byte unseen th
 order 0 the bytes left are equally likely. The statistics are frozen, so a probability depends on the two bytes before
 alone and the exact code length of a whole text is a sum of table entries.
 
-Size bounds: the sample has at most `per_language` texts of a language, and a tree at most 65,536 + 257 rows of 256
+Size bounds: the sample has at most `per_language` distinct texts of a language, the first SAMPLE_BYTES of each, and a tree at most 65,536 + 257 rows of 256
 four-byte entries (67 MB; a few MB for one script), so what is broadcast doesn't grow with the data.
 
 Results for special rows: a null, empty or letterless text is `und` with score 0; very long texts are scored whole,
@@ -29,21 +29,27 @@ from netquarry.llm.common import LOWER, crc_mod5, steps, texts
 
 #: Labelled texts of each language that the trees are fitted on: the documented bound of the sample.
 PER_LANGUAGE = 400
+#: What a sampled text gives to its tree at most.
+SAMPLE_BYTES = 1 << 16
+#: keep_identified() rejects a text that takes its best tree more bits a byte. Labelled texts take 2 to 3, and up to 7 where
+#: they are full of keys and numbers; letters drawn at random take 12, other scripts 20, as they hardly meet a known context.
+MAX_BITS = 10.0
 UND = "und"
 
 
 def sample(docs: DataFrame, per_language: int = PER_LANGUAGE, text: str = "text", lang: str = "lang") -> DataFrame:
-    """(lang, text) of at most per_language labelled texts of each language, picked by a hash of the text.
+    """(lang, text) of at most per_language distinct labelled texts of each language, picked by a hash of the text.
 
-    The pick is an aggregate, which keeps `per_language` short hash values for a language and task, not a sort of all.
+    The pick is an aggregate of few rows, not a sort of all; copies of a text count once.
     """
     # the hash orders the texts at random; those under the language's quantile of it are the sample
     labelled = docs.where(F.col(lang).isNotNull() & (F.length(text) > 0)).select(F.col(lang).alias("lang"), F.col(text).alias("text"), F.xxhash64(text).alias("h"))
-    counts = labelled.groupBy("lang").count()
-    bound = F.broadcast(counts.select(F.col("lang").alias("l"), (F.lit(float(per_language)) / F.col("count")).alias("share")))
+    # a row for each language; twice the share is as good as never too little
+    counts = labelled.select("lang", "h").distinct().groupBy("lang").count()
+    bound = counts.select(F.col("lang").alias("l"), (F.lit(float(per_language)) / F.col("count")).alias("share"))
     picked = labelled.join(bound, F.col("lang") == F.col("l")).where(F.pmod("h", F.lit(1 << 40)) < F.col("share") * 2 * (1 << 40))
     top = F.slice(F.array_sort(F.collect_set(F.struct("h", "text"))), 1, per_language)
-    return picked.groupBy("lang").agg(top.alias("top")).select("lang", F.explode("top.text").alias("text"))
+    return picked.groupBy("lang").agg(top.alias("top")).select("lang", F.explode("top.text").alias("text")).withColumn("text", F.substring("text", 1, SAMPLE_BYTES))
 
 
 def context_tree(samples: list[bytes], order: int = 2) -> tuple[np.ndarray, np.ndarray]:
@@ -53,7 +59,7 @@ def context_tree(samples: list[bytes], order: int = 2) -> tuple[np.ndarray, np.n
     unseen context has the row of its suffix.
     """
     data = LOWER[np.frombuffer(b"\n".join(samples), np.uint8)].astype(np.int64)
-    table = _step(np.bincount(data, minlength=256)[None, :], np.full((1, 256), 1 / 256), np.zeros((1, 256), np.int64), 1 / 256)
+    table = _chain([np.bincount(data, minlength=256)[None, :]])
     pairs = np.bincount(data[:-1] * 256 + data[1:], minlength=65536).reshape(256, 256)
     zero = np.repeat(np.bincount(data, minlength=256)[None, :], 256, 0)
     one = _chain([pairs, zero])
@@ -84,10 +90,6 @@ def _chain(levels: list[np.ndarray]) -> np.ndarray:
     return np.where(excluded, found, left / np.maximum(rest, 1))
 
 
-def _step(counts: np.ndarray, *_: object) -> np.ndarray:
-    return _chain([counts])
-
-
 def code_lengths(values: list[bytes], trees: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
     """Bits of each whole text (rows) under each tree (columns); the two bytes before a text count as line ends."""
     out = np.zeros((len(values), len(trees)))
@@ -109,10 +111,11 @@ def code_lengths(values: list[bytes], trees: list[tuple[np.ndarray, np.ndarray]]
 
 
 def identify(docs: DataFrame, learned: DataFrame, text: str = "text", per_language: int = PER_LANGUAGE) -> DataFrame:
-    """docs with lang_pred and score, by trees fitted on `learned` (text, lang).
+    """docs with lang_pred, score and bits_per_byte, by trees fitted on `learned` (text, lang).
 
     score: the probability of lang_pred among the learned languages, all equally likely before, at the text's mean
-    code length over min(bytes, 64) bytes (code lengths of whole long texts would always round to 1).
+    code length over min(bytes, 64) bytes (code lengths of whole long texts would always round to 1). bits_per_byte: the
+    code length of the whole text under that language's tree over its bytes; null for `und`.
     """
     spark = docs.sparkSession
     by: dict[str, list[bytes]] = {}
@@ -120,7 +123,7 @@ def identify(docs: DataFrame, learned: DataFrame, text: str = "text", per_langua
         by.setdefault(row["lang"], []).append(row["text"].encode())
     names = sorted(by)
     model = spark.sparkContext.broadcast([context_tree(sorted(by[x])) if sum(map(len, by[x])) > 2 else None for x in names])
-    keep = [c for c in docs.columns if c not in ("lang_pred", "score")]
+    keep = [c for c in docs.columns if c not in ("lang_pred", "score", "bits_per_byte")]
     has_letter = F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False))
     docs = docs.select(*keep, has_letter.alias("__letters"))
     fields = [f for f in docs.schema.fields if f.name != "__letters"]
@@ -137,10 +140,10 @@ def identify(docs: DataFrame, learned: DataFrame, text: str = "text", per_langua
             best = bits.argmin(1)
             score = 1 / np.exp2(np.clip(mean.min(1, keepdims=True) - mean, -1000, 0)).sum(1)
             pred = [names[usable[b]] if ok else UND for b, ok in zip(best, letters, strict=True)]
-            columns = [batch.column(f.name) for f in fields] + [pa.array(pred, pa.string()), pa.array(np.where(letters, score, 0.0))]
-            yield pa.RecordBatch.from_arrays(columns, names=[*[f.name for f in fields], "lang_pred", "score"])
+            found = [pa.array(pred, pa.string()), pa.array(np.where(letters, score, 0.0)), pa.array(bits.min(1) / size[:, 0], mask=~letters)]
+            yield pa.RecordBatch.from_arrays([*[batch.column(f.name) for f in fields], *found], names=schema.names)
 
-    schema = T.StructType([*fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
+    schema = T.StructType([*fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("bits_per_byte", T.DoubleType())])
     return docs.mapInArrow(run, schema)
 
 
@@ -151,7 +154,8 @@ def op9_language_id(docs: DataFrame) -> DataFrame:
     return found.select("doc_id", (crc_mod5() == 0).alias("held_out"), "lang_pred", "score")
 
 
-def keep_identified(docs: DataFrame, learned: DataFrame) -> DataFrame:
-    """docs without those that language ID rejects: texts that have no letter or that no learned tree can read."""
+def keep_identified(docs: DataFrame, learned: DataFrame, max_bits: float = MAX_BITS) -> DataFrame:
+    """docs without those that language ID rejects: texts without a letter, and texts that even the tree which reads them
+    best takes over max_bits bits a byte for, i.e. in no learned language."""
     columns = docs.columns
-    return identify(docs, learned).where(F.col("lang_pred") != UND).select(*columns)
+    return identify(docs, learned).where((F.col("lang_pred") != UND) & (F.col("bits_per_byte") <= max_bits)).select(*columns)

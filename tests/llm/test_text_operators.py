@@ -217,7 +217,7 @@ def test_decontamination_in_blocks(spark, monkeypatch):
     bench = spark.createDataFrame([(i, prose(20 + i, 25)) for i in range(6)], "item_id long, text string")
     docs = spark.createDataFrame([(i, "pre " + prose(20 + i, 25)) for i in range(6)], "doc_id long, text string")
     whole = by_id(decontaminate.op5_decontamination(docs, bench), "item_ids")
-    monkeypatch.setattr(decontaminate, "BLOCK_WORDS", 60)
+    monkeypatch.setattr(decontaminate, "BLOCK_BYTES", 300)
     assert by_id(decontaminate.op5_decontamination(docs, bench), "item_ids") == whole == {i: ([i],) for i in range(6)}
 
 
@@ -240,15 +240,25 @@ def test_decontamination_finds_every_allowed_overlap(spark):
     assert by_id(decontaminate.op5_decontamination(docs, bench), "item_ids") == want
 
 
-def test_decontamination_pieces_leave_one_whole():
+def test_decontamination_masks_leave_one_whole():
     pick = random.Random(7)
     for n in [*range(1, 61), 200]:
-        length, starts = decontaminate.pieces(n, 0.8, 50)
+        step, kept, starts = decontaminate.masks(n, 0.8, 50)
         need = min(n, 50)
         for _ in range(200):
             lo = pick.randrange(n - need + 1)
             gone = set(pick.sample(range(lo, lo + need), need - -(-need * 4 // 5)))
-            assert any(lo <= s and s + length <= lo + need and not gone & set(range(s, s + length)) for s in starts.tolist())
+            places = [range(s, s + step * kept, step) for s in starts.tolist()]
+            assert all(x[-1] < n for x in places)
+            assert any(lo <= x[0] and x[-1] < lo + need and not gone & set(x) for x in places)
+
+
+def test_decontamination_of_items_with_one_text(spark):
+    text = prose(77, 20)
+    bench = spark.createDataFrame([(i, text) for i in range(5)] + [(9, None)], "item_id long, text string")
+    docs = spark.createDataFrame([(1, f"a {text} b", "x"), (1, f"a {text} b", "y"), (None, text, "z"), (3, "a", "z")], "doc_id long, text string, item_ids string")
+    assert sorted((r["doc_id"] or 0, r["item_ids"]) for r in decontaminate.op5_decontamination(docs, bench).collect()) == [(0, [0, 1, 2, 3, 4]), (1, [0, 1, 2, 3, 4])]
+    assert [r["doc_id"] for r in decontaminate.keep_uncontaminated(docs, bench).collect()] == [3]
 
 
 def test_fingerprints(docs):
@@ -342,6 +352,60 @@ def test_language_code_lengths_are_exact():
     assert langid.code_lengths([text], [(rows, table)])[0, 0] == pytest.approx(bits, rel=1e-5)
 
 
+class PlainPpm:
+    """The definition, byte by byte: order 2 with exclusion; a context's distinct bytes are the escape's weight."""
+
+    def __init__(self, samples):
+        self.seen = {}
+        data = b"\n".join(samples).lower()
+        for i in range(len(data)):
+            for k in range(min(i, 2) + 1):
+                own = self.seen.setdefault(data[i - k : i], {})
+                own[data[i]] = own.get(data[i], 0) + 1
+
+    def bits(self, text):
+        data, total = b"\n\n" + text.lower(), 0.0
+        for i in range(2, len(data)):
+            gone = set()
+            for k in (2, 1, 0):
+                own = {b: n for b, n in self.seen.get(data[i - k : i], {}).items() if b not in gone}
+                if not own:
+                    continue
+                whole = sum(own.values()) + (len(own) if len(own) + len(gone) < 256 else 0)
+                if data[i] in own:
+                    total -= math.log2(own[data[i]] / whole)
+                    break
+                total -= math.log2(len(own) / whole)
+                gone |= own.keys()
+            else:
+                total += math.log2(256 - len(gone))
+        return total
+
+
+def test_language_code_lengths_by_definition():
+    samples = [b"banana band", b"abba Banal", bytes(range(256))]
+    tree, plain = langid.context_tree(samples), PlainPpm(samples)
+    texts = [b"band", b"xyz", "r\u00edo ni\u00f1o".encode(), b"", b"ABBA banana", bytes(range(0, 256, 7))]
+    assert langid.code_lengths(texts, [tree])[:, 0] == pytest.approx([plain.bits(t) for t in texts], rel=1e-4)
+
+
+def test_language_sample_counts_copies_once(spark):
+    rows = [("same text", "en")] * 20_000 + [(f"text number {i}", "en") for i in range(50)] + [("uno", "es"), (None, "es"), ("x", None)]
+    found = langid.sample(spark.createDataFrame(rows, "text string, lang string"), per_language=40).collect()
+    by = collections.Counter(r["lang"] for r in found)
+    assert by == {"en": 40, "es": 1} and len({r["text"] for r in found}) == 41
+
+
+def test_language_stage_rejects_what_no_tree_can_read(spark):
+    tongues = {"en": "the of and house tree walked over with".split(), "es": "el r\u00edo ni\u00f1o est\u00e1 a\u00f1o se\u00f1or muy".split()}
+    pick = random.Random(1)
+    rows = [(i, prose(i, 40, tongues[x]), x, "k") for i, x in enumerate(["en", "es"] * 40)]
+    rows += [(100, "".join(pick.choice("bcdfghjklmnpqrstvwxz ") for _ in range(300)), None, "k"), (101, "\u042d\u0442\u043e \u0440\u0443\u0441\u0441\u043a\u0438\u0439", "en", "k"), (102, "123", "en", "k"), (103, None, None, "k"), (None, prose(3, 9, tongues["en"]), None, "k")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, lang_pred string")
+    kept = langid.keep_identified(docs, docs.where("doc_id < 100"))
+    assert kept.columns == docs.columns and {r["doc_id"] for r in kept.collect()} == {*range(80), None}
+
+
 def near_classes(texts):
     which, h, _ = neardup.weighted_shingles([(t or "").encode() for t in texts])
     sets = [set(h[which == i].tolist()) for i in range(len(texts))]
