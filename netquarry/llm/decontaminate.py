@@ -1,15 +1,17 @@
-"""Benchmark decontamination with seeds that no allowed overlap can miss.
+"""Benchmark decontamination with spaced seeds that no allowed overlap can miss.
 
 An item overlaps a document if, laid along some line, at least `min_share` of the item's words agree (items longer than
-`longest` words: of any stretch of that many words). If k words may differ, then of k + 1 separate pieces of the item one
-is whole in the document, wherever the substitutions are. Each item is cut into such pieces, as long as they can be (two
-to four words at 0.8; items of up to four words are one piece); items longer than `longest` are cut into pieces of equal
-length all along, so that every stretch of `longest` words holds k + 1 of them. The hashes of the pieces, with the words
-around them, are a query set. Documents' words are hashed at the same lengths and looked up in it. Each hit fixes how the
-item lies in the document; along that line the words are compared.
+`longest` words: of any stretch of that many words). Seeds are fixed masks over an item's words: if k words may differ, the
+k + 1 masks keep every (k + 1)-th word, each from another word on, and ignore all others. No two keep the same word, so k
+substitutions spoil k masks at most and one is whole, wherever they are. Items longer than `longest` have a mask of that
+step from each word on, so that every stretch of `longest` words holds k + 1 that share no word.
 
-The query set is broadcast in blocks of at most BLOCK_WORDS words (a bound on what is sent, whatever the benchmark's
-size); each block is matched against all documents.
+The hashes of the words that each mask keeps are joined with the hashes that the same masks (some twenty steps and
+lengths) give at each word of the documents. Each hit fixes how the item lies in the document; along that line all words
+are compared, and the share that agree decides.
+
+The benchmark is the stated query set: it is sent in blocks of at most BLOCK_BYTES of text, whatever its size, and each
+block is matched against all documents where they are. Items with the same text are one query.
 
 Words: runs of anything but white space, ASCII punctuation and controls; A-Z are lower-cased. Results for special rows:
 null and empty texts match nothing; items of up to four words must agree as a whole (0.8 of them is all of them); items
@@ -29,60 +31,71 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from netquarry.llm.common import BREAKS, rolled, steps, texts, words
+from netquarry.llm.common import BREAKS, mix, steps, texts, words
 
 MIN_SHARE = 0.8
 LONGEST = 50
-BLOCK_WORDS = 1 << 20
+BLOCK_BYTES = 8 << 20
 #: Lines that are compared at once.
 LINES = 1 << 13
 
 
-def pieces(n: int, min_share: float, longest: int) -> tuple[int, np.ndarray]:
-    """(length, starts) of the pieces of an item of n words: any allowed overlap leaves one of them whole."""
+def masks(n: int, min_share: float, longest: int) -> tuple[int, int, np.ndarray]:
+    """(step, kept words, starts) of the masks of an item of n words: any allowed overlap leaves one of them whole."""
     need = min(n, longest)
-    spoilt = need - max(math.ceil(min_share * need), 1)
-    if n <= longest:
-        length = n // (spoilt + 1)
-        return length, np.arange(spoilt + 1) * length
-    # a stretch holds (longest + 1) // length - 1 whole pieces at least, wherever it starts
-    length = (longest + 1) // (spoilt + 2)
-    return length, np.arange(0, n - length + 1, length)
+    step = need - max(math.ceil(min_share * need - 1e-9), 1) + 1
+    kept = need // step
+    return step, kept, np.arange(step) if n <= longest else np.arange(n - step * (kept - 1))
+
+
+#: Odd multipliers for the first, second, ... word that a mask keeps.
+_FACTORS = mix(np.arange(1, 1025, dtype=np.uint64)) | np.uint64(1)
+
+
+def seeds(hashes: np.ndarray, starts: np.ndarray, step: int, kept: int) -> np.ndarray:
+    """Hash of the words hashes[start], hashes[start + step], ... of each start."""
+    total = np.zeros(len(starts), np.uint64)
+    for k in range(kept):
+        total += hashes[starts + k * step] * _FACTORS[k % len(_FACTORS)]
+    return mix(total)
 
 
 class QuerySet:
-    """One block of benchmark items: their words, and where each piece's hash lies in them."""
+    """One block of benchmark items: their words, and where each seed's hash lies in them."""
 
     def __init__(self, items: list[tuple[object, bytes]], min_share: float, longest: int) -> None:
-        self.ids = [i for i, _ in items]
-        self.hashes, self.bounds = words([t for _, t in items], BREAKS, lower=True)
+        by_text: dict[bytes, list] = {}
+        for i, t in items:
+            by_text.setdefault(t, []).append(i)
+        self.ids = list(by_text.values())
+        self.hashes, self.bounds = words(list(by_text), BREAKS, lower=True)
         self.min_share, self.longest = min_share, longest
         size = np.diff(self.bounds)
-        self.item = np.repeat(np.arange(len(items)), size)
-        by_length: dict[int, list[np.ndarray]] = {}
+        self.item = np.repeat(np.arange(len(by_text)), size)
+        by_mask: dict[tuple[int, int], list[np.ndarray]] = {}
         for n in np.unique(size[size > 0]).tolist():
-            length, starts = pieces(n, min_share, longest)
-            by_length.setdefault(length, []).append((self.bounds[:-1][size == n][:, None] + starts).ravel())
+            step, kept, starts = masks(n, min_share, longest)
+            by_mask.setdefault((step, kept), []).append((self.bounds[:-1][size == n][:, None] + starts).ravel())
         self.seeds = []
-        for length, places in sorted(by_length.items()):
+        for (step, kept), places in sorted(by_mask.items()):
             at = np.concatenate(places)
-            self._add(rolled(self.hashes, at, at + length), at, length)
+            self._add(seeds(self.hashes, at, step, kept), at, step, kept)
 
-    def _add(self, h: np.ndarray, at: np.ndarray, length: int) -> None:
+    def _add(self, h: np.ndarray, at: np.ndarray, step: int, kept: int) -> None:
         order = np.argsort(h, kind="stable")
         h, at = h[order], at[order]
         first = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
-        bits = np.zeros(1 << 20, bool)
-        bits[(h & np.uint64((1 << 20) - 1)).astype(np.int64)] = True
-        self.seeds.append((length, h[first], first, np.diff(np.append(first, len(h))), at, bits))
+        bits = np.zeros(1 << min(max(len(h) * 8, 1 << 16).bit_length(), 23), bool)
+        bits[(h & np.uint64(len(bits) - 1)).astype(np.int64)] = True
+        self.seeds.append((step, kept, h[first], first, np.diff(np.append(first, len(h))), at, bits))
 
     def matches(self, hashes: np.ndarray, bounds: np.ndarray) -> list[tuple[int, int, int, int]]:
         """(document, item, first word, agreeing words) of every verified overlap; the best of each document and item."""
         good = []
-        for length, keys, first, count, at, bits in self.seeds:
-            start = np.arange(max(len(hashes) - length + 1, 0))
-            h = rolled(hashes, start, start + length)
-            place = np.flatnonzero(bits[(h & np.uint64((1 << 20) - 1)).astype(np.int64)])
+        for step, kept, keys, first, count, at, bits in self.seeds:
+            length = step * (kept - 1) + 1
+            h = seeds(hashes, np.arange(max(len(hashes) - length + 1, 0)), step, kept)
+            place = np.flatnonzero(bits[(h & np.uint64(len(bits) - 1)).astype(np.int64)])
             slot = np.searchsorted(keys, h[place])
             slot[slot == len(keys)] = 0
             doc = np.searchsorted(bounds, place, "right") - 1
@@ -110,7 +123,7 @@ class QuerySet:
         need = self.min_share * np.minimum(hi - lo, self.longest)
         go = np.flatnonzero(b - a >= need)
         doc, item, shift, place, a, b, need = (x[go] for x in (doc, item, shift, place, a, b, need))
-        # every stretch that holds the piece; in items of up to `longest` words that is the whole item
+        # every stretch that holds the seed; in items of up to `longest` words that is the whole item
         left, right = np.maximum(a, place + length - self.longest), np.minimum(b, place + self.longest)
         span = max(int((right - left).max(initial=0)), self.longest)
         grid = left[:, None] + np.arange(span)
@@ -125,15 +138,15 @@ class QuerySet:
 
 
 def blocks(items: DataFrame, item_id: str, text: str) -> Iterator[list[tuple[object, bytes]]]:
-    """Items in blocks of at most BLOCK_WORDS words (a longer item is a block of its own)."""
+    """Items in blocks of at most BLOCK_BYTES of text (a longer item is a block of its own)."""
     block, total = [], 0
     for row in items.select(item_id, text).where(F.col(text).isNotNull()).toLocalIterator():
-        size = row[1].count(" ") + row[1].count("\n") + 1
-        if block and total + size > BLOCK_WORDS:
+        value = row[1].encode()
+        if block and total + len(value) > BLOCK_BYTES:
             yield block
             block, total = [], 0
-        block.append((row[0], row[1].encode()))
-        total += size
+        block.append((row[0], value))
+        total += len(value)
     yield block
 
 
@@ -152,8 +165,9 @@ def overlaps(docs: DataFrame, items: DataFrame, text: str = "text", doc_id: str
                 for lo, hi in steps(values):
                     found = sent.value.matches(*words(values[lo:hi], BREAKS, lower=True))
                     if found:
-                        d, i, at, n = zip(*found, strict=True)
-                        names = pa.array([sent.value.ids[x] for x in i])
+                        # a row for each item that has the text
+                        d, i, at, n = zip(*[(d, x, at, n) for d, i, at, n in found for x in sent.value.ids[i]], strict=True)
+                        names = pa.array(i)
                         yield pa.RecordBatch.from_arrays([ids.take(pa.array([lo + x for x in d])), names, pa.array(at, pa.int64()), pa.array(n, pa.int64())], names=["doc_id", "item_id", "first_word", "n_agree"])
 
         found = docs.select(doc_id, text).mapInArrow(run, schema)
