@@ -8,6 +8,7 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,12 +30,17 @@ def crc_mod5(doc_id: str = "doc_id") -> Column:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; only where that is unset (tests), a new temporary one."""
+    """The folder that driver and executors share: spark.checkpoint.dir, or the one given to setCheckpointDir().
+
+    Only in local mode, where all run on one machine, a temporary one does where neither is set (tests).
+    """
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
         java = spark.sparkContext._jsc.sc().getCheckpointDir()
         found = java.get() if java.isDefined() else None
     if not found:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         found = tempfile.mkdtemp(prefix="spark-shared-")
         spark.sparkContext.setCheckpointDir(found)
     return found.rstrip("/")
@@ -88,29 +94,37 @@ def on(left: DataFrame, right: DataFrame, key: str, how: str) -> DataFrame:
 # ---------------------------------------------------------------- id ranges
 
 
-def range_bounds(df: DataFrame, parts: int, doc_id: str = "doc_id") -> list[int]:
-    """Fewer than `parts` ids that cut df into ranges of about equal rows: all that passes through the driver.
+def range_bounds(df: DataFrame, parts: int, doc_id: str = "doc_id") -> np.ndarray:
+    """About `parts` ids, ascending, that cut df into ranges of about equal rows: every k-th id of the sorted ids.
 
-    Approximate percentiles may come out differently each time, so plans that must agree share one list.
+    They are all that passes through the driver, eight bytes for each range. Plans that must agree share one list.
     """
-    shares = [i / parts for i in range(1, parts)]
-    return sorted(set((df.agg(F.percentile_approx(doc_id, shares, 20 * parts)).first()[0] if parts > 1 else None) or []))
+    ids = df.where(F.col(doc_id).isNotNull()).select(F.col(doc_id).cast("long").alias("id"))
+    every = max(-(-ids.count() // parts), 1)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = 0
+        for batch in batches:
+            at = np.arange(-seen % every, batch.num_rows, every)
+            seen += batch.num_rows
+            yield batch.take(pa.array(at))
 
+    spread = ids.repartitionByRange(max(parts // 64, 1), "id").sortWithinPartitions("id").mapInArrow(run, "id long")
+    return np.unique(np.array([r[0] for r in spread.collect()], np.int64))
 
-def ranged(df: DataFrame, bounds: list[int], doc_id: str = "doc_id") -> DataFrame:
-    """df with `part`: the number of bounds at or below its id, ascending by id. Null ids go to part 0."""
-    part = F.when(F.col(doc_id).isNull(), 0).otherwise(_bisect(F.col(doc_id), bounds))
-    return df.withColumn("part", part.cast("int"))
 
+def ranged(df: DataFrame, bounds: np.ndarray, doc_id: str = "doc_id") -> DataFrame:
+    """df with `part`: the number of bounds at or below its id, ascending by id. Null ids go to part 0.
+
+    The bounds are broadcast as one array, so the plan doesn't grow with them.
+    """
+    sent = df.sparkSession.sparkContext.broadcast(bounds)
+
+    @F.pandas_udf("int")
+    def part(ids: pd.Series) -> pd.Series:
+        return pd.Series(np.searchsorted(sent.value, ids.to_numpy(np.int64), "right").astype(np.int32))
 
-def _bisect(x: Column, bounds: list) -> Column:
-    """Nested comparisons, as deep as the logarithm of the bounds."""
-    if not bounds:
-        return F.lit(0)
-    if len(bounds) == 1:
-        return F.when(x >= bounds[0], 1).otherwise(0)
-    mid = len(bounds) // 2
-    return F.when(x >= bounds[mid], _bisect(x, bounds[mid + 1 :]) + (mid + 1)).otherwise(_bisect(x, bounds[:mid]))
+    return df.withColumn("part", part(F.coalesce(F.col(doc_id).cast("long"), F.lit(-(1 << 63)))))
 
 
 # ---------------------------------------------------------------- numpy on texts

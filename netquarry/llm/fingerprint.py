@@ -29,6 +29,9 @@ from pyspark.sql import functions as F
 
 from netquarry.llm.common import blocks_for, mix, range_bounds, ranged, rolled
 
+#: Bytes of text in a range of ids.
+RANGE = 32 << 20
+
 SLOTS = 128
 #: Phrases of level 1 have about 4 characters, each level about 3 to 4 times as many.
 FIRST, LEVELS = 2, 3
@@ -160,7 +163,7 @@ def with_next(docs: DataFrame, parts: int) -> DataFrame:
     if not follows:
         return placed.select("part", F.lit(0).alias("is_edge"), "doc_id", "text")
     table = docs.sparkSession.createDataFrame([(p, q, x) for p, (q, x) in follows.items()], "part int, before int, first_id long")
-    both = placed.join(F.broadcast(table), "part")
+    both = placed.join(table, "part")  # a row for each part: Spark broadcasts it if it is small
     itself = F.struct(F.col("part").alias("part"), F.lit(0).alias("is_edge"))
     edge = F.struct(F.col("before").alias("part"), F.lit(1).alias("is_edge"))
     copies = F.when(F.col("doc_id").eqNullSafe(F.col("first_id")), F.array(itself, edge)).otherwise(F.array(itself))
@@ -169,8 +172,9 @@ def with_next(docs: DataFrame, parts: int) -> DataFrame:
 
 def with_edits(docs: DataFrame) -> DataFrame:
     """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next of every document."""
-    parts = blocks_for(docs, "text")
-    dealt = with_next(docs, parts).repartition(parts, "part").sortWithinPartitions("part", "is_edge", F.asc_nulls_first("doc_id"), F.coalesce("text", F.lit("")))
+    parts = blocks_for(docs, "text", RANGE)
+    # by range, as hashes of so few numbers would put several parts into one task
+    dealt = with_next(docs, parts).repartitionByRange(parts, "part").sortWithinPartitions("part", "is_edge", F.asc_nulls_first("doc_id"), F.coalesce("text", F.lit("")))
     digest = dealt.select("part", "is_edge", "doc_id", F.coalesce("text", F.lit("")).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
