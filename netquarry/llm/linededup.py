@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from netquarry.llm.common import on
+from netquarry.llm.common import on, stored
 
 WINDOW = 3
 
@@ -43,7 +43,8 @@ def repeated(windows: DataFrame) -> DataFrame:
 def removed_lines(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", window: int = WINDOW) -> DataFrame:
     """(doc_id, removed): for documents with later occurrences, the sorted numbers of the lines to remove."""
     found = line_windows(docs, text, doc_id, window)
-    later = found.join(repeated(found), ["h1", "h2"]).where(~F.struct("doc_id", "at").eqNullSafe(F.col("first")))
+    # as a table of its own, not an aggregate of the join's own stage: so Spark can split the rows of a frequent window
+    later = found.join(stored(repeated(found)), ["h1", "h2"]).where(~F.struct("doc_id", "at").eqNullSafe(F.col("first")))
     covered = F.array_sort(F.array_distinct(F.flatten(F.transform(F.collect_set("at"), lambda i: F.sequence(i, i + (window - 1))))))
     return later.groupBy("doc_id").agg(covered.alias("removed"))
 

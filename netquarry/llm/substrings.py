@@ -100,7 +100,8 @@ def full_windows(docs: DataFrame, found: DataFrame, half: int, full: int) -> Dat
 def survivors(places: DataFrame) -> DataFrame:
     """(doc, starts, later): sorted starts of windows in several documents, and of those that a smaller document has."""
     later = F.collect_set(F.when(F.col("lo") < F.col("doc"), F.col("at")))
-    return places.join(shared(places), "h").groupBy("doc").agg(F.array_sort(F.collect_set("at")).alias("starts"), F.array_sort(later).alias("later"))
+    # as a table of its own, not an aggregate of the join's own stage: so Spark can split the rows of a frequent window
+    return places.join(stored(shared(places)), "h").groupBy("doc").agg(F.array_sort(F.collect_set("at")).alias("starts"), F.array_sort(later).alias("later"))
 
 
 def repeated(docs: DataFrame, window: int = WINDOW) -> DataFrame:
