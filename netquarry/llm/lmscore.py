@@ -5,8 +5,8 @@ context that the trie has; a byte unseen there escapes to the next shorter conte
 of the context gives half a count to the escape, method D), and the bytes of the longer context are excluded there; below order 0 the bytes left are
 equally likely. With frozen counts the probability depends on the last ORDER bytes and the byte alone.
 
-The trie grows with the corpus, so it is never broadcast. Documents are dealt to blocks of bounded size by a hash of the
-id. Each block sends its distinct (ORDER+1)-grams with their training counts; they are summed over all blocks, all
+The trie grows with the corpus, so it is never broadcast. Documents are dealt to blocks of bounded size by a hash of
+id and text. Each block sends its distinct (ORDER+1)-grams with their training counts; they are summed over all blocks, all
 contexts that end in the same two bytes meet in one group that computes the log
 probability of every gram, and each block gets those of its own grams back. Only orders 0 and 1 (65,536 counts at most)
 are broadcast. Word counts take the same way.
@@ -37,6 +37,8 @@ START, END = 0xFE, 0xFF
 ALPHABET = 255
 #: What each distinct byte of a context gives to the escape (method D).
 DISCOUNT = 0.5
+#: Bytes of text in a block.
+BLOCK = 10 << 20
 END_TOKEN = np.uint64(0xE7D)
 
 
@@ -135,8 +137,9 @@ def log_probabilities(code: np.ndarray, n: np.ndarray, low: np.ndarray, order: i
 
 def in_blocks(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
     """(block, doc_id, text, held_out)."""
-    n = blocks_for(docs, text)
-    return docs.select(F.pmod(F.xxhash64(doc_id), F.lit(n)).cast("int").alias("block"), F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), "held_out")
+    n = blocks_for(docs, text, BLOCK)
+    # by the text as well, as many rows may share an id
+    return docs.select(F.pmod(F.xxhash64(doc_id, text), F.lit(n)).cast("int").alias("block"), F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), "held_out")
 
 
 def gathered(blocks: DataFrame, order: int = ORDER) -> DataFrame:
