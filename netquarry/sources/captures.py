@@ -2,24 +2,50 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from netquarry.operators.contract import marked
+
 SENSOR = "[A-Za-z0-9][A-Za-z0-9._-]{0,63}"
 CAPTURES = r"\.(json|pcap|pcapng|cap)$"
+_GLOB = "*.{[jJ][sS][oO][nN],[pP][cC][aA][pP],[pP][cC][aA][pP][nN][gG],[cC][aA][pP]}"
+#: Spark holds a file's content in one value of under 2 GB.
+LARGEST = (1 << 31) - (1 << 20)
 DOCUMENT = "capture struct<file_name: string, packets_processed: bigint>, completion_state string, flows array<string>, error struct<code: string, category: string, message: string>"
 
 
 def landing_files(spark: SparkSession, path: str) -> DataFrame:
-    """path, length, content of the capture files below `path`; Spark leaves out what starts with `_` or `.`."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("ignoreMissingFiles", "true").load(path)
-    return files.where(F.lower("path").rlike(CAPTURES)).select("path", "length", "content")
+    """path, modified, length, content of the capture files below `path`; Spark leaves out what starts with `_` or `.`.
+
+    Files that vanish or can't be read leave no row. Their content is read only where it is selected.
+    """
+    options = {"recursiveFileLookup": "true", "ignoreMissingFiles": "true", "ignoreCorruptFiles": "true", "pathGlobFilter": _GLOB}
+    files = spark.read.format("binaryFile").options(**options).load(path)
+    return files.where(F.lower("path").rlike(CAPTURES)).select("path", F.col("modificationTime").alias("modified"), "length", "content")
+
+
+def check_sensor_id(sensor: str) -> str:
+    """The id if it is valid: 1 to 64 letters, digits, `.`, `_` or `-`, the first a letter or digit."""
+    if not re.fullmatch(SENSOR, sensor, re.ASCII):
+        raise ValueError(f"{sensor!r} is no sensor id: 1 to 64 letters, digits, '.', '_' or '-', the first a letter or digit")
+    return sensor
+
+
+def sensor_folder(path: Column) -> Column:
+    """What the innermost `sensor=` folder names, valid or not; null without one."""
+    return F.when(path.rlike("/sensor=[^/]*/"), F.regexp_extract(path, r".*/sensor=([^/]*)/", 1))
 
 
 def sensor_from_path(path: Column, sensor: str | None = None) -> Column:
-    """The innermost `sensor=<id>` folder with a valid id, else the given sensor, else `default`."""
-    found = F.regexp_extract(path, rf".*/sensor=({SENSOR})(?:/|$)", 1)
-    return F.when(found != "", found).otherwise(F.lit(sensor or "default"))
+    """The given sensor, else the id of the innermost `sensor=<id>` folder, else `default`. An id that is none is an error."""
+    if sensor is not None:
+        return F.lit(check_sensor_id(sensor))
+    found = sensor_folder(path)
+    refused = F.raise_error(F.concat(F.lit("no sensor id: "), found, F.lit(" in "), path)).cast("string")
+    return F.when(found.isNull(), "default").when(found.rlike(rf"\A{SENSOR}\z"), found).otherwise(refused)
 
 
 def file_batch_id(sensor_id: Column, content_sha256: Column) -> Column:
@@ -32,25 +58,21 @@ def capture_documents(files: DataFrame, sensor: str | None = None) -> DataFrame:
     status: `valid`, or `rejected` for an error document, broken JSON or another document.
     """
     text = F.col("content").cast("string")
+    given = [c for c in ("path", "modified", "length") if c in files.columns]
+    read = files.where(F.lower("path").endswith(".json")).select(*given, text.alias("text"), F.sha2("content", 256).alias("content_sha256"), sensor_from_path(F.col("path"), sensor).alias("sensor_id"))
     # bare NaN is no JSON but may stand in a flow; the whole is then still a document, and the flow gets it back below
-    marked = F.regexp_replace(text, r"(:\s*)(-?Infinity|NaN)(?=\s*[,}\]])", '$1"__bare__$2"')
-    shape = F.expr(f"schema_of_variant({_variant('marked')})")
-    read = files.where(F.lower("path").endswith(".json")).select("path", "length", text.alias("text"), marked.alias("marked"), F.sha2("content", 256).alias("content_sha256"), sensor_from_path(F.col("path"), sensor).alias("sensor_id"))
-    told = read.withColumn("shape", shape).withColumn("d", F.from_json("marked", DOCUMENT))
-    kind = lambda field: F.expr(f"schema_of_variant(variant_get({_variant('marked')}, '$.{field}', 'variant'))")
+    told = read.withColumn("text", F.when(F.try_parse_json("text").isNull(), marked(F.col("text"), "__bare__$2")).otherwise(F.col("text")))
+    told = told.withColumns({"whole": F.try_parse_json("text"), "d": F.from_json("text", DOCUMENT)})
+    kind = lambda field: F.expr(f"schema_of_variant(variant_get(whole, '$.{field}', 'variant'))")
     is_document = F.coalesce(kind("flows").startswith("ARRAY") & kind("capture").startswith("OBJECT") & (F.length("d.completion_state") > 0), F.lit(False))
     is_error = F.coalesce(kind("error").startswith("OBJECT") & kind("flows").isNull(), F.lit(False))
-    error = F.when(F.col("shape").isNull(), "not valid JSON").when(is_error, F.concat(F.lit("upstream error: "), "d.error.code")).when(~is_document, "not a flows document")
+    error = F.when(F.col("whole").isNull(), "not valid JSON").when(is_error, F.concat(F.lit("upstream error: "), "d.error.code")).when(~is_document, "not a flows document")
     return told.select(
-        "path", "length", "content_sha256", "sensor_id", file_batch_id(F.col("sensor_id"), F.col("content_sha256")).alias("batch_id"), F.concat(F.lit("sha256:"), "content_sha256").alias("capture_id"),
+        *given, "content_sha256", "sensor_id", file_batch_id(F.col("sensor_id"), F.col("content_sha256")).alias("batch_id"), F.concat(F.lit("sha256:"), "content_sha256").alias("capture_id"),
         F.col("d.capture.file_name").alias("capture_file"), "d.completion_state", F.when(error.isNull(), F.transform("d.flows", lambda x: F.regexp_replace(x, '"__bare__(-?Infinity|NaN)"', "$1"))).alias("flows"), F.when(error.isNull(), "valid").otherwise("rejected").alias("status"), error.alias("error"),
     )
 
 
-def _variant(column: str) -> str:
-    return f"try_parse_json({column})"
-
-
 def explode_flows(documents: DataFrame) -> DataFrame:
     """raw, record_index and the context of each flow of the valid documents."""
     return documents.where("status = 'valid'").select("batch_id", F.lit("file").alias("source"), "sensor_id", "capture_id", "capture_file", "completion_state", F.posexplode("flows").alias("record_index", "raw")).withColumn("record_index", F.col("record_index").cast("bigint"))

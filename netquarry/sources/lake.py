@@ -4,14 +4,16 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
 from datetime import datetime, timezone
+from itertools import islice
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from netquarry.operators import contract
 from netquarry.schemas import BRONZE, LEDGER, QUARANTINE
-from netquarry.sources.captures import capture_documents, explode_flows, landing_files
+from netquarry.sources.captures import LARGEST, SENSOR, capture_documents, check_sensor_id, explode_flows, landing_files, sensor_folder
 
 
 def exists(spark: SparkSession, path: str) -> bool:
@@ -20,33 +22,65 @@ def exists(spark: SparkSession, path: str) -> bool:
 
 
 def work_dir(spark: SparkSession, name: str) -> str:
-    """A new folder that driver and executors share: below spark.checkpoint.dir, else (tests) a temporary one."""
-    top = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-lake-")
+    """A new folder that driver and executors share: below spark.checkpoint.dir or the folder given to setCheckpointDir().
+
+    Only in local mode, where all run on one machine, a temporary one does where neither is set (tests).
+    """
+    top = spark.conf.get("spark.checkpoint.dir", None)
+    if not top:
+        java = spark.sparkContext._jsc.sc().getCheckpointDir()
+        top = java.get() if java.isDefined() else None
+    if not top:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        top = tempfile.mkdtemp(prefix="spark-lake-")
     return f"{top.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def table(spark: SparkSession, lake: str, name: str) -> DataFrame:
     """A table of the lake; empty with its schema if nothing was written yet."""
     schema = {"flows": BRONZE.replace(" not null", "") + ", ingest_date date", "quarantine": QUARANTINE + ", ingest_date date", "ledger": LEDGER}[name]
+    empty = spark.createDataFrame([], schema)
     if not exists(spark, f"{lake}/{name}"):
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(f"{lake}/{name}")
+        return empty
+    return spark.read.schema(schema).parquet(f"{lake}/{name}").select(*empty.columns)
 
 
-def write_partitioned(df: DataFrame, lake: str, name: str) -> None:
-    """Append rows to the partition of their ingestion date; ingested_at must be set."""
-    df.withColumn("ingest_date", F.to_date("ingested_at")).write.mode("append").option("compression", "zstd").partitionBy("ingest_date").parquet(f"{lake}/{name}")
+def write_batches(df: DataFrame, lake: str, name: str) -> None:
+    """Write rows below their ingestion date and batch, in place of what the batch had there; ingested_at must be set.
+
+    A batch is written whole, so writing it once more after a failure doubles nothing.
+    """
+    dated = df.withColumn("ingest_date", F.to_date("ingested_at")).hint("rebalance", "ingest_date", "batch_id")
+    dated.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd").partitionBy("ingest_date", "batch_id").parquet(f"{lake}/{name}")
+
+
+def forget_batches(spark: SparkSession, lake: str, names: list[str], batch_ids: Iterator[str]) -> None:
+    """Delete what batches have written on any day: a retry may be on another day than the attempt that failed."""
+    conf = spark._jsc.hadoopConfiguration()
+    while group := list(islice(batch_ids, 200)):
+        for name in names:
+            pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{lake}/{name}/ingest_date=*/batch_id={{{','.join(group)}}}")
+            fs = pattern.getFileSystem(conf)
+            for found in fs.globStatus(pattern) or []:
+                fs.delete(found.getPath(), True)
 
 
 def write_ledger(rows: DataFrame, lake: str) -> None:
-    names = [x.split()[0] for x in ("batch_id,status,source,input_ref,sensor_id,records_written,records_quarantined,reasons,reason,files,finished_at").split(",")]
+    names = [x.split()[0] for x in "batch_id,status,source,input_ref,sensor_id,records_written,records_quarantined,reasons,reason,files,modified,finished_at".split(",")]
     rows.select(*names).write.mode("append").parquet(f"{lake}/ledger")
 
 
 def commit(told: DataFrame, batches: DataFrame, lake: str) -> DataFrame:
     """Write checked flows as bronze and quarantine rows, then the ledger: a batch counts as finished only at the end.
 
-    batches: batch_id, source, input_ref, sensor_id, status, reason. The checks are a table first, as both writes read them.
+    batches: batch_id, source, input_ref, sensor_id, status, reason, and `modified` if known. Batches that failed on the way
+    are written anew, in place of their first files. The checks are a table first, as both writes read them.
     """
     spark = told.sparkSession
     work = f"{lake}/_work/{uuid.uuid4().hex}"
@@ -54,36 +88,58 @@ def commit(told: DataFrame, batches: DataFrame, lake: str) -> DataFrame:
     envelope = [c for c in told.columns if c == "envelope_error"]
     told.select(*context, "v", "__ip_initiator", "__ip_responder", "error_type", *envelope).write.parquet(work)
     done = spark.read.parquet(work)
-    write_partitioned(contract.flattened(done.where("error_type is null")), lake, "flows")
-    write_partitioned(contract.quarantined(done.where("error_type is not null")), lake, "quarantine")
+    forget_batches(spark, lake, ["flows", "quarantine"], (r[0] for r in batches.select("batch_id").toLocalIterator()))
+    write_batches(contract.flattened(done.where("error_type is null")), lake, "flows")
+    write_batches(contract.quarantined(done.where("error_type is not null")), lake, "quarantine")
     by_type = done.groupBy("batch_id", "error_type").agg(F.count("*").alias("n"))
     counts = by_type.groupBy("batch_id").agg(
         F.coalesce(F.sum(F.when(F.col("error_type").isNull(), F.col("n"))), F.lit(0)).alias("records_written"), F.coalesce(F.sum(F.when(F.col("error_type").isNotNull(), F.col("n"))), F.lit(0)).alias("records_quarantined"),
         F.map_from_entries(F.filter(F.collect_list(F.struct("error_type", "n")), lambda e: e["error_type"].isNotNull())).alias("reasons"),
     )
     rows = batches.join(counts, "batch_id", "left").na.fill(0, ["records_written", "records_quarantined"]).withColumns({"files": F.array("input_ref"), "finished_at": F.current_timestamp()})
-    write_ledger(rows, lake)
-    p = spark._jvm.org.apache.hadoop.fs.Path(work)
-    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+    write_ledger(rows if "modified" in batches.columns else rows.withColumn("modified", F.lit(None).cast("timestamp")), lake)
+    remove(spark, work)
     return table(spark, lake, "ledger")
 
 
-def ingest(spark: SparkSession, lake: str, path: str, sensor: str | None = None, force: bool = False, ingested_at: datetime | None = None) -> DataFrame:
+def ingest(spark: SparkSession, lake: str, path: str, sensor: str | None = None, force: bool = False, ingested_at: datetime | None = None, largest: int = LARGEST) -> DataFrame:
     """Ingest all capture documents below `path`, each as a batch of its own; finished batches are skipped unless forced.
 
-    Returns (batch_id, path, status) of every document: ingested, rejected or skipped.
+    Returns (batch_id, path, status) of every document: ingested, rejected, skipped, or failed for files that couldn't be
+    read or are over `largest` bytes; those leave no ledger entry and are tried again. Files that the ledger knows by path
+    and time of change aren't opened. A folder that names no valid sensor stops the run before anything is written.
     """
-    documents = capture_documents(landing_files(spark, path), sensor)
-    unique = documents.groupBy("batch_id").agg(F.min_by(F.struct(*documents.columns), "path").alias("d")).select("d.*")
-    finished = table(spark, lake, "ledger").where("status in ('ingested', 'rejected')").select("batch_id").distinct()
-    todo = unique if force else unique.join(finished, "batch_id", "left_anti")
-    stamp = F.lit(ingested_at or datetime.now(timezone.utc).replace(tzinfo=None)).cast("timestamp")
+    work, report = f"{lake}/_work/{uuid.uuid4().hex}", f"{lake}/_runs/{uuid.uuid4().hex}"
+    files = landing_files(spark, path).where(F.lower("path").endswith(".json"))
+    if sensor is None:
+        bad = files.where(~sensor_folder(F.col("path")).rlike(rf"\A{SENSOR}\z")).select(sensor_folder(F.col("path"))).first()
+        check_sensor_id(bad[0] if bad else "default")
+    finished = table(spark, lake, "ledger").where("status in ('ingested', 'rejected')")
+    listed = files.select("path", "modified", "length")
+    known = finished.groupBy(F.col("input_ref").alias("path"), "modified").agg(F.min("batch_id").alias("batch_id"))
+    opened = files if force else files.join(known, ["path", "modified"], "left_anti")
+    capture_documents(opened.where(F.col("length") <= largest), sensor).write.parquet(f"{work}/documents")
+    documents = spark.read.parquet(f"{work}/documents")
+    first = documents.groupBy("batch_id").agg(F.min("path").alias("path"))
+    unique = documents.join(first, ["batch_id", "path"])
+    todo = unique if force else unique.join(finished.select("batch_id").distinct(), "batch_id", "left_anti")
     # what is to do is fixed before the ledger changes
-    listed = [tuple(r) for r in unique.select("batch_id", "path", "status").join(todo.select("batch_id", F.lit(True).alias("new")), "batch_id", "left").collect()]
+    new = F.when(F.col("status") == "valid", "ingested").otherwise("rejected").alias("status")
+    found = todo.select("batch_id", "path", new).unionByName(unique.join(todo.select("batch_id"), "batch_id", "left_anti").select("batch_id", "path", F.lit("skipped").alias("status")))
+    if not force:
+        found = found.unionByName(listed.join(known, ["path", "modified"]).select("batch_id", "path", F.lit("skipped").alias("status")))
+    unread = listed.join(known, ["path", "modified"], "left_anti") if not force else listed
+    unread = unread.join(documents.select("path"), "path", "left_anti")
+    failed = unread.select(F.concat(F.lit("unread-"), F.substring(F.sha2("path", 256), 1, 32)).alias("batch_id"), "path", F.lit("failed").alias("status"))
+    found.unionByName(failed).write.parquet(report)
+    # on the way the ledger may gain batches; the report and the list of what is to do don't follow it
+    todo = documents.join(spark.read.parquet(report).where("status in ('ingested', 'rejected')").select("batch_id", "path"), ["batch_id", "path"])
+    stamp = F.lit(ingested_at or datetime.now(timezone.utc).replace(tzinfo=None)).cast("timestamp")
     told = contract.checked(explode_flows(todo).withColumn("ingested_at", stamp))
-    batches = todo.select("batch_id", F.lit("file").alias("source"), F.col("path").alias("input_ref"), "sensor_id", F.when(F.col("status") == "valid", "ingested").otherwise("rejected").alias("status"), F.col("error").alias("reason"))
+    batches = todo.select("batch_id", F.lit("file").alias("source"), F.col("path").alias("input_ref"), "sensor_id", "modified", new, F.col("error").alias("reason"))
     commit(told, batches, lake)
-    return spark.createDataFrame([(b, p, "skipped" if not new else "ingested" if s == "valid" else "rejected") for b, p, s, new in listed], "batch_id string, path string, status string")
+    remove(spark, work)
+    return spark.read.schema("batch_id string, path string, status string").parquet(report)
 
 
 def drop_before(spark: SparkSession, lake: str, name: str, day: str) -> list[str]:

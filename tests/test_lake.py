@@ -1,4 +1,7 @@
 import json
+from datetime import datetime
+
+import pytest
 
 from netquarry.operators.serving import batch_summary, snapshot_difference
 from netquarry.plans import stored
@@ -28,8 +31,9 @@ def landing(tmp_path):
 def test_discovery_status_and_sensor(spark, tmp_path):
     files = captures.landing_files(spark, landing(tmp_path))
     assert sorted(r["path"].rsplit("/", 1)[1] for r in files.collect()) == ["a.json", "a2.json", "b.JSON", "c.json", "d.json", "e.json", "g.PCAP"]
-    found = {r["path"].rsplit("/", 1)[1]: r for r in captures.capture_documents(files, "given").collect()}
-    assert {k: (r["status"], r["sensor_id"]) for k, r in found.items()} == {"a.json": ("valid", "s1"), "a2.json": ("valid", "s1"), "b.JSON": ("valid", "given"), "c.json": ("rejected", "given"), "d.json": ("rejected", "given"), "e.json": ("rejected", "given")}
+    found = {r["path"].rsplit("/", 1)[1]: r for r in captures.capture_documents(files).collect()}
+    assert {k: (r["status"], r["sensor_id"]) for k, r in found.items()} == {"a.json": ("valid", "s1"), "a2.json": ("valid", "s1"), "b.JSON": ("valid", "default"), "c.json": ("rejected", "default"), "d.json": ("rejected", "default"), "e.json": ("rejected", "default")}
+    assert {r["sensor_id"] for r in captures.capture_documents(files, "given").collect()} == {"given"}
     assert found["c.json"]["error"] == "upstream error: bad_magic" and len(found["a.json"]["flows"]) == 3
     assert {r["format"] for r in captures.capture_inventory(files).where("path like '%PCAP'").collect()} == {"pcapng"}
 
@@ -54,13 +58,54 @@ def test_ingest_is_idempotent(spark, tmp_path):
     assert {r["status"] for r in L.ingest(spark, lake, path).collect()} == {"skipped"} and L.table(spark, lake, "flows").count() == 3
     L.ingest(spark, lake, path, force=True)
     flows = L.table(spark, lake, "flows")
-    assert flows.count() == 6 and flows.select("record_id").distinct().count() == 3
+    assert flows.count() == 3 and L.table(spark, lake, "quarantine").count() == 1  # in place of the first files
     summary = {r["status"]: r["records_written"] for r in batch_summary(L.table(spark, lake, "ledger")).collect()}
     assert summary == {"ingested": 6, "rejected": 0}
     day = flows.agg({"ingest_date": "max"}).first()[0]
     assert len(L.drop_before(spark, lake, "flows", "9999-01-01")) == 1 and day is not None
 
 
+def test_a_batch_that_failed_on_the_way_is_written_once(spark, tmp_path, monkeypatch):
+    path, lake = landing(tmp_path), f"{tmp_path}/lake"
+
+    def broken(*_):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as m, pytest.raises(RuntimeError, match="lost"):
+        m.setattr(L, "write_ledger", broken)
+        L.ingest(spark, lake, path, ingested_at=datetime(2026, 1, 1))
+    assert L.table(spark, lake, "flows").count() == 3 and L.table(spark, lake, "ledger").isEmpty()
+    L.ingest(spark, lake, path, ingested_at=datetime(2026, 1, 2))
+    assert L.table(spark, lake, "flows").count() == 3 and L.table(spark, lake, "quarantine").count() == 1
+    assert {str(r["ingest_date"]) for r in L.table(spark, lake, "flows").collect()} == {"2026-01-02"}
+
+
+def test_files_that_cannot_be_read_fail_alone(spark, tmp_path):
+    path, lake = landing(tmp_path), f"{tmp_path}/lake"
+    found = {r["path"].rsplit("/", 1)[1]: r["status"] for r in L.ingest(spark, lake, path, largest=100).collect()}
+    assert {k for k, v in found.items() if v == "failed"} == {"a.json", "a2.json", "b.JSON"} and found["d.json"] == "rejected"
+    assert sorted(r["status"] for r in L.ingest(spark, lake, path).collect()) == ["ingested", "ingested", "skipped", "skipped", "skipped"]
+
+
+def test_invalid_sensor_ids_are_refused(spark, tmp_path):
+    path = landing(tmp_path)
+    p = tmp_path / "landing" / "sensor=s1" / "sensor=-x"
+    p.mkdir()
+    (p / "z.json").write_text(document())
+    with pytest.raises(ValueError, match="no sensor id"):
+        L.ingest(spark, f"{tmp_path}/lake", path)
+    with pytest.raises(ValueError, match="no sensor id"):
+        L.ingest(spark, f"{tmp_path}/lake", path, sensor="a b")
+    assert not L.exists(spark, f"{tmp_path}/lake/flows")
+
+
+def test_bare_numbers_in_texts_are_left_alone(spark, tmp_path):
+    flow = json.dumps(FLOW | {"end_reason": "path: NaN, z", "dominant_endpoint": "[NaN]"})
+    (tmp_path / "a.json").write_text(document(flow, changed("duration_seconds", float("-inf"))))
+    found = captures.capture_documents(captures.landing_files(spark, str(tmp_path))).first()
+    assert found["status"] == "valid" and json.loads(found["flows"][0]) == json.loads(flow) and "-Infinity" in found["flows"][1]
+
+
 def test_stream_is_files(spark, tmp_path):
     path = landing(tmp_path)
     messages = bronze.encode_messages(captures.capture_documents(captures.landing_files(spark, path)).where("path like '%/a.json' or path like '%b.JSON'"))
