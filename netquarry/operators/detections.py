@@ -124,6 +124,13 @@ def det_dns_tunneling(facts: DataFrame, t: Thresholds = Thresholds()) -> DataFra
     )
 
 
+#: The fields of all rules' evidence.
+EVIDENCE = (
+    "distinct_ports bigint, failed_ratio double, sample_ports array<int>, connections bigint, mean_interval_seconds double, interval_cv double, first_seen string, last_seen string, "
+    "bytes_out bigint, bytes_in bigint, upload_ratio double, distinct_names bigint, avg_label_length double, sample_query string"
+)
+
+
 def evidence(**columns: Column) -> Column:
     return F.to_json(F.struct(*[c.alias(n) for n, c in columns.items()]), {"ignoreNullFields": "false"})
 
@@ -131,7 +138,7 @@ def evidence(**columns: Column) -> Column:
 def fct_alerts(scans: DataFrame, beacons: DataFrame, uploads: DataFrame, tunnels: DataFrame, rules: DataFrame, techniques: DataFrame, allowlist: DataFrame) -> DataFrame:
     """All detections in one shape with rule and technique names, without allowlisted ones.
 
-    alert_id is stable across rebuilds. For beaconing it includes the port: two ports on one host are two alerts.
+    alert_id is stable across rebuilds: rule, addresses, name and window; beacons to two ports of one host share it.
     """
     c, null = F.col, lambda kind: F.lit(None).cast(kind)
     day = c("event_date").cast("timestamp")
@@ -147,8 +154,7 @@ def fct_alerts(scans: DataFrame, beacons: DataFrame, uploads: DataFrame, tunnels
         .unionByName(shape(uploads, "exfiltration", c("dst_ip"), null("int"), c("dst_name"), day, day_end, c("flows"), c("bytes_out"), evidence(bytes_out=c("bytes_out"), bytes_in=c("bytes_in"), upload_ratio=F.round("upload_ratio", 4), **seen)))
         .unionByName(shape(tunnels, "dns_tunneling", null("string"), F.lit(53), c("parent_domain"), c("window_start"), hour_end, c("queries"), null("bigint"), evidence(distinct_names=c("distinct_names"), avg_label_length=F.round("avg_label_length", 1), sample_query=c("sample_query"))))
     )
-    port = F.when(c("rule_id") == "beaconing", c("dst_port").cast("string"))
-    alert_id = F.md5(F.concat_ws("|", "rule_id", "src_ip", "dst_ip", "dst_name", utc_text(c("window_start")), port))
+    alert_id = F.md5(F.concat_ws("|", "rule_id", "src_ip", "dst_ip", "dst_name", utc_text(c("window_start"))))
     named = allowed(alerts, allowlist).join(rules.drop("description"), "rule_id").join(techniques, c("mitre_technique_id") == c("technique_id"))
     return named.select(
         alert_id.alias("alert_id"), "rule_id", "rule_name", "severity", "mitre_technique_id", c("technique_name").alias("mitre_technique_name"), c("tactic").alias("mitre_tactic"),

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from datetime import datetime, timedelta
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,15 +39,25 @@ def new_rows(bronze: DataFrame, watermark: datetime | None, lookback_minutes: in
     return bronze.where((F.col("ingested_at") > F.lit(since)) & (F.col("ingest_date") >= F.lit(since.date())))
 
 
-def update_facts(spark: SparkSession, bronze: DataFrame, path: str, zones: DataFrame, services: DataFrame, run_started_at: datetime, lookback_minutes: int = 30, full_refresh: bool = False) -> None:
-    """Merge new bronze rows into the fact at `path` by record_id; only partitions of new or replaced rows are rewritten."""
+def _note(loaded: DataFrame, path: str) -> None:
+    """Keep the latest ingestion time beside the table, so that no run has to look for it in the table."""
+    loaded.agg(F.max("ingested_at").alias("ingested_at")).write.mode("append").parquet(f"{path}_watermark")
+
+
+def update_facts(spark: SparkSession, bronze: DataFrame, path: str, zones: DataFrame, services: DataFrame, run_started_at: datetime, lookback_minutes: int = 30, full_refresh: bool = False) -> list[date] | None:
+    """Merge new bronze rows into the fact at `path` by record_id; only partitions of new or replaced rows are rewritten.
+
+    Returns the days that changed, also those that lost rows; None if the whole table was written.
+    """
     there = not full_refresh and has_rows(spark, path)
     target = spark.read.parquet(path) if there else None
-    watermark = target.agg(F.max("ingested_at")).first()[0] if there else None
+    watermark = spark.read.parquet(f"{path}_watermark").agg(F.max("ingested_at")).first()[0] if there else None
     fresh = fct_flows(stage_flows(new_rows(bronze, watermark, lookback_minutes)), zones, services, run_started_at)
     if not there:
         fresh.write.mode("overwrite").option("compression", "zstd").partitionBy("event_date").parquet(path)
-        return
+        if has_rows(spark, path):
+            _note(spark.read.parquet(path), path)
+        return None
     work = f"{path}_fresh_{uuid.uuid4().hex}"
     fresh.write.parquet(work)
     fresh = spark.read.schema(fresh.schema).parquet(work)
@@ -62,30 +72,28 @@ def update_facts(spark: SparkSession, bronze: DataFrame, path: str, zones: DataF
         for day in empty:  # every row of the day moved away
             p = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/event_date={day}")
             p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+        _note(fresh, path)
     p = spark._jvm.org.apache.hadoop.fs.Path(work)
     p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+    return days
 
 
-def update_hourly(spark: SparkSession, facts_path: str, path: str, full_refresh: bool = False) -> None:
-    """Recompute the days of which an hour has rows loaded since the last run; hours are whole within a day's partition."""
+def update_hourly(spark: SparkSession, facts_path: str, path: str, days: list[date] | None = None) -> None:
+    """Recompute the given days, or all; hours are whole within a day's partition. A day without facts loses its hours."""
     if not has_rows(spark, facts_path):
         return
     facts = spark.read.parquet(facts_path)
-    there = not full_refresh and has_rows(spark, path)
-    if there:
-        since = spark.read.parquet(path).agg(F.max("max_loaded_at")).first()[0]
-        days = [r[0] for r in facts.where(F.col("loaded_at") > F.lit(since)).select("event_date").distinct().collect()] if since else []
-        if since and not days:
-            return
-        facts = facts.where(F.col("event_date").isin(days)) if since else facts
-    hourly = agg_traffic_hourly(facts).withColumn("event_date", F.to_date("hour_start"))
-    if there:
-        replace_partitions(hourly, path, "event_date")
-    else:
-        hourly.write.mode("overwrite").partitionBy("event_date").parquet(path)
+    if days is None or not has_rows(spark, path):
+        agg_traffic_hourly(facts).withColumn("event_date", F.to_date("hour_start")).write.mode("overwrite").partitionBy("event_date").parquet(path)
+    elif days:
+        replace_partitions(agg_traffic_hourly(facts.where(F.col("event_date").isin(days))).withColumn("event_date", F.to_date("hour_start")), path, "event_date")
+        for day in days:
+            if not exists(spark, f"{facts_path}/event_date={day}"):
+                p = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/event_date={day}")
+                p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def build(spark: SparkSession, bronze: DataFrame, gold: str, zones: DataFrame, services: DataFrame, run_started_at: datetime, thresholds: Thresholds = Thresholds(), full_refresh: bool = False) -> None:
-    """Bring the stored gold tables up to date: facts, then hours."""
-    update_facts(spark, bronze, f"{gold}/fct_flows", zones, services, run_started_at, thresholds.incremental_lookback_minutes, full_refresh)
-    update_hourly(spark, f"{gold}/fct_flows", f"{gold}/agg_traffic_hourly", full_refresh)
+    """Bring the stored gold tables up to date: facts, then the hours of the days that changed."""
+    days = update_facts(spark, bronze, f"{gold}/fct_flows", zones, services, run_started_at, thresholds.incremental_lookback_minutes, full_refresh)
+    update_hourly(spark, f"{gold}/fct_flows", f"{gold}/agg_traffic_hourly", days)

@@ -36,3 +36,11 @@ def flattened(events: DataFrame) -> DataFrame:
         F.col("dst_endpoint.port").alias("dst_port"), F.col("dst_endpoint.hostname").alias("hostname"), "connection_info.protocol_name", "connection_info.direction_id", F.col("connection_info.direction").alias("direction"),
         F.col("traffic.bytes").alias("bytes"), "traffic.bytes_out", "traffic.packets_in",
     )
+
+
+def export(facts: DataFrame, path: str, form: str = "parquet") -> None:
+    """Write the events of the flow fact to `path`, below the day that each happened on, as Parquet or JSON lines."""
+    if form not in ("parquet", "json"):
+        raise ValueError(f"{form!r} is neither parquet nor json")
+    events = network_activity(facts).withColumn("day", F.to_date(F.timestamp_millis("time")))
+    events.write.mode("overwrite").option("compression", "zstd" if form == "parquet" else "gzip").partitionBy("day").format(form).save(path)

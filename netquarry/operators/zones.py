@@ -37,12 +37,3 @@ def zone_lookup(addresses: DataFrame, zones: DataFrame) -> DataFrame:
     return known.select(
         "ip", F.coalesce("z.zone", F.when(private, "private").otherwise("external")).alias("zone"), F.coalesce("z.is_internal", private).alias("is_internal")
     )
-
-
-def zone_lookup_range(addresses: DataFrame, zones: DataFrame) -> DataFrame:
-    """The same by a broadcast range join: for tens of zones, whose table must be small enough to broadcast."""
-    z = F.broadcast(parse_zones(zones))
-    n = ipv4_to_int(F.col("ip"))
-    private = is_private_ipv6(F.col("ip"))
-    found = addresses.join(z, n.between(F.col("range_start"), F.col("range_end")), "left").groupBy("ip").agg(F.max_by(F.struct("zone", "is_internal"), F.struct("prefix_length", F.expr("hash(zone)"))).alias("z"))
-    return found.select("ip", F.coalesce("z.zone", F.when(private, "private").otherwise("external")).alias("zone"), F.coalesce("z.is_internal", private).alias("is_internal"))

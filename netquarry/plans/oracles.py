@@ -24,6 +24,19 @@ EVENT_ZONES = (
 )
 
 
+EVENT_ALLOWLIST = (
+    ("rule_id", "CASE WHEN user_id % 5 = 0 THEN 'no_rule' ELSE 'beaconing' END"), ("src_ip", "CASE WHEN user_id % 3 = 0 THEN '*' WHEN user_id % 7 = 0 THEN '10.1.1' ELSE concat('10.20.1.', CAST(user_id % 200 AS STRING)) END"),
+    ("dst_ip", "CASE WHEN user_id % 11 = 0 THEN 'host' WHEN user_id % 2 = 0 THEN '2001:db8::1' ELSE '*' END"), ("dst_port", "CASE WHEN user_id % 13 = 0 THEN '70000' WHEN user_id % 2 = 0 THEN '443' ELSE '*' END"), ("reason", "'x'"),
+)
+ALLOWLIST_PROBLEMS = (("rule_id = 'no_rule'", "rule_id is unknown"), ("src_ip = '10.1.1'", "src_ip is no address"), ("dst_ip = 'host'", "dst_ip is no address"), ("dst_port = '70000'", "dst_port is no port"))
+#: What is told of the contract cases, by event_id % 40.
+CASE_MESSAGES = {
+    0: "flow_id: the field is missing", 1: "protocol: not a whole number", 2: "protocol: above the largest allowed value", 3: "packets_total: below the least allowed value", 4: "duration_seconds: not finite",
+    5: "initiator_basis: an empty text", 6: "ip_version: not one of the allowed values", 7: "initiator.ip: no address of IPv4 or IPv6", 8: "<record>: both first_seen and last_seen must be there",
+    9: "<record>: last_seen comes before first_seen", 10: "<record>: the directions don''t add up to the total", 11: "<record>: an address isn''t of the version that ip_version tells",
+}
+
+
 def allowlist(spark: SparkSession) -> DataFrame:
     return reference_table(spark, "detection_allowlist", ALLOWED)
 
@@ -97,16 +110,19 @@ _DETECT = (
     "tunnels AS (SELECT src_ip, parent_domain, flow_hour AS window_start, flow_hour + INTERVAL 1 HOUR AS window_end, count(*) AS queries, count(DISTINCT query) AS distinct_names, avg(length(first_label)) AS avg_label_length, max(length(query)) AS max_name_length, min(first_seen) AS first_seen, max(first_seen) AS last_seen, min(query) AS sample_query "
     "FROM labels GROUP BY ALL HAVING count(DISTINCT query) >= 2 AND avg(length(first_label)) >= 6)"
 )
+_DAY = "CAST(event_date AS TIMESTAMP) AS window_start, CAST(event_date AS TIMESTAMP) + INTERVAL 1 DAY AS window_end"
+_SEEN = "strftime(first_seen, '%Y-%m-%d %H:%M:%S') || '+00' AS first_seen, strftime(last_seen, '%Y-%m-%d %H:%M:%S') || '+00' AS last_seen"
+_PROOF = "distinct_ports failed_ratio sample_ports connections mean_interval_seconds interval_cv first_seen last_seen bytes_out bytes_in upload_ratio distinct_names avg_label_length sample_query"
 _ALERTS = (
     f"rules AS {_values(tuple(r[:4] for r in RULES), 'rule_id, rule_name, severity, mitre_technique_id')}, techniques AS {_values(TECHNIQUES, 'technique_id, technique_name, tactic')}, "
-    "every AS (SELECT 'port_scan' AS rule_id, src_ip, dst_ip, CAST(NULL AS BIGINT) AS dst_port, CAST(NULL AS VARCHAR) AS dst_name, window_start, window_end, flows, bytes FROM scans "
-    "UNION ALL SELECT 'beaconing', src_ip, dst_ip, dst_port, dst_name, CAST(event_date AS TIMESTAMP), CAST(event_date AS TIMESTAMP) + INTERVAL 1 DAY, connections, NULL FROM beacons "
-    "UNION ALL SELECT 'exfiltration', src_ip, dst_ip, NULL, dst_name, CAST(event_date AS TIMESTAMP), CAST(event_date AS TIMESTAMP) + INTERVAL 1 DAY, flows, bytes_out FROM uploads "
-    "UNION ALL SELECT 'dns_tunneling', src_ip, NULL, 53, parent_domain, window_start, window_end, queries, NULL FROM tunnels), "
-    "alerts AS (SELECT md5(concat_ws('|', e.rule_id, src_ip, dst_ip, dst_name, strftime(window_start, '%Y-%m-%d %H:%M:%S') || '+00', CASE WHEN e.rule_id = 'beaconing' THEN CAST(dst_port AS VARCHAR) END)) AS alert_id, e.rule_id, rule_name, severity, mitre_technique_id, technique_name AS mitre_technique_name, tactic AS mitre_tactic, "
-    "src_ip, dst_ip, dst_port, dst_name, window_start, window_end, flows, bytes FROM every e JOIN rules r ON r.rule_id = e.rule_id JOIN techniques t ON t.technique_id = mitre_technique_id)"
+    "every AS (SELECT 'port_scan' AS rule_id, src_ip, dst_ip, CAST(NULL AS BIGINT) AS dst_port, CAST(NULL AS VARCHAR) AS dst_name, window_start, window_end, flows, bytes, distinct_ports, round(failed_ratio, 3) AS failed_ratio, sample_ports FROM scans "
+    f"UNION ALL BY NAME SELECT 'beaconing' AS rule_id, src_ip, dst_ip, dst_port, dst_name, {_DAY}, connections AS flows, connections, round(mean_interval_seconds, 1) AS mean_interval_seconds, round(interval_cv, 4) AS interval_cv, {_SEEN} FROM beacons "
+    f"UNION ALL BY NAME SELECT 'exfiltration' AS rule_id, src_ip, dst_ip, dst_name, {_DAY}, flows, bytes_out AS bytes, bytes_out, bytes_in, round(upload_ratio, 4) AS upload_ratio, {_SEEN} FROM uploads "
+    "UNION ALL BY NAME SELECT 'dns_tunneling' AS rule_id, src_ip, 53 AS dst_port, parent_domain AS dst_name, window_start, window_end, queries AS flows, distinct_names, round(avg_label_length, 1) AS avg_label_length, sample_query FROM tunnels), "
+    "alerts AS (SELECT md5(concat_ws('|', e.rule_id, src_ip, dst_ip, dst_name, strftime(window_start, '%Y-%m-%d %H:%M:%S') || '+00', NULL)) AS alert_id, e.rule_id, rule_name, severity, mitre_technique_id, technique_name AS mitre_technique_name, tactic AS mitre_tactic, "
+    f"src_ip, dst_ip, dst_port, dst_name, window_start, window_end, flows, bytes, {', '.join(_PROOF.split())} FROM every e JOIN rules r ON r.rule_id = e.rule_id JOIN techniques t ON t.technique_id = mitre_technique_id)"
 )
-_INCIDENTS = "incidents AS (SELECT " + ", ".join(f'{e} AS "{c}"' for c, e in INCIDENTS) + " FROM events WHERE event_id % 40 = 3), hits AS (SELECT alert_id, incident_id, a.rule_id FROM alerts a JOIN incidents i ON a.rule_id = i.rule_id AND a.src_ip = i.src_ip AND a.window_start <= i.\"end\" AND i.start < a.window_end)"
+_INCIDENTS = "incidents AS (SELECT " + ", ".join(f'{e} AS "{c}"' for c, e in INCIDENTS) + " FROM events WHERE value > 100), hits AS (SELECT alert_id, incident_id, a.rule_id FROM alerts a JOIN incidents i ON a.rule_id = i.rule_id AND a.src_ip = i.src_ip AND a.window_start <= i.\"end\" AND i.start < a.window_end)"
 _BATCHES = (
     "accepted AS (SELECT batch_id, min(sensor_id) AS sensor_id, min(source) AS source, min(capture_file) AS capture_file, min(capture_completion_state) AS capture_completion_state, max(ingested_at) AS ingested_at, count(*) AS records_accepted, count(DISTINCT record_id) AS distinct_records FROM staged GROUP BY batch_id), "
     "rejected AS (SELECT batch_id, min(sensor_id) AS sensor_id, min(source) AS source, max(ingested_at) AS ingested_at, count(*) AS records_quarantined FROM quarantine GROUP BY batch_id), "
@@ -127,7 +143,7 @@ _LEVELS = {
 _NEEDS = {
     "bronze": "bronze", "staged": "bronze staged", "zones": "bronze staged zones", "newest": "bronze staged newest", "fct": "bronze staged zones newest fct", "hourly": "bronze staged zones newest fct hourly", "hosts": "bronze staged zones newest fct hosts",
     "names": "bronze staged zones newest fct names", "detect": "bronze staged zones newest fct detect", "alerts": "bronze staged zones newest fct detect alerts", "incidents": "bronze staged zones newest fct detect alerts incidents",
-    "batches": "bronze staged batches", "dense": "bronze staged zones newest fct hourly dense",
+    "gold": "bronze staged zones newest fct hourly hosts names batches", "batches": "bronze staged batches", "dense": "bronze staged zones newest fct hourly dense",
 }
 _TIMES = set("first_seen last_seen flow_hour event_date ingest_date ingested_at hour_start max_loaded_at loaded_at window_start window_end valid_from valid_to observed_until peak_hour newest start end".split())
 _LISTS = set("tcp_flags_initiator tcp_flags_responder app_protocols dns_queries responder_dns_names http_hosts http_paths tls_server_names sample_ports".split())
@@ -135,7 +151,7 @@ _ROUNDED = set("duration_seconds pkt_size_mean pkt_size_stddev iat_mean_seconds
 _WHOLE = set(
     "contract_version flow_id ip_version protocol initiator_port responder_port i2r_packets i2r_bytes i2r_payload_bytes r2i_packets r2i_bytes r2i_payload_bytes packets_total bytes_total payload_bytes tcp_rst_packets flows packets bytes "
     "bytes_from_initiators bytes_from_responders distinct_initiators distinct_responders flows_initiated flows_received bytes_sent bytes_received distinct_peers version is_change island distinct_ports connections bytes_out bytes_in queries "
-    "distinct_names max_name_length dst_port records_accepted records_quarantined distinct_records n incidents detected alerts true_alerts records sensors internal external batches accepted quarantined cut_short rank rejected peak_bytes "
+    "expected found distinct_names max_name_length dst_port records_accepted records_quarantined distinct_records n incidents detected alerts true_alerts records sensors internal external batches accepted quarantined cut_short rank rejected peak_bytes "
     "median_bytes initiated addresses prefix_length range_start range_end time start_time duration direction_id packets_in class_uid activity_id type_uid fact_flows hourly_flows fact_packets hourly_packets fact_bytes hourly_bytes count record_index".split()
 )
 
@@ -160,7 +176,8 @@ def sql() -> dict[str, str]:
     check = lambda name, severity: f"check='{name}' severity='{severity}'"
     kind = "CASE event_id % 40 " + " ".join(f"WHEN {k} THEN '{v}'" for k, v in contract_cases.CASES.items()) + " END"
     envelope = "CASE event_id % 10 " + " ".join(f"WHEN {k} THEN '{v}'" for k, v in contract_cases.ENVELOPES.items()) + " END"
-    zone = ", ".join(f"{e} AS {c}" for c, e in EVENT_ZONES)
+    zone, allow = (", ".join(f"{e} AS {c}" for c, e in x) for x in (EVENT_ZONES, EVENT_ALLOWLIST))
+    message = "CASE event_id % 40 " + " ".join(f"WHEN {k} THEN '{v}'" for k, v in CASE_MESSAGES.items()) + " END"
     problem = lambda when, what: f"SELECT zone, cidr, '{what}' AS problem FROM z WHERE {when}"
     return {
         "stg_flows": _select("staged", STAGED, "staged"),
@@ -180,9 +197,9 @@ def sql() -> dict[str, str]:
         "payload_bytes": _select("fct", "record_id payload_bytes", "fct"),
         "ocsf_network_activity": _select("fct", "uid=record_id class_uid=4001 activity_id=6 type_uid=400106 time=epoch_us(last_seen)//1000 start_time=epoch_us(first_seen)//1000 duration=round(duration_seconds*1000) src_ip=initiator_ip dst_ip=responder_ip dst_port=responder_port hostname=responder_name protocol_name=lower(protocol_name) "
             "direction_id=CASE~direction~WHEN~'inbound'~THEN~1~WHEN~'outbound'~THEN~2~WHEN~'internal'~THEN~3~ELSE~0~END direction=CASE~direction~WHEN~'inbound'~THEN~'Inbound'~WHEN~'outbound'~THEN~'Outbound'~WHEN~'internal'~THEN~'Lateral'~ELSE~'Unknown'~END bytes=bytes_total bytes_out=i2r_bytes packets_in=r2i_packets", "fct"),
-        "alert_evidence": _select("detect", "src_ip dst_ip window_start distinct_ports failed_ratio=round(failed_ratio,3) sample_ports", "scans"),
+        "alert_evidence": _select("alerts", f"alert_id dst_port {_PROOF}", "alerts"),
         "zone_lookup": _select("zones", "ip zone is_internal", "ip_zones"),
-        "longest_prefix": _select("zones", "ip zone is_internal", "ip_zones"),
+        "longest_prefix": _select("zones", "zone is_internal addresses", "(SELECT zone, is_internal, count(*) AS addresses FROM ip_zones GROUP BY ALL)"),
         "zone_attach": _select("fct", "record_id initiator_zone responder_zone", "fct"),
         "service_attach": _select("fct", "record_id service", "fct"),
         "alert_rules": _select("alerts", "rule_id rule_name severity mitre_technique_id mitre_technique_name mitre_tactic alerts", "(SELECT rule_id, rule_name, severity, mitre_technique_id, mitre_technique_name, mitre_tactic, count(*) AS alerts FROM alerts GROUP BY ALL)"),
@@ -238,7 +255,8 @@ def sql() -> dict[str, str]:
         "endpoints": _select("hosts", "ip initiated n bytes_sent", "(SELECT ip, initiated, count(*) AS n, sum(bytes_sent) AS bytes_sent FROM ends GROUP BY ALL)"),
         "fct_flows": _select("fct", FACT, "fct"),
         "fct_alerts": _select("alerts", alert, "alerts"),
-        "scd2_problems": _select("names", "ip problem=hostname", "versions WHERE false"),
+        "scd2_problems": _select("names", "ip problem='not~exactly~one~current~version'", "(SELECT ip FROM versions GROUP BY ip HAVING count(*) > 1)"),
+        "quarantine_difference": _select("bronze", "error_type expected found", "(SELECT error_type, count(*) FILTER (WHERE record_index % 2 = 0) AS expected, count(*) AS found FROM quarantine GROUP BY ALL HAVING count(*) FILTER (WHERE record_index % 2 = 0) <> count(*))"),
         "distinct_hours": _select("fct", "flow_hour", "(SELECT DISTINCT flow_hour FROM fct)"),
         "snapshot_equal": _select("fct", "record_id direction only_in='one'", "fct WHERE direction = 'inbound'"),
         "dense_hour_axis": _select("dense", "hour_start direction flows bytes", "dense"),
@@ -255,11 +273,19 @@ def sql() -> dict[str, str]:
             "(SELECT ip, 'not contiguous' AS problem FROM (SELECT *, lead(valid_from) OVER (PARTITION BY ip ORDER BY version) AS after FROM versions WHERE version <> 2) WHERE after IS NOT NULL AND valid_to IS DISTINCT FROM after UNION ALL SELECT ip, 'not exactly one current version' FROM versions WHERE version <> 2 GROUP BY ip HAVING count(*) FILTER (WHERE is_current) <> 1)"),
         "validate_zones": f"WITH z AS (SELECT {zone} FROM (SELECT DISTINCT user_id FROM events)) "
             + problem("zone = ''", "zone is empty") + " UNION ALL " + problem("cidr LIKE '%:%' OR cidr LIKE '%/33'", "cidr is not an IPv4 network") + " UNION ALL " + problem("cidr LIKE '%.1.0/16'", "cidr has host bits set"),
+        "validate_allowlist": f"WITH a AS (SELECT {allow} FROM (SELECT DISTINCT user_id FROM events)) "
+            + " UNION ALL ".join(f"SELECT rule_id, src_ip, dst_ip, dst_port, '{what}' AS problem FROM a WHERE {when}" for when, what in ALLOWLIST_PROBLEMS),
+        "contract_messages": f"SELECT event_id AS record_index, {message} AS error_message FROM events WHERE event_id % 40 < 12",
         "capture_documents": "SELECT 's1' AS sensor_id, 'valid' AS status, 'complete' AS completion_state, count(DISTINCT event_id % 20) AS documents, count(*) AS flows FROM events",
         "explode_flows": "SELECT record_index, count(*) AS n FROM (SELECT row_number() OVER (PARTITION BY event_id % 20 ORDER BY event_id) - 1 AS record_index FROM events) GROUP BY 1",
         "fct_flows_incremental": _select("fct", "record_id direction service bytes_total batch_id", "fct"),
         "agg_hourly_incremental": _select("hourly", "hour_start direction protocol_name service flows packets bytes distinct_initiators distinct_responders", "hourly"),
         "stream_to_bronze": f"SELECT coalesce({kind}, 'valid') AS outcome, count(*) AS records FROM events GROUP BY 1",
+        "lake_commit": f"WITH o AS (SELECT coalesce({kind}, 'valid') AS outcome, count(*) AS records FROM events GROUP BY 1) SELECT * FROM o UNION ALL SELECT CASE outcome WHEN 'valid' THEN 'ledger ingested' ELSE 'ledger ' || outcome END, CAST(2 * records AS BIGINT) FROM o",
+        "gold_build": _select("gold", "model n", "(SELECT 'fct_flows' AS model, count(*) AS n FROM fct UNION ALL SELECT 'ocsf_network_activity', count(*) FROM fct UNION ALL SELECT 'agg_traffic_hourly', count(*) FROM hourly UNION ALL SELECT 'stg_quarantine', count(*) FROM quarantine "
+            "UNION ALL SELECT 'stg_network_zones', count(*) FROM ranges UNION ALL SELECT 'dim_hosts', count(*) FROM hosts UNION ALL SELECT 'dim_host_names', count(*) FROM versions UNION ALL SELECT 'dq_batches', count(*) FROM batches)"),
+        "gold_checks": _select("gold", "table check severity violations", "(SELECT 'fct_flows' AS \"table\", 'expression(payload_bytes <= bytes_total)' AS \"check\", 'warn' AS severity, CAST(0 AS BIGINT) AS violations WHERE false UNION ALL SELECT 'dq_batches', 'expression(quarantine_rate <= 0.05)', 'warn', count(*) FROM batches WHERE quarantine_rate > 0.05 HAVING count(*) > 0)"),
+        "ocsf_export": _select("fct", "day n bytes", "(SELECT CAST(CAST(last_seen AS DATE) AS VARCHAR) AS day, count(*) AS n, CAST(sum(bytes_total) AS BIGINT) AS bytes FROM fct GROUP BY 1)"),
         "contract": f"SELECT event_id AS record_index, {kind} AS error_type FROM events",
         "contract_first_error": f"SELECT {kind} AS error_type, count(*) AS records FROM events GROUP BY 1",
         "contract_bronze": "SELECT substr(sha256(concat('s1', chr(31), 'capture-', CAST(event_id % 20 AS VARCHAR), chr(31), CAST(event_id + 1 AS VARCHAR))), 1, 32) AS record_id, event_id + 1 AS flow_id, concat('10.20.1.', CAST(user_id % 4 AS VARCHAR)) AS initiator_ip, "

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from netquarry.operators import incremental
+from netquarry.operators import contract, facts, gold, incremental, ocsf, serving
 from netquarry.plans import adapter, contract_cases
 from netquarry.sources import captures
 from netquarry.sources import lake as L
@@ -63,11 +64,11 @@ def explode_flows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _loads(spark: SparkSession, sf_dir: str) -> str:
     """Three incremental builds as the ingestion dates go by; returns the gold folder."""
-    rows, gold = adapter.bronze(spark, sf_dir), L.work_dir(spark, "gold")
+    rows, folder = adapter.bronze(spark, sf_dir), L.work_dir(spark, "gold")
     ref = reference_table(spark, "network_zones", SITE_ZONES), reference_table(spark, "service_ports")
     for cut, run in zip(("2024-01-10", "2024-01-20", "9999-01-01"), _RUNS, strict=True):
-        incremental.build(spark, rows.where(f"ingested_at < '{cut}'"), gold, *ref, run)
-    return gold
+        incremental.build(spark, rows.where(f"ingested_at < '{cut}'"), folder, *ref, run)
+    return folder
 
 
 def fct_flows_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -78,6 +79,51 @@ def agg_hourly_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{_loads(spark, sf_dir)}/agg_traffic_hourly").select("hour_start", "direction", "protocol_name", "service", "flows", "packets", "bytes", "distinct_initiators", "distinct_responders")
 
 
+def _inputs(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    refs = {x: reference_table(spark, x, SITE_ZONES if x == "network_zones" else None) for x in ("network_zones", "service_ports", "detection_rules", "mitre_techniques", "detection_allowlist")}
+    return refs | {"flows": adapter.bronze(spark, sf_dir), "quarantine": adapter.quarantine(spark, sf_dir)}
+
+
+def gold_build(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of every gold model after one full build."""
+    x = gold.build(spark, _inputs(spark, sf_dir), L.work_dir(spark, "gold"), _RUNS[0])
+    counted = [x(name).select(F.lit(name).alias("model")) for name in ("fct_flows", "agg_traffic_hourly", "stg_quarantine", "stg_network_zones", "dim_hosts", "dim_host_names", "dq_batches", "ocsf_network_activity")]
+    return reduce(DataFrame.unionByName, counted).groupBy("model").agg(F.count("*").alias("n"))
+
+
+def gold_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The checks that fail on a full build."""
+    return gold.run_checks(gold.build(spark, _inputs(spark, sf_dir), L.work_dir(spark, "gold"), _RUNS[0]))
+
+
+def ocsf_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events and bytes of each day of the export, read back from its JSON lines."""
+    rows, path = _inputs(spark, sf_dir), L.work_dir(spark, "ocsf")
+    ocsf.export(facts.fct_flows(facts.stage_flows(rows["flows"]), rows["network_zones"], rows["service_ports"], _RUNS[0]), path, "json")
+    read = spark.read.schema("metadata struct<uid: string>, traffic struct<bytes: bigint>, day date").json(path)
+    return read.groupBy("day").agg(F.count_distinct("metadata.uid").alias("n"), F.sum("traffic.bytes").alias("bytes"))
+
+
+def lake_commit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The contract cases committed as batches of their documents, and once more as after a failure: nothing is doubled.
+
+    Rows of the lake by outcome, and what the ledger says was written by both attempts.
+    """
+    lake, docs = L.work_dir(spark, "lake"), documents(spark, sf_dir)
+    for run in _RUNS[:2]:
+        told = contract.checked(captures.explode_flows(docs).withColumn("ingested_at", F.lit(run).cast("timestamp")))
+        batches = docs.select("batch_id", F.lit("file").alias("source"), F.col("path").alias("input_ref"), "sensor_id", F.lit("ingested").alias("status"), F.col("error").alias("reason"))
+        L.commit(told, batches, lake)
+    ledger = serving.batch_summary(L.table(spark, lake, "ledger")).select(F.concat(F.lit("ledger "), "status").alias("outcome"), F.col("records_written").alias("records"))
+    reasons = serving.quarantine_reasons(L.table(spark, lake, "ledger")).select(F.concat(F.lit("ledger "), "reason").alias("outcome"), "records")
+    return _outcomes(spark, lake).unionByName(ledger).unionByName(reasons)
+
+
+def _outcomes(spark: SparkSession, lake: str) -> DataFrame:
+    good = L.table(spark, lake, "flows").select(F.lit("valid").alias("outcome"))
+    return good.unionByName(L.table(spark, lake, "quarantine").select(F.col("error_type").alias("outcome"))).groupBy("outcome").agg(F.count("*").alias("records"))
+
+
 def stream_to_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The contract cases as messages through a file stream into a lake: rows written and quarantined by error type."""
     top = L.work_dir(spark, "stream")
@@ -86,8 +132,7 @@ def stream_to_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw.withColumn("h", head).select(F.concat(F.expr("left(h, length(h) - 1)"), F.lit(',"flow":'), "raw", F.lit("}")).alias("value")).write.parquet(f"{top}/messages")
     stream = spark.readStream.schema("value string").parquet(f"{top}/messages")
     bronze.stream_to_bronze(stream, f"{top}/lake", f"{top}/checkpoint", available_now=True).awaitTermination()
-    good = L.table(spark, f"{top}/lake", "flows").select(F.lit("valid").alias("outcome"))
-    return good.unionByName(L.table(spark, f"{top}/lake", "quarantine").select(F.col("error_type").alias("outcome"))).groupBy("outcome").agg(F.count("*").alias("records"))
+    return _outcomes(spark, f"{top}/lake")
 
 
-QUERIES = {f.__name__: f for f in (capture_documents, explode_flows, fct_flows_incremental, agg_hourly_incremental, stream_to_bronze)}
+QUERIES = {f.__name__: f for f in (capture_documents, explode_flows, fct_flows_incremental, agg_hourly_incremental, stream_to_bronze, lake_commit, gold_build, gold_checks, ocsf_export)}
