@@ -46,7 +46,8 @@ def sample(docs: DataFrame, per_language: int = PER_LANGUAGE, text: str = "text"
     labelled = docs.where(F.col(lang).isNotNull() & (F.length(text) > 0)).select(F.col(lang).alias("lang"), F.col(text).alias("text"), F.xxhash64(text).alias("h"))
     # a row for each language; twice the share is as good as never too little
     counts = labelled.select("lang", "h").distinct().groupBy("lang").count()
-    bound = counts.select(F.col("lang").alias("l"), (F.lit(float(per_language)) / F.col("count")).alias("share"))
+    # broadcast: far less than the tree that each of these languages has in what is broadcast later
+    bound = F.broadcast(counts.select(F.col("lang").alias("l"), (F.lit(float(per_language)) / F.col("count")).alias("share")))
     picked = labelled.join(bound, F.col("lang") == F.col("l")).where(F.pmod("h", F.lit(1 << 40)) < F.col("share") * 2 * (1 << 40))
     top = F.slice(F.array_sort(F.collect_set(F.struct("h", "text"))), 1, per_language)
     return picked.groupBy("lang").agg(top.alias("top")).select("lang", F.explode("top.text").alias("text")).withColumn("text", F.substring("text", 1, SAMPLE_BYTES))
