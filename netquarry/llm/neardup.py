@@ -231,7 +231,8 @@ def classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", min_sim
     """(doc_id, class_id) of every document."""
     ids = docs.select(F.col(doc_id).cast("long").alias("doc_id"))
     made = stored(signatures(docs, text, doc_id))
-    copies = made.groupBy("content").agg(F.min("doc_id").alias("rep"))
+    # as a table of its own, not an aggregate of the join's own stage: so Spark can split the rows of a text with many copies
+    copies = stored(made.groupBy("content").agg(F.min("doc_id").alias("rep")))
     member = stored(made.select("doc_id", "content").join(copies, "content").select("doc_id", "rep"))
     keyed = made.join(member.where("doc_id = rep").select("doc_id").distinct(), "doc_id").select("doc_id", F.posexplode("bands").alias("band", "key"))
     # the groups of several representatives
@@ -268,7 +269,7 @@ def classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", min_sim
     # copies are linked with their text's representative
     links = done.unionByName(last).where(near).select("a", "b").unionByName(member.where("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b")))
     final = stored(components(links))
-    dropped(made, member, told, shingles, *rest, roots, parts, untold, last)
+    dropped(made, copies, member, told, shingles, *rest, roots, parts, untold, last)
     return ids.join(final, F.col("doc_id") == F.col("node"), "left").select("doc_id", F.when(F.col("doc_id").isNotNull(), F.coalesce("root", "doc_id")).alias("class_id"))
 
 
