@@ -31,6 +31,8 @@ from netquarry.llm.common import blocks_for, mix, range_bounds, ranged, rolled
 
 #: Bytes of text in a range of ids.
 RANGE = 32 << 20
+#: Rows of (part, part before, first id) that are broadcast, 20 bytes each.
+BROADCAST = 1 << 18
 
 SLOTS = 128
 #: Phrases of level 1 have about 4 characters, each level about 3 to 4 times as many.
@@ -163,7 +165,8 @@ def with_next(docs: DataFrame, parts: int) -> DataFrame:
     if not follows:
         return placed.select("part", F.lit(0).alias("is_edge"), "doc_id", "text")
     table = docs.sparkSession.createDataFrame([(p, q, x) for p, (q, x) in follows.items()], "part int, before int, first_id long")
-    both = placed.join(table, "part")  # a row for each part: Spark broadcasts it if it is small
+    # a row for each part; broadcast up to some megabytes, so that the texts aren't shuffled for it
+    both = placed.join(F.broadcast(table) if len(follows) <= BROADCAST else table, "part")
     itself = F.struct(F.col("part").alias("part"), F.lit(0).alias("is_edge"))
     edge = F.struct(F.col("before").alias("part"), F.lit(1).alias("is_edge"))
     copies = F.when(F.col("doc_id").eqNullSafe(F.col("first_id")), F.array(itself, edge)).otherwise(F.array(itself))
