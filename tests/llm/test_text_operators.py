@@ -200,6 +200,20 @@ def test_url_filter(spark):
     assert found[11][2:] == (None, "allow")
 
 
+def test_url_vocabulary_is_a_parameter(spark, monkeypatch):
+    pages = spark.createDataFrame([(1, "http://a.b/Foo-bar", "x"), (2, "http://a.b/foot", "x"), (3, "http://a.b/casino", "x"), (4, "http://a.b/" + "z/" * 50_000 + "foo", "x"), (None, None, "x")], "page_id long, url string, weight string")
+    table = spark.createDataFrame([("FOO", "soft", 3), ("foo", "soft", 1), ("bar", "strict", 1), (None, "soft", 1), ("z", "soft", None)], "term string, kind string, weight int")
+    found = {r["page_id"]: (r["verdict"], r["weight"], r["strict_terms"], r["soft_terms"]) for r in urlfilter.judge(pages, (), table, limit=3).collect()}
+    assert found == {1: ("block", 4, ["bar"], ["foo"]), 2: ("block", 3, [], ["foo"]), 3: ("allow", 0, [], []), 4: ("block", 3, [], ["foo"]), None: ("allow", 0, [], [])}
+    assert {r["verdict"] for r in urlfilter.judge(pages, (), []).collect()} == {"allow"}
+    assert urlfilter.op4_url_filter(pages.limit(0)).isEmpty()
+    monkeypatch.setattr(urlfilter, "MAX_TERMS", 2)
+    with pytest.raises(ValueError, match="over 2 terms"):
+        urlfilter.judge(pages, (), table)
+    with pytest.raises(ValueError, match="neither strict nor soft"):
+        urlfilter.judge(pages, (), [("x", "loud", 1)])
+
+
 def test_decontamination(spark):
     items = [(1, prose(7, 30)), (2, "two words"), (3, None), (4, ""), (5, prose(8, 80))]
     w = items[0][1].split()
