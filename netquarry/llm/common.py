@@ -85,10 +85,19 @@ def blocks_for(df: DataFrame, text: str, target: int = 16 << 20) -> int:
     return max(df.sparkSession.sparkContext.defaultParallelism, -(-total // target))
 
 
+def free(name: str, *taken: str) -> str:
+    """The name, or a longer one if it is among those taken (in any case)."""
+    lower = {x.lower() for x in taken}
+    while name.lower() in lower:
+        name += "_"
+    return name
+
+
 def on(left: DataFrame, right: DataFrame, key: str, how: str) -> DataFrame:
     """Equi join on one key where null equals null; the key is kept once, from the left."""
-    renamed = right.withColumnRenamed(key, "__right_key")
-    return left.join(renamed, F.col(key).eqNullSafe(F.col("__right_key")), how).drop("__right_key")
+    own = free("right_key", *left.columns, *right.columns)
+    renamed = right.withColumnRenamed(key, own)
+    return left.join(renamed, F.col(key).eqNullSafe(F.col(own)), how).drop(own)
 
 
 # ---------------------------------------------------------------- id ranges

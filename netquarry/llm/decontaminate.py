@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from netquarry.llm.common import BREAKS, mix, steps, texts, words
+from netquarry.llm.common import BREAKS, free, mix, steps, texts, words
 
 MIN_SHARE = 0.8
 LONGEST = 50
@@ -187,5 +187,6 @@ def op5_decontamination(docs: DataFrame, items: DataFrame) -> DataFrame:
 
 def keep_uncontaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     """docs without those that hold a benchmark item."""
-    hits = overlaps(docs, items).select(F.col("doc_id").alias("__hit")).distinct()
-    return docs.join(hits, F.col("doc_id").eqNullSafe(F.col("__hit")), "left_anti")
+    hit = free("hit", *docs.columns)
+    hits = overlaps(docs, items).select(F.col("doc_id").alias(hit)).distinct()
+    return docs.join(hits, F.col("doc_id").eqNullSafe(F.col(hit)), "left_anti")

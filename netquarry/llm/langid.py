@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from netquarry.llm.common import LOWER, crc_mod5, steps, texts
+from netquarry.llm.common import LOWER, crc_mod5, free, steps, texts
 
 #: Labelled texts of each language that the trees are fitted on: the documented bound of the sample.
 PER_LANGUAGE = 400
@@ -126,15 +126,16 @@ def identify(docs: DataFrame, learned: DataFrame, text: str = "text", per_langua
     model = spark.sparkContext.broadcast([context_tree(sorted(by[x])) if sum(map(len, by[x])) > 2 else None for x in names])
     keep = [c for c in docs.columns if c not in ("lang_pred", "score", "bits_per_byte")]
     has_letter = F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False))
-    docs = docs.select(*keep, has_letter.alias("__letters"))
-    fields = [f for f in docs.schema.fields if f.name != "__letters"]
+    flag = free("letters", *keep)
+    docs = docs.select(*keep, has_letter.alias(flag))
+    fields = [f for f in docs.schema.fields if f.name != flag]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         usable = [i for i, t in enumerate(model.value) if t is not None]
         trees = [model.value[i] for i in usable]
         for batch in batches:
             values = texts(batch.column(text))
-            letters = np.array(batch.column("__letters").to_pylist(), bool) & bool(trees)
+            letters = np.array(batch.column(flag).to_pylist(), bool) & bool(trees)
             bits = code_lengths([x if ok else b"" for x, ok in zip(values, letters, strict=True)], trees) if trees else np.zeros((len(values), 1))
             size = np.maximum([len(x) for x in values], 1)[:, None]
             mean = bits / size * np.minimum(size, 64)

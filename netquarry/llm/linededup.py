@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from netquarry.llm.common import on, stored
+from netquarry.llm.common import free, on, stored
 
 WINDOW = 3
 
@@ -51,14 +51,16 @@ def removed_lines(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", w
 
 def dedup_lines(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", window: int = WINDOW) -> DataFrame:
     """docs with `text` replaced by what is left of it, and n_lines, n_removed (replaced if there)."""
-    marked = on(docs.drop("n_lines", "n_removed", "__removed"), removed_lines(docs, text, doc_id, window).select(F.col("doc_id").alias("__doc"), F.col("removed").alias("__removed")).withColumnRenamed("__doc", doc_id), doc_id, "left")
-    split = marked.withColumn("__lines", lines(text))
-    every = F.sequence(F.lit(0), F.size("__lines") - 1)
-    kept = F.array_join(F.transform(F.array_except(every, "__removed"), lambda i: F.get(F.col("__lines"), i)), "\n")
+    left = docs.drop("n_lines", "n_removed")
+    gone, every = free("removed", *left.columns), free("lines", *left.columns)
+    removed = removed_lines(docs, text, doc_id, window).select(F.col("doc_id").alias(doc_id), F.col("removed").alias(gone))
+    split = on(left, removed, doc_id, "left").withColumn(every, lines(text))
+    numbers = F.sequence(F.lit(0), F.size(every) - 1)
+    kept = F.array_join(F.transform(F.array_except(numbers, gone), lambda i: F.get(F.col(every), i)), "\n")
     return split.withColumns({
-        "n_lines": F.size("__lines").cast("long"), "n_removed": F.coalesce(F.size("__removed"), F.lit(0)).cast("long"),
-        text: F.when(F.col("__removed").isNull(), F.col(text)).otherwise(kept),
-    }).drop("__removed", "__lines")
+        "n_lines": F.size(every).cast("long"), "n_removed": F.coalesce(F.size(gone), F.lit(0)).cast("long"),
+        text: F.when(F.col(gone).isNull(), F.col(text)).otherwise(kept),
+    }).drop(gone, every)
 
 
 def op2_line_dedup(docs: DataFrame) -> DataFrame:

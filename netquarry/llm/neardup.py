@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from netquarry.llm.common import BREAKS, dropped, mix, rolled, steps, stored, texts, windows, words
+from netquarry.llm.common import BREAKS, dropped, free, mix, rolled, steps, stored, texts, windows, words
 
 WIDTH = 5
 MIN_SIMILARITY = 0.8
@@ -280,5 +280,6 @@ def op10_near_dedup(docs: DataFrame) -> DataFrame:
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """docs with one document of each class: the one with the smallest doc_id (of rows that share it, all stay)."""
-    gone = classes(docs).where("class_id <> doc_id").select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, F.col("doc_id") == F.col("__gone"), "left_anti")
+    own = free("gone", *docs.columns)
+    gone = classes(docs).where("class_id <> doc_id").select(F.col("doc_id").alias(own)).distinct()
+    return docs.join(gone, F.col("doc_id") == F.col(own), "left_anti")
