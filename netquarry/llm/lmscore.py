@@ -7,9 +7,10 @@ equally likely. With frozen counts the probability depends on the last ORDER byt
 
 The trie grows with the corpus, so it is never broadcast. Documents are dealt to blocks of bounded size by a hash of
 id and text. Each block sends its distinct (ORDER+1)-grams with their training counts; they are summed over all blocks, all
-contexts that end in the same two bytes meet in one group that computes the log
-probability of every gram, and each block gets those of its own grams back. Only orders 0 and 1 (65,536 counts at most)
-are broadcast. Word counts take the same way.
+contexts that end in the same three bytes come together, where the log probability of each of their grams is computed, and
+each block gets those of its own grams back. Only orders 0 to 2 are broadcast, counts of at most 16.8 million three-byte
+sequences however large the corpus is (some hundred thousand in natural text, twelve bytes each). Word counts take the
+same way.
 
 What is scored is the lower-cased (A-Z) token sequence: words `[^\\x20\\x09-\\x0D]+` joined by one space, then an end
 symbol; so it compares with a word model of the same tokens. `adaptive` scores each document by counts of its own
@@ -88,20 +89,42 @@ def merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.n
     return keys[new], np.add.reduceat(n, new) if len(new) else n
 
 
-def log_probabilities(code: np.ndarray, n: np.ndarray, low: np.ndarray, order: int = ORDER) -> np.ndarray:
-    """log10 probability of each distinct gram, given the training counts n of all grams that share the last two context bytes.
+class LowOrders:
+    """Training counts of orders 0 to 2: how often each sequence of three, two and one bytes was seen."""
 
-    low: 256 x 256 training counts of byte pairs, which orders 1 and 0 come from; order is 2 at least.
+    def __init__(self, threes: np.ndarray, n: np.ndarray) -> None:
+        """threes: distinct sequences of three bytes as numbers."""
+        order = np.argsort(threes)
+        self.keys, self.n = threes[order].astype(np.int32), n[order].astype(np.int64)
+        self.two = np.bincount(self.keys & 0xFFFF, self.n, 65536).astype(np.int64).reshape(256, 256)
+        self.one = self.two.sum(0)
+        context = self.keys >> 8
+        self.whole = {2: np.bincount(context, self.n, 65536).astype(np.int64), 1: self.two.sum(1), 0: np.array([self.one.sum()])}
+        self.distinct = {2: np.bincount(context, minlength=65536), 1: (self.two > 0).sum(1), 0: np.array([(self.one > 0).sum()])}
+        # counts at order 0 (1) of the bytes that each context of one byte (two bytes) has
+        self.shadow = (self.two > 0) @ self.one
+        self.shadow_one = np.bincount(context, self.two.ravel()[self.keys & 0xFFFF], 65536).astype(np.int64)
+
+    def counts(self, order: int, gram: np.ndarray) -> np.ndarray:
+        if order < 2:
+            return self.two.ravel()[gram] if order else self.one[gram]
+        slot = np.searchsorted(self.keys, gram)
+        slot[slot == len(self.keys)] = 0
+        return np.where(self.keys[slot] == gram, self.n[slot], 0) if len(self.keys) else np.zeros(len(gram), np.int64)
+
+
+def log_probabilities(code: np.ndarray, n: np.ndarray, low: LowOrders, order: int = ORDER) -> np.ndarray:
+    """log10 probability of each distinct gram, given the training counts n of all grams that share the last three context bytes.
+
+    Orders 2 to 0 come from low; order is 3 at least.
     """
     symbol, out = code & 255, np.zeros(len(code))
     open_ = np.ones(len(code), bool)
-    single = low.sum(0)
-    tables = {1: low, 0: single[None, :]}
     longer: tuple | None = None  # of the next longer order: its context exists, distinct bytes, contexts, grams, counts
     for k in range(order, -1, -1):
         context = (code >> 8) & ((1 << (8 * k)) - 1)
         gram = (context << 8) | symbol
-        if k >= 2:
+        if k > 2:
             grams_, row = np.unique(gram, return_inverse=True)
             count = np.bincount(row, n, len(grams_)).astype(np.int64)
             names, of = np.unique(grams_ >> 8, return_inverse=True)
@@ -109,14 +132,15 @@ def log_probabilities(code: np.ndarray, n: np.ndarray, low: np.ndarray, order: i
             distinct = np.bincount(of, count > 0, len(names)).astype(np.int64)[of][row]
             c = count[row]
         else:
-            table = tables[k]
-            c, whole, distinct = table[context, symbol], table.sum(1)[context], (table > 0).sum(1)[context]
+            c, whole, distinct = low.counts(k, gram), low.whole[k][context], low.distinct[k][context]
         exists = whole > 0
         escape, total = DISCOUNT * distinct, whole
         if longer is not None:
             was, was_distinct, was_context, was_gram, was_count = longer
             if k == 0:
-                excluded = ((low > 0) @ single)[was_context]
+                excluded = low.shadow[was_context]
+            elif k == 1:
+                excluded = low.shadow_one[was_context]
             else:
                 # counts at this order of the bytes that the longer context has: one row for each of its grams
                 _, one = np.unique(was_gram, return_index=True)
@@ -131,7 +155,7 @@ def log_probabilities(code: np.ndarray, n: np.ndarray, low: np.ndarray, order: i
         out[miss] += np.log10(escape[miss] / total[miss])
         open_ &= ~hit
         longer = exists, distinct, context, gram, c
-    out[open_] -= np.log10(max(ALPHABET - int((single > 0).sum()), 1))
+    out[open_] -= np.log10(max(ALPHABET - int((low.one > 0).sum()), 1))
     return out
 
 
@@ -161,24 +185,41 @@ def gathered(blocks: DataFrame, order: int = ORDER) -> DataFrame:
     return blocks.groupBy("block").applyInArrow(run, "block int, word boolean, key long, n long")
 
 
-def low_orders(counts: DataFrame) -> np.ndarray:
-    """256 x 256 counts of the grams' last two bytes: at most 65,536 rows."""
-    low = np.zeros((256, 256), np.int64)
-    for row in counts.where("not word and n > 0").groupBy((F.col("key").bitwiseAND(F.lit(0xFFFF))).alias("pair")).agg(F.sum("n").alias("n")).collect():
-        low[row["pair"] >> 8, row["pair"] & 255] = row["n"]
-    return low
+def low_orders(counts: DataFrame) -> LowOrders:
+    """Orders 0 to 2 from the grams' last three bytes: at most 16.8 million rows, whatever the corpus."""
+    last = F.col("key").bitwiseAND(F.lit(0xFFFFFF)).cast("int").alias("three")
+    found = counts.where("not word and n > 0").groupBy(last).agg(F.sum("n").alias("n")).toArrow()
+    return LowOrders(found.column("three").to_numpy(), found.column("n").to_numpy())
 
 
-def gram_values(counts: DataFrame, low: np.ndarray, order: int = ORDER) -> DataFrame:
-    """(word, key, value): the log10 probability of every gram."""
+def gram_values(counts: DataFrame, low: LowOrders, order: int = ORDER) -> DataFrame:
+    """(word, key, value): the log10 probability of every gram. Contexts come sorted by their last three bytes, and all that
+    are complete in a batch are computed together."""
     sent = counts.sparkSession.sparkContext.broadcast(low)
 
-    def run(group: pa.Table) -> pa.Table:
-        code, n = group.column("key").to_numpy(), group.column("n").to_numpy()
-        return pa.table({"word": pa.array(np.zeros(len(code), bool)), "key": pa.array(code), "value": pa.array(log_probabilities(code, n, sent.value, order))})
+    def told(code: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+        value = log_probabilities(code, n, sent.value, order)
+        return pa.RecordBatch.from_arrays([pa.array(np.zeros(len(code), bool)), pa.array(code), pa.array(value)], names=["word", "key", "value"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        for batch in batches:
+            code, n = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            last = (code >> 8) & 0xFFFFFF
+            if not len(code):
+                continue
+            if held and (held[-1][0][-1] >> 8) & 0xFFFFFF != last[-1] or not held and last[0] != last[-1]:
+                cut = int(np.searchsorted(last == last[-1], True))
+                yield told(*(np.concatenate([*(h[k] for h in held), (code, n)[k][:cut]]) for k in (0, 1)))
+                held = [(code[cut:], n[cut:])]
+            else:
+                held.append((code, n))
+        if held:
+            yield told(*(np.concatenate([h[k] for h in held]) for k in (0, 1)))
 
-    contexts = counts.where("not word").withColumn("context", F.shiftright("key", 8).bitwiseAND(F.lit(0xFFFF)))
-    return contexts.groupBy("context").applyInArrow(run, "word boolean, key long, value double")
+    context = F.shiftright("key", 8).bitwiseAND(F.lit(0xFFFFFF))
+    dealt = counts.where("not word").select("key", "n").repartition(context).sortWithinPartitions(context)
+    return dealt.mapInArrow(run, "word boolean, key long, value double")
 
 
 def scored(blocks: DataFrame, values: DataFrame, train_tokens: int, distinct: int, order: int = ORDER) -> DataFrame:
