@@ -58,11 +58,19 @@ def det_port_scan(facts: DataFrame, t: Thresholds = Thresholds()) -> DataFrame:
 
 
 def connection_gaps(facts: DataFrame) -> DataFrame:
-    """Outbound TCP and UDP flows with gap_seconds to the one before in the same (source, destination, port, day); the first has none."""
-    outbound = facts.where("direction = 'outbound' and protocol in (6, 17)").select("initiator_ip", "responder_ip", "responder_port", "event_date", "first_seen", "responder_name")
+    """Outbound TCP and UDP flows with gap_seconds to the one before in the same (source, destination, port, day); the first has none.
+
+    A busy connection's day is cut into hours: within an hour by a window, over to the next by each hour's last flow.
+    """
+    outbound = facts.where("direction = 'outbound' and protocol in (6, 17)").select("initiator_ip", "responder_ip", "responder_port", "event_date", F.date_trunc("hour", "first_seen").alias("__hour"), "first_seen", "responder_name")
+    keys = ["initiator_ip", "responder_ip", "responder_port", "event_date"]
     seconds = F.col("first_seen").cast("double")
-    before = Window.partitionBy("initiator_ip", "responder_ip", "responder_port", "event_date").orderBy("first_seen")
-    return outbound.withColumn("gap_seconds", seconds - F.lag(seconds).over(before))
+    hours = outbound.groupBy(*keys, "__hour").agg(F.max(seconds).alias("__last"))
+    carried = hours.select(*[F.col(c).alias(f"__{c}") for c in keys], F.col("__hour").alias("__h"), F.lag("__last").over(Window.partitionBy(*keys).orderBy("__hour")).alias("__before")).where("__before is not null")
+    within = outbound.withColumn("__previous", F.lag(seconds).over(Window.partitionBy(*keys, "__hour").orderBy("first_seen")))
+    same = [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in keys] + [F.col("__hour") == F.col("__h")]
+    gap = seconds - F.coalesce("__previous", "__before")
+    return within.join(carried, same, "left").select(*keys, "first_seen", "responder_name", gap.alias("gap_seconds"))
 
 
 def allowed(rows: DataFrame, allowlist: DataFrame) -> DataFrame:

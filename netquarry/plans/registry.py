@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from netquarry.functions import network as N
 from netquarry.operators import contract, detections, facts, hosts, ocsf, quality, serving, zones
-from netquarry.plans import adapter, contract_cases, oracles, stored
+from netquarry.plans import adapter, contract_cases, landing_cases, oracles, stored
 from netquarry.sources.lake import exists, work_dir
 from netquarry.sources.reference import SITE_ZONES, reference_table
 
@@ -259,8 +259,8 @@ def _event_zones(x: Lake) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     derived = {name: (lambda spark, sf_dir, f=f: flat(f(Lake(spark, sf_dir)))) for name, f in Q.items()}
-    return derived | {name: (lambda spark, sf_dir, f=f: flat(f(spark, sf_dir))) for name, f in stored.QUERIES.items()}
+    return derived | {name: (lambda spark, sf_dir, f=f: flat(f(spark, sf_dir))) for name, f in (stored.QUERIES | landing_cases.QUERIES).items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracles.sql()
+    return oracles.sql() | landing_cases.oracle_sql()

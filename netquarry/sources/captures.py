@@ -79,8 +79,10 @@ def explode_flows(documents: DataFrame) -> DataFrame:
 
 
 def capture_inventory(files: DataFrame) -> DataFrame:
-    """path, length, sha256, format of every capture file, by its first four bytes."""
+    """path, length, sha256, format of every capture file, by its first four bytes; files over LARGEST are listed without."""
+    large = files.where(F.col("length") > LARGEST).select("path", "length", F.lit(None).cast("string").alias("sha256"), F.lit("too large").alias("format"))
+    files = files.where(F.col("length") <= LARGEST)
     magic = F.hex(F.substring("content", 1, 4))
     # The magic numbers of capture files.
     kind = F.when(magic.isin("D4C3B2A1", "4D3CB2A1"), "pcap").when(magic.isin("A1B2C3D4", "A1B23C4D"), "pcap").when(magic == "0A0D0D0A", "pcapng").otherwise("unknown")
-    return files.select("path", "length", F.sha2("content", 256).alias("sha256"), kind.alias("format"))
+    return files.select("path", "length", F.sha2("content", 256).alias("sha256"), kind.alias("format")).unionByName(large)
