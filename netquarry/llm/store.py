@@ -27,7 +27,6 @@ import hashlib
 import os
 import secrets
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -45,6 +44,8 @@ SPAN, AVERAGE, LONGEST = 16, 256, 2048
 HASH_BYTES = 16
 
 
+#: Words in a line for the library.
+TOGETHER = 128
 #: Bytes of text in a part of the recipes, and parts in a group whose totals are summed first.
 PART, GROUP = 256 << 20, 1024
 
@@ -66,6 +67,8 @@ class Library:
         # words come normalized as parts of their text; alone some would come out otherwise
         self.tokenizer.normalizer = normalizers.Sequence([])
         self.special = [self.tokenizer.token_to_id(x) for x in self.splitter.marks]
+        self.last = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        self.last[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith(self.tokenizer.model.end_of_word_suffix)]] = True
         self.width = 2 if self.tokenizer.get_vocab_size() <= 65536 else 4
         self.table = bpe.WordTable(self.splitter, self.learn)
 
@@ -77,13 +80,24 @@ class Library:
         self.load()
 
     def learn(self, buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, number of ids of each) of the words buf[starts:ends]; words go to the library in lines of TOGETHER."""
         raw, special = buf.tobytes(), buf[starts] >= bpe.MARK
-        words = ["" if k else raw[a:b].decode() for a, b, k in zip(starts.tolist(), ends.tolist(), special.tolist(), strict=True)]
-        ids = [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
-        for k in np.flatnonzero(special).tolist():
-            ids[k] = [self.special[int(buf[starts[k]]) - bpe.MARK]]
-        size = np.fromiter(map(len, ids), np.int64, len(ids))
-        return np.fromiter(chain.from_iterable(ids), np.int32, int(size.sum())), size
+        plain = np.flatnonzero(~special)
+        words = [raw[a:b].decode() for a, b in zip(starts[plain].tolist(), ends[plain].tolist(), strict=True)]
+        lines = [" ".join(words[i : i + TOGETHER]) for i in range(0, len(words), TOGETHER)]
+        found = [np.array(e.ids, np.int32) for e in self.tokenizer.encode_batch_fast(lines, add_special_tokens=False)]
+        flat = np.concatenate([*found, np.zeros(0, np.int32)])
+        # a word's last token alone has the end mark
+        upto = np.flatnonzero(self.last[flat]) + 1
+        if len(upto) != len(words):
+            raise ValueError("the library cuts a line otherwise than its words")
+        size = np.ones(len(starts), np.int64)
+        size[plain] = np.diff(upto, prepend=0)
+        out = np.zeros(int(size.sum()), np.int32)
+        marked = (np.cumsum(size) - size)[special]
+        out[marked] = np.array(self.special, np.int32)[buf[starts[special]].astype(np.int64) - bpe.MARK]
+        out[np.delete(np.arange(len(out)), marked)] = flat
+        return out, size
 
 
 def cuts(flat: np.ndarray, bounds: np.ndarray) -> np.ndarray:
