@@ -4,21 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-# The default contents of the reference tables.
+# The default contents of the reference tables; descriptions are free text that no query reads.
 ZONES = (
-    ("private", "10.0.0.0/8", True, "RFC 1918 private network"),
-    ("private", "172.16.0.0/12", True, "RFC 1918 private network"),
-    ("private", "192.168.0.0/16", True, "RFC 1918 private network"),
-    ("link_local", "169.254.0.0/16", True, "IPv4 link-local addresses"),
-    ("loopback", "127.0.0.0/8", True, "Loopback"),
+    ("private", "10.0.0.0/8", True, "site addresses"),
+    ("private", "172.16.0.0/12", True, "site addresses"),
+    ("private", "192.168.0.0/16", True, "site addresses"),
+    ("link_local", "169.254.0.0/16", True, "self-assigned"),
+    ("loopback", "127.0.0.0/8", True, "the host itself"),
 )
 SITE_ZONES = (
-    ("hq_workstations", "10.20.0.0/16", True, "Headquarters workstation VLANs"),
-    ("branch_workstations", "10.30.0.0/16", True, "Branch office workstations"),
-    ("servers", "10.10.0.0/24", True, "Headquarters servers: DNS, domain controller, file server"),
-    ("private", "10.0.0.0/8", True, "Other RFC 1918 space"),
-    ("private", "172.16.0.0/12", True, "RFC 1918"),
-    ("private", "192.168.0.0/16", True, "RFC 1918"),
+    ("hq_workstations", "10.20.0.0/16", True, "desks at the main site"),
+    ("branch_workstations", "10.30.0.0/16", True, "desks at the branches"),
+    ("servers", "10.10.0.0/24", True, "machine room of the main site"),
+    ("private", "10.0.0.0/8", True, "the rest of the site"),
+    ("private", "172.16.0.0/12", True, "site addresses"),
+    ("private", "192.168.0.0/16", True, "site addresses"),
 )
 SERVICES = (
     (6, 22, "ssh"), (6, 25, "smtp"), (17, 53, "dns"), (6, 53, "dns"), (17, 67, "dhcp"), (17, 68, "dhcp"), (6, 80, "http"),
@@ -26,10 +26,10 @@ SERVICES = (
     (6, 443, "https"), (17, 443, "quic"), (6, 445, "smb"), (6, 636, "ldaps"), (6, 3389, "rdp"), (6, 8080, "http-alt"), (6, 8443, "https-alt"),
 )
 RULES = (
-    ("port_scan", "Port scan", "medium", "T1046", "One host probed many ports on another host within an hour and most attempts failed."),
-    ("beaconing", "Periodic beaconing", "high", "T1071.001", "An internal host connected to the same external endpoint at very regular intervals."),
-    ("dns_tunneling", "DNS tunneling", "high", "T1071.004", "One host queried many long unique names under one domain within an hour."),
-    ("exfiltration", "Large outbound transfer", "critical", "T1048", "An internal host uploaded an unusually large volume to one external host in a day."),
+    ("port_scan", "Port scan", "medium", "T1046", "many ports of one target tried in vain within the hour"),
+    ("beaconing", "Periodic beaconing", "high", "T1071.001", "connections to one outside endpoint as if by the clock"),
+    ("dns_tunneling", "DNS tunneling", "high", "T1071.004", "long names under one domain, each asked for once or so"),
+    ("exfiltration", "Large outbound transfer", "critical", "T1048", "a day's upload to one outside target that is large and one-way"),
 )
 TECHNIQUES = (
     ("T1046", "Network Service Discovery", "Discovery"),
@@ -37,7 +37,7 @@ TECHNIQUES = (
     ("T1071.004", "Application Layer Protocol: DNS", "Command and Control"),
     ("T1048", "Exfiltration Over Alternative Protocol", "Exfiltration"),
 )
-ALLOWLIST = (("beaconing", "*", "*", "123", "NTP time synchronization is periodic by design."),)
+ALLOWLIST = (("beaconing", "*", "*", "123", "clocks are set at regular intervals"),)
 
 SCHEMAS = {
     "network_zones": "zone string, cidr string, is_internal boolean, description string",
