@@ -3,8 +3,8 @@
 Types are strict: text is no number, a boolean no count. Unknown fields are ignored. The rules over several fields run only
 on records whose fields are all right, and the first that fails is told.
 
-Most records are right. One pattern over a record's schema and plain comparisons of its typed fields tell so; only the
-others are taken apart field by field.
+Most records have the right fields. One pattern over a record's schema tells so, and plain comparisons of its typed fields do
+the rest; only the others are taken apart field by field.
 """
 
 from __future__ import annotations
@@ -64,7 +64,7 @@ def _split(spec: list):
     return [(name, kind.rstrip("|?"), "|" in kind, "?" in kind, bound) for name, kind, bound in spec]
 
 
-# ---------------------------------------------------------------- records that are right
+# ---------------------------------------------------------------- records with the right fields
 
 _TYPED = {"int": "bigint", "one_of": "bigint", "float": "double", "bool": "boolean", "text": "string", "ip": "string", "texts": "array<string>", "counts": "array<bigint>", "warnings": "array<struct<code:string,count:bigint>>"}
 _SHAPES = {
@@ -88,44 +88,51 @@ def shape(spec: list) -> str:
     return f"OBJECT<{''.join(out)}>"
 
 
-def _long_enough(least: int):
-    return lambda x: F.coalesce(F.length(x) >= least, F.lit(False))
+def _lists_right(at: Column, spec: list) -> Column:
+    """Whether the items of all lists of a typed record are right."""
+    item = {
+        "texts": lambda least: lambda x: F.coalesce(F.length(x) >= least, F.lit(False)),
+        "counts": lambda _: lambda x: F.coalesce(x >= 0, F.lit(False)),
+        "warnings": lambda _: lambda x: F.coalesce((F.length(x["code"]) > 0) & (x["count"] >= 0), F.lit(False)),
+    }
+    every = F.lit(True)
+    for name, kind, _, _, bound in _split(spec):
+        if kind == "object":
+            every = every & _lists_right(at[name], bound)
+        elif kind in item:
+            every = every & (at[name].isNull() | (F.size(at[name]) == 0) | F.forall(at[name], item[kind](bound)))
+    return every
 
 
-def _in_bounds(at: Column, path: str, spec: list) -> Column:
-    """Whether the fields of a typed record keep their bounds."""
-    every = F.lit(True)
-    for name, kind, nullable, optional, bound in _split(spec):
-        c, ok = at[name], None
+def _bound_errors(at: Column, path: str, spec: list) -> list[Column]:
+    """The error type or null for each field of a typed record that has bounds, in order. What is null has none."""
+    out = []
+    for name, kind, _, _, bound in _split(spec):
+        c = at[name]
         if kind == "object":
-            ok = _in_bounds(c, f"{path}{name}.", bound)
+            out += _bound_errors(c, f"{path}{name}.", bound)
         elif kind == "int":
-            ok = c.between(*bound)
+            out.append(F.when(c < bound[0], "greater_than_equal").when(c > bound[1], "less_than_equal"))
         elif kind == "one_of":
-            ok = c.isin(*bound)
+            out.append(F.when(~c.isin(*bound), "literal_error"))
         elif kind == "float":
-            ok = c.between(0.0, _LARGEST)
+            out.append(F.when(F.abs(c) > _LARGEST, "finite_number").when(c < 0, "greater_than_equal"))
         elif kind == "ip":
-            ok = F.col(f"__ip_{path[:-1]}").isNotNull()
+            out.append(F.when(F.col(f"__ip_{path[:-1]}").isNull(), "invalid_ip_address"))
         elif kind == "text" and bound:
-            ok = F.length(c) >= bound
-        elif kind == "texts":
-            ok = (F.size(c) == 0) | F.forall(c, _long_enough(bound))
-        elif kind == "counts":
-            ok = (F.size(c) == 0) | F.forall(c, lambda x: F.coalesce(x >= 0, F.lit(False)))
-        elif kind == "warnings":
-            ok = (F.size(c) == 0) | F.forall(c, lambda x: F.coalesce((F.length(x["code"]) > 0) & (x["count"] >= 0), F.lit(False)))
-        if ok is not None:
-            every = every & ((c.isNull() | ok) if nullable or optional else ok)
-    return every
+            out.append(F.when(F.length(c) < bound, "string_too_short"))
+    return out
 
 
-def _agrees(s: Column) -> Column:
-    """The rules over several fields, on a typed record."""
+def _disagreement(s: Column) -> Column:
+    """The type of the first rule over several fields that a typed record fails."""
     when = lambda name: F.struct(s[name]["unix_seconds"], s[name]["nanos"])
-    total = lambda what: F.try_add(s["initiator_to_responder"][what], s["responder_to_initiator"][what]) == s[f"{what}_total"]
-    version = lambda x: F.when(F.contains(F.col(f"__ip_{x}"), F.lit(":")), 6).otherwise(4) == s["ip_version"]
-    return s["first_seen"].isNotNull() & s["last_seen"].isNotNull() & (when("last_seen") >= when("first_seen")) & total("packets") & total("bytes") & version("initiator") & version("responder")
+    differs = lambda what: ~F.try_add(s["initiator_to_responder"][what], s["responder_to_initiator"][what]).eqNullSafe(s[f"{what}_total"])
+    other = lambda x: F.when(F.contains(F.col(f"__ip_{x}"), F.lit(":")), 6).otherwise(4) != s["ip_version"]
+    return (
+        F.when(s["first_seen"].isNull() | s["last_seen"].isNull(), "missing_event_time").when(when("last_seen") < when("first_seen"), "time_reversed").when(differs("packets") | differs("bytes"), "totals_mismatch")
+        .when(other("initiator") | other("responder"), "ip_version_mismatch")
+    )
 
 
 # ---------------------------------------------------------------- the others, field by field
@@ -247,12 +254,14 @@ def checked(raw: DataFrame) -> DataFrame:
     # a record that is no typed one as a whole may still have its addresses
     address = lambda x: normalized_ip(F.coalesce(F.col("__s")[x]["ip"], F.expr(f"try_variant_get(v, '$.{x}.ip', 'string')")))
     read = read.withColumns({f"__ip_{x}": address(x) for x in ("initiator", "responder")})
-    right = ~F.col("__bare") & F.expr("schema_of_variant(v)").rlike(f"^{shape(FLOW)}$") & _in_bounds(F.col("__s"), "", FLOW) & _agrees(F.col("__s"))
-    told = with_types(read.withColumn("__right", F.coalesce(right, F.lit(False))), "v", FLOW, ~F.col("__right"))
-    error = F.coalesce(_not_object("v"), *_fields("v", "", FLOW, None), cross_rules())["type"]
+    s = F.col("__s")
+    shaped = ~F.col("__bare") & F.expr("schema_of_variant(v)").rlike(f"^{shape(FLOW)}$") & _lists_right(s, FLOW)
+    told = with_types(read.withColumn("__shaped", F.coalesce(shaped, F.lit(False))), "v", FLOW, ~F.col("__shaped"))
+    quick = F.coalesce(*_bound_errors(s, "", FLOW), _disagreement(s))
+    slow = F.coalesce(_not_object("v"), *_fields("v", "", FLOW, None), cross_rules())["type"]
+    judged = told.withColumn("__error", F.when(F.col("__shaped"), quick).otherwise(slow))
     # as a generated row: a filter on error_type would else be pushed down and repeat all of the above in itself
-    found = F.inline(F.array(F.struct(F.when(~F.col("__right"), error).alias("error_type"))))
-    return told.select(*raw.columns, "v", "__ip_initiator", "__ip_responder", found)
+    return judged.select(*raw.columns, "v", "__ip_initiator", "__ip_responder", F.inline(F.array(F.struct(F.col("__error").alias("error_type")))))
 
 
 def with_messages(invalid: DataFrame) -> DataFrame:
