@@ -204,17 +204,20 @@ def likely_pairs(parts: DataFrame, min_similarity: float) -> DataFrame:
 def components(links: DataFrame) -> DataFrame:
     """(node, root) of every node of the links (a, b); root: the smallest node of its connected component.
 
-    Large-star and small-star steps by turns, each a table in the shared folder, until nothing changes.
+    Large-star and small-star steps by turns, each a table in the shared folder, until nothing changes. So are the smallest
+    neighbours that a step looks up: as aggregates of the join's own stage they would keep Spark from splitting the rows of
+    a node with very many neighbours.
     """
     edges = stored(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct())
     before = None
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
-        root = large.groupBy("u").agg(F.min("v").alias("m"))
+        least = stored(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")))
+        large = stored(both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct())
+        root = stored(large.groupBy("u").agg(F.min("v").alias("m")))
         small = large.join(root, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").unionByName(root.select("u", F.col("m").alias("v"))).distinct()
-        edges = stored(small)
+        old, edges = edges, stored(small)
+        dropped(old, least, large, root)
         n, total = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if (n, total) == before:
             break
