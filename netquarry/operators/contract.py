@@ -104,23 +104,23 @@ def _lists_right(at: Column, spec: list) -> Column:
     return every
 
 
-def _bound_errors(at: Column, path: str, spec: list) -> list[Column]:
-    """The error type or null for each field of a typed record that has bounds, in order. What is null has none."""
+def _bound_errors(at: str, spec: list) -> list[str]:
+    """SQL of the error type or null for each field of a typed record that has bounds, in order. What is null has none."""
     out = []
     for name, kind, _, _, bound in _split(spec):
-        c = at[name]
+        c = f"{at}.{name}"
         if kind == "object":
-            out += _bound_errors(c, f"{path}{name}.", bound)
+            out += _bound_errors(c, bound)
         elif kind == "int":
-            out.append(F.when(c < bound[0], "greater_than_equal").when(c > bound[1], "less_than_equal"))
+            out.append(f"CASE WHEN {c} < {bound[0]}L THEN 'greater_than_equal' WHEN {c} > {bound[1]}L THEN 'less_than_equal' END")
         elif kind == "one_of":
-            out.append(F.when(~c.isin(*bound), "literal_error"))
+            out.append(f"CASE WHEN {c} NOT IN ({', '.join(map(str, bound))}) THEN 'literal_error' END")
         elif kind == "float":
-            out.append(F.when(F.abs(c) > _LARGEST, "finite_number").when(c < 0, "greater_than_equal"))
+            out.append(f"CASE WHEN abs({c}) > {_LARGEST!r}D THEN 'finite_number' WHEN {c} < 0 THEN 'greater_than_equal' END")
         elif kind == "ip":
-            out.append(F.when(F.col(f"__ip_{path[:-1]}").isNull(), "invalid_ip_address"))
+            out.append(f"CASE WHEN __ip_{at.split('.')[-1]} IS NULL THEN 'invalid_ip_address' END")
         elif kind == "text" and bound:
-            out.append(F.when(F.length(c) < bound, "string_too_short"))
+            out.append(f"CASE WHEN length({c}) < {bound} THEN 'string_too_short' END")
     return out
 
 
@@ -150,62 +150,67 @@ def _locations(spec: list, path: str = "") -> list[str]:
     return out
 
 
-def with_types(df: DataFrame, root: str, spec: list, only: Column | None = None) -> DataFrame:
+def with_types(df: DataFrame, root: str, spec: list, only: str | None = None) -> DataFrame:
     """df with the schema of each field in a column of its own, each computed once; only: where they are needed."""
-    found = {_type_of(x): F.expr(f"schema_of_variant(variant_get({root}, '$.{x}', 'variant'))") for x in _locations(spec)}
-    return df.withColumns({k: c if only is None else F.when(only, c) for k, c in found.items()})
+    found = {_type_of(x): f"schema_of_variant(variant_get({root}, '$.{x}', 'variant'))" for x in _locations(spec)}
+    return df.selectExpr("*", *[f"{c} AS {k}" if only is None else f"CASE WHEN {only} THEN {c} END AS {k}" for k, c in found.items()])
 
 
-def _fields(root: str, path: str, spec: list, guard: Column | None) -> list[Column]:
-    """struct(loc, type) or null for each rule under `path`, in order; guard: the parents are objects. Needs with_types()."""
+_BEYOND = "'^DECIMAL[(](19|[23][0-9]),0[)]$'"  # the schema of a whole number beyond BIGINT; 1.0 is a shorter one
+
+
+def _rules(root: str, path: str, spec: list, guard: str | None) -> list[tuple[str, str]]:
+    """SQL of (location, error type or null) of each rule under `path`, in order; guard: the parents are objects. Needs with_types().
+
+    Text, as one parse of it is far quicker than the thousands of calls that build the same from columns.
+    """
     out = []
     for name, kind, nullable, optional, bound in _split(spec):
         loc = f"{path}.{name}" if path else name
-        t = F.col(_type_of(loc))
-        value = lambda as_, loc=loc: F.expr(f"try_variant_get({root}, '$.{loc}', '{as_}')")
+        t = _type_of(loc)
+        value = lambda as_, loc=loc: f"try_variant_get({root}, '$.{loc}', '{as_}')"
         text = value("string")
         if kind == "int":
-            whole = t.rlike(r"^DECIMAL\((19|[23]\d),0\)$")  # a whole number beyond BIGINT; 1.0 is a shorter one
-            n = value("bigint")
-            below = F.when(whole, text.startswith("-")).otherwise(n < bound[0])
-            above = F.when(whole, ~text.startswith("-")).otherwise(n > bound[1])
-            bad = F.when((t != "BIGINT") & ~whole, "int_type").when(below, "greater_than_equal").when(above, "less_than_equal")
+            n, minus, beyond = value("bigint"), f"startswith({text}, '-')", f"{t} RLIKE {_BEYOND}"
+            bad = (
+                f"CASE WHEN {t} <> 'BIGINT' AND NOT {beyond} THEN 'int_type' WHEN CASE WHEN {beyond} THEN {minus} ELSE {n} < {bound[0]}L END THEN 'greater_than_equal' "
+                f"WHEN CASE WHEN {beyond} THEN NOT {minus} ELSE {n} > {bound[1]}L END THEN 'less_than_equal' END"
+            )
         elif kind == "one_of":
-            bad = F.when((t != "BIGINT") | ~value("bigint").isin(*bound), "literal_error")
+            bad = f"CASE WHEN {t} <> 'BIGINT' OR {value('bigint')} NOT IN ({', '.join(map(str, bound))}) THEN 'literal_error' END"
         elif kind == "float":
             n = value("double")
-            bad = F.when((t == "STRING") & (text == _NOT_FINITE), "finite_number").when(~t.rlike(r"^(BIGINT|DECIMAL|DOUBLE|FLOAT)"), "float_type").when(F.abs(n) > _LARGEST, "finite_number").when(n < 0, "greater_than_equal")
+            bad = (
+                f"CASE WHEN {t} = 'STRING' AND {text} = '{_NOT_FINITE}' THEN 'finite_number' WHEN NOT {t} RLIKE '^(BIGINT|DECIMAL|DOUBLE|FLOAT)' THEN 'float_type' "
+                f"WHEN abs({n}) > {_LARGEST!r}D THEN 'finite_number' WHEN {n} < 0 THEN 'greater_than_equal' END"
+            )
         elif kind == "bool":
-            bad = F.when(t != "BOOLEAN", "bool_type")
+            bad = f"CASE WHEN {t} <> 'BOOLEAN' THEN 'bool_type' END"
         elif kind in ("text", "ip"):
-            bad = F.when((t != "STRING") | (text == _NOT_FINITE), "string_type")
-            bad = bad.when(F.length(text) < (bound or 0), "string_too_short") if kind == "text" else bad.when(F.col(f"__ip_{loc.split('.')[0]}").isNull(), "invalid_ip_address")
+            rest = f"length({text}) < {bound or 0} THEN 'string_too_short'" if kind == "text" else f"__ip_{loc.split('.')[0]} IS NULL THEN 'invalid_ip_address'"
+            bad = f"CASE WHEN {t} <> 'STRING' OR {text} = '{_NOT_FINITE}' THEN 'string_type' WHEN {rest} END"
         elif kind in ("object", "dict"):
-            bad = F.when(~t.startswith("OBJECT"), "dict_type" if kind == "dict" else "model_type")
+            bad = f"CASE WHEN NOT startswith({t}, 'OBJECT') THEN '{'dict_type' if kind == 'dict' else 'model_type'}' END"
         else:
-            bad = F.when(~t.startswith("ARRAY"), "list_type")
+            bad = f"CASE WHEN NOT startswith({t}, 'ARRAY') THEN 'list_type' END"
         if nullable:
-            bad = F.when(t != "VOID", bad)
-        out.append(_found(F.lit(loc), F.when(t.isNull(), F.lit(None) if optional else F.lit("missing")).otherwise(bad), guard))
-        inside = t.startswith("OBJECT") if guard is None else guard & t.startswith("OBJECT")
+            bad = f"CASE WHEN {t} <> 'VOID' THEN {bad} END"
+        bad = f"CASE WHEN {t} IS NULL THEN {'NULL' if optional else repr('missing')} ELSE {bad} END"
+        out.append((f"'{loc}'", bad if guard is None else f"CASE WHEN {guard} THEN {bad} END"))
+        inside = lambda what, t=t: f"startswith({t}, '{what}')" if guard is None else f"{guard} AND startswith({t}, '{what}')"
         if kind == "object":
-            out += _fields(root, loc, bound, inside)
+            out += _rules(root, loc, bound, inside("OBJECT"))
         elif kind in ("texts", "counts", "warnings"):
-            listed = t.startswith("ARRAY") if guard is None else guard & t.startswith("ARRAY")
-            out.append(F.when(listed, _first_item(root, loc, kind, bound)))
+            first = f"CASE WHEN {inside('ARRAY')} THEN {_first_item(root, loc, kind, bound)} END"
+            out.append((f"({first}).loc", f"({first}).type"))
     return out
 
 
-def _found(loc: Column, bad: Column, guard: Column | None) -> Column:
-    bad = bad if guard is None else F.when(guard, bad)
-    return F.when(bad.isNotNull(), F.struct(loc.alias("loc"), bad.alias("type")))
-
-
-def _first_item(root: str, loc: str, kind: str, least: int | None) -> Column:
-    """The first bad item of a list."""
+def _first_item(root: str, loc: str, kind: str, least: int | None) -> str:
+    """SQL of the first bad item of a list: a struct of its place and error type."""
     items = f"try_variant_get({root}, '$.{loc}', 'array<variant>')"
     text = f"CASE WHEN coalesce(schema_of_variant(x), 'VOID') <> 'STRING' THEN 'string_type' WHEN length(try_variant_get(x, '$', 'string')) < {least or 0} THEN 'string_too_short' END"
-    count = lambda x: f"CASE WHEN schema_of_variant({x}) RLIKE '^DECIMAL[(](19|[23][0-9]),0[)]$' THEN 'less_than_equal' WHEN coalesce(schema_of_variant({x}), 'VOID') <> 'BIGINT' THEN 'int_type' WHEN try_variant_get({x}, '$', 'bigint') < 0 THEN 'greater_than_equal' END"
+    count = lambda x: f"CASE WHEN schema_of_variant({x}) RLIKE {_BEYOND} THEN 'less_than_equal' WHEN coalesce(schema_of_variant({x}), 'VOID') <> 'BIGINT' THEN 'int_type' WHEN try_variant_get({x}, '$', 'bigint') < 0 THEN 'greater_than_equal' END"
     if kind == "texts":
         rule, tail = text, "''"
     elif kind == "counts":
@@ -215,13 +220,13 @@ def _first_item(root: str, loc: str, kind: str, least: int | None) -> Column:
         code_rule = f"CASE WHEN {code} IS NULL THEN 'missing' WHEN schema_of_variant({code}) <> 'STRING' THEN 'string_type' WHEN length(try_variant_get(x, '$.code', 'string')) < 1 THEN 'string_too_short' END"
         rule = f"CASE WHEN coalesce(schema_of_variant(x), 'VOID') NOT LIKE 'OBJECT%' THEN 'model_type' ELSE coalesce({code_rule}, CASE WHEN {n} IS NULL THEN 'missing' ELSE {count(n)} END) END"
         tail = f"CASE WHEN coalesce(schema_of_variant(x), 'VOID') NOT LIKE 'OBJECT%' THEN '' WHEN ({code_rule}) IS NOT NULL THEN '.code' ELSE '.count' END"
-    told = f"filter(transform({items}, (x, i) -> named_struct('loc', concat('{loc}.', i, {tail}), 'type', {rule})), e -> e.type IS NOT NULL)"
-    return F.get(F.expr(told), F.lit(0))
+    return f"get(filter(transform({items}, (x, i) -> named_struct('loc', concat('{loc}.', i, {tail}), 'type', {rule})), e -> e.type IS NOT NULL), 0)"
 
 
 def violations(root: str, spec: list) -> Column:
     """array<struct<loc, type>> in field order. Needs with_types()."""
-    return F.array_compact(F.array(_not_object(root), *_fields(root, "", spec, F.expr(f"schema_of_variant({root}) LIKE 'OBJECT%'"))))
+    told = [f"CASE WHEN {bad} IS NOT NULL THEN named_struct('loc', {loc}, 'type', {bad}) END" for loc, bad in _rules(root, "", spec, f"schema_of_variant({root}) LIKE 'OBJECT%'")]
+    return F.array_compact(F.array(_not_object(root), *[F.expr(x) for x in told]))
 
 
 def _not_object(root: str) -> Column:
@@ -256,9 +261,9 @@ def checked(raw: DataFrame) -> DataFrame:
     read = read.withColumns({f"__ip_{x}": address(x) for x in ("initiator", "responder")})
     s = F.col("__s")
     shaped = ~F.col("__bare") & F.expr("schema_of_variant(v)").rlike(f"^{shape(FLOW)}$") & _lists_right(s, FLOW)
-    told = with_types(read.withColumn("__shaped", F.coalesce(shaped, F.lit(False))), "v", FLOW, ~F.col("__shaped"))
-    quick = F.coalesce(*_bound_errors(s, "", FLOW), _disagreement(s))
-    slow = F.coalesce(_not_object("v"), *_fields("v", "", FLOW, None), cross_rules())["type"]
+    told = with_types(read.withColumn("__shaped", F.coalesce(shaped, F.lit(False))), "v", FLOW, "NOT __shaped")
+    quick = F.coalesce(F.expr(f"coalesce({', '.join(_bound_errors('__s', FLOW))})"), _disagreement(s))
+    slow = F.coalesce(_not_object("v")["type"], F.expr(f"coalesce({', '.join(bad for _, bad in _rules('v', '', FLOW, None))})"), cross_rules()["type"])
     judged = told.withColumn("__error", F.when(F.col("__shaped"), quick).otherwise(slow))
     # as a generated row: a filter on error_type would else be pushed down and repeat all of the above in itself
     return judged.select(*raw.columns, "v", "__ip_initiator", "__ip_responder", F.inline(F.array(F.struct(F.col("__error").alias("error_type")))))
