@@ -38,8 +38,8 @@ START, END = 0xFE, 0xFF
 ALPHABET = 255
 #: What each distinct byte of a context gives to the escape (method D).
 DISCOUNT = 0.5
-#: Bytes of text in a block.
-BLOCK = 10 << 20
+#: Bytes of text in a block, and in one numpy step, which takes some eighty times as much.
+BLOCK, STEP = 8 << 20, 1 << 19
 END_TOKEN = np.uint64(0xE7D)
 
 
@@ -175,7 +175,7 @@ def gathered(blocks: DataFrame, order: int = ORDER) -> DataFrame:
         out = []
         for f in (lambda x: grams(x, order), word_keys):
             parts = []
-            for lo, hi in steps(values):
+            for lo, hi in steps(values, STEP):
                 keys, of = f(tokens(values[lo:hi]))
                 parts.append(counted(keys, train[lo:hi][of]))
             out.append(merged(parts))
@@ -235,7 +235,7 @@ def scored(blocks: DataFrame, values: DataFrame, train_tokens: int, distinct: in
             k, v = keys[is_word == kind], value[is_word == kind]
             sort = np.argsort(k)
             found.append((k[sort], v[sort]))
-        for lo, hi in steps(texts_):
+        for lo, hi in steps(texts_, STEP):
             part, n = tokens(texts_[lo:hi]), hi - lo
             code, of = grams(part, order)
             # one lookup for each distinct gram of a text
