@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from netquarry.llm import bpe, decontaminate, fingerprint, langid, linededup, lmscore, neardup, store, substrings, urlfilter
+from netquarry.llm import bpe, decontaminate, fingerprint, langid, linededup, lmscore, neardup, runs, secretscan, store, substrings, urlfilter, variants
 from netquarry.llm.common import shared_dir, table
 
 
@@ -58,8 +58,24 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.op10_near_dedup(table(spark, sf_dir, "documents"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs.op11_periodic_runs(table(spark, sf_dir, "documents"))
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.op12_spelling_variants(table(spark, sf_dir, "documents"))
+
+
+def op13_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secretscan.op13_secret_scan(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_bpe, op2_line_dedup, op3_lm_score, op4_url_filter, op5_decontamination, op6_fingerprints, op7_token_store, op8_substring_dedup, op9_language_id, op10_near_dedup)}
+    numbered = (
+        op1_bpe, op2_line_dedup, op3_lm_score, op4_url_filter, op5_decontamination, op6_fingerprints, op7_token_store, op8_substring_dedup, op9_language_id, op10_near_dedup,
+        op11_periodic_runs, op12_spelling_variants, op13_secret_scan,
+    )
+    return {f.__name__: f for f in numbered}
 
 
 def oracle_sql() -> dict[str, str]:
