@@ -10,35 +10,58 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from netquarry.operators import detections, facts, hosts, incremental, ocsf, quality, zones
+from netquarry.sources.versions import Versioned
 
-#: What each model is made of; the two that are maintained incrementally come before these.
 Tables = Callable[[str], DataFrame]
-MODELS: dict[str, Callable[[Tables, detections.Thresholds], DataFrame]] = {
-    "stg_quarantine": lambda x, t: facts.stage_quarantine(x("quarantine")),
-    "stg_network_zones": lambda x, t: zones.parse_zones(x("network_zones")),
-    "dim_hosts": lambda x, t: hosts.dim_hosts(x("fct_flows")),
-    "dim_host_names": lambda x, t: hosts.host_names_scd2(x("fct_flows")),
-    "det_port_scan": lambda x, t: detections.det_port_scan(x("fct_flows"), t),
-    "det_beaconing": lambda x, t: detections.det_beaconing(x("fct_flows"), x("detection_allowlist"), t),
-    "det_exfiltration": lambda x, t: detections.det_exfiltration(x("fct_flows"), t),
-    "det_dns_tunneling": lambda x, t: detections.det_dns_tunneling(x("fct_flows"), t),
-    "fct_alerts": lambda x, t: detections.fct_alerts(x("det_port_scan"), x("det_beaconing"), x("det_exfiltration"), x("det_dns_tunneling"), x("detection_rules"), x("mitre_techniques"), x("detection_allowlist")),
-    "dq_batches": lambda x, t: quality.dq_batches(facts.stage_flows(x("flows")), x("quarantine")),
-    "ocsf_network_activity": lambda x, t: ocsf.network_activity(x("fct_flows")),
+#: Models that follow the fact by day, or by hour where a column tells it; the fact and the hourly table come before them.
+DAILY: dict[str, tuple[Callable[[DataFrame, Tables, detections.Thresholds], DataFrame], str | None]] = {
+    "det_port_scan": (lambda f, x, t: _dated(detections.det_port_scan(f, t), "window_start"), "window_start"),
+    "det_beaconing": (lambda f, x, t: detections.det_beaconing(f, x("detection_allowlist"), t), None),
+    "det_exfiltration": (lambda f, x, t: detections.det_exfiltration(f, t), None),
+    "det_dns_tunneling": (lambda f, x, t: _dated(detections.det_dns_tunneling(f, t), "window_start"), "window_start"),
+    "ocsf_network_activity": (lambda f, x, t: ocsf.network_activity(f).withColumn(incremental.DAY, F.to_date(F.timestamp_millis("start_time"))), None),
 }
+#: Models that are made whole from those before them.
+WHOLE: dict[str, Callable[[Tables], DataFrame]] = {
+    "stg_quarantine": lambda x: facts.stage_quarantine(x("quarantine")),
+    "stg_network_zones": lambda x: zones.parse_zones(x("network_zones")),
+    "dim_hosts": lambda x: hosts.dim_hosts(x("fct_flows")),
+    "dim_host_names": lambda x: hosts.host_names_scd2(x("fct_flows")),
+    "fct_alerts": lambda x: detections.fct_alerts(x("det_port_scan"), x("det_beaconing"), x("det_exfiltration"), x("det_dns_tunneling"), x("detection_rules"), x("mitre_techniques"), x("detection_allowlist")),
+    "dq_batches": lambda x: quality.dq_batches(facts.stage_flows(x("flows")), x("quarantine")),
+}
+#: Models whose day is there for their partitions alone.
+_UNDATED = ("agg_traffic_hourly", "det_port_scan", "det_dns_tunneling", "ocsf_network_activity")
+
+
+def _dated(rows: DataFrame, time: str) -> DataFrame:
+    return rows.withColumn(incremental.DAY, F.to_date(time))
 
 
 def tables(spark: SparkSession, gold: str, inputs: Mapping[str, DataFrame]) -> Tables:
-    """Any table by name: an input (bronze `flows`, `quarantine`, the reference tables), or the stored model below `gold`."""
-    return lambda name: inputs[name] if name in inputs else spark.read.parquet(f"{gold}/{name}")
+    """Any table by name: an input (bronze `flows`, `quarantine`, the reference tables), or the current version of a model below `gold`."""
+
+    def found(name: str) -> DataFrame:
+        if name in inputs:
+            return inputs[name]
+        rows = Versioned(spark, f"{gold}/{name}").read()
+        return rows.drop(incremental.DAY) if name in _UNDATED else rows
+
+    return found
 
 
 def build(spark: SparkSession, inputs: Mapping[str, DataFrame], gold: str, run_started_at: datetime, thresholds: detections.Thresholds = detections.Thresholds(), full_refresh: bool = False) -> Tables:
-    """Bring every model up to date: facts and hours by what is new, the others whole from the stored fact."""
+    """Bring every model up to date; each is a version of its own, so a run that stops on the way is simply run again."""
     incremental.build(spark, inputs["flows"], gold, inputs["network_zones"], inputs["service_ports"], run_started_at, thresholds, full_refresh)
     found = tables(spark, gold, inputs)
-    for name, make in MODELS.items():
-        make(found, thresholds).write.mode("overwrite").option("compression", "zstd").parquet(f"{gold}/{name}")
+    fact = Versioned(spark, f"{gold}/fct_flows")
+    # the entries are few; a table of another content makes another sum
+    allowed = inputs["detection_allowlist"].agg(F.count("*"), F.sum(F.xxhash64(*inputs["detection_allowlist"].columns).cast("decimal(38,0)"))).first()
+    for name, (make, hour) in DAILY.items():
+        incremental.update(fact, Versioned(spark, f"{gold}/{name}"), lambda f, make=make: make(f, found, thresholds), hour, f"{thresholds} {allowed[0]} {allowed[1]}")
+    for name, whole in WHOLE.items():
+        model = Versioned(spark, f"{gold}/{name}")
+        model.write(whole(found), base=model.manifest())
     return found
 
 

@@ -13,6 +13,7 @@ from netquarry.plans import adapter, contract_cases
 from netquarry.sources import captures
 from netquarry.sources import lake as L
 from netquarry.sources.reference import SITE_ZONES, reference_table
+from netquarry.sources.versions import Versioned
 from netquarry.streaming import bronze
 
 _RUNS = [datetime(2024, 3, 1), datetime(2024, 3, 2), datetime(2024, 3, 3)]
@@ -72,11 +73,11 @@ def _loads(spark: SparkSession, sf_dir: str) -> str:
 
 
 def fct_flows_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{_loads(spark, sf_dir)}/fct_flows").select("record_id", "direction", "service", "bytes_total", "batch_id")
+    return Versioned(spark, f"{_loads(spark, sf_dir)}/fct_flows").read().select("record_id", "direction", "service", "bytes_total", "batch_id")
 
 
 def agg_hourly_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{_loads(spark, sf_dir)}/agg_traffic_hourly").select("hour_start", "direction", "protocol_name", "service", "flows", "packets", "bytes", "distinct_initiators", "distinct_responders")
+    return Versioned(spark, f"{_loads(spark, sf_dir)}/agg_traffic_hourly").read().select("hour_start", "direction", "protocol_name", "service", "flows", "packets", "bytes", "distinct_initiators", "distinct_responders")
 
 
 def _inputs(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:

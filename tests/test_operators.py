@@ -6,6 +6,7 @@ from pyspark.sql import Row
 
 from netquarry.operators import detections, facts, hosts, incremental, quality, serving, zones
 from netquarry.plans import adapter, registry
+from netquarry.sources.versions import Versioned
 from netquarry.sources.reference import SITE_ZONES, reference_table
 
 SF = "/root/testdata/sf0.001"
@@ -106,7 +107,7 @@ def test_incremental_is_a_full_refresh(spark, tmp_path):
     for cut, run in zip(cuts, runs, strict=False):
         incremental.build(spark, bronze.where(f"ingested_at < '{cut}'"), f"{tmp_path}/inc", *ref, run)
     incremental.build(spark, bronze, f"{tmp_path}/full", *ref, runs[3], full_refresh=True)
-    read = lambda top, name, *drop: spark.read.parquet(f"{tmp_path}/{top}/{name}").drop(*drop)
+    read = lambda top, name, *drop: Versioned(spark, f"{tmp_path}/{top}/{name}").read().drop(*drop)
     a, b = read("inc", "fct_flows", "loaded_at", "flow_warnings"), read("full", "fct_flows", "loaded_at", "flow_warnings")
     assert serving.snapshot_difference(a, b).isEmpty() and a.count() == 1000
     assert serving.snapshot_difference(read("inc", "agg_traffic_hourly", "max_loaded_at"), read("full", "agg_traffic_hourly", "max_loaded_at")).isEmpty()
@@ -120,8 +121,8 @@ def test_empty_lake_then_data(spark, tmp_path):
     ref = reference_table(spark, "network_zones"), reference_table(spark, "service_ports")
     incremental.build(spark, bronze.limit(0), f"{tmp_path}/g", *ref, DAY)
     incremental.build(spark, bronze, f"{tmp_path}/g", *ref, DAY)
-    assert spark.read.parquet(f"{tmp_path}/g/fct_flows").count() == 1000
-    assert spark.read.parquet(f"{tmp_path}/g/agg_traffic_hourly").count() > 0
+    assert Versioned(spark, f"{tmp_path}/g/fct_flows").read().count() == 1000
+    assert Versioned(spark, f"{tmp_path}/g/agg_traffic_hourly").read().count() > 0
 
 
 def test_plan_of_the_zone_lookup_has_no_nested_loop(spark):
