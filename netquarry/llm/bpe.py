@@ -26,14 +26,15 @@ import json
 import re
 import unicodedata
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from tokenizers import Regex, normalizers, pre_tokenizers
 
 from netquarry.llm.common import BYTES, rolled, steps
 
@@ -62,40 +63,114 @@ def byte_letters() -> list[str]:
     return table
 
 
-def character_classes() -> np.ndarray:
-    """The class of each code point, as the word pattern sees it."""
-    kind = np.full(0x110000, SIGN, np.uint8)
-    for lo, hi in ((0, 0xD800), (0xE000, 0x110000)):
-        every = "".join(map(chr, range(lo, hi)))
-        for pattern, value in ((r"\p{L}+", LETTER), (r"\p{N}+", DIGIT), ("[\t-\r \x85\xa0  -     　]+", WHITE)):
-            for found in regex.finditer(pattern, every):
-                kind[lo + found.start() : lo + found.end()] = value
+def _every() -> str:
+    return "".join(map(chr, chain(range(0xD800), range(0xE000, 0x110000))))
+
+
+def character_classes(cut: pre_tokenizers.PreTokenizer) -> np.ndarray:
+    """The class of each code point, as the library's own word pattern sees it; cut: its pre-tokenizer.
+
+    One pass over all code points gives runs of one class (digits alone); the first of each run is tried beside a letter and a
+    sign.
+    """
+    alone = lambda text: len(cut.pre_tokenize_str(text)) == 1
+    kind = np.full(0x110000, WHITE, np.uint8)
+    kind[0xD800:0xE000] = SIGN
+    gap = lambda at: at + 0x800 * (at >= 0xD800)
+    for piece, (start, end) in cut.pre_tokenize_str(_every()):
+        found = LETTER if alone("a" + piece[0]) else SIGN if alone("+" + piece[0]) else DIGIT
+        kind[gap(start) : gap(end - 1) + 1] = found
     return kind
 
 
+def unlike_points(normalize: Callable[[str], str]) -> set[int]:
+    """Code points on which this Python's Unicode tables and the library's may differ, alone or behind and before marks.
+
+    Those that Python doesn't know, and those which come out otherwise in three surroundings, with what they come out as.
+    """
+    unknown = [unicodedata.category(c) == "Cn" for c in _every()]
+    found = {ord(c) for c, new in zip(_every(), unknown, strict=True) if new}
+    every = [c for c, new in zip(_every(), unknown, strict=True) if not new and c != "|"]
+    for before, after in (("", ""), ("a", "\u0334\u0301"), ("\u1100", "\u11a8")):
+        text = "".join([f"{before}{c}{after}|" for c in every])
+        mine, theirs = Splitter.folded(text), normalize(text)
+        if mine != theirs:
+            for c, x, y in zip(every, mine.split("|"), theirs.split("|"), strict=False):
+                if x != y:
+                    found |= {ord(k) for k in c + Splitter.folded(c) + normalize(c)}
+    # compositions that one side alone makes
+    pairs = [(c, d.split()) for c in every if len((d := unicodedata.decomposition(c)).split()) == 2 and "<" not in d]
+    for c, parts in pairs:
+        text = "".join([chr(int(x, 16)) for x in parts])
+        if Splitter.folded(text) != normalize(text):
+            found |= {ord(k) for k in c + text}
+    return {x for x in found if x > 0xFF}
+
+
+def classed(points: set[int]) -> str:
+    """A regular expression for any of the code points."""
+    ranges: list[list[int]] = []
+    for x in sorted(points):
+        if ranges and ranges[-1][1] == x - 1:
+            ranges[-1][1] = x
+        else:
+            ranges.append([x, x])
+    return "[" + "".join([f"\\U{lo:08x}-\\U{hi:08x}" for lo, hi in ranges]) + "]"
+
+
+@lru_cache(maxsize=4)
+def library_tables(normalizer: str, cut: str) -> tuple[np.ndarray, str | None]:
+    """(classes of all code points, expression for those whose texts the library must normalize); from the file's JSON parts."""
+    part = json.loads(cut)
+    split = pre_tokenizers.Split(Regex(part["pattern"]["Regex"]), part["behavior"].lower(), part["invert"])
+    unlike = unlike_points(library_normalizer(normalizer, ("NFC", "Lowercase")).normalize_str)
+    return character_classes(split), classed(unlike) if unlike else None
+
+
+def library_normalizer(normalizer: str, kinds: tuple[str, ...] = ("NFC", "Replace", "Lowercase")) -> normalizers.Normalizer:
+    made = {"NFC": lambda n: normalizers.NFC(), "Lowercase": lambda n: normalizers.Lowercase(), "Replace": lambda n: normalizers.Replace(Regex(n["pattern"]["Regex"]), n["content"])}
+    return normalizers.Sequence([made[n["type"]](n) for n in json.loads(normalizer)["normalizers"] if n["type"] in kinds])
+
+
 class Splitter:
-    """Cuts normalized texts into the words of PATTERN; special tokens are words of one byte from MARK on."""
+    """Cuts texts into the words of PATTERN; special tokens are words of one byte from MARK on.
 
-    def __init__(self, special: list[str]) -> None:
+    Letters, digits and white space are what the library takes them for. Texts are folded by Python; where one has a code
+    point on which the two may differ, by the library.
+    """
+
+    def __init__(self, special: list[str], normalizer: str, cut: str) -> None:
         if len(special) > 256 - MARK:
             raise ValueError(f"over {256 - MARK} special tokens")
         self.marks = {t: bytes([0x20, MARK + k, 0x20]) for k, t in enumerate(special)}
         self.found = re.compile("(" + "|".join(map(re.escape, sorted(special, key=len, reverse=True))) + ")") if special else None
-        self.kind = character_classes()
+        self.kind, unlike = library_tables(normalizer, cut)
+        self.unlike, self.normalizer, self.library = re.compile(unlike) if unlike else None, normalizer, None
         self.ascii = np.full(256, SPECIAL, np.uint8)
         self.ascii[:128] = self.kind[:128]
 
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"library": None}
+
     def normalized(self, text: str) -> bytes:
         """UTF-8 of the text in NFC and lower case; special tokens, found as spelled, are marked."""
         if self.found and "<" in text:
             return b"".join([self.marks[x] if k % 2 else self._plain(x) for k, x in enumerate(self.found.split(text))])
         return self._plain(text)
 
+    def _plain(self, text: str) -> bytes:
+        if text.isascii():
+            return text.lower().encode()
+        if self.unlike and self.unlike.search(text):
+            if self.library is None:
+                self.library = library_normalizer(self.normalizer)
+            return self.library.normalize_str(text).encode()
+        return self.folded(text).encode()
+
     @staticmethod
-    def _plain(text: str) -> bytes:
-        if not text.isascii():
-            text = unicodedata.normalize("NFC", text).replace("Σ", "σ")  # lower-cased letter by letter, without final forms
-        return text.lower().encode()
+    def folded(text: str) -> str:
+        # lower-cased letter by letter, without final forms
+        return unicodedata.normalize("NFC", text).replace("\u03a3", "\u03c3").lower()
 
     def words(self, buf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Starts and ends of the words in buf (uint8)."""
@@ -196,7 +271,7 @@ class Bpe:
         kinds = [n["type"] for n in data["normalizer"]["normalizers"]]
         if kinds != ["NFC", "Replace", "Lowercase"] or data.get("decoder") or data["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"] != PATTERN:
             raise ValueError(f"a tokenizer of another kind: {kinds}")
-        self.splitter = Splitter(list(self.special))
+        self.splitter = Splitter(list(self.special), json.dumps(data["normalizer"]), json.dumps(data["pre_tokenizer"]["pretokenizers"][0]))
         letters = byte_letters()
         n = 1 + max(chain(self.ids.values(), self.special.values()))
         self.tokens = [""] * n

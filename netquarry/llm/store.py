@@ -89,10 +89,12 @@ class Library:
         flat = np.concatenate([*found, np.zeros(0, np.int32)])
         # a word's last token alone has the end mark
         upto = np.flatnonzero(self.last[flat]) + 1
-        if len(upto) != len(words):
-            raise ValueError("the library cuts a line otherwise than its words")
+        each = np.diff(upto, prepend=0)
+        if len(upto) != len(words):  # a word that the library would cut further: each on its own
+            found = [np.array(e.ids, np.int32) for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+            flat, each = np.concatenate([*found, np.zeros(0, np.int32)]), np.array([len(x) for x in found], np.int64)
         size = np.ones(len(starts), np.int64)
-        size[plain] = np.diff(upto, prepend=0)
+        size[plain] = each
         out = np.zeros(int(size.sum()), np.int32)
         marked = (np.cumsum(size) - size)[special]
         out[marked] = np.array(self.special, np.int32)[buf[starts[special]].astype(np.int64) - bpe.MARK]
