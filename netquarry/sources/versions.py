@@ -110,7 +110,9 @@ class Versioned:
         """
         commit = uuid.uuid4().hex
         folder = f"{self.path}/data/{_COMMIT}={commit}"
-        rows = df.sortWithinPartitions(*sort) if sort else df
+        # a partition's rows come together, in as many tasks as they need: no file for each partition from every task
+        rows = df.hint("rebalance", partition) if partition else df
+        rows = rows.sortWithinPartitions(*sort) if sort else rows
         writer = rows.write.option("compression", "zstd")
         (writer.partitionBy(partition) if partition else writer).parquet(folder)
         if keys:
