@@ -6,8 +6,9 @@ probability comes from the longest context that the sample has; a byte unseen th
 order 0 the bytes left are equally likely. The statistics are frozen, so a probability depends on the two bytes before
 alone and the exact code length of a whole text is a sum of table entries.
 
-Size bounds: the sample has at most `per_language` distinct texts of a language, the first SAMPLE_BYTES of each, and a tree at most 65,536 + 257 rows of 256
-four-byte entries (67 MB; a few MB for one script), so what is broadcast doesn't grow with the data.
+Size bounds: the sample has at most `per_language` distinct texts of a language, the first SAMPLE_CHARS of each, cut before they
+are gathered, and a tree at most 65,536 + 257 rows of 256 four-byte entries (67 MB; a few MB for one script); over
+MAX_LANGUAGES labels are refused. So what is gathered and broadcast doesn't grow with the data.
 
 Results for special rows: a null, empty or letterless text is `und` with score 0; very long texts are scored whole,
 step by step; ties go to the first language in alphabetic order; repeated rows get equal results; without any learned
@@ -29,8 +30,10 @@ from netquarry.llm.common import LOWER, crc_mod5, free, steps, texts
 
 #: Labelled texts of each language that the trees are fitted on: the documented bound of the sample.
 PER_LANGUAGE = 400
-#: What a sampled text gives to its tree at most.
-SAMPLE_BYTES = 1 << 16
+#: Characters that a sampled text gives to its tree at most.
+SAMPLE_CHARS = 1 << 16
+#: Distinct labels that a model may have.
+MAX_LANGUAGES = 200
 #: keep_identified() rejects a text that takes its best tree more bits a byte. Labelled texts take 2 to 3, and up to 7 where
 #: they are full of keys and numbers; letters drawn at random take 12, other scripts 20, as they hardly meet a known context.
 MAX_BITS = 10.0
@@ -40,17 +43,17 @@ UND = "und"
 def sample(docs: DataFrame, per_language: int = PER_LANGUAGE, text: str = "text", lang: str = "lang") -> DataFrame:
     """(lang, text) of at most per_language distinct labelled texts of each language, picked by a hash of the text.
 
-    The pick is an aggregate of few rows, not a sort of all; copies of a text count once.
+    The pick is an aggregate of few rows, not a sort of all, and of cut texts; copies of a text count once.
     """
     # the hash orders the texts at random; those under the language's quantile of it are the sample
-    labelled = docs.where(F.col(lang).isNotNull() & (F.length(text) > 0)).select(F.col(lang).alias("lang"), F.col(text).alias("text"), F.xxhash64(text).alias("h"))
+    labelled = docs.where(F.col(lang).isNotNull() & (F.length(text) > 0)).select(F.col(lang).alias("lang"), F.substring(text, 1, SAMPLE_CHARS).alias("text"), F.xxhash64(text).alias("h"))
     # a row for each language; twice the share is as good as never too little
     counts = labelled.select("lang", "h").distinct().groupBy("lang").count()
     # broadcast: far less than the tree that each of these languages has in what is broadcast later
     bound = F.broadcast(counts.select(F.col("lang").alias("l"), (F.lit(float(per_language)) / F.col("count")).alias("share")))
     picked = labelled.join(bound, F.col("lang") == F.col("l")).where(F.pmod("h", F.lit(1 << 40)) < F.col("share") * 2 * (1 << 40))
     top = F.slice(F.array_sort(F.collect_set(F.struct("h", "text"))), 1, per_language)
-    return picked.groupBy("lang").agg(top.alias("top")).select("lang", F.explode("top.text").alias("text")).withColumn("text", F.substring("text", 1, SAMPLE_BYTES))
+    return picked.groupBy("lang").agg(top.alias("top")).select("lang", F.explode("top.text").alias("text"))
 
 
 def context_tree(samples: list[bytes], order: int = 2) -> tuple[np.ndarray, np.ndarray]:
@@ -122,6 +125,8 @@ def identify(docs: DataFrame, learned: DataFrame, text: str = "text", per_langua
     by: dict[str, list[bytes]] = {}
     for row in sample(learned, per_language).toLocalIterator():
         by.setdefault(row["lang"], []).append(row["text"].encode())
+        if len(by) > MAX_LANGUAGES:
+            raise ValueError(f"over {MAX_LANGUAGES} languages")
     names = sorted(by)
     model = spark.sparkContext.broadcast([context_tree(sorted(by[x])) if sum(map(len, by[x])) > 2 else None for x in names])
     keep = [c for c in docs.columns if c not in ("lang_pred", "score", "bits_per_byte")]

@@ -82,6 +82,8 @@ def terms_of(vocabulary: Iterable[tuple[str, str, int]] | DataFrame) -> list[tup
             continue
         if kind not in ("strict", "soft"):
             raise ValueError(f"the kind of {term!r} is neither strict nor soft: {kind!r}")
+        if weight != int(weight):
+            raise ValueError(f"the weight of {term!r} is no whole number: {weight!r}")
         found[_lower(term)] = max(found.get(_lower(term), ("", 0)), (kind, int(weight)))
     return [(t, *kw) for t, kw in sorted(found.items())]
 

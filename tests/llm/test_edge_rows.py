@@ -142,3 +142,20 @@ def test_phrases_by_definition():
             symbols = phrases(symbols)
             names, _ = fingerprint.parse(names, np.zeros(len(names), np.int64))
             assert names.tolist() == symbols
+
+
+def test_samples_of_long_texts_are_cut_before_they_are_gathered(spark):
+    docs = spark.range(4).selectExpr("id AS doc_id", "repeat(concat('word', id, ' is long '), 300000) AS text", "'en' AS lang")
+    found = langid.sample(docs).collect()
+    assert [len(r["text"]) for r in found] == [langid.SAMPLE_CHARS] * 4
+    assert {r["lang_pred"] for r in langid.identify(docs, docs).select("lang_pred").collect()} == {"en"}
+    many = spark.range(langid.MAX_LANGUAGES + 1).selectExpr("concat('l', id) AS lang", "concat('text ', id) AS text")
+    with pytest.raises(ValueError, match="languages"):
+        langid.identify(docs, many)
+
+
+def test_weights_are_whole_numbers(spark):
+    with pytest.raises(ValueError, match="no whole number"):
+        urlfilter.terms_of([("a", "soft", 0.5)])
+    pages = spark.createDataFrame([(1, "http://x.test/" + "casino" * 500_000), (2, "http://x.test/" + "-ab" * 500_000 + "-casino")], "page_id long, url string")
+    assert {r["page_id"]: r["verdict"] for r in urlfilter.op4_url_filter(pages).collect()} == {1: "allow", 2: "block"}
