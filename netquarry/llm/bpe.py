@@ -107,24 +107,14 @@ def unlike_points(normalize: Callable[[str], str]) -> set[int]:
     return {x for x in found if x > 0xFF}
 
 
-def classed(points: set[int]) -> str:
-    """A regular expression for any of the code points."""
-    ranges: list[list[int]] = []
-    for x in sorted(points):
-        if ranges and ranges[-1][1] == x - 1:
-            ranges[-1][1] = x
-        else:
-            ranges.append([x, x])
-    return "[" + "".join([f"\\U{lo:08x}-\\U{hi:08x}" for lo, hi in ranges]) + "]"
-
-
 @lru_cache(maxsize=4)
-def library_tables(normalizer: str, cut: str) -> tuple[np.ndarray, str | None]:
-    """(classes of all code points, expression for those whose texts the library must normalize); from the file's JSON parts."""
+def library_tables(normalizer: str, cut: str) -> tuple[np.ndarray, np.ndarray]:
+    """(classes of all code points, whether the library must normalize a text that has one); from the file's JSON parts."""
     part = json.loads(cut)
     split = pre_tokenizers.Split(Regex(part["pattern"]["Regex"]), part["behavior"].lower(), part["invert"])
-    unlike = unlike_points(library_normalizer(normalizer, ("NFC", "Lowercase")).normalize_str)
-    return character_classes(split), classed(unlike) if unlike else None
+    unlike = np.zeros(0x110000, bool)
+    unlike[sorted(unlike_points(library_normalizer(normalizer, ("NFC", "Lowercase")).normalize_str))] = True
+    return character_classes(split), unlike
 
 
 def library_normalizer(normalizer: str, kinds: tuple[str, ...] = ("NFC", "Replace", "Lowercase")) -> normalizers.Normalizer:
@@ -144,8 +134,8 @@ class Splitter:
             raise ValueError(f"over {256 - MARK} special tokens")
         self.marks = {t: bytes([0x20, MARK + k, 0x20]) for k, t in enumerate(special)}
         self.found = re.compile("(" + "|".join(map(re.escape, sorted(special, key=len, reverse=True))) + ")") if special else None
-        self.kind, unlike = library_tables(normalizer, cut)
-        self.unlike, self.normalizer, self.library = re.compile(unlike) if unlike else None, normalizer, None
+        self.kind, self.unlike = library_tables(normalizer, cut)
+        self.normalizer, self.library = normalizer, None
         self.ascii = np.full(256, SPECIAL, np.uint8)
         self.ascii[:128] = self.kind[:128]
 
@@ -161,12 +151,20 @@ class Splitter:
     def _plain(self, text: str) -> bytes:
         if text.isascii():
             return text.lower().encode()
-        if self.unlike and self.unlike.search(text):
+        if not self._alike(text):
             if self.library is None:
                 self.library = library_normalizer(self.normalizer)
             return self.library.normalize_str(text).encode()
         return self.folded(text).encode()
 
+    def _alike(self, text: str) -> bool:
+        """Whether Python folds the text as the library does; the two never differ on Latin-1."""
+        try:
+            text.encode("latin-1")
+            return True
+        except UnicodeEncodeError:
+            return not self.unlike[np.frombuffer(text.encode("utf-32-le"), np.uint32)].any()
+
     @staticmethod
     def folded(text: str) -> str:
         # lower-cased letter by letter, without final forms
