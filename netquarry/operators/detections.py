@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from netquarry.functions.network import parent_domain, utc_text
-from netquarry.operators.hosts import mode
+from netquarry.operators.hosts import with_mode
 
 
 @dataclass(frozen=True)
@@ -24,7 +24,7 @@ class Thresholds:
     exfiltration_min_bytes_out: int = 500_000_000
     exfiltration_min_upload_ratio: float = 0.8
     dns_tunneling_min_distinct_names: int = 50
-    dns_tunneling_min_avg_label_length: float = 20
+    dns_tunneling_min_avg_label_length: int = 20
     incremental_lookback_minutes: int = 30
 
     @classmethod
@@ -35,7 +35,7 @@ class Thresholds:
                 raise ValueError(f"unknown threshold {name!r}; known: {', '.join(known)}")
             if isinstance(value, bool) or not isinstance(value, (int, float)):
                 raise ValueError(f"{name} must be a number, not {value!r}")
-            if isinstance(known[name].default, int) and name != "dns_tunneling_min_avg_label_length" and value != int(value):
+            if isinstance(known[name].default, int) and not isinstance(value, int):
                 raise ValueError(f"{name} must be a whole number, not {value!r}")
             if not value >= 0:
                 raise ValueError(f"{name} must not be negative: {value!r}")
@@ -87,24 +87,32 @@ def allowed(rows: DataFrame, allowlist: DataFrame) -> DataFrame:
 
 def det_beaconing(facts: DataFrame, allowlist: DataFrame, t: Thresholds = Thresholds()) -> DataFrame:
     """Connections to one outside endpoint at regular intervals through a day."""
-    pairs = connection_gaps(facts).groupBy(F.col("initiator_ip").alias("src_ip"), F.col("responder_ip").alias("dst_ip"), F.col("responder_port").alias("dst_port"), "event_date").agg(
+    keys = [F.col("initiator_ip").alias("src_ip"), F.col("responder_ip").alias("dst_ip"), F.col("responder_port").alias("dst_port"), F.col("event_date")]
+    gaps = connection_gaps(facts)
+    pairs = gaps.groupBy(*keys).agg(
         F.count("*").alias("connections"), F.avg("gap_seconds").alias("mean_interval_seconds"), F.stddev_samp("gap_seconds").alias("stddev_interval_seconds"),
-        F.min("first_seen").alias("first_seen"), F.max("first_seen").alias("last_seen"), mode("responder_name").alias("dst_name"),
+        F.min("first_seen").alias("first_seen"), F.max("first_seen").alias("last_seen"),
     )
     cv = F.try_divide("stddev_interval_seconds", "mean_interval_seconds")
     mean = F.col("mean_interval_seconds").between(t.beaconing_min_interval_seconds, t.beaconing_max_interval_seconds)
     regular = pairs.withColumn("interval_cv", cv).where((F.col("connections") >= t.beaconing_min_connections) & mean & (F.col("interval_cv") <= t.beaconing_max_cv))
-    return allowed(regular.withColumn("rule_id", F.lit("beaconing")), allowlist).drop("rule_id")
+    found = allowed(regular.withColumn("rule_id", F.lit("beaconing")), allowlist).drop("rule_id")
+    names = facts.where("direction = 'outbound' and protocol in (6, 17)").select(*keys, "responder_name")
+    return with_mode(found, names, "responder_name", "dst_name").select(
+        "src_ip", "dst_ip", "dst_port", "event_date", "connections", "mean_interval_seconds", "stddev_interval_seconds", "first_seen", "last_seen", "dst_name", "interval_cv"
+    )
 
 
 def det_exfiltration(facts: DataFrame, t: Thresholds = Thresholds()) -> DataFrame:
     """A large and mostly one-way upload from an inside host to one outside host in a day."""
     sums = facts.where("direction = 'outbound'").groupBy(F.col("initiator_ip").alias("src_ip"), F.col("responder_ip").alias("dst_ip"), "event_date").agg(
         F.count("*").alias("flows"), F.sum("i2r_bytes").alias("bytes_out"), F.sum("r2i_bytes").alias("bytes_in"), F.sum("bytes_total").alias("__all"),
-        F.min("first_seen").alias("first_seen"), F.max("last_seen").alias("last_seen"), mode("responder_name").alias("dst_name"),
+        F.min("first_seen").alias("first_seen"), F.max("last_seen").alias("last_seen"),
     )
     rated = sums.withColumn("upload_ratio", F.try_divide("bytes_out", "__all"))
-    return rated.where((F.col("bytes_out") >= t.exfiltration_min_bytes_out) & (F.col("upload_ratio") >= t.exfiltration_min_upload_ratio)).select(
+    found = rated.where((F.col("bytes_out") >= t.exfiltration_min_bytes_out) & (F.col("upload_ratio") >= t.exfiltration_min_upload_ratio))
+    names = facts.where("direction = 'outbound'").select(F.col("initiator_ip").alias("src_ip"), F.col("responder_ip").alias("dst_ip"), "event_date", "responder_name")
+    return with_mode(found, names, "responder_name", "dst_name").select(
         "src_ip", "dst_ip", "event_date", "flows", "bytes_out", "bytes_in", "upload_ratio", "first_seen", "last_seen", "dst_name"
     )
 

@@ -44,9 +44,15 @@ def stage_quarantine(quarantine: DataFrame) -> DataFrame:
 
 
 def dedupe_latest(flows: DataFrame) -> DataFrame:
-    """One row for each record_id: the one ingested last, of equals the largest batch_id."""
+    """One row for each record_id: the one ingested last, of equals the largest batch_id.
+
+    Only ids are counted over all rows. Ids that occur once, nearly all, need no order; the whole rows of the others alone
+    are brought together and sorted.
+    """
+    again = flows.groupBy("record_id").agg(F.count("*").alias("__n")).where("__n > 1").select("record_id")
     newest = Window.partitionBy("record_id").orderBy(F.desc("ingested_at"), F.desc("batch_id"))
-    return flows.withColumn("__n", F.row_number().over(newest)).where("__n = 1").drop("__n")
+    latest = flows.join(again, "record_id", "left_semi").withColumn("__n", F.row_number().over(newest)).where("__n = 1").drop("__n")
+    return flows.join(again, "record_id", "left_anti").unionByName(latest)
 
 
 def addresses(flows: DataFrame) -> DataFrame:

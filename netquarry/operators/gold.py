@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 from datetime import datetime
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from netquarry.operators import datatests as tests
 from netquarry.operators import detections, facts, hosts, incremental, ocsf, quality, zones
 from netquarry.sources.versions import Versioned
 
@@ -65,42 +65,34 @@ def build(spark: SparkSession, inputs: Mapping[str, DataFrame], gold: str, run_s
     return found
 
 
-def _check(kind: str, severity: str = "error", **arguments) -> Callable[[DataFrame, Tables], DataFrame]:
-    return lambda df, x: getattr(quality, f"check_{kind}")(df, severity=severity, **{k: v(x) if callable(v) else v for k, v in arguments.items()})
-
-
-_not_null = lambda *names: [_check("not_null", column=c) for c in names]
-_key = lambda name, key=None: _check("unique", key=key or name, name=name)
-_parent = lambda table, column, own=None: _check("relationships", column=own or column, parent=lambda x: x(table), parent_column=column)
-_holds = lambda text, severity="error": _check("expression", severity, expression=text)
-_DIRECTIONS = ["internal", "outbound", "inbound", "external"]
-#: The checks of each table.
-CHECKS: dict[str, list[Callable[[DataFrame, Tables], DataFrame]]] = {
-    "fct_flows": [
-        _key("record_id"), *_not_null("record_id", "first_seen", "initiator_ip", "responder_ip", "initiator_zone", "responder_zone", "service"), _check("accepted_values", column="direction", values=_DIRECTIONS),
-        _holds("last_seen >= first_seen"), _holds("bytes_total >= 0 and packets_total > 0"), _holds("payload_bytes <= bytes_total", "warn"), _parent("dim_hosts", "ip", "initiator_ip"), _parent("dim_hosts", "ip", "responder_ip"),
-    ],
-    "agg_traffic_hourly": [
-        _key("hour_key", "concat_ws('|', hour_start, direction, protocol_name, service)"), *_not_null("hour_start", "direction", "flows"), _check("accepted_values", column="direction", values=_DIRECTIONS), _holds("flows > 0"),
-        lambda df, x: quality.check_reconciliation(x("fct_flows"), df),
-    ],
-    "dim_hosts": [_key("ip"), *_not_null("ip", "zone", "is_internal"), _holds("first_seen <= last_seen"), _holds("flows = flows_initiated + flows_received")],
-    "dim_host_names": [_key("host_name_key"), *_not_null("ip", "hostname", "valid_from"), _parent("dim_hosts", "ip"), _holds("valid_to is null or valid_to > valid_from"), lambda df, x: quality.check_scd2(df)],
-    "det_port_scan": [*_not_null("src_ip", "dst_ip", "window_start"), _holds("failed_ratio between 0 and 1")],
-    "det_beaconing": [*_not_null("src_ip", "dst_ip", "event_date"), _holds("interval_cv >= 0")],
-    "det_exfiltration": [*_not_null("src_ip", "dst_ip", "event_date"), _holds("upload_ratio between 0 and 1")],
-    "det_dns_tunneling": [*_not_null("src_ip", "parent_domain", "window_start"), _holds("distinct_names <= queries")],
-    "fct_alerts": [*_not_null("alert_id", "rule_id", "severity", "src_ip", "window_start"), _parent("detection_rules", "rule_id"), _check("accepted_values", column="severity", values=["critical", "high", "medium", "low"]), _holds("window_end > window_start")],
-    "dq_batches": [_key("batch_id"), *_not_null("batch_id", "records_accepted"), _holds("quarantine_rate between 0 and 1"), _holds("quarantine_rate <= 0.05", "warn")],
-    "ocsf_network_activity": [_key("uid", "metadata.uid"), _check("accepted_values", column="class_uid", values=[4001])],
-}
+_DIRECTIONS = "internal outbound inbound external"
+_nn = lambda *names: [tests.not_null(c) for c in names]
+#: The library's own checks of each table, beside the declared ones of datatests.
+CHECKS: dict[str, tests.Suite] = {
+    "fct_flows": tests.Suite(
+        (
+            *_nn("record_id", "first_seen", "initiator_ip", "responder_ip", "initiator_zone", "responder_zone", "service"), tests.accepted("direction", _DIRECTIONS), tests.holds("last_seen >= first_seen"),
+            tests.holds("bytes_total >= 0 and packets_total > 0"), tests.holds("payload_bytes <= bytes_total", "warn"),
+        ), tests.unique("record_id"), (tests.parent("initiator_ip", "dim_hosts", "ip"), tests.parent("responder_ip", "dim_hosts", "ip")), tuple(("reconciliation", "error", part, sql) for part, sql in (("flows", "1L"), ("packets", "packets_total"), ("bytes", "bytes_total"))),
+    ),
+    "agg_traffic_hourly": tests.Suite(
+        (*_nn("hour_start", "direction", "flows"), tests.accepted("direction", _DIRECTIONS), tests.holds("flows > 0")), ("unique(hour_key)", "error", "concat_ws('|', hour_start, direction, protocol_name, service)"),
+        totals=tuple(("reconciliation", "error", part, f"-{part}") for part in ("flows", "packets", "bytes")),
+    ),
+    "dim_hosts": tests.Suite((*_nn("ip", "zone", "is_internal"), tests.holds("first_seen <= last_seen"), tests.holds("flows = flows_initiated + flows_received")), tests.unique("ip")),
+    "dim_host_names": tests.Suite((*_nn("ip", "hostname", "valid_from"), tests.holds("valid_to is null or valid_to > valid_from")), tests.unique("host_name_key"), (tests.parent("ip", "dim_hosts", "ip"),), scd2=("scd2", "error")),
+    "det_port_scan": tests.Suite((*_nn("src_ip", "dst_ip", "window_start"), tests.holds("failed_ratio between 0 and 1"))),
+    "det_beaconing": tests.Suite((*_nn("src_ip", "dst_ip", "event_date"), tests.holds("interval_cv >= 0"))),
+    "det_exfiltration": tests.Suite((*_nn("src_ip", "dst_ip", "event_date"), tests.holds("upload_ratio between 0 and 1"))),
+    "det_dns_tunneling": tests.Suite((*_nn("src_ip", "parent_domain", "window_start"), tests.holds("distinct_names <= queries"))),
+    "fct_alerts": tests.Suite(
+        (*_nn("alert_id", "rule_id", "severity", "src_ip", "window_start"), tests.accepted("severity", "critical high medium low"), tests.holds("window_end > window_start")), parents=(tests.parent("rule_id", "detection_rules", "rule_id"),),
+    ),
+    "dq_batches": tests.Suite((*_nn("batch_id", "records_accepted"), tests.holds("quarantine_rate between 0 and 1"), tests.holds("quarantine_rate <= 0.05", "warn")), tests.unique("batch_id")),
+    "ocsf_network_activity": tests.Suite((("accepted_values(class_uid)", "error", "class_uid <> 4001"),), ("unique(uid)", "error", "metadata.uid")),
+}
 
 
 def run_checks(x: Tables) -> DataFrame:
-    """(table, check, severity, violations) of the checks that fail, in one job; a gold build is good if none is an error."""
-    def count(bad: DataFrame, table: str) -> DataFrame:
-        # by place, as a table may have a column named severity itself
-        named = bad.toDF(*[f"c{k}" for k in range(len(bad.columns))])
-        return named.groupBy(F.col("c0").alias("check"), F.col("c1").alias("severity")).agg(F.count("*").alias("violations")).select(F.lit(table).alias("table"), "check", "severity", "violations")
-
-    return reduce(DataFrame.unionByName, [count(check(x(table), x), table) for table, checks in CHECKS.items() for check in checks])
+    """(table, check, severity, violations) of the checks that fail, in one job with one pass over each table; a gold build is good if none is an error."""
+    return tests.run(x, CHECKS).where("violations > 0").select("table", F.col("test").alias("check"), "severity", "violations")

@@ -8,9 +8,17 @@ from pyspark.sql import functions as F
 from netquarry.functions.network import utc_text
 
 
-def mode(column: str) -> Column:
-    """The most frequent value, of equals the smallest; nulls don't count."""
-    return F.expr(f"mode() WITHIN GROUP (ORDER BY {column})")
+def with_mode(found: DataFrame, rows: DataFrame, column: str, name: str) -> DataFrame:
+    """found with `name`: the most frequent value of `column` among the rows that share found's key columns, of equals the smallest.
+
+    The keys are the columns of rows other than `column`; null values don't count. Values are counted before they are
+    compared, so a key of very many values is summed on the map side, and only keys that are in found come along.
+    """
+    keys = [c for c in rows.columns if c != column]
+    same = rows.where(F.col(column).isNotNull()).join(found.select(*keys).distinct(), keys, "left_semi")
+    counts = same.groupBy(*keys, column).agg(F.count("*").alias("__n"))
+    best = counts.groupBy(*keys).agg(F.min_by(column, F.struct(-F.col("__n"), column)).alias(name))
+    return found.join(best, keys, "left")
 
 
 def endpoints(facts: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from netquarry.functions.network import ipv4_to_int
+from netquarry.functions.network import ipv4_to_int, normalized_ip
 
 
 def dq_accepted(staged: DataFrame) -> DataFrame:
@@ -86,15 +86,23 @@ def check_scd2(versions: DataFrame) -> DataFrame:
     return _violations(gaps.unionByName(current), "scd2", "error")
 
 
+def _masks() -> dict[str, int]:
+    """Prefix length by dotted mask: of hosts, and before these of networks."""
+    dotted = lambda n: ".".join(str(n >> k & 255) for k in (24, 16, 8, 0))
+    return {dotted((1 << 32 - p) - 1): p for p in range(33)} | {dotted((1 << 32) - (1 << 32 - p)): p for p in range(33)}
+
+
 def validate_zones(zones: DataFrame) -> DataFrame:
-    """zone, cidr, problem: empty names, malformed or IPv6 CIDRs, host bits, is_internal not set."""
-    shape = r"^(\d{1,3})\.(\d{1,3})\.(\d{1,3})\.(\d{1,3})/(\d{1,2})$"
-    octets = [F.try_element_at(F.split("cidr", r"[./]"), F.lit(k)).try_cast("int") for k in range(1, 6)]
-    fits = F.col("cidr").rlike(shape) & (octets[4] <= 32)
-    for o in octets[:4]:
-        fits = fits & (o <= 255)
-    n = ipv4_to_int(F.substring_index("cidr", "/", 1))
-    host_bits = F.when(fits, n % F.pow(F.lit(2.0), 32 - octets[4]).cast("bigint") != 0)
+    """zone, cidr, problem: empty names, malformed or IPv6 CIDRs, host bits, is_internal not set.
+
+    A network is a dotted quad without leading zeros, alone or with a prefix length or a dotted mask.
+    """
+    quad, suffix = F.substring_index("cidr", "/", 1), F.regexp_extract("cidr", r"\A[^/]*/(.*)\z", 1)
+    masks = F.create_map(*[F.lit(x) for pair in _masks().items() for x in pair])
+    prefix = F.when(~F.contains("cidr", F.lit("/")), F.lit(32)).when(suffix.rlike(r"\A[0-9]{1,9}\z"), suffix.try_cast("int")).otherwise(F.try_element_at(masks, suffix))
+    fits = ~F.contains("cidr", F.lit(":")) & normalized_ip(quad).isNotNull() & (prefix <= 32)
+    n = ipv4_to_int(quad)
+    host_bits = F.when(fits, n % F.pow(F.lit(2.0), 32 - prefix).cast("bigint") != 0)
     problems = F.filter(F.array(
         F.when(F.coalesce(F.length("zone"), F.lit(0)) == 0, "zone is empty"),
         F.when(~F.coalesce(fits, F.lit(False)), "cidr is not an IPv4 network"),
@@ -106,9 +114,9 @@ def validate_zones(zones: DataFrame) -> DataFrame:
 
 def validate_allowlist(allowlist: DataFrame, rules: DataFrame) -> DataFrame:
     """rule_id, src_ip, dst_ip, dst_port, problem."""
-    v4 = r"^((25[0-5]|2[0-4]\d|1?\d?\d)(\.(25[0-5]|2[0-4]\d|1?\d?\d)){3})$"
-    address = lambda c: F.coalesce((F.col(c) == "*") | F.col(c).rlike(v4) | F.col(c).rlike(r"^[0-9A-Fa-f:.]*:[0-9A-Fa-f:.]*$"), F.lit(False))
-    port = F.coalesce((F.col("dst_port") == "*") | F.col("dst_port").rlike(r"^\d{1,5}$") & F.col("dst_port").try_cast("int").between(0, 65535), F.lit(False))
+    address = lambda c: F.coalesce((F.col(c) == "*") | normalized_ip(F.col(c)).isNotNull(), F.lit(False))
+    number = F.regexp_replace("dst_port", r"\A0+(?=.)", "")
+    port = F.coalesce((F.col("dst_port") == "*") | number.rlike(r"\A[0-9]{1,5}\z") & (number.try_cast("int") <= 65535), F.lit(False))
     known = rules.select(F.col("rule_id").alias("__rule")).distinct()
     told = allowlist.join(known, F.col("rule_id") == F.col("__rule"), "left")
     problems = F.filter(F.array(

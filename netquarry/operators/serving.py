@@ -105,12 +105,21 @@ def source_freshness(bronze: DataFrame, now, warn_hours: int = 6, error_hours: i
 # ---------------------------------------------------------------- scoring
 
 
+#: Windows meet by bins of so many seconds.
+BIN = 86_400
+
+
 def incident_overlap(alerts: DataFrame, incidents: DataFrame) -> DataFrame:
-    """(alert_id, incident_id, rule_id) of alerts and incidents of one rule and source that overlap in time."""
-    a, i = alerts.alias("a"), incidents.alias("i")
-    same = (F.col("a.rule_id") == F.col("i.rule_id")) & (F.col("a.src_ip") == F.col("i.src_ip"))
-    meets = (F.col("a.window_start") <= F.col("i.end")) & (F.col("i.start") < F.col("a.window_end"))
-    return a.join(i, same & meets).select("a.alert_id", "i.incident_id", "a.rule_id")
+    """(alert_id, incident_id, rule_id) of alerts and incidents of one rule and source that overlap in time.
+
+    Both come once for each bin that they touch and meet by (rule, source, bin); a pair counts in the bin of the later start.
+    """
+    at = lambda c: F.floor(F.unix_timestamp(c) / BIN)
+    binned = lambda df, start, end, names: df.select(*names, start, end, at(start).alias(f"{start}_bin"), F.explode(F.sequence(at(start), F.greatest(at(start), at(end)))).alias("bin"))
+    a = binned(alerts, "window_start", "window_end", ("alert_id", "rule_id", "src_ip"))
+    i = binned(incidents, "start", "end", ("incident_id", "rule_id", "src_ip"))
+    meets = (F.col("window_start") <= F.col("end")) & (F.col("start") < F.col("window_end")) & (F.col("bin") == F.greatest("window_start_bin", "start_bin"))
+    return a.join(i, ["rule_id", "src_ip", "bin"]).where(meets).select("alert_id", "incident_id", "rule_id")
 
 
 def rule_scores(alerts: DataFrame, incidents: DataFrame) -> DataFrame:

@@ -17,18 +17,26 @@ INCIDENTS = (
     ("incident_id", "concat('i-', CAST(event_id AS STRING))"), ("rule_id", "CASE event_id % 3 WHEN 0 THEN 'port_scan' WHEN 1 THEN 'beaconing' ELSE 'exfiltration' END"),
     ("src_ip", "concat('10.20.1.', CAST(user_id % 4 AS STRING))"), ("start", "CAST(ts AS TIMESTAMP)"), ("end", "CAST(ts AS TIMESTAMP) + INTERVAL 1 HOUR"),
 )
+#: By user_id: networks and what is wrong with them.
+CIDRS = {
+    0: ("10.1.0.0/16", ""), 1: ("10.0.1.0/16", "cidr has host bits set"), 2: ("fd00::/8", "cidr is not an IPv4 network"), 3: ("10.0.0.0/33", "cidr is not an IPv4 network"), 4: ("010.0.0.0/8", "cidr is not an IPv4 network"),
+    5: ("10.0.0.7", ""), 6: ("10.0.0.0/255.0.0.0", ""), 7: ("10.0.0.0/0.255.255.255", ""), 8: ("10.0.0.0/255.0.255.0", "cidr is not an IPv4 network"), 9: ("10.1.0.0/255.0.0.0", "cidr has host bits set"), 10: ("0.0.0.0/0", ""), 11: ("10.0.0/8", "cidr is not an IPv4 network"), 12: ("10.0.0.0/", "cidr is not an IPv4 network"),
+}
 EVENT_ZONES = (
     ("zone", "CASE WHEN user_id % 5 = 0 THEN '' ELSE concat('z', CAST(user_id AS STRING)) END"),
-    ("cidr", "CASE user_id % 4 WHEN 0 THEN concat('10.', CAST(user_id % 256 AS STRING), '.0.0/16') WHEN 1 THEN concat('10.', CAST(user_id % 256 AS STRING), '.1.0/16') WHEN 2 THEN 'fd00::/8' ELSE '10.0.0.0/33' END"),
+    ("cidr", f"CASE user_id % {len(CIDRS)} " + " ".join(f"WHEN {k} THEN '{c}'" for k, (c, _) in CIDRS.items()) + " END"),
     ("is_internal", "user_id % 3 = 0"),
 )
+#: By user_id: addresses, and whether they are any.
+ADDRESSES = {0: ("*", 1), 1: ("10.20.1.7", 1), 2: ("fe80::1%eth0", 1), 3: ("1:2", 0), 4: (":::::", 0), 5: ("10.01.0.1", 0), 6: ("10.1.1", 0), 7: ("::ffff:10.0.0.1", 1), 8: ("2001:DB8::1", 1), 9: ("::1%", 0), 10: ("", 0), 11: ("1:2:3:4:5:6:7:8:9", 0)}
+PORTS = {0: ("*", 1), 1: ("443", 1), 2: ("65536", 0), 3: ("00080", 1), 4: ("-1", 0), 5: ("8o", 0), 6: ("65535", 1), 7: ("99999999999999999999", 0)}
 
-
+_pick = lambda cases, what, key: f"CASE {key} % {len(cases)} " + " ".join(f"WHEN {k} THEN '{v[what]}'" for k, v in cases.items()) + " END"
 EVENT_ALLOWLIST = (
-    ("rule_id", "CASE WHEN user_id % 5 = 0 THEN 'no_rule' ELSE 'beaconing' END"), ("src_ip", "CASE WHEN user_id % 3 = 0 THEN '*' WHEN user_id % 7 = 0 THEN '10.1.1' ELSE concat('10.20.1.', CAST(user_id % 200 AS STRING)) END"),
-    ("dst_ip", "CASE WHEN user_id % 11 = 0 THEN 'host' WHEN user_id % 2 = 0 THEN '2001:db8::1' ELSE '*' END"), ("dst_port", "CASE WHEN user_id % 13 = 0 THEN '70000' WHEN user_id % 2 = 0 THEN '443' ELSE '*' END"), ("reason", "'x'"),
+    ("rule_id", "CASE WHEN user_id % 5 = 0 THEN 'no_rule' ELSE 'beaconing' END"), ("src_ip", _pick(ADDRESSES, 0, "user_id")), ("dst_ip", _pick(ADDRESSES, 0, "(user_id + 1)")), ("dst_port", _pick(PORTS, 0, "user_id")),
 )
-ALLOWLIST_PROBLEMS = (("rule_id = 'no_rule'", "rule_id is unknown"), ("src_ip = '10.1.1'", "src_ip is no address"), ("dst_ip = 'host'", "dst_ip is no address"), ("dst_port = '70000'", "dst_port is no port"))
+_bad = lambda cases, column: f"{column} IN ({', '.join(repr(v) for v, ok in cases.values() if not ok)})"
+ALLOWLIST_PROBLEMS = (("rule_id = 'no_rule'", "rule_id is unknown"), (_bad(ADDRESSES, "src_ip"), "src_ip is no address"), (_bad(ADDRESSES, "dst_ip"), "dst_ip is no address"), (_bad(PORTS, "dst_port"), "dst_port is no port"))
 #: What is told of the contract cases, by event_id % 40.
 CASE_MESSAGES = {
     0: "flow_id: the field is missing", 1: "protocol: not a whole number", 2: "protocol: above the largest allowed value", 3: "packets_total: below the least allowed value", 4: "duration_seconds: not finite",
@@ -143,7 +151,7 @@ _LEVELS = {
 _NEEDS = {
     "bronze": "bronze", "staged": "bronze staged", "zones": "bronze staged zones", "newest": "bronze staged newest", "fct": "bronze staged zones newest fct", "hourly": "bronze staged zones newest fct hourly", "hosts": "bronze staged zones newest fct hosts",
     "names": "bronze staged zones newest fct names", "detect": "bronze staged zones newest fct detect", "alerts": "bronze staged zones newest fct detect alerts", "incidents": "bronze staged zones newest fct detect alerts incidents",
-    "gold": "bronze staged zones newest fct hourly hosts names batches", "batches": "bronze staged batches", "dense": "bronze staged zones newest fct hourly dense",
+    "gold": "bronze staged zones newest fct hourly hosts names batches", "gold_tests": "bronze staged zones newest fct hourly hosts names detect alerts batches", "batches": "bronze staged batches", "dense": "bronze staged zones newest fct hourly dense",
 }
 _TIMES = set("first_seen last_seen flow_hour event_date ingest_date ingested_at hour_start max_loaded_at loaded_at window_start window_end valid_from valid_to observed_until peak_hour newest start end".split())
 _LISTS = set("tcp_flags_initiator tcp_flags_responder app_protocols dns_queries responder_dns_names http_hosts http_paths tls_server_names sample_ports".split())
@@ -151,7 +159,7 @@ _ROUNDED = set("duration_seconds pkt_size_mean pkt_size_stddev iat_mean_seconds
 _WHOLE = set(
     "contract_version flow_id ip_version protocol initiator_port responder_port i2r_packets i2r_bytes i2r_payload_bytes r2i_packets r2i_bytes r2i_payload_bytes packets_total bytes_total payload_bytes tcp_rst_packets flows packets bytes "
     "bytes_from_initiators bytes_from_responders distinct_initiators distinct_responders flows_initiated flows_received bytes_sent bytes_received distinct_peers version is_change island distinct_ports connections bytes_out bytes_in queries "
-    "expected found distinct_names max_name_length dst_port records_accepted records_quarantined distinct_records n incidents detected alerts true_alerts records sensors internal external batches accepted quarantined cut_short rank rejected peak_bytes "
+    "expected found distinct_names max_name_length dst_port records_accepted records_quarantined distinct_records n incidents detected alerts true_alerts records violations place sensors internal external batches accepted quarantined cut_short rank rejected peak_bytes "
     "median_bytes initiated addresses prefix_length range_start range_end time start_time duration direction_id packets_in class_uid activity_id type_uid fact_flows hourly_flows fact_packets hourly_packets fact_bytes hourly_bytes count record_index".split()
 )
 
@@ -168,6 +176,48 @@ def _select(level: str | None, columns: str, source: str) -> str:
     return (f"WITH {ctes} " if ctes else "") + f"SELECT {', '.join(out)} FROM {source}"
 
 
+def _ordered(source: str, order: str, limit: int | None = None) -> str:
+    """The rows with their place in an order; rows that the order leaves equal differ in nothing that is compared."""
+    return f"(SELECT row_number() OVER (ORDER BY {order}) AS place, * FROM {source}{f' ORDER BY place LIMIT {limit}' if limit else ''})"
+
+
+def _data_tests() -> str:
+    """Each test of the build written out; most hold by how the models are made."""
+    t = []
+    count = lambda source, where: f"(SELECT count(*) FROM {source} WHERE {where})"
+    twice = lambda source, key: f"(SELECT count(*) FROM (SELECT {key} AS k FROM {source} WHERE {key} IS NOT NULL GROUP BY 1 HAVING count(*) > 1))"
+    add = lambda table, test, severity, n: t.append(f"SELECT '{table}' AS \"table\", '{test}' AS test, '{severity}' AS severity, CAST({n} AS BIGINT) AS violations")
+    site = _values(tuple((z, c) for z, c, *_ in SITE_ZONES), "zone, cidr")
+    for table, source, columns in (
+        ("flows", "bronze", "record_id"), ("stg_flows", "staged", "record_id first_seen"), ("stg_quarantine", "quarantine", "error_type"), ("network_zones", site, "cidr"), ("mitre_techniques", "techniques", "technique_id"), ("detection_rules", "rules", "rule_id"),
+        ("fct_flows", "fct", "record_id first_seen initiator_zone responder_zone direction"), ("agg_traffic_hourly", "hourly", "hour_start"), ("dim_hosts", "hosts", "ip zone"), ("dim_host_names", "versions", "host_name_key hostname"), ("fct_alerts", "alerts", "alert_id rule_id src_ip"), ("dq_batches", "batches", "batch_id"),
+    ):
+        for c in columns.split():
+            add(table, f"not_null({c})", "error", count(source, f"{c} IS NULL"))
+    add("fct_alerts", "not_null(evidence)", "error", 0)
+    for table, source, key, severity in (
+        ("network_zones", site, "cidr", "error"), ("service_ports", "services", "concat(protocol, '/', port)", "error"), ("mitre_techniques", "techniques", "technique_id", "error"), ("detection_rules", "rules", "rule_id", "error"), ("fct_flows", "fct", "record_id", "error"), ("dim_hosts", "hosts", "ip", "error"),
+        ("dim_host_names", "versions", "host_name_key", "error"), ("fct_alerts", "alerts", "alert_id", "warn"), ("dq_batches", "batches", "batch_id", "error"),
+    ):
+        add(table, f"unique({key})".replace("'", "''"), severity, twice(source, key))
+    for table, source, rule, severity in (
+        ("stg_network_zones", "ranges", "range_end >= range_start", "error"), ("stg_network_zones", "ranges", "prefix_length between 0 and 32", "error"), ("fct_flows", "fct", "bytes_total = i2r_bytes + r2i_bytes", "error"), ("fct_flows", "fct", "packets_total = i2r_packets + r2i_packets", "error"),
+        ("fct_flows", "fct", "last_seen >= first_seen", "error"), ("agg_traffic_hourly", "hourly", "flows > 0", "error"), ("dq_batches", "batches", "quarantine_rate between 0 and 1", "error"), ("dq_batches", "batches", "quarantine_rate <= 0.05", "warn"),
+    ):
+        add(table, f"expression({rule})", severity, count(source, f"NOT ({rule})"))
+    for table, source, column, values, severity in (
+        ("detection_rules", "rules", "severity", "low medium high critical", "error"), ("fct_flows", "fct", "direction", "internal outbound inbound external", "error"), ("fct_flows", "fct", "tcp_state", "syn_sent syn_received established midstream closing closed reset", "warn"),
+        ("fct_flows", "fct", "end_reason", "idle_timeout tcp_finished evicted capture_end clock_reset", "warn"), ("dq_batches", "batches", "capture_was_cut_short", "false", "warn"),
+    ):
+        add(table, f"accepted_values({column})", severity, count(source, f"CAST({column} AS VARCHAR) NOT IN ({', '.join(repr(v) for v in values.split())})"))
+    add("ocsf_network_activity", "accepted_values(type_uid)", "error", 0)
+    add("detection_rules", "relationships(mitre_technique_id)", "error", count("rules", "mitre_technique_id NOT IN (SELECT technique_id FROM techniques)"))
+    add("fct_alerts", "relationships(rule_id)", "error", count("alerts", "rule_id NOT IN (SELECT rule_id FROM rules)"))
+    add("agg_traffic_hourly", "hourly_traffic_reconciles", "error", "(SELECT CAST(a.n <> b.n AS BIGINT) + CAST(a.p <> b.p AS BIGINT) + CAST(a.y <> b.y AS BIGINT) FROM (SELECT count(*) AS n, sum(packets_total) AS p, sum(bytes_total) AS y FROM fct) a, (SELECT sum(flows) AS n, sum(packets) AS p, sum(bytes) AS y FROM hourly) b)")
+    add("dim_host_names", "scd2_versions_are_contiguous", "error", "(SELECT count(*) FROM (SELECT ip FROM versions GROUP BY ip HAVING count(*) FILTER (WHERE is_current) <> 1))")
+    return _select("gold_tests", "table test severity violations status=CASE~WHEN~violations=0~THEN~'pass'~WHEN~severity='warn'~THEN~'warn'~ELSE~'fail'~END", "(" + " UNION ALL ".join(t) + ")")
+
+
 def sql() -> dict[str, str]:
     host = "ip zone is_internal first_seen last_seen flows flows_initiated flows_received bytes_sent bytes_received distinct_peers most_common_name"
     alert = "alert_id rule_id rule_name severity mitre_technique_id mitre_technique_name mitre_tactic src_ip dst_ip dst_port dst_name window_start window_end flows bytes"
@@ -229,7 +279,7 @@ def sql() -> dict[str, str]:
         "missed_incidents": _select("incidents", "incident_id", "incidents WHERE incident_id NOT IN (SELECT incident_id FROM hits)"),
         "false_alerts": _select("incidents", "alert_id", "alerts WHERE alert_id NOT IN (SELECT alert_id FROM hits)"),
         "quarantine_by_type": _select("bronze", "error_type records", "(SELECT error_type, count(*) AS records FROM quarantine GROUP BY ALL)"),
-        "quarantine_ranked": _select("bronze", "error_type records", "(SELECT error_type, count(*) AS records FROM quarantine GROUP BY ALL)"),
+        "quarantine_ranked": _select("bronze", "place error_type records", _ordered("(SELECT error_type, count(*) AS records FROM quarantine GROUP BY ALL)", "records DESC, error_type")),
         "kpis": _select("fct", "flows bytes first_seen last_seen sensors", "(SELECT count(*) AS flows, sum(bytes_total) AS bytes, min(first_seen) AS first_seen, max(last_seen) AS last_seen, count(DISTINCT sensor_id) AS sensors FROM fct)"),
         "host_counts": _select("zones", "internal external", "(SELECT count(*) FILTER (WHERE is_internal) AS internal, count(*) FILTER (WHERE NOT is_internal) AS external FROM ip_zones)"),
         "hourly_by_direction": _select("hourly", "hour_start direction flows bytes", "(SELECT hour_start, direction, sum(flows) AS flows, sum(bytes) AS bytes FROM hourly GROUP BY ALL)"),
@@ -246,11 +296,11 @@ def sql() -> dict[str, str]:
         "scd2_validity": _select("names", "ip version valid_from valid_to is_current", "versions"),
         "connection_gaps": _select("detect", "initiator_ip responder_ip responder_port event_date first_seen responder_name gap_seconds", "gaps"),
         "contiguity_check": _select("names", "ip problem='not~contiguous'", "versions WHERE version = 1 AND valid_to IS NOT NULL"),
-        "top_talkers": _select("hosts", "ip zone flows bytes_sent bytes_received distinct_peers", "(SELECT * FROM hosts WHERE is_internal ORDER BY bytes_sent DESC, ip LIMIT 10)"),
-        "alerts_ranked": _select("alerts", "alert_id severity window_start", "alerts"),
-        "renames": _select("names", "ip hostname version valid_from valid_to is_current", "(SELECT * FROM versions WHERE ip IN (SELECT ip FROM versions GROUP BY ip HAVING count(*) > 1) ORDER BY ip, version LIMIT 20)"),
+        "top_talkers": _select("hosts", "place ip zone flows bytes_sent bytes_received distinct_peers", _ordered("hosts WHERE is_internal", "bytes_sent DESC, ip", 10)),
+        "alerts_ranked": _select("alerts", "place severity window_start", _ordered("alerts", f"{_SEVERITY}, window_start")),
+        "renames": _select("names", "place ip hostname version valid_from valid_to is_current", _ordered("versions WHERE ip IN (SELECT ip FROM versions GROUP BY ip HAVING count(*) > 1)", "ip, version", 20)),
         "sample_ports": _select("detect", "src_ip dst_ip window_start sample_ports", "scans"),
-        "alerts_by_time": _select("alerts", "window_start rule_id alert_id", "alerts"),
+        "alerts_by_time": _select("alerts", "place window_start rule_id", _ordered("alerts", "window_start, rule_id")),
         "addresses": _select("zones", "ip", "ips"),
         "endpoints": _select("hosts", "ip initiated n bytes_sent", "(SELECT ip, initiated, count(*) AS n, sum(bytes_sent) AS bytes_sent FROM ends GROUP BY ALL)"),
         "fct_flows": _select("fct", FACT, "fct"),
@@ -258,7 +308,9 @@ def sql() -> dict[str, str]:
         "scd2_problems": _select("names", "ip problem='not~exactly~one~current~version'", "(SELECT ip FROM versions GROUP BY ip HAVING count(*) > 1)"),
         "quarantine_difference": _select("bronze", "error_type expected found", "(SELECT error_type, count(*) FILTER (WHERE record_index % 2 = 0) AS expected, count(*) AS found FROM quarantine GROUP BY ALL HAVING count(*) FILTER (WHERE record_index % 2 = 0) <> count(*))"),
         "distinct_hours": _select("fct", "flow_hour", "(SELECT DISTINCT flow_hour FROM fct)"),
-        "snapshot_equal": _select("fct", "record_id direction only_in='one'", "fct WHERE direction = 'inbound'"),
+        "snapshot_difference": _select("fct", "record_id direction only_in='one'", "fct WHERE direction = 'inbound'"),
+        "snapshot_equal": _select("hourly", "model found expected=found more=0::BIGINT missing=0::BIGINT", "(SELECT 'fct_flows' AS model, count(*) AS found FROM fct UNION ALL SELECT 'agg_traffic_hourly', count(*) FROM hourly)"),
+        "data_tests": _data_tests(),
         "dense_hour_axis": _select("dense", "hour_start direction flows bytes", "dense"),
         "hourly_windows": _select("fct", 'start end flows', "(SELECT date_trunc('hour', first_seen) AS start, date_trunc('hour', first_seen) + INTERVAL 1 HOUR AS \"end\", count(*) AS flows FROM fct GROUP BY ALL)"),
         "daily_windows": _select("fct", 'start end flows', "(SELECT date_trunc('day', first_seen) AS start, date_trunc('day', first_seen) + INTERVAL 1 DAY AS \"end\", count(*) AS flows FROM fct GROUP BY ALL)"),
@@ -272,7 +324,7 @@ def sql() -> dict[str, str]:
         "check_scd2": _select("names", check("scd2", "error") + " ip problem",
             "(SELECT ip, 'not contiguous' AS problem FROM (SELECT *, lead(valid_from) OVER (PARTITION BY ip ORDER BY version) AS after FROM versions WHERE version <> 2) WHERE after IS NOT NULL AND valid_to IS DISTINCT FROM after UNION ALL SELECT ip, 'not exactly one current version' FROM versions WHERE version <> 2 GROUP BY ip HAVING count(*) FILTER (WHERE is_current) <> 1)"),
         "validate_zones": f"WITH z AS (SELECT {zone} FROM (SELECT DISTINCT user_id FROM events)) "
-            + problem("zone = ''", "zone is empty") + " UNION ALL " + problem("cidr LIKE '%:%' OR cidr LIKE '%/33'", "cidr is not an IPv4 network") + " UNION ALL " + problem("cidr LIKE '%.1.0/16'", "cidr has host bits set"),
+            + problem("zone = ''", "zone is empty") + " UNION ALL " + " UNION ALL ".join(problem(f"cidr = '{c}'", what) for c, what in CIDRS.values() if what),
         "validate_allowlist": f"WITH a AS (SELECT {allow} FROM (SELECT DISTINCT user_id FROM events)) "
             + " UNION ALL ".join(f"SELECT rule_id, src_ip, dst_ip, dst_port, '{what}' AS problem FROM a WHERE {when}" for when, what in ALLOWLIST_PROBLEMS),
         "contract_messages": f"SELECT event_id AS record_index, {message} AS error_message FROM events WHERE event_id % 40 < 12",

@@ -9,11 +9,11 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from netquarry.functions import network as N
-from netquarry.operators import contract, detections, facts, hosts, ocsf, quality, serving, zones
+from netquarry.operators import contract, datatests, detections, facts, hosts, ocsf, quality, serving, zones
 from netquarry.plans import adapter, contract_cases, landing_cases, oracles, stored
 from netquarry.sources.lake import exists, work_dir
 from netquarry.sources.reference import SITE_ZONES, reference_table
@@ -25,18 +25,29 @@ T = detections.Thresholds.of(
 )
 
 
-#: Where the models of a session's runs are stored, by session, input folder and model.
+#: Where the models of a session's runs are stored, by session, input files and model.
 _BUILT: dict[tuple[str, str, str], str] = {}
 
 
+def _files(spark: SparkSession, path: str) -> str:
+    """Names, sizes and times of change of the files at `path`: another content is another text."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found, files = p.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(p, True), []
+    while found.hasNext():
+        f = found.next()
+        files.append(f"{f.getPath()} {f.getLen()} {f.getModificationTime()}")
+    return "\n".join(sorted(files))
+
+
 class Lake:
     """The tables of one run, each built from the ones before it; the gold models are stored, so each is built once a session."""
 
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
         self.spark, self.sf_dir = spark, sf_dir
+        self.inputs = _files(spark, f"{sf_dir}/events.parquet")
 
     def built(self, name: str, make: Callable[[], DataFrame]) -> DataFrame:
-        key = (self.spark.sparkContext.applicationId, self.sf_dir, name)
+        key = (self.spark.sparkContext.applicationId, self.inputs, name)
         if key not in _BUILT or not exists(self.spark, f"{_BUILT[key]}/_SUCCESS"):
             path = work_dir(self.spark, name)
             make().write.option("compression", "zstd").parquet(path)
@@ -99,6 +110,15 @@ class Lake:
         rules = self.ref("detection_rules"), self.ref("mitre_techniques"), self.ref("detection_allowlist")
         return self.built("fct_alerts", lambda: detections.fct_alerts(self.scans, self.beacons, self.uploads, self.tunnels, *rules))
 
+    def table(self, name: str) -> DataFrame:
+        """Any table of the data tests by its name."""
+        own = {
+            "flows": lambda: self.bronze, "stg_flows": lambda: self.staged, "quarantine": lambda: self.quarantine, "stg_quarantine": lambda: facts.stage_quarantine(self.quarantine), "stg_network_zones": lambda: zones.parse_zones(self.ref("network_zones")),
+            "fct_flows": lambda: self.facts, "agg_traffic_hourly": lambda: self.hourly, "dim_hosts": lambda: self.hosts, "dim_host_names": lambda: self.versions, "fct_alerts": lambda: self.alerts, "dq_batches": lambda: self.batches,
+            "ocsf_network_activity": lambda: ocsf.network_activity(self.facts),
+        }
+        return own[name]() if name in own else self.ref(name)
+
     @property
     def incidents(self) -> DataFrame:
         """Labelled incidents: the events of a value above 100, each with a window of an hour."""
@@ -197,12 +217,12 @@ Q: dict[str, Callable[[Lake], DataFrame]] = {
     "connection_gaps": lambda x: detections.connection_gaps(x.facts),
     "contiguity_check": lambda x: quality.check_scd2(x.versions.withColumn("valid_to", F.when(F.col("version") != 1, F.col("valid_to")))).select("ip", "problem"),
     # sort, limit, top-k
-    "top_talkers": lambda x: serving.top_talkers(x.hosts),
-    "alerts_ranked": lambda x: serving.alerts_ranked(x.alerts).select("alert_id", "severity", "window_start"),
-    "renames": lambda x: serving.renamed_hosts(x.versions),
-    "quarantine_ranked": lambda x: serving.quarantine_by_type(x.quarantine),
+    "top_talkers": lambda x: _placed(serving.top_talkers(x.hosts)),
+    "alerts_ranked": lambda x: _placed(serving.alerts_ranked(x.alerts)).select("place", "severity", "window_start"),
+    "renames": lambda x: _placed(serving.renamed_hosts(x.versions)),
+    "quarantine_ranked": lambda x: _placed(serving.quarantine_by_type(x.quarantine)),
     "sample_ports": lambda x: x.scans.select("src_ip", "dst_ip", "window_start", "sample_ports"),
-    "alerts_by_time": lambda x: serving.alerts_by_time(x.alerts).select("window_start", "rule_id", "alert_id"),
+    "alerts_by_time": lambda x: _placed(serving.alerts_by_time(x.alerts)).select("place", "window_start", "rule_id"),
     # set operations
     "addresses": lambda x: facts.addresses(x.bronze),
     "endpoints": lambda x: hosts.endpoints(x.facts).groupBy("ip", "initiated").agg(F.count("*").alias("n"), F.sum("bytes_sent").alias("bytes_sent")),
@@ -210,7 +230,8 @@ Q: dict[str, Callable[[Lake], DataFrame]] = {
     "fct_alerts": lambda x: x.alerts.drop("evidence"),
     "scd2_problems": lambda x: quality.check_scd2(x.versions.withColumn("is_current", F.lit(True))).select("ip", "problem"),
     "distinct_hours": lambda x: x.facts.select("flow_hour").distinct(),
-    "snapshot_equal": lambda x: serving.snapshot_difference(x.facts.select("record_id", "direction"), x.facts.where("direction <> 'inbound'").select("record_id", "direction")),
+    "snapshot_difference": lambda x: serving.snapshot_difference(x.facts.select("record_id", "direction"), x.facts.where("direction <> 'inbound'").select("record_id", "direction")),
+    "snapshot_equal": lambda x: stored.snapshots(x.spark, x.sf_dir),
     "quarantine_difference": lambda x: serving.quarantine_difference(x.quarantine, x.quarantine.where("record_index % 2 = 0").groupBy("error_type").agg(F.count("*").alias("records"))),
     "dense_hour_axis": lambda x: serving.dense_hour_axis(x.hourly),
     "hourly_windows": lambda x: x.facts.groupBy(F.window("first_seen", "1 hour").alias("w")).agg(F.count("*").alias("flows")).select("w.start", "w.end", "flows"),
@@ -223,6 +244,7 @@ Q: dict[str, Callable[[Lake], DataFrame]] = {
     "check_expression": lambda x: quality.check_expression(x.facts.select("record_id", "bytes_total", "packets_total"), "bytes_total > 1000 * packets_total", "warn"),
     "check_reconciliation": lambda x: quality.check_reconciliation(x.facts, x.hourly.where("direction <> 'inbound'")),
     "check_scd2": lambda x: quality.check_scd2(x.versions.where("version <> 2")),
+    "data_tests": lambda x: datatests.run(x.table),
     "validate_zones": lambda x: quality.validate_zones(_event_zones(x)).select("zone", "cidr", "problem"),
     "validate_allowlist": lambda x: quality.validate_allowlist(_event_allowlist(x), x.ref("detection_rules")).select("rule_id", "src_ip", "dst_ip", "dst_port", "problem"),
     # contract
@@ -234,6 +256,22 @@ Q: dict[str, Callable[[Lake], DataFrame]] = {
 }
 
 
+def _placed(ranked: DataFrame) -> DataFrame:
+    """place: the row's number in the order of a ranked result.
+
+    The sorted rows are a table first, each with its partition and its number there; the partitions' sizes tell the rest, so
+    that no task sees all rows.
+    """
+    spark = ranked.sparkSession
+    path = work_dir(spark, "ranked")
+    ranked.withColumn("__at", F.monotonically_increasing_id()).write.parquet(path)
+    rows = spark.read.parquet(path).withColumns({"__part": F.shiftright("__at", 33), "__in": F.col("__at").bitwiseAND(F.lit((1 << 33) - 1))})
+    # a row for each partition
+    sizes = rows.groupBy("__part").agg(F.count("*").alias("__n"))
+    before = sizes.select("__part", (F.sum("__n").over(Window.orderBy("__part")) - F.col("__n")).alias("__before"))
+    return rows.join(before, "__part").select((F.col("__before") + F.col("__in") + 1).alias("place"), *ranked.columns)
+
+
 def _event_allowlist(x: Lake) -> DataFrame:
     """An allowlist of one row for each user of the events, some of them wrong."""
     users = x.spark.read.parquet(f"{x.sf_dir}/events.parquet").select("user_id").distinct()

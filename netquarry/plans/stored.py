@@ -80,6 +80,20 @@ def agg_hourly_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Versioned(spark, f"{_loads(spark, sf_dir)}/agg_traffic_hourly").read().select("hour_start", "direction", "protocol_name", "service", "flows", "packets", "bytes", "distinct_initiators", "distinct_responders")
 
 
+def snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tables kept by three incremental builds against those of one full refresh: rows of each and how many the other lacks."""
+    steps, whole = _loads(spark, sf_dir), L.work_dir(spark, "gold")
+    ref = reference_table(spark, "network_zones", SITE_ZONES), reference_table(spark, "service_ports")
+    incremental.build(spark, adapter.bronze(spark, sf_dir), whole, *ref, _RUNS[2], full_refresh=True)
+    out = []
+    for name in ("fct_flows", "agg_traffic_hourly"):
+        one, other = (Versioned(spark, f"{top}/{name}").read().drop("loaded_at", "max_loaded_at", "flow_warnings") for top in (steps, whole))
+        rows = one.select(F.lit("incremental").alias("side")).unionByName(other.select(F.lit("full").alias("side")))
+        rows = rows.unionByName(serving.snapshot_difference(one, other).select(F.concat(F.lit("only_in_"), "only_in").alias("side")))
+        out.append(rows.groupBy(F.lit(name).alias("model")).agg(*[F.count_if(F.col("side") == side).alias(as_) for side, as_ in (("incremental", "found"), ("full", "expected"), ("only_in_one", "more"), ("only_in_other", "missing"))]))
+    return reduce(DataFrame.unionByName, out)
+
+
 def _inputs(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     refs = {x: reference_table(spark, x, SITE_ZONES if x == "network_zones" else None) for x in ("network_zones", "service_ports", "detection_rules", "mitre_techniques", "detection_allowlist")}
     return refs | {"flows": adapter.bronze(spark, sf_dir), "quarantine": adapter.quarantine(spark, sf_dir)}

@@ -1,13 +1,14 @@
+import random
 from datetime import datetime, timedelta
 
 import duckdb
 import pytest
 from pyspark.sql import Row
 
-from netquarry.operators import detections, facts, hosts, incremental, quality, serving, zones
+from netquarry.operators import datatests, detections, facts, hosts, incremental, quality, serving, zones
 from netquarry.plans import adapter, registry
-from netquarry.sources.versions import Versioned
 from netquarry.sources.reference import SITE_ZONES, reference_table
+from netquarry.sources.versions import Versioned
 
 SF = "/root/testdata/sf0.001"
 DAY = datetime(2026, 1, 1)
@@ -145,3 +146,51 @@ def test_queries_equal_their_oracles(spark, name):
 
 def test_every_query_has_an_oracle():
     assert set(registry.queries()) == set(registry.oracle_sql())
+
+
+def test_queries_follow_a_replaced_table(spark, tmp_path):
+    events = spark.read.parquet(f"{SF}/events.parquet")
+    flows = lambda: registry.queries()["kpis"](spark, str(tmp_path)).first()["flows"]
+    events.limit(40).write.parquet(f"{tmp_path}/events.parquet")
+    assert flows() == 40
+    events.limit(90).write.mode("overwrite").parquet(f"{tmp_path}/events.parquet")
+    assert flows() == 90
+
+
+def test_windows_that_overlap_meet_once(spark):
+    hour = lambda k: datetime(2024, 1, 1) + timedelta(hours=k)
+    rng = random.Random(1)
+    spans = lambda n: [(str(k), rng.choice("rs"), rng.choice("ab"), hour(a := rng.randrange(200)), hour(a + rng.choice([0, 1, 24, 60]))) for k in range(n)]
+    a, i = spans(60), spans(60)
+    alerts = spark.createDataFrame(a, "alert_id string, rule_id string, src_ip string, window_start timestamp, window_end timestamp")
+    incidents = spark.createDataFrame([*i, ("back", "r", "a", hour(50), hour(49))], "incident_id string, rule_id string, src_ip string, start timestamp, end timestamp")
+    want = sorted((x[0], y[0]) for x in a for y in [*i, ("back", "r", "a", hour(50), hour(49))] if x[1:3] == y[1:3] and x[3] <= y[4] and y[3] < x[4])
+    found = serving.incident_overlap(alerts, incidents)
+    assert sorted((r["alert_id"], r["incident_id"]) for r in found.collect()) == want and len(want) > 100
+    assert "bin#" in found._jdf.queryExecution().optimizedPlan().toString().split("Join Inner", 1)[1].split("\n", 1)[0]
+
+
+def test_thresholds_are_of_their_kind():
+    for name, value, what in (("beaconing_min_connections", 50.0, "whole"), ("beaconing_min_connections", float("inf"), "whole"), ("dns_tunneling_min_avg_label_length", 6.5, "whole"), ("beaconing_max_cv", float("nan"), "negative"), ("beaconing_max_cv", True, "number")):
+        with pytest.raises(ValueError, match=what):
+            detections.Thresholds.of(**{name: value})
+    assert detections.Thresholds.of(beaconing_max_cv=1).beaconing_max_cv == 1
+
+
+def test_data_tests_are_one_pass_over_each_table(spark):
+    frames = {
+        "child": spark.createDataFrame([(1, "a", 5), (1, "b", 6), (2, None, 7), (None, "z", None), (None, "a", 1)], "k int, p string, v int"),
+        "parent": spark.createDataFrame([("a",), ("a",), ("b",), (None,)], "p string"),
+    }
+    suites = {
+        "child": datatests.Suite((datatests.not_null("k"), datatests.accepted("p", "a b", "warn"), datatests.holds("v < 7")), datatests.unique("k"), (datatests.parent("p", "parent", "p"),), (("sums", "error", "v", "v"), ("sums", "error", "n", "1L"))),
+        "parent": datatests.Suite((datatests.not_null("p"),), totals=(("sums", "error", "v", "-19"), ("sums", "error", "n", "-1L"))),
+    }
+    found = datatests.run(frames.__getitem__, suites)
+    assert {(r["table"], r["test"]): (r["violations"], r["status"]) for r in found.collect()} == {
+        ("child", "not_null(k)"): (2, "fail"), ("child", "accepted_values(p)"): (1, "warn"), ("child", "expression(v < 7)"): (1, "fail"), ("child", "unique(k)"): (1, "fail"), ("child", "relationships(p)"): (1, "fail"),
+        ("parent", "not_null(p)"): (1, "fail"), ("child", "sums"): (2, "fail"),
+    }
+    assert sum(len(s.rows) + bool(s.key) + len(s.parents) + bool(s.scd2) for s in datatests.DECLARED.values()) + 1 == 49
+    plan = datatests.measured(frames["child"], suites["child"], frames.__getitem__)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LogicalRDD") == 2  # the table and the parent's keys
