@@ -3,8 +3,8 @@
 Types are strict: text is no number, a boolean no count. Unknown fields are ignored. The rules over several fields run only
 on records whose fields are all right, and the first that fails is told.
 
-Most records have the right fields. One pattern over a record's schema tells so, and plain comparisons of its typed fields do
-the rest; only the others are taken apart field by field.
+Most records have the right fields, with or without unknown ones among them. A pattern over a record's schema tells so, and plain
+comparisons of its typed fields do the rest; only the others are taken apart field by field.
 """
 
 from __future__ import annotations
@@ -41,6 +41,7 @@ FLOW = [
     ("packet_size", "object|", SIZES), ("inter_arrival", "object|", GAPS), ("tcp", "object|", TCP), ("application", "object", APPLICATION), ("dominant_endpoint", "text", 1), ("end_reason", "text", 1),
     ("warnings", "warnings?", None), ("alert_ids", "counts?", None),
 ]
+WARNING = [("code", "text", 1), ("count", "int", COUNT)]
 ENVELOPE = [("contract_version", "one_of", (1,)), ("sensor_id", "text", 1), ("capture_id", "text", 1), ("capture_file", "text|?", 0), ("completion_state", "text", 1), ("flow", "dict", [])]
 _NOT_FINITE = "__not_finite__"
 #: All up to a bare NaN or Infinity outside texts; possessive, so that long texts need no stack.
@@ -78,13 +79,30 @@ def typed(spec: list) -> str:
     return "struct<" + ",".join(f"{name}:{typed(bound) if kind == 'object' else _TYPED[kind]}" for name, kind, _, _, bound in _split(spec)) + ">"
 
 
-def shape(spec: list) -> str:
-    """A pattern of the schemas of records with all fields of the right type and no other fields; fields come by name."""
-    out = []
+#: A field name in the text of a schema, and the type of a value of at most three levels.
+_NAME = r"(?:[A-Za-z0-9_]++|`(?:[^`]|``)*+`)"
+_ANY = r"[A-Z]++(?:\(\d++,\d++\))?"
+for _ in range(3):
+    _ANY = rf"(?:OBJECT<(?:{_NAME}: {_ANY}(?:, |(?=>)))*+>|ARRAY<{_ANY}>|[A-Z]++(?:\(\d++,\d++\))?)"
+
+
+def shape(spec: list, tolerant: bool = False) -> str:
+    """A pattern of the schemas of records with all fields of the right type; fields come by name.
+
+    tolerant: other fields may stand between them, of up to three levels each; what is deeper is judged field by field.
+    """
+    known = "|".join(name for name, *_ in spec)
+    other = rf"(?:(?!(?:{known}): ){_NAME}: {_ANY}(?:, |(?=>)))*+" if tolerant else ""
+    out = [other]
     for name, kind, nullable, optional, bound in sorted(_split(spec)):
-        one = shape(bound) if kind == "object" else _SHAPES[kind]
+        if kind == "object":
+            one = shape(bound, tolerant)
+        elif kind == "warnings" and tolerant:
+            one = f"ARRAY<(?:VOID|{shape(WARNING, tolerant)})>"
+        else:
+            one = _SHAPES[kind]
         field = f"{name}: {f'(?:VOID|{one})' if nullable else one}(?:, |(?=>))"
-        out.append(f"(?:{field})?" if optional else field)
+        out.append((f"(?:{field})?" if optional else field) + other)
     return f"OBJECT<{''.join(out)}>"
 
 
@@ -260,7 +278,9 @@ def checked(raw: DataFrame) -> DataFrame:
     address = lambda x: normalized_ip(F.coalesce(F.col("__s")[x]["ip"], F.expr(f"try_variant_get(v, '$.{x}.ip', 'string')")))
     read = read.withColumns({f"__ip_{x}": address(x) for x in ("initiator", "responder")})
     s = F.col("__s")
-    shaped = ~F.col("__bare") & F.expr("schema_of_variant(v)").rlike(f"^{shape(FLOW)}$") & _lists_right(s, FLOW)
+    # the first pattern fails at once at a field that it doesn't know; the other reads on behind it
+    schema = F.expr("schema_of_variant(v)")
+    shaped = ~F.col("__bare") & (schema.rlike(f"^{shape(FLOW)}$") | schema.rlike(f"^{shape(FLOW, tolerant=True)}$")) & _lists_right(s, FLOW)
     told = with_types(read.withColumn("__shaped", F.coalesce(shaped, F.lit(False))), "v", FLOW, "NOT __shaped")
     quick = F.coalesce(F.expr(f"coalesce({', '.join(_bound_errors('__s', FLOW))})"), _disagreement(s))
     slow = F.coalesce(_not_object("v")["type"], F.expr(f"coalesce({', '.join(bad for _, bad in _rules('v', '', FLOW, None))})"), cross_rules()["type"])

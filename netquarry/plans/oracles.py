@@ -218,6 +218,25 @@ def _data_tests() -> str:
     return _select("gold_tests", "table test severity violations status=CASE~WHEN~violations=0~THEN~'pass'~WHEN~severity='warn'~THEN~'warn'~ELSE~'fail'~END", "(" + " UNION ALL ".join(t) + ")")
 
 
+def _bronze() -> str:
+    """All columns of the bronze rows that the valid contract cases give."""
+    closed = lambda e: f"CASE WHEN event_id % 40 <> 13 THEN {e} END"
+    null = lambda names, kind: {n: f"CAST(NULL AS {kind})" for n in names.split()}
+    at = "CAST({} AS VARCHAR)".format
+    columns = {
+        "record_id": "substr(sha256(concat('s1', chr(31), 'capture-', event_id % 20, chr(31), event_id + 1)), 1, 32)", "batch_id": "concat('b-', event_id % 20)", "source": "'file'", "sensor_id": "'s1'", "capture_id": "concat('capture-', event_id % 20)",
+        "capture_file": "CAST(NULL AS VARCHAR)", "capture_completion_state": "'complete'", "contract_version": "1", "ingested_at": at("CAST(ts AS TIMESTAMP)"), "flow_id": "event_id + 1", "ip_version": "4", "protocol": "6", "protocol_name": "'TCP'",
+        "initiator_ip": "concat('10.20.1.', user_id % 4)", "initiator_port": "40000", "responder_ip": "'198.51.100.40'", "responder_port": "443", "initiator_basis": "'syn'", "first_seen": at("date_trunc('second', ts) + INTERVAL 1 MICROSECOND"),
+        "last_seen": at("date_trunc('second', ts) + INTERVAL 5 SECOND"), "duration_seconds": "CAST(5 AS DOUBLE)", "first_packet_index": "0", "last_packet_index": "9", "i2r_packets": "6", "i2r_bytes": "100 + event_id", "i2r_payload_bytes": "10",
+        "r2i_packets": "4", "r2i_bytes": "50", "r2i_payload_bytes": "10", "packets_total": "10", "bytes_total": "150 + event_id", **null("pkt_size_min pkt_size_max pkt_size_mean pkt_size_stddev pkt_size_median", "DOUBLE"), **null("pkt_size_median_exact", "BOOLEAN"),
+        **null("iat_min_seconds iat_max_seconds iat_mean_seconds iat_stddev_seconds", "DOUBLE"), "tcp_state": closed("'closed'"), "tcp_flags_initiator": closed("'SYN'"), "tcp_flags_responder": closed("''"), "tcp_syn_packets": closed("1"),
+        **{f"tcp_{x}": closed("0") for x in ("fin_packets", "rst_packets", "duplicate_segments")}, "dns_queries": "'a.example'", **{x: "''" for x in "app_protocols responder_dns_names http_hosts http_paths tls_server_names tls_alpn upstream_alert_ids".split()},
+        "dominant_endpoint": "'initiator'", "end_reason": "'idle_timeout'", "flow_warnings": "'[]'",
+    }
+    whole = set("contract_version ip_version protocol initiator_port responder_port first_packet_index last_packet_index i2r_packets i2r_payload_bytes r2i_packets r2i_bytes r2i_payload_bytes packets_total tcp_syn_packets tcp_fin_packets tcp_rst_packets tcp_duplicate_segments".split())
+    return "SELECT " + ", ".join(f"CAST({e} AS BIGINT) AS {c}" if c in whole else f"{e} AS {c}" for c, e in columns.items()) + " FROM events WHERE event_id % 40 > 11"
+
+
 def sql() -> dict[str, str]:
     host = "ip zone is_internal first_seen last_seen flows flows_initiated flows_received bytes_sent bytes_received distinct_peers most_common_name"
     alert = "alert_id rule_id rule_name severity mitre_technique_id mitre_technique_name mitre_tactic src_ip dst_ip dst_port dst_name window_start window_end flows bytes"
@@ -340,7 +359,16 @@ def sql() -> dict[str, str]:
         "ocsf_export": _select("fct", "day n bytes", "(SELECT CAST(CAST(last_seen AS DATE) AS VARCHAR) AS day, count(*) AS n, CAST(sum(bytes_total) AS BIGINT) AS bytes FROM fct GROUP BY 1)"),
         "contract": f"SELECT event_id AS record_index, {kind} AS error_type FROM events",
         "contract_first_error": f"SELECT {kind} AS error_type, count(*) AS records FROM events GROUP BY 1",
-        "contract_bronze": "SELECT substr(sha256(concat('s1', chr(31), 'capture-', CAST(event_id % 20 AS VARCHAR), chr(31), CAST(event_id + 1 AS VARCHAR))), 1, 32) AS record_id, event_id + 1 AS flow_id, concat('10.20.1.', CAST(user_id % 4 AS VARCHAR)) AS initiator_ip, "
-            "CAST(date_trunc('second', ts) + INTERVAL 1 MICROSECOND AS VARCHAR) AS first_seen, 150 + event_id AS bytes_total, 'a.example' AS dns_queries, CASE WHEN event_id % 40 = 13 THEN NULL ELSE 'closed' END AS tcp_state FROM events WHERE event_id % 40 > 11",
+        "contract_bronze": _bronze(),
+        "landing_files": f"SELECT 's1' AS sensor_id, 'json' AS suffix, count(DISTINCT (event_id % 20, event_id // {20 * 4000})) AS n FROM events WHERE event_id % 40 <> 4",
+        "ingest_all": f"WITH e AS (SELECT *, {kind} AS kind FROM events WHERE event_id % 40 <> 4), d AS (SELECT count(DISTINCT (event_id % 20, event_id // {20 * 4000})) AS n FROM e) "
+            "SELECT 'first ingested' AS outcome, n AS records FROM d UNION ALL SELECT 'again skipped', n FROM d UNION ALL SELECT coalesce(kind, 'valid'), count(*) FROM e GROUP BY 1",
+        "retention": "WITH e AS (SELECT event_id % 20 AS k FROM events WHERE event_id % 40 > 11), d AS (SELECT CASE WHEN k = 2 THEN '2024-03-02' ELSE '2024-03-01' END AS ingest_date, count(*) AS n FROM e WHERE k IN (1, 2) OR k >= 10 GROUP BY 1) "
+            "SELECT 'before' AS at, * FROM d UNION ALL SELECT 'after', * FROM d WHERE ingest_date = '2024-03-02'",
+        "empty_lake": "SELECT t AS \"table\", CAST(0 AS BIGINT) AS n, events FROM (VALUES ('flows'), ('quarantine'), ('ledger')) AS v(t), (SELECT count(*) AS events FROM events)",
+        "reference_tables": "SELECT CAST(user_id % 2 * 11 + 6 AS BIGINT) AS protocol, CAST(user_id AS BIGINT) AS port, 's, \"' || (user_id % 7) || '\"' AS service FROM (SELECT DISTINCT user_id FROM events)",
+        "full_refresh": _select("fct", "loaded_at direction flows bytes", "(SELECT TIMESTAMP '2024-03-03 00:00:00' AS loaded_at, direction, count(*) AS flows, sum(bytes_total) AS bytes FROM fct GROUP BY ALL)"),
+        "replay_dedupe": f"SELECT coalesce({kind}, 'valid') AS outcome, count(*) AS records FROM events GROUP BY 1",
+        "drain_and_stop": "SELECT CAST(k AS BIGINT) AS run, CASE WHEN k < 2 THEN n ELSE n + m END AS records FROM (VALUES (0), (1), (2)) AS v(k), (SELECT count(*) AS n, count(*) FILTER (WHERE event_id % 3 = 0) AS m FROM events)",
         "envelope_check": f"SELECT event_id, CASE WHEN event_id % 10 < 2 THEN 'unknown' ELSE 's1' END AS sensor_id, {envelope} AS envelope_error FROM events",
     }

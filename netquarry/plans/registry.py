@@ -251,7 +251,7 @@ Q: dict[str, Callable[[Lake], DataFrame]] = {
     "contract": lambda x: contract_cases.told(x.spark, x.sf_dir),
     "contract_first_error": lambda x: contract_cases.told(x.spark, x.sf_dir).groupBy("error_type").agg(F.count("*").alias("records")),
     "contract_messages": lambda x: contract.with_messages(contract.checked(contract_cases.raw(x.spark, x.sf_dir)).where("error_type is not null")).select("record_index", "error_message"),
-    "contract_bronze": lambda x: contract_cases.valid(x.spark, x.sf_dir).select("record_id", "flow_id", "initiator_ip", "first_seen", "bytes_total", "dns_queries", "tcp_state"),
+    "contract_bronze": lambda x: contract_cases.valid(x.spark, x.sf_dir).drop("ingest_date"),
     "envelope_check": lambda x: contract_cases.envelopes(x.spark, x.sf_dir),
 }
 

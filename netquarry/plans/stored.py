@@ -150,4 +150,111 @@ def stream_to_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _outcomes(spark, f"{top}/lake")
 
 
-QUERIES = {f.__name__: f for f in (capture_documents, explode_flows, fct_flows_incremental, agg_hourly_incremental, stream_to_bronze, lake_commit, gold_build, gold_checks, ocsf_export)}
+# ---------------------------------------------------------------- landing folders
+
+
+def json_landing(spark: SparkSession, sf_dir: str) -> str:
+    """The contract cases without bare NaN as JSON files, one for each capture and part; returns their folder."""
+    part = F.expr(f"record_index div {_CAPTURES * FLOWS_A_DOCUMENT}")
+    raw = contract_cases.raw(spark, sf_dir).where("record_index % 40 <> 4").withColumn("part", part)
+    flows = F.transform(F.array_sort(F.collect_list(F.struct("record_index", "raw"))), lambda x: F.parse_json(x.raw))
+    name = F.struct(F.concat("batch_id", F.lit(".pcap")).alias("file_name"))
+    documents = raw.groupBy("batch_id", "part").agg(flows.alias("flows")).select(name.alias("capture"), F.lit("complete").alias("completion_state"), "flows", F.lit("s1").alias("sensor"), "batch_id", "part")
+    path = L.work_dir(spark, "landing")
+    documents.repartition("batch_id", "part").write.partitionBy("sensor", "batch_id", "part").json(path)
+    return path
+
+
+def landing_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files found below the landing folder, by the sensor that their folder names."""
+    found = captures.landing_files(spark, json_landing(spark, sf_dir))
+    return found.groupBy(captures.sensor_from_path(F.col("path")).alias("sensor_id"), F.lower(F.substring_index("path", ".", -1)).alias("suffix")).agg(F.count_distinct("path").alias("n"))
+
+
+def ingest_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The landing folder ingested twice: documents by status, then rows of the lake by outcome."""
+    path, lake, out = json_landing(spark, sf_dir), L.work_dir(spark, "lake"), []
+    for name, run in zip(("first ", "again "), _RUNS, strict=False):
+        found = L.ingest(spark, lake, path, ingested_at=run)
+        out.append(found.groupBy(F.concat(F.lit(name), "status").alias("outcome")).agg(F.count("*").alias("records")))
+    return reduce(DataFrame.unionByName, [*out, _outcomes(spark, lake)])
+
+
+def retention(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze rows before and after the days before the second run are dropped; late events lie below the day they came."""
+    path, lake = json_landing(spark, sf_dir), L.work_dir(spark, "lake")
+    for part, run in zip("12", _RUNS, strict=False):
+        L.ingest(spark, lake, f"{path}/sensor=s1/batch_id=b-{part}*", "s1", ingested_at=run)
+    days = lambda when: L.table(spark, lake, "flows").groupBy(F.lit(when).alias("at"), "ingest_date").agg(F.count("*").alias("n"))
+    # a row for each day
+    before = spark.createDataFrame(days("before").collect(), "at string, ingest_date date, n bigint")
+    L.drop_before(spark, lake, "flows", str(_RUNS[1].date()))
+    return before.unionByName(days("after"))
+
+
+def empty_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of each table of a lake that nothing was written to, beside the number of events that could have been."""
+    lake, events = L.work_dir(spark, "lake"), spark.read.parquet(f"{sf_dir}/events.parquet").agg(F.count("*").alias("events"))
+    counts = [L.table(spark, lake, name).agg(F.count("*").alias("n")).select(F.lit(name).alias("table"), "n") for name in ("flows", "quarantine", "ledger")]
+    return reduce(DataFrame.unionByName, counts).join(events, F.lit(True))
+
+
+def reference_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Service ports of the users of the events, written as CSV and read as a reference table."""
+    path = L.work_dir(spark, "service_ports")
+    users = spark.read.parquet(f"{sf_dir}/events.parquet").select("user_id").distinct()
+    users.selectExpr("CAST(user_id % 2 * 11 + 6 AS SMALLINT) AS protocol", "CAST(user_id AS INT) AS port", "concat('s, \"', user_id % 7, '\"') AS service").write.option("header", "true").option("escape", '"').csv(path)
+    return reference_table(spark, "service_ports", path=path).select("protocol", "port", "service")
+
+
+def full_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact after two incremental builds and a full refresh over the same folder: every row is of the last run."""
+    rows, folder = adapter.bronze(spark, sf_dir), L.work_dir(spark, "gold")
+    ref = reference_table(spark, "network_zones", SITE_ZONES), reference_table(spark, "service_ports")
+    for cut, run, whole in (("2024-01-10", _RUNS[0], False), ("9999-01-01", _RUNS[1], False), ("9999-01-01", _RUNS[2], True)):
+        incremental.update_facts(spark, rows.where(f"ingested_at < '{cut}'"), f"{folder}/fct_flows", *ref, run, full_refresh=whole)
+    return Versioned(spark, f"{folder}/fct_flows").read().groupBy("loaded_at", "direction").agg(F.count("*").alias("flows"), F.sum("bytes_total").alias("bytes"))
+
+
+def _replayed(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
+    """A folder with the messages of the contract cases in two files, the second with a third of them once more; and its stream."""
+    top, raw = L.work_dir(spark, "stream"), contract_cases.raw(spark, sf_dir)
+    head = F.to_json(F.struct(F.lit(1).alias("contract_version"), "sensor_id", "capture_id", "completion_state"))
+    made = raw.withColumn("h", head).select(F.concat(F.expr("left(h, length(h) - 1)"), F.lit(',"flow":'), "raw", F.lit("}")).alias("value"), F.col("ingested_at").alias("timestamp"), "record_index")
+    made.drop("record_index").write.parquet(f"{top}/messages")
+    again = made.where("record_index % 3 = 0").withColumn("timestamp", F.col("timestamp") + F.expr("interval 5 minutes")).drop("record_index")
+    return top, again
+
+
+def replay_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A third of the messages come once more after a restart of the stream: bronze rows by outcome."""
+    top, again = _replayed(spark, sf_dir)
+    for more in (None, again):
+        if more is not None:
+            more.write.mode("append").parquet(f"{top}/messages")
+        stream = spark.readStream.schema("value string, timestamp timestamp").parquet(f"{top}/messages")
+        bronze.stream_to_bronze(stream, f"{top}/lake", f"{top}/checkpoint", available_now=True, time="timestamp", within="3650 days").awaitTermination()
+    return _outcomes(spark, f"{top}/lake")
+
+
+def drain_and_stop(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stream drained three times, with messages coming before the third: batches and rows after each."""
+    top, again = _replayed(spark, sf_dir)
+    out = []
+    for k in range(3):
+        if k == 2:
+            again.write.mode("append").parquet(f"{top}/messages")
+        stream = spark.readStream.schema("value string, timestamp timestamp").parquet(f"{top}/messages")
+        bronze.stream_to_bronze(stream, f"{top}/lake", f"{top}/checkpoint", available_now=True).awaitTermination()
+        rows = _outcomes(spark, f"{top}/lake").agg(F.sum("records").alias("records"))
+        out.append((k, rows.first()[0]))
+    return spark.createDataFrame(out, "run bigint, records bigint")
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        capture_documents, explode_flows, fct_flows_incremental, agg_hourly_incremental, stream_to_bronze, lake_commit, gold_build, gold_checks, ocsf_export, landing_files, ingest_all, retention, empty_lake, reference_tables, full_refresh,
+        replay_dedupe, drain_and_stop,
+    )
+}

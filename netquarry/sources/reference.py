@@ -52,5 +52,5 @@ DEFAULTS = {"network_zones": ZONES, "service_ports": SERVICES, "detection_rules"
 def reference_table(spark: SparkSession, name: str, rows: tuple | None = None, path: str | None = None) -> DataFrame:
     """One reference table: of the CSV file at `path` (with a header), of `rows`, or the defaults."""
     if path:
-        return spark.read.csv(path, header=True, schema=SCHEMAS[name], mode="FAILFAST")
+        return spark.read.csv(path, header=True, schema=SCHEMAS[name], mode="FAILFAST", escape='"', ignoreLeadingWhiteSpace=True, ignoreTrailingWhiteSpace=True)
     return spark.createDataFrame(list(DEFAULTS[name] if rows is None else rows), SCHEMAS[name])

@@ -57,8 +57,21 @@ def write_batch(batch: DataFrame, batch_number: int, lake: str, name: str) -> No
     L.commit(told, row, lake)
 
 
-def stream_to_bronze(stream: DataFrame, lake: str, checkpoint: str, name: str = "flows", available_now: bool = False, seconds: int = 5) -> StreamingQuery:
-    """Start the stream; available_now: drain what is there and stop."""
+def without_replays(stream: DataFrame, time: str, within: str) -> DataFrame:
+    """The stream without messages whose value came before, within the given time by their column `time`.
+
+    The state has a digest for each message of that time and goes with the watermark; it is part of the checkpoint, so a
+    replay after a restart is known too. What is replayed later is still once in the fact, by record_id.
+    """
+    kept = stream.columns
+    marked = stream.withColumn("__digest", F.sha2(F.col("value").cast("binary"), 256)).withWatermark(time, within)
+    return marked.dropDuplicatesWithinWatermark(["__digest"]).select(*kept)
+
+
+def stream_to_bronze(stream: DataFrame, lake: str, checkpoint: str, name: str = "flows", available_now: bool = False, seconds: int = 5, time: str | None = None, within: str = "1 hour") -> StreamingQuery:
+    """Start the stream; available_now: drain what is there and stop; time: the column by which replays are left out."""
+    if time is not None:
+        stream = without_replays(stream, time, within)
     writer = stream.writeStream.queryName(name).option("checkpointLocation", checkpoint).foreachBatch(lambda df, n: write_batch(df, n, lake, name))
     return (writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=f"{seconds} seconds")).start()
 

@@ -111,3 +111,19 @@ def test_envelopes(spark):
     found = contract.decode_messages(spark.createDataFrame([(v,) for v in values], "value binary")).collect()
     assert [r["envelope_error"] for r in found] == [None, "invalid_json", "envelope_missing", "envelope_literal_error", "envelope_dict_type", "envelope_string_too_short"]
     assert [r["sensor_id"] for r in found] == ["s1", "unknown", "unknown", "s1", "s1", "unknown"]
+
+
+def test_unknown_fields_take_the_short_way_and_change_nothing(spark, monkeypatch):
+    odd = {"aaa": 1, "zzz": {"x": [1, {"y": None}]}, "a b": "t", "q`u: BIGINT, flow_id": 2.5, "tcp2": [], "flow_idx": True}
+    nested = {k: FLOW[k] | {"odd": [1], "zz": {}} for k in ("initiator", "first_seen", "initiator_to_responder", "application")}
+    more = [odd, nested, odd | nested, {"deep": {"a": {"b": {"c": {"d": 1}}}}}, {"warnings": [{"code": "c", "count": 1, "more": 2}]}, {"warnings": [{"code": "", "count": 1, "more": 2}]}, {"warnings": [{"code": "c", "count": 1}, {"code": "c", "more": 2}]}]
+    wrong = [{}, {"warnings": "x"}, {"alert_ids": {}}, {"protocol": "17"}, {"flow_id": None}, {"packets_total": 0}, {"duration_seconds": -1.5}, {"end_reason": ""}, {"initiator": 5}, {"ip_version": 6}]
+    records = [json.dumps(FLOW | m | w) for m in more for w in wrong] + [json.dumps({k: v for k, v in (FLOW | odd).items() if k != gone}) for gone in FLOW]
+    df = spark.createDataFrame([(k, r) for k, r in enumerate(records)], "k int, raw string")
+    quick = {r["k"]: r["error_type"] for r in contract.checked(df).select("k", "error_type").collect()}
+    tolerant = contract.shape(contract.FLOW, tolerant=True)
+    schemas = df.selectExpr("k", "schema_of_variant(parse_json(raw)) AS s").where(f"s RLIKE '^{tolerant}$'".replace("\\", "\\\\")).collect()
+    assert {r["k"] for r in schemas} >= {0, 10, 20, 40} and not {r["k"] for r in schemas} & {1, 2, 3, 4, 11, 30}
+    monkeypatch.setattr(contract, "shape", lambda *a, **k: "never")
+    assert {r["k"]: r["error_type"] for r in contract.checked(df).select("k", "error_type").collect()} == quick
+    assert quick[0] is None and quick[20] is None and quick[30] is None and quick[1] == "list_type"
