@@ -14,6 +14,6 @@ responder_dns_names array<string>, http_hosts array<string>, http_paths array<st
 flow_warnings array<struct<code: string, count: bigint>>, upstream_alert_ids array<bigint>
 """
 QUARANTINE = "batch_id string, record_index bigint, source string, sensor_id string, capture_id string, ingested_at timestamp, error_type string, error_message string, raw_record string"
-LEDGER = "batch_id string, status string, source string, input_ref string, sensor_id string, records_written bigint, records_quarantined bigint, reasons map<string, bigint>, reason string, files array<string>, modified timestamp, finished_at timestamp"
+LEDGER = "batch_id string, status string, source string, input_ref string, sensor_id string, records_written bigint, records_quarantined bigint, reasons map<string, bigint>, reason string, files array<string>, modified timestamp, finished_at timestamp, commit string"
 EVIDENCE_LIMIT = 16_384
 MESSAGE_LIMIT = 1_000

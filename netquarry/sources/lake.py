@@ -4,9 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
 from datetime import datetime, timezone
-from itertools import islice
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,61 +40,80 @@ def remove(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
-def table(spark: SparkSession, lake: str, name: str) -> DataFrame:
-    """A table of the lake; empty with its schema if nothing was written yet."""
-    schema = {"flows": BRONZE.replace(" not null", "") + ", ingest_date date", "quarantine": QUARANTINE + ", ingest_date date", "ledger": LEDGER}[name]
+def stored_table(spark: SparkSession, lake: str, name: str) -> DataFrame:
+    """All rows of a table's files, with `commit`; empty with its schema if nothing was written yet."""
+    schema = {"flows": BRONZE.replace(" not null", "") + ", ingest_date date, commit string", "quarantine": QUARANTINE + ", ingest_date date, commit string", "ledger": LEDGER}[name]
     empty = spark.createDataFrame([], schema)
     if not exists(spark, f"{lake}/{name}"):
         return empty
     return spark.read.schema(schema).parquet(f"{lake}/{name}").select(*empty.columns)
 
 
-def write_batches(df: DataFrame, lake: str, name: str) -> None:
-    """Write rows below their ingestion date and batch, in place of what the batch had there; ingested_at must be set.
+def table(spark: SparkSession, lake: str, name: str) -> DataFrame:
+    """A table of the lake as its ledger has it; empty with its schema if nothing was written yet.
+
+    Rows count from the moment that the ledger names their commit, all rows of a commit at once; of a batch that was written
+    again, the rows of its last commit. `commit` is a partition, so files of no commit aren't opened; batches written more
+    than once are few, and only they are compared.
+    """
+    rows = stored_table(spark, lake, name)
+    if name == "ledger":
+        return rows
+    ledger = stored_table(spark, lake, "ledger").where("commit IS NOT NULL").select("batch_id", "commit", "finished_at")
+    last = ledger.groupBy("batch_id").agg(F.max(F.struct("finished_at", "commit")).alias("last"), F.count("*").alias("n")).where("n > 1")
+    old = ledger.join(last, "batch_id").where("commit <> last.commit").select("batch_id", "commit").distinct()
+    return rows.join(ledger.select("commit").distinct(), "commit", "left_semi").join(old, ["batch_id", "commit"], "left_anti").drop("commit").select(*[c for c in rows.columns if c != "commit"])
+
+
+def write_batches(df: DataFrame, lake: str, name: str, commit: str) -> None:
+    """Write rows below their ingestion date and commit; ingested_at must be set. Nothing of older commits is touched."""
+    dated = df.withColumns({"ingest_date": F.to_date("ingested_at"), "commit": F.lit(commit)}).hint("rebalance", "ingest_date")
+    dated.write.mode("append").option("compression", "zstd").partitionBy("ingest_date", "commit").parquet(f"{lake}/{name}")
+
+
+def vacuum(spark: SparkSession, lake: str, hours: float = 24) -> list[str]:
+    """Delete files of commits that the ledger doesn't name and that are older than the given hours, as a failed write leaves them.
 
-    A batch is written whole, so writing it once more after a failure doubles nothing.
+    One folder for each day and commit passes the driver, as in any listing of partitions.
     """
-    dated = df.withColumn("ingest_date", F.to_date("ingested_at")).hint("rebalance", "ingest_date", "batch_id")
-    dated.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd").partitionBy("ingest_date", "batch_id").parquet(f"{lake}/{name}")
-
-
-def forget_batches(spark: SparkSession, lake: str, names: list[str], batch_ids: Iterator[str]) -> None:
-    """Delete what batches have written on any day: a retry may be on another day than the attempt that failed."""
-    conf = spark._jsc.hadoopConfiguration()
-    while group := list(islice(batch_ids, 200)):
-        for name in names:
-            pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{lake}/{name}/ingest_date=*/batch_id={{{','.join(group)}}}")
-            fs = pattern.getFileSystem(conf)
-            for found in fs.globStatus(pattern) or []:
+    finished = {r[0] for r in stored_table(spark, lake, "ledger").where("commit IS NOT NULL").select("commit").distinct().collect()}
+    before, gone = datetime.now(timezone.utc).timestamp() * 1000 - hours * 3_600_000, []
+    for name in ("flows", "quarantine"):
+        pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{lake}/{name}/ingest_date=*/commit=*")
+        fs = pattern.getFileSystem(spark._jsc.hadoopConfiguration())
+        for found in fs.globStatus(pattern) or []:
+            commit = found.getPath().getName().removeprefix("commit=")
+            if commit not in finished and found.getModificationTime() <= before:
                 fs.delete(found.getPath(), True)
+                gone.append(commit)
+    return sorted(set(gone))
 
 
 def write_ledger(rows: DataFrame, lake: str) -> None:
-    names = [x.split()[0] for x in "batch_id,status,source,input_ref,sensor_id,records_written,records_quarantined,reasons,reason,files,modified,finished_at".split(",")]
+    names = [x.split()[0] for x in "batch_id,status,source,input_ref,sensor_id,records_written,records_quarantined,reasons,reason,files,modified,finished_at,commit".split(",")]
     rows.select(*names).write.mode("append").parquet(f"{lake}/ledger")
 
 
 def commit(told: DataFrame, batches: DataFrame, lake: str) -> DataFrame:
-    """Write checked flows as bronze and quarantine rows, then the ledger: a batch counts as finished only at the end.
+    """Write checked flows as bronze and quarantine rows, then the ledger, which makes them count.
 
-    batches: batch_id, source, input_ref, sensor_id, status, reason, and `modified` if known. Batches that failed on the way
-    are written anew, in place of their first files. The checks are a table first, as both writes read them.
+    batches: batch_id, source, input_ref, sensor_id, status, reason, and `modified` if known. A batch that failed on the way
+    is simply written again: what its first attempt wrote never counts. The checks are a table first, as both writes read them.
     """
-    spark = told.sparkSession
-    work = f"{lake}/_work/{uuid.uuid4().hex}"
+    spark, own = told.sparkSession, uuid.uuid4().hex
+    work = f"{lake}/_work/{own}"
     context = ["batch_id", "source", "sensor_id", "capture_id", "capture_file", "completion_state", "ingested_at", "record_index", "raw"]
     envelope = [c for c in told.columns if c == "envelope_error"]
     told.select(*context, "v", "__ip_initiator", "__ip_responder", "error_type", *envelope).write.parquet(work)
     done = spark.read.parquet(work)
-    forget_batches(spark, lake, ["flows", "quarantine"], (r[0] for r in batches.select("batch_id").toLocalIterator()))
-    write_batches(contract.flattened(done.where("error_type is null")), lake, "flows")
-    write_batches(contract.quarantined(done.where("error_type is not null")), lake, "quarantine")
+    write_batches(contract.flattened(done.where("error_type is null")), lake, "flows", own)
+    write_batches(contract.quarantined(done.where("error_type is not null")), lake, "quarantine", own)
     by_type = done.groupBy("batch_id", "error_type").agg(F.count("*").alias("n"))
     counts = by_type.groupBy("batch_id").agg(
         F.coalesce(F.sum(F.when(F.col("error_type").isNull(), F.col("n"))), F.lit(0)).alias("records_written"), F.coalesce(F.sum(F.when(F.col("error_type").isNotNull(), F.col("n"))), F.lit(0)).alias("records_quarantined"),
         F.map_from_entries(F.filter(F.collect_list(F.struct("error_type", "n")), lambda e: e["error_type"].isNotNull())).alias("reasons"),
     )
-    rows = batches.join(counts, "batch_id", "left").na.fill(0, ["records_written", "records_quarantined"]).withColumns({"files": F.array("input_ref"), "finished_at": F.current_timestamp()})
+    rows = batches.join(counts, "batch_id", "left").na.fill(0, ["records_written", "records_quarantined"]).withColumns({"files": F.array("input_ref"), "finished_at": F.current_timestamp(), "commit": F.lit(own)})
     write_ledger(rows if "modified" in batches.columns else rows.withColumn("modified", F.lit(None).cast("timestamp")), lake)
     remove(spark, work)
     return table(spark, lake, "ledger")

@@ -74,10 +74,25 @@ def test_a_batch_that_failed_on_the_way_is_written_once(spark, tmp_path, monkeyp
     with monkeypatch.context() as m, pytest.raises(RuntimeError, match="lost"):
         m.setattr(L, "write_ledger", broken)
         L.ingest(spark, lake, path, ingested_at=datetime(2026, 1, 1))
-    assert L.table(spark, lake, "flows").count() == 3 and L.table(spark, lake, "ledger").isEmpty()
+    # nothing counts before the ledger says so
+    assert L.table(spark, lake, "flows").isEmpty() and L.stored_table(spark, lake, "flows").count() == 3 and L.table(spark, lake, "ledger").isEmpty()
     L.ingest(spark, lake, path, ingested_at=datetime(2026, 1, 2))
     assert L.table(spark, lake, "flows").count() == 3 and L.table(spark, lake, "quarantine").count() == 1
     assert {str(r["ingest_date"]) for r in L.table(spark, lake, "flows").collect()} == {"2026-01-02"}
+    assert L.vacuum(spark, lake) == [] and len(L.vacuum(spark, lake, hours=0)) == 1
+    assert L.stored_table(spark, lake, "flows").count() == 3
+
+
+def test_a_batch_written_again_counts_once_and_readers_see_one_state(spark, tmp_path, monkeypatch):
+    path, lake, seen, write = landing(tmp_path), f"{tmp_path}/lake", [], L.write_ledger
+    L.ingest(spark, lake, path, ingested_at=datetime(2026, 1, 1))
+    look = lambda: sorted((r["record_id"], str(r["ingest_date"])) for r in L.table(spark, lake, "flows").collect())
+    before = look()
+    monkeypatch.setattr(L, "write_ledger", lambda *a: (seen.append(look()), write(*a))[1])
+    L.ingest(spark, lake, path, force=True, ingested_at=datetime(2026, 1, 3))
+    assert seen == [before] and [(i, "2026-01-03") for i, _ in before] == look() and L.stored_table(spark, lake, "flows").count() == 6
+    plan = L.table(spark, lake, "flows")._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftSemi" in plan and "commit" in plan
 
 
 def test_files_that_cannot_be_read_fail_alone(spark, tmp_path):
@@ -120,6 +135,17 @@ def test_stream_is_files(spark, tmp_path):
     assert sorted(r["error_type"] for r in L.table(spark, f"{tmp_path}/s", "quarantine").collect()) == ["envelope_missing", "finite_number", "invalid_json"]
 
 
+def test_replays_in_a_stream_come_once(spark, tmp_path):
+    at = lambda minute: datetime(2026, 1, 1, 0, minute)
+    messages = [('{"x": 1}', at(1)), ('{"x": 2}', at(2)), ('{"x": 1}', at(9))]
+    more = [('{"x": 2}', at(20)), ('{"x": 3}', at(21))]
+    for k, rows in enumerate((messages, more)):  # the second run is a restart: its replay is told by the checkpoint's state
+        spark.createDataFrame(rows, "value string, timestamp timestamp").coalesce(1).write.mode("append").parquet(f"{tmp_path}/m")
+        stream = spark.readStream.schema("value string, timestamp timestamp").parquet(f"{tmp_path}/m")
+        bronze.stream_to_bronze(stream, f"{tmp_path}/lake", f"{tmp_path}/checkpoint", available_now=True, time="timestamp", within="30 minutes").awaitTermination()
+        assert L.table(spark, f"{tmp_path}/lake", "quarantine").count() == (2, 3)[k]
+
+
 def test_stream_batch_id_by_offsets(spark):
     rows = [("t.x", 1, o) for o in (5, 6, 9)] + [("t.x", 0, 2)]
     df = spark.createDataFrame(rows, "topic string, partition int, offset long")
