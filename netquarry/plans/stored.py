@@ -180,6 +180,16 @@ def ingest_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, [*out, _outcomes(spark, lake)])
 
 
+def ingest_in_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The landing folder ingested as files that are too large for one value, and its hashes: rows of the lake, files by outcome."""
+    path, lake = json_landing(spark, sf_dir), L.work_dir(spark, "lake")
+    found = L.ingest(spark, lake, path, ingested_at=_RUNS[0], largest=0).groupBy("status").agg(F.count("*").alias("n")).select(F.col("status").alias("outcome"), F.col("n").alias("records"))
+    files = captures.landing_files(spark, path)
+    whole, pieces = captures.capture_inventory(files), captures.capture_inventory(files, largest=0)
+    same = whole.join(pieces, ["path", "length", "sha256", "format"]).agg(F.count("*").alias("records")).select(F.lit("hashed alike").alias("outcome"), "records")
+    return reduce(DataFrame.unionByName, [found, same, _outcomes(spark, lake)])
+
+
 def retention(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze rows before and after the days before the second run are dropped; late events lie below the day they came."""
     path, lake = json_landing(spark, sf_dir), L.work_dir(spark, "lake")
@@ -254,7 +264,7 @@ def drain_and_stop(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        capture_documents, explode_flows, fct_flows_incremental, agg_hourly_incremental, stream_to_bronze, lake_commit, gold_build, gold_checks, ocsf_export, landing_files, ingest_all, retention, empty_lake, reference_tables, full_refresh,
+        capture_documents, explode_flows, fct_flows_incremental, agg_hourly_incremental, stream_to_bronze, lake_commit, gold_build, gold_checks, ocsf_export, landing_files, ingest_all, ingest_in_pieces, retention, empty_lake, reference_tables, full_refresh,
         replay_dedupe, drain_and_stop,
     )
 }

@@ -8,11 +8,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from netquarry.operators.contract import marked
+from netquarry.sources import pieces
 
 SENSOR = "[A-Za-z0-9][A-Za-z0-9._-]{0,63}"
 CAPTURES = r"\.(json|pcap|pcapng|cap)$"
 _GLOB = "*.{[jJ][sS][oO][nN],[pP][cC][aA][pP],[pP][cC][aA][pP][nN][gG],[cC][aA][pP]}"
-#: Spark holds a file's content in one value of under 2 GB.
+#: Spark holds a file's content in one value of under 2 GB; larger files are read in pieces.
 LARGEST = (1 << 31) - (1 << 20)
 DOCUMENT = "capture struct<file_name: string, packets_processed: bigint>, completion_state string, flows array<string>, error struct<code: string, category: string, message: string>"
 
@@ -66,23 +67,52 @@ def capture_documents(files: DataFrame, sensor: str | None = None) -> DataFrame:
     kind = lambda field: F.expr(f"schema_of_variant(variant_get(whole, '$.{field}', 'variant'))")
     is_document = F.coalesce(kind("flows").startswith("ARRAY") & kind("capture").startswith("OBJECT") & (F.length("d.completion_state") > 0), F.lit(False))
     is_error = F.coalesce(kind("error").startswith("OBJECT") & kind("flows").isNull(), F.lit(False))
-    error = F.when(F.col("whole").isNull(), "not valid JSON").when(is_error, F.concat(F.lit("upstream error: "), "d.error.code")).when(~is_document, "not a flows document")
-    return told.select(
+    told_error = F.lit(True)
+    for x in ("code", "category", "message"):
+        told_error &= F.coalesce(kind(f"error.{x}") == "STRING", F.lit(False))
+    refused = F.when(told_error, F.concat(F.lit("upstream error: "), "d.error.code")).otherwise("malformed error document")
+    error = F.when(F.col("whole").isNull(), "not valid JSON").when(is_error, refused).when(~is_document, "not a flows document")
+    flows = F.transform("d.flows", lambda x: F.regexp_replace(x, '"__bare__(-?Infinity|NaN)"', "$1"))
+    found = told.select(*given, "content_sha256", "sensor_id", F.col("d.capture.file_name").alias("capture_file"), "d.completion_state", F.when(error.isNull(), flows).alias("flows"), error.alias("error"))
+    return _identified(found, given)
+
+
+def _identified(found: DataFrame, given: list[str]) -> DataFrame:
+    return found.select(
         *given, "content_sha256", "sensor_id", file_batch_id(F.col("sensor_id"), F.col("content_sha256")).alias("batch_id"), F.concat(F.lit("sha256:"), "content_sha256").alias("capture_id"),
-        F.col("d.capture.file_name").alias("capture_file"), "d.completion_state", F.when(error.isNull(), F.transform("d.flows", lambda x: F.regexp_replace(x, '"__bare__(-?Infinity|NaN)"', "$1"))).alias("flows"), F.when(error.isNull(), "valid").otherwise("rejected").alias("status"), error.alias("error"),
+        "capture_file", "completion_state", "flows", F.when(F.col("error").isNull(), "valid").otherwise("rejected").alias("status"), "error",
     )
 
 
+def large_documents(files: DataFrame, rows: DataFrame, sensor: str | None = None) -> DataFrame:
+    """capture_documents of files read in pieces, with null for flows; rows: what pieces.parsed made of the files, as a table."""
+    given = [c for c in ("path", "modified", "length") if c in files.columns]
+    heads = rows.where("content_sha256 is not null").drop("section", "record_index", "raw")
+    found = files.select(*given).join(heads, "path").withColumns({"sensor_id": sensor_from_path(F.col("path"), sensor), "flows": F.lit(None).cast("array<string>")})
+    return _identified(found, given)
+
+
+def large_flows(documents: DataFrame, rows: DataFrame) -> DataFrame:
+    """explode_flows of the valid documents that were read in pieces."""
+    last = rows.where("content_sha256 is not null").select("path", "section")
+    counted = rows.where("record_index is not null").select("path", "section", "record_index", "raw").join(last, ["path", "section"], "left_semi")
+    context = documents.where("status = 'valid'").select("path", "batch_id", F.lit("file").alias("source"), "sensor_id", "capture_id", "capture_file", "completion_state")
+    return counted.join(context, "path").select(*context.columns[1:], "record_index", "raw")
+
+
 def explode_flows(documents: DataFrame) -> DataFrame:
     """raw, record_index and the context of each flow of the valid documents."""
     return documents.where("status = 'valid'").select("batch_id", F.lit("file").alias("source"), "sensor_id", "capture_id", "capture_file", "completion_state", F.posexplode("flows").alias("record_index", "raw")).withColumn("record_index", F.col("record_index").cast("bigint"))
 
 
-def capture_inventory(files: DataFrame) -> DataFrame:
-    """path, length, sha256, format of every capture file, by its first four bytes; files over LARGEST are listed without."""
-    large = files.where(F.col("length") > LARGEST).select("path", "length", F.lit(None).cast("string").alias("sha256"), F.lit("too large").alias("format"))
-    files = files.where(F.col("length") <= LARGEST)
-    magic = F.hex(F.substring("content", 1, 4))
+def capture_inventory(files: DataFrame, largest: int = LARGEST, open_file: pieces.Opener = pieces.open_path) -> DataFrame:
+    """path, length, sha256, format of every capture file, by its first four bytes.
+
+    Files over `largest` bytes are hashed in pieces; sha256 and format are null for those of them that can't be read.
+    """
+    small = files.where(F.col("length") <= largest).select("path", "length", F.sha2("content", 256).alias("sha256"), F.hex(F.substring("content", 1, 4)).alias("magic"))
+    found = small.unionByName(pieces.hashed(files.where(F.col("length") > largest), open_file))
+    magic = F.col("magic")
     # The magic numbers of capture files.
-    kind = F.when(magic.isin("D4C3B2A1", "4D3CB2A1"), "pcap").when(magic.isin("A1B2C3D4", "A1B23C4D"), "pcap").when(magic == "0A0D0D0A", "pcapng").otherwise("unknown")
-    return files.select("path", "length", F.sha2("content", 256).alias("sha256"), kind.alias("format")).unionByName(large)
+    kind = F.when(magic.isin("D4C3B2A1", "4D3CB2A1"), "pcap").when(magic.isin("A1B2C3D4", "A1B23C4D"), "pcap").when(magic == "0A0D0D0A", "pcapng").when(magic.isNotNull(), "unknown")
+    return found.select("path", "length", "sha256", kind.alias("format"))

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from netquarry.operators import contract
 from netquarry.schemas import BRONZE, LEDGER, QUARANTINE
-from netquarry.sources.captures import LARGEST, SENSOR, capture_documents, check_sensor_id, explode_flows, landing_files, sensor_folder
+from netquarry.sources import pieces
+from netquarry.sources.captures import LARGEST, SENSOR, capture_documents, check_sensor_id, explode_flows, landing_files, large_documents, large_flows, sensor_folder
 
 
 def exists(spark: SparkSession, path: str) -> bool:
@@ -119,12 +120,12 @@ def commit(told: DataFrame, batches: DataFrame, lake: str) -> DataFrame:
     return table(spark, lake, "ledger")
 
 
-def ingest(spark: SparkSession, lake: str, path: str, sensor: str | None = None, force: bool = False, ingested_at: datetime | None = None, largest: int = LARGEST) -> DataFrame:
+def ingest(spark: SparkSession, lake: str, path: str, sensor: str | None = None, force: bool = False, ingested_at: datetime | None = None, largest: int = LARGEST, open_file: pieces.Opener = pieces.open_path) -> DataFrame:
     """Ingest all capture documents below `path`, each as a batch of its own; finished batches are skipped unless forced.
 
     Returns (batch_id, path, status) of every document: ingested, rejected, skipped, or failed for files that couldn't be
-    read or are over `largest` bytes; those leave no ledger entry and are tried again. Files that the ledger knows by path
-    and time of change aren't opened. A folder that names no valid sensor stops the run before anything is written.
+    read; those leave no ledger entry and are tried again. Files over `largest` bytes are read in pieces by `open_file`. Files
+    that the ledger knows by path and time of change aren't opened. A folder that names no valid sensor stops the run before anything is written.
     """
     work, report = f"{lake}/_work/{uuid.uuid4().hex}", f"{lake}/_runs/{uuid.uuid4().hex}"
     files = landing_files(spark, path).where(F.lower("path").endswith(".json"))
@@ -136,6 +137,10 @@ def ingest(spark: SparkSession, lake: str, path: str, sensor: str | None = None,
     known = finished.groupBy(F.col("input_ref").alias("path"), "modified").agg(F.min("batch_id").alias("batch_id"))
     opened = files if force else files.join(known, ["path", "modified"], "left_anti")
     capture_documents(opened.where(F.col("length") <= largest), sensor).write.parquet(f"{work}/documents")
+    large = opened.where(F.col("length") > largest).select("path", "modified", "length")
+    pieces.parsed(large, open_file).write.parquet(f"{work}/large")
+    read = spark.read.schema(pieces.PARSED).parquet(f"{work}/large")
+    large_documents(large, read, sensor).write.mode("append").parquet(f"{work}/documents")
     documents = spark.read.parquet(f"{work}/documents")
     first = documents.groupBy("batch_id").agg(F.min("path").alias("path"))
     unique = documents.join(first, ["batch_id", "path"])
@@ -152,7 +157,7 @@ def ingest(spark: SparkSession, lake: str, path: str, sensor: str | None = None,
     # on the way the ledger may gain batches; the report and the list of what is to do don't follow it
     todo = documents.join(spark.read.parquet(report).where("status in ('ingested', 'rejected')").select("batch_id", "path"), ["batch_id", "path"])
     stamp = F.lit(ingested_at or datetime.now(timezone.utc).replace(tzinfo=None)).cast("timestamp")
-    told = contract.checked(explode_flows(todo).withColumn("ingested_at", stamp))
+    told = contract.checked(explode_flows(todo).unionByName(large_flows(todo, read)).withColumn("ingested_at", stamp))
     batches = todo.select("batch_id", F.lit("file").alias("source"), F.col("path").alias("input_ref"), "sensor_id", "modified", new, F.col("error").alias("reason"))
     commit(told, batches, lake)
     remove(spark, work)
