@@ -363,6 +363,7 @@ def sql() -> dict[str, str]:
         "landing_files": f"SELECT 's1' AS sensor_id, 'json' AS suffix, count(DISTINCT (event_id % 20, event_id // {20 * 4000})) AS n FROM events WHERE event_id % 40 <> 4",
         "ingest_all": f"WITH e AS (SELECT *, {kind} AS kind FROM events WHERE event_id % 40 <> 4), d AS (SELECT count(DISTINCT (event_id % 20, event_id // {20 * 4000})) AS n FROM e) "
             "SELECT 'first ingested' AS outcome, n AS records FROM d UNION ALL SELECT 'again skipped', n FROM d UNION ALL SELECT coalesce(kind, 'valid'), count(*) FROM e GROUP BY 1",
+        "ledger_compaction": "SELECT CASE WHEN event_id % 3 = 0 THEN 'rejected' ELSE 'ingested' END AS status, count(*) AS batches, CAST(sum(event_id % 7) AS BIGINT) AS records_written, CAST(sum(event_id % 5) AS BIGINT) AS records FROM events GROUP BY 1",
         "ingest_in_pieces": f"WITH e AS (SELECT *, {kind} AS kind FROM events WHERE event_id % 40 <> 4), d AS (SELECT count(DISTINCT (event_id % 20, event_id // {20 * 4000})) AS n FROM e) "
             "SELECT 'ingested' AS outcome, n AS records FROM d UNION ALL SELECT 'hashed alike', n FROM d UNION ALL SELECT coalesce(kind, 'valid'), count(*) FROM e GROUP BY 1",
         "retention": "WITH e AS (SELECT event_id % 20 AS k FROM events WHERE event_id % 40 > 11), d AS (SELECT CASE WHEN k = 2 THEN '2024-03-02' ELSE '2024-03-01' END AS ingest_date, count(*) AS n FROM e WHERE k IN (1, 2) OR k >= 10 GROUP BY 1) "

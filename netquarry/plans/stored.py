@@ -180,6 +180,20 @@ def ingest_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, [*out, _outcomes(spark, lake)])
 
 
+def ledger_compaction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A ledger of four commits, one batch an event, compacted with commits before and after it: batches and records by status."""
+    lake, events = L.work_dir(spark, "lake"), spark.read.parquet(f"{sf_dir}/events.parquet")
+    for k in range(4):
+        rows = events.where(F.col("event_id") % 4 == k).selectExpr(
+            "CAST(event_id AS STRING) AS batch_id", "CASE WHEN event_id % 3 = 0 THEN 'rejected' ELSE 'ingested' END AS status", "'file' AS source", "concat('/f', event_id) AS input_ref", "'s1' AS sensor_id",
+            "event_id % 7 AS records_written", "event_id % 5 AS records_quarantined", "map('x', event_id) AS reasons", "CAST(NULL AS STRING) AS reason", "array('f') AS files", "ts AS modified", "current_timestamp() AS finished_at", f"'c{k}' AS commit",
+        )
+        L.write_ledger(rows, lake)
+        if k > 0:
+            L.compact_ledger(spark, lake, hours=0)
+    return serving.batch_summary(L.table(spark, lake, "ledger")).withColumnRenamed("records_quarantined", "records")
+
+
 def ingest_in_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The landing folder ingested as files that are too large for one value, and its hashes: rows of the lake, files by outcome."""
     path, lake = json_landing(spark, sf_dir), L.work_dir(spark, "lake")
@@ -264,7 +278,7 @@ def drain_and_stop(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        capture_documents, explode_flows, fct_flows_incremental, agg_hourly_incremental, stream_to_bronze, lake_commit, gold_build, gold_checks, ocsf_export, landing_files, ingest_all, ingest_in_pieces, retention, empty_lake, reference_tables, full_refresh,
+        capture_documents, explode_flows, fct_flows_incremental, agg_hourly_incremental, stream_to_bronze, lake_commit, gold_build, gold_checks, ocsf_export, landing_files, ingest_all, ledger_compaction, ingest_in_pieces, retention, empty_lake, reference_tables, full_refresh,
         replay_dedupe, drain_and_stop,
     )
 }

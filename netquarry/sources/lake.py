@@ -42,12 +42,16 @@ def remove(spark: SparkSession, path: str) -> None:
 
 
 def stored_table(spark: SparkSession, lake: str, name: str) -> DataFrame:
-    """All rows of a table's files, with `commit`; empty with its schema if nothing was written yet."""
+    """All rows of a table's files, with `commit`; empty with its schema if nothing was written yet.
+
+    A row of the ledger is known by batch and commit, so that it counts once while a compaction has it in two files.
+    """
     schema = {"flows": BRONZE.replace(" not null", "") + ", ingest_date date, commit string", "quarantine": QUARANTINE + ", ingest_date date, commit string", "ledger": LEDGER}[name]
     empty = spark.createDataFrame([], schema)
     if not exists(spark, f"{lake}/{name}"):
         return empty
-    return spark.read.schema(schema).parquet(f"{lake}/{name}").select(*empty.columns)
+    rows = spark.read.schema(schema).parquet(f"{lake}/{name}").select(*empty.columns)
+    return rows.dropDuplicates(["batch_id", "commit"]) if name == "ledger" else rows
 
 
 def table(spark: SparkSession, lake: str, name: str) -> DataFrame:
@@ -95,6 +99,33 @@ def write_ledger(rows: DataFrame, lake: str) -> None:
     rows.select(*names).write.mode("append").parquet(f"{lake}/ledger")
 
 
+def compact_ledger(spark: SparkSession, lake: str, hours: float = 1) -> int:
+    """Write the ledger's rows, one small file a commit, as few files; returns the number of files deleted.
+
+    Rows are written beside the old ones and count once (see stored_table), so readers and writers go on meanwhile, and a run
+    that stops anywhere loses nothing. The replaced files are named in a list, and deleted by the first compaction that
+    comes `hours` later, when no reader has them in its plan any more. File names pass the driver, as in any listing.
+    """
+    if not exists(spark, f"{lake}/ledger"):
+        return 0
+    path, conf, gone = spark._jvm.org.apache.hadoop.fs.Path, spark._jsc.hadoopConfiguration(), 0
+    folder = path(f"{lake}/_replaced")
+    fs = folder.getFileSystem(conf)
+    before = datetime.now(timezone.utc).timestamp() * 1000 - hours * 3_600_000
+    for done in fs.globStatus(path(f"{lake}/_replaced/*/_SUCCESS")) or []:
+        if done.getModificationTime() <= before:
+            listed = done.getPath().getParent()
+            gone += sum(fs.delete(path(r[0]), False) for r in spark.read.parquet(listed.toString()).toLocalIterator())
+            fs.delete(listed, True)
+    # what is replaced is fixed before it is read: a file that comes now is in no list
+    files = [f.getPath().toString() for f in fs.listStatus(path(f"{lake}/ledger")) if f.getPath().getName().startswith("part-")]
+    if len(files) > 1:
+        rows = spark.read.schema(LEDGER).parquet(*files).dropDuplicates(["batch_id", "commit"])
+        rows.hint("rebalance").write.mode("append").option("compression", "zstd").parquet(f"{lake}/ledger")
+        spark.createDataFrame([(f,) for f in files], "file string").coalesce(1).write.parquet(f"{lake}/_replaced/{uuid.uuid4().hex}")
+    return gone
+
+
 def commit(told: DataFrame, batches: DataFrame, lake: str) -> DataFrame:
     """Write checked flows as bronze and quarantine rows, then the ledger, which makes them count.
 
