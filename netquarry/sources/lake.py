@@ -169,7 +169,9 @@ def ingest(spark: SparkSession, lake: str, path: str, sensor: str | None = None,
     opened = files if force else files.join(known, ["path", "modified"], "left_anti")
     capture_documents(opened.where(F.col("length") <= largest), sensor).write.parquet(f"{work}/documents")
     large = opened.where(F.col("length") > largest).select("path", "modified", "length")
-    pieces.parsed(large, open_file).write.parquet(f"{work}/large")
+    # a file is read by one task, but its flows are checked by as many as there are partitions
+    spread = int(spark.conf.get("spark.sql.shuffle.partitions")), F.xxhash64("path", "record_index")
+    pieces.parsed(large, open_file).repartition(*spread).write.parquet(f"{work}/large")
     read = spark.read.schema(pieces.PARSED).parquet(f"{work}/large")
     large_documents(large, read, sensor).write.mode("append").parquet(f"{work}/documents")
     documents = spark.read.parquet(f"{work}/documents")
