@@ -51,7 +51,13 @@ def stored_table(spark: SparkSession, lake: str, name: str) -> DataFrame:
     if not exists(spark, f"{lake}/{name}"):
         return empty
     rows = spark.read.schema(schema).parquet(f"{lake}/{name}").select(*empty.columns)
-    return rows.dropDuplicates(["batch_id", "commit"]) if name == "ledger" else rows
+    return _once(rows) if name == "ledger" else rows
+
+
+def _once(ledger: DataFrame) -> DataFrame:
+    """One row for each batch and commit. Spark's dropDuplicates below exceptAll leaves a plan that it can't run."""
+    keys = ["batch_id", "commit"]
+    return ledger.groupBy(*keys).agg(*[F.first(c).alias(c) for c in ledger.columns if c not in keys]).select(*ledger.columns)
 
 
 def table(spark: SparkSession, lake: str, name: str) -> DataFrame:
@@ -120,8 +126,8 @@ def compact_ledger(spark: SparkSession, lake: str, hours: float = 1) -> int:
     # what is replaced is fixed before it is read: a file that comes now is in no list
     files = [f.getPath().toString() for f in fs.listStatus(path(f"{lake}/ledger")) if f.getPath().getName().startswith("part-")]
     if len(files) > 1:
-        rows = spark.read.schema(LEDGER).parquet(*files).dropDuplicates(["batch_id", "commit"])
-        rows.hint("rebalance").write.mode("append").option("compression", "zstd").parquet(f"{lake}/ledger")
+        rows = spark.read.schema(LEDGER).parquet(*files)
+        _once(rows).hint("rebalance").write.mode("append").option("compression", "zstd").parquet(f"{lake}/ledger")
         spark.createDataFrame([(f,) for f in files], "file string").coalesce(1).write.parquet(f"{lake}/_replaced/{uuid.uuid4().hex}")
     return gone
 
