@@ -363,6 +363,10 @@ def sql() -> dict[str, str]:
         "landing_files": f"SELECT 's1' AS sensor_id, 'json' AS suffix, count(DISTINCT (event_id % 20, event_id // {20 * 4000})) AS n FROM events WHERE event_id % 40 <> 4",
         "ingest_all": f"WITH e AS (SELECT *, {kind} AS kind FROM events WHERE event_id % 40 <> 4), d AS (SELECT count(DISTINCT (event_id % 20, event_id // {20 * 4000})) AS n FROM e) "
             "SELECT 'first ingested' AS outcome, n AS records FROM d UNION ALL SELECT 'again skipped', n FROM d UNION ALL SELECT coalesce(kind, 'valid'), count(*) FROM e GROUP BY 1",
+        "changed_folders": f"WITH d AS (SELECT DISTINCT event_id % 20 AS k, event_id // {20 * 4000} AS part FROM events WHERE event_id % 40 <> 4), "
+            "h AS (SELECT k % 2 AS half, count(*) AS n, count(*) + count(DISTINCT k) AS folders FROM d GROUP BY 1), o AS (SELECT sum(n) FILTER (WHERE half = 0) AS n0, sum(n) FILTER (WHERE half = 1) AS n1, sum(folders) FILTER (WHERE half = 0) AS f0, sum(folders) FILTER (WHERE half = 1) AS f1 FROM h) "
+            "SELECT CAST(run AS BIGINT) AS run, CAST(CASE run WHEN 1 THEN n0 WHEN 2 THEN n1 ELSE 0 END AS BIGINT) AS ingested, CAST(0 AS BIGINT) AS others, "
+            "CAST(CASE run WHEN 1 THEN f0 + 2 WHEN 2 THEN f1 + 2 ELSE 0 END AS BIGINT) AS listed, CAST(CASE run WHEN 1 THEN 0 WHEN 2 THEN f0 ELSE f0 + f1 + 2 END AS BIGINT) AS unchanged FROM (VALUES (1), (2), (3)) AS v(run), o",
         "ledger_compaction": "SELECT CASE WHEN event_id % 3 = 0 THEN 'rejected' ELSE 'ingested' END AS status, count(*) AS batches, CAST(sum(event_id % 7) AS BIGINT) AS records_written, CAST(sum(event_id % 5) AS BIGINT) AS records FROM events GROUP BY 1",
         "ingest_in_pieces": f"WITH e AS (SELECT *, {kind} AS kind FROM events WHERE event_id % 40 <> 4), d AS (SELECT count(DISTINCT (event_id % 20, event_id // {20 * 4000})) AS n FROM e) "
             "SELECT 'ingested' AS outcome, n AS records FROM d UNION ALL SELECT 'hashed alike', n FROM d UNION ALL SELECT coalesce(kind, 'valid'), count(*) FROM e GROUP BY 1",

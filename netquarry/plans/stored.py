@@ -12,6 +12,7 @@ from netquarry.operators import contract, facts, gold, incremental, ocsf, servin
 from netquarry.plans import adapter, contract_cases
 from netquarry.sources import captures
 from netquarry.sources import lake as L
+from netquarry.sources.discovery import Listing
 from netquarry.sources.reference import SITE_ZONES, reference_table
 from netquarry.sources.versions import Versioned
 from netquarry.streaming import bronze
@@ -153,15 +154,15 @@ def stream_to_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------- landing folders
 
 
-def json_landing(spark: SparkSession, sf_dir: str) -> str:
-    """The contract cases without bare NaN as JSON files, one for each capture and part; returns their folder."""
+def json_landing(spark: SparkSession, sf_dir: str, where: str = "true", path: str | None = None) -> str:
+    """The contract cases without bare NaN as JSON files, one for each capture and part, in a new folder or at `path`; returns it."""
     part = F.expr(f"record_index div {_CAPTURES * FLOWS_A_DOCUMENT}")
-    raw = contract_cases.raw(spark, sf_dir).where("record_index % 40 <> 4").withColumn("part", part)
+    raw = contract_cases.raw(spark, sf_dir).where("record_index % 40 <> 4").where(where).withColumn("part", part)
     flows = F.transform(F.array_sort(F.collect_list(F.struct("record_index", "raw"))), lambda x: F.parse_json(x.raw))
     name = F.struct(F.concat("batch_id", F.lit(".pcap")).alias("file_name"))
     documents = raw.groupBy("batch_id", "part").agg(flows.alias("flows")).select(name.alias("capture"), F.lit("complete").alias("completion_state"), "flows", F.lit("s1").alias("sensor"), "batch_id", "part")
-    path = L.work_dir(spark, "landing")
-    documents.repartition("batch_id", "part").write.partitionBy("sensor", "batch_id", "part").json(path)
+    path = path or L.work_dir(spark, "landing")
+    documents.repartition("batch_id", "part").write.mode("append").partitionBy("sensor", "batch_id", "part").json(path)
     return path
 
 
@@ -180,6 +181,20 @@ def ingest_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, [*out, _outcomes(spark, lake)])
 
 
+def changed_folders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three ingestions by changed folders, over half the captures, over all of them, and over the same again: what each did."""
+    path, lake, out = L.work_dir(spark, "landing"), L.work_dir(spark, "lake"), []
+    for k, (run, half) in enumerate(zip(_RUNS, (0, 1, None), strict=True), 1):
+        if half is not None:
+            json_landing(spark, sf_dir, f"record_index % 2 = {half}", path)
+        listing = Listing(spark, f"{lake}/_listing", path, settle=0)
+        found = L.ingest(spark, lake, path, ingested_at=run, listing=listing)
+        note = listing.table.manifest()["note"]
+        done = found.agg(F.count_if(F.col("status") == "ingested").alias("ingested"), F.count_if(F.col("status") != "ingested").alias("others"))
+        out.append(done.select(F.lit(k).cast("long").alias("run"), "ingested", "others", F.lit(note["listed"]).cast("long").alias("listed"), F.lit(note["unchanged"]).cast("long").alias("unchanged")))
+    return reduce(DataFrame.unionByName, out)
+
+
 def ledger_compaction(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A ledger of four commits, one batch an event, compacted with commits before and after it: batches and records by status."""
     lake, events = L.work_dir(spark, "lake"), spark.read.parquet(f"{sf_dir}/events.parquet")
@@ -278,7 +293,7 @@ def drain_and_stop(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        capture_documents, explode_flows, fct_flows_incremental, agg_hourly_incremental, stream_to_bronze, lake_commit, gold_build, gold_checks, ocsf_export, landing_files, ingest_all, ledger_compaction, ingest_in_pieces, retention, empty_lake, reference_tables, full_refresh,
+        capture_documents, explode_flows, fct_flows_incremental, agg_hourly_incremental, stream_to_bronze, lake_commit, gold_build, gold_checks, ocsf_export, landing_files, ingest_all, changed_folders, ledger_compaction, ingest_in_pieces, retention, empty_lake, reference_tables, full_refresh,
         replay_dedupe, drain_and_stop,
     )
 }

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import re
+from contextlib import suppress
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,11 +17,13 @@ CAPTURES = r"\.(json|pcap|pcapng|cap)$"
 _GLOB = "*.{[jJ][sS][oO][nN],[pP][cC][aA][pP],[pP][cC][aA][pP][nN][gG],[cC][aA][pP]}"
 #: Spark holds a file's content in one value of under 2 GB; larger files are read in pieces.
 LARGEST = (1 << 31) - (1 << 20)
+#: Files that are opened by name in one run.
+MOST_NAMES = 100_000
 DOCUMENT = "capture struct<file_name: string, packets_processed: bigint>, completion_state string, flows array<string>, error struct<code: string, category: string, message: string>"
 
 
-def landing_files(spark: SparkSession, path: str) -> DataFrame:
-    """path, modified, length, content of the capture files below `path`; Spark leaves out what starts with `_` or `.`.
+def landing_files(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """path, modified, length, content of the capture files below `path` (or at these paths); Spark leaves out what starts with `_` or `.`.
 
     Files that vanish or can't be read leave no row. Their content is read only where it is selected.
     """
@@ -28,6 +32,21 @@ def landing_files(spark: SparkSession, path: str) -> DataFrame:
     return files.where(F.lower("path").rlike(CAPTURES)).select("path", F.col("modificationTime").alias("modified"), "length", "content")
 
 
+def named_files(spark: SparkSession, path: str, wanted: DataFrame, most: int = MOST_NAMES) -> DataFrame:
+    """landing_files of the wanted (path, modified) alone; no other file is opened.
+
+    Their names pass the driver, as in any listing. More than `most` of them, names that read as patterns, and files that
+    vanish meanwhile are taken from a scan of all files below `path`, which opens each; the rows are the same.
+    """
+    names = [r[0] for r in wanted.select("path").limit(most + 1).collect()]
+    if not names:
+        return spark.createDataFrame([], "path string, modified timestamp, length bigint, content binary")
+    if len(names) <= most and not any(c in x for x in names for c in "{}[]*?\\"):
+        with suppress(AnalysisException):
+            return landing_files(spark, names)
+    return landing_files(spark, path).join(wanted.select("path", "modified"), ["path", "modified"], "left_semi")
+
+
 def check_sensor_id(sensor: str) -> str:
     """The id if it is valid: 1 to 64 letters, digits, `.`, `_` or `-`, the first a letter or digit."""
     if not re.fullmatch(SENSOR, sensor, re.ASCII):

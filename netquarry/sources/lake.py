@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from netquarry.operators import contract
 from netquarry.schemas import BRONZE, LEDGER, QUARANTINE
 from netquarry.sources import pieces
-from netquarry.sources.captures import LARGEST, SENSOR, capture_documents, check_sensor_id, explode_flows, landing_files, large_documents, large_flows, sensor_folder
+from netquarry.sources.captures import LARGEST, SENSOR, capture_documents, check_sensor_id, explode_flows, landing_files, large_documents, large_flows, named_files, sensor_folder
+from netquarry.sources.discovery import Listing
 
 
 def exists(spark: SparkSession, path: str) -> bool:
@@ -157,24 +158,29 @@ def commit(told: DataFrame, batches: DataFrame, lake: str) -> DataFrame:
     return table(spark, lake, "ledger")
 
 
-def ingest(spark: SparkSession, lake: str, path: str, sensor: str | None = None, force: bool = False, ingested_at: datetime | None = None, largest: int = LARGEST, open_file: pieces.Opener = pieces.open_path) -> DataFrame:
+def ingest(spark: SparkSession, lake: str, path: str, sensor: str | None = None, force: bool = False, ingested_at: datetime | None = None, largest: int = LARGEST, open_file: pieces.Opener = pieces.open_path, listing: Listing | None = None) -> DataFrame:
     """Ingest all capture documents below `path`, each as a batch of its own; finished batches are skipped unless forced.
 
     Returns (batch_id, path, status) of every document: ingested, rejected, skipped, or failed for files that couldn't be
     read; those leave no ledger entry and are tried again. Files over `largest` bytes are read in pieces by `open_file`. Files
-    that the ledger knows by path and time of change aren't opened. A folder that names no valid sensor stops the run before anything is written.
+    that the ledger knows by path and time of change aren't opened. With a listing of `path` (discovery.Listing) only folders that
+    changed since the last such run are listed, and only their documents are in the result; a forced run lists all. A folder that names no valid sensor stops the run before anything is written.
     """
     work, report = f"{lake}/_work/{uuid.uuid4().hex}", f"{lake}/_runs/{uuid.uuid4().hex}"
-    files = landing_files(spark, path).where(F.lower("path").endswith(".json"))
+    if listing and not force:
+        listing.walk(f"{work}/listing")
+    found = listing.files() if listing and not force else landing_files(spark, path).select("path", "modified", "length")
+    files = found.where(F.lower("path").endswith(".json"))
     if sensor is None:
         bad = files.where(~sensor_folder(F.col("path")).rlike(rf"\A{SENSOR}\z")).select(sensor_folder(F.col("path"))).first()
         check_sensor_id(bad[0] if bad else "default")
     finished = table(spark, lake, "ledger").where("status in ('ingested', 'rejected')")
-    listed = files.select("path", "modified", "length")
+    files.write.parquet(f"{work}/files")
+    listed = spark.read.schema("path string, modified timestamp, length bigint").parquet(f"{work}/files")
     known = finished.groupBy(F.col("input_ref").alias("path"), "modified").agg(F.min("batch_id").alias("batch_id"))
-    opened = files if force else files.join(known, ["path", "modified"], "left_anti")
-    capture_documents(opened.where(F.col("length") <= largest), sensor).write.parquet(f"{work}/documents")
-    large = opened.where(F.col("length") > largest).select("path", "modified", "length")
+    opened = listed if force else listed.join(known, ["path", "modified"], "left_anti")
+    capture_documents(named_files(spark, path, opened.where(F.col("length") <= largest)), sensor).write.parquet(f"{work}/documents")
+    large = opened.where(F.col("length") > largest)
     # a file is read by one task, but its flows are checked by as many as there are partitions
     spread = int(spark.conf.get("spark.sql.shuffle.partitions")), F.xxhash64("path", "record_index")
     pieces.parsed(large, open_file).repartition(*spread).write.parquet(f"{work}/large")
@@ -199,6 +205,9 @@ def ingest(spark: SparkSession, lake: str, path: str, sensor: str | None = None,
     told = contract.checked(explode_flows(todo).unionByName(large_flows(todo, read)).withColumn("ingested_at", stamp))
     batches = todo.select("batch_id", F.lit("file").alias("source"), F.col("path").alias("input_ref"), "sensor_id", "modified", new, F.col("error").alias("reason"))
     commit(told, batches, lake)
+    if listing and not force:
+        # only now: a run that stops before is done again from the same state
+        listing.remember(spark.read.parquet(report).where("status = 'failed'"))
     remove(spark, work)
     return spark.read.schema("batch_id string, path string, status string").parquet(report)
 
