@@ -7,7 +7,7 @@ coarse clocks nor files that are still being written hide anything. A file that
 seen by a whole listing alone. Where a filesystem tells no times of folders (object stores) every folder is listed.
 
 Results for special rows: names that start with `_` or `.` are left out with all below them; folders that vanish leave no
-row; an empty or missing landing path has no files; links to folders are followed by no one.
+row; an empty or missing landing path has no files; links count as what they point to.
 """
 
 from __future__ import annotations
