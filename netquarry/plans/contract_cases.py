@@ -37,7 +37,8 @@ ENVELOPE = (
 
 
 def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    # the file may be one row group, which is one task; ids go through the shuffle, not yet the texts
+    events = contract.spread(spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", "ts", "user_id"), "event_id")
     return events.select(
         F.expr(RAW).alias("raw"), F.col("event_id").alias("record_index"), F.expr("concat('b-', CAST(event_id % 20 AS STRING))").alias("batch_id"), F.lit("file").alias("source"), F.lit("s1").alias("sensor_id"),
         F.expr("concat('capture-', CAST(event_id % 20 AS STRING))").alias("capture_id"), F.lit(None).cast("string").alias("capture_file"), F.lit("complete").alias("completion_state"),
@@ -54,5 +55,5 @@ def valid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    messages = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", F.expr(ENVELOPE).alias("value"))
+    messages = contract.spread(spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id"), "event_id").select("event_id", F.expr(ENVELOPE).alias("value"))
     return contract.decode_messages(messages).select("event_id", "sensor_id", "envelope_error")
