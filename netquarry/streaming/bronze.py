@@ -47,8 +47,8 @@ def write_batch(batch: DataFrame, batch_number: int, lake: str, name: str) -> No
         return
     order = "offset" if "offset" in batch.columns else None
     index = F.col(order) if order else F.xxhash64("value").bitwiseAND(F.lit((1 << 62) - 1))
-    raw = contract.decode_messages(batch).select(
-        F.lit(batch_id).alias("batch_id"), F.lit("stream").alias("source"), "sensor_id", "capture_id", "capture_file", "completion_state", F.current_timestamp().alias("ingested_at"), index.alias("record_index"), "raw", "envelope_error"
+    raw = contract.decode_messages(batch, as_text=False).select(
+        F.lit(batch_id).alias("batch_id"), F.lit("stream").alias("source"), "sensor_id", "capture_id", "capture_file", "completion_state", F.current_timestamp().alias("ingested_at"), index.alias("record_index"), "raw", "flow", "bare", "envelope_error"
     )
     told = contract.checked(raw)
     # a bad envelope is the error, whatever the text looks like as a flow
