@@ -83,9 +83,12 @@ def capture_documents(files: DataFrame, sensor: str | None = None) -> DataFrame:
     # bare NaN is no JSON but may stand in a flow; the whole is then still a document, and the flow gets it back below
     told = read.withColumn("text", F.when(F.try_parse_json("text").isNull(), marked(F.col("text"), "__bare__$2")).otherwise(F.col("text")))
     told = told.withColumns({"whole": F.try_parse_json("text"), "d": F.from_json("text", DOCUMENT)})
+    # whether flows are a list is asked once, and not by their schema, which is that of all of them
+    lists = {"__no_flows": F.expr("variant_get(whole, '$.flows', 'variant') IS NULL"), "__listed": F.expr("try_variant_get(whole, '$.flows', 'array<variant>') IS NOT NULL")}
+    told = told.withColumns(lists)
     kind = lambda field: F.expr(f"schema_of_variant(variant_get(whole, '$.{field}', 'variant'))")
-    is_document = F.coalesce(kind("flows").startswith("ARRAY") & kind("capture").startswith("OBJECT") & (F.length("d.completion_state") > 0), F.lit(False))
-    is_error = F.coalesce(kind("error").startswith("OBJECT") & kind("flows").isNull(), F.lit(False))
+    is_document = F.coalesce(F.col("__listed") & kind("capture").startswith("OBJECT") & (F.length("d.completion_state") > 0), F.lit(False))
+    is_error = F.coalesce(kind("error").startswith("OBJECT") & F.col("__no_flows"), F.lit(False))
     told_error = F.lit(True)
     for x in ("code", "category", "message"):
         told_error &= F.coalesce(kind(f"error.{x}") == "STRING", F.lit(False))
