@@ -159,3 +159,18 @@ def test_weights_are_whole_numbers(spark):
         urlfilter.terms_of([("a", "soft", 0.5)])
     pages = spark.createDataFrame([(1, "http://x.test/" + "casino" * 500_000), (2, "http://x.test/" + "-ab" * 500_000 + "-casino")], "page_id long, url string")
     assert {r["page_id"]: r["verdict"] for r in urlfilter.op4_url_filter(pages).collect()} == {1: "allow", 2: "block"}
+
+
+def test_grams_are_counted_by_one_sort(monkeypatch):
+    """op3 over its budget: distinct grams and training counts were sorted apart."""
+    import numpy as np
+
+    from netquarry.llm import lmscore
+
+    keys, train = np.random.default_rng(5).integers(0, 1 << 48, 500)[np.random.default_rng(6).integers(0, 500, 5000)], np.random.default_rng(7).random(5000) < 0.5
+    want = {int(k): int(train[keys == k].sum()) for k in np.unique(keys)}
+    hashes = keys - (1 << 47)
+    assert dict(zip(*(x.tolist() for x in lmscore.counted(hashes, train)), strict=True)) == {k - (1 << 47): n for k, n in want.items()}
+    monkeypatch.setattr(np, "unique", None)
+    found, n = lmscore.counted(keys, train)
+    assert dict(zip(found.tolist(), n.tolist(), strict=True)) == want and (np.diff(found) > 0).all()
